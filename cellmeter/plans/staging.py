@@ -1,0 +1,34 @@
+"""Intermediate tables in the cluster's shared checkpoint folder.
+
+A table that several later steps read is written once as Parquet. That cuts the
+lineage, survives the loss of executors and lets each reader prune columns.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def staging_root(spark: SparkSession) -> str:
+    """This application's folder under ``spark.checkpoint.dir``."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{root.rstrip('/')}/cellmeter-{spark.sparkContext.applicationId}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the staging folder and read it back."""
+    spark = df.sparkSession
+    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete this application's staged tables, once their results are written."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
