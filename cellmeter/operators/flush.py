@@ -10,13 +10,15 @@ the one later chunk those point to.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..staging import stage
 from .nextabove import first_above
 from .scan import CHUNK_ROWS, LAST, block_of, chunks_window, later, next_value
 
@@ -25,7 +27,10 @@ WRAP_SLOT = 1000
 WRAP_REPORT = 20
 HARQ_RTT = 8
 
-_ALWAYS = 2**31 - 1
+_ALWAYS, _NEVER = 2**31 - 1, -(2**31)
+
+# Rows a task searches at once; a larger chunk is searched whole.
+_PIECE_ROWS = 1 << 16
 
 
 def _reach(time: Column, slot_wraps: bool) -> Column:
@@ -35,52 +40,73 @@ def _reach(time: Column, slot_wraps: bool) -> Column:
     return F.when(time < WRAP_REPORT, F.lit(_ALWAYS)).otherwise(time)
 
 
-def _search_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
-    """First releasing report after each slot of one chunk."""
-    pdf = pdf.sort_values("seq", kind="stable")
-    is_report = pdf["is_report"].to_numpy()
-    seq = pdf["seq"].to_numpy()
-    value = pdf["value"].to_numpy()
-    times, report_seq = value[is_report].astype(np.int64), seq[is_report]
-    slots = pdf.loc[~is_report]
-    limit = value[~is_report].astype(np.int64)
-    start = np.cumsum(is_report)[~is_report]
-    wrapped = np.where(times < WRAP_REPORT, _ALWAYS, times)
+def _release_rows(table: pa.Table) -> pa.Table:
+    """Slots of some whole chunks with ``flush``, the releasing report in the chunk.
+
+    Chunks are laid end to end with one entry after each that is above every
+    slot, so a search never runs into the next chunk.
+    """
+    column = {
+        name: table.column(name).to_numpy()
+        for name in ("seq", "is_report", "value", "starts")
+    }
+    is_report, seq, value = column["is_report"], column["seq"], column["value"]
+    place = np.arange(len(seq)) + np.cumsum(column["starts"]) - 1
+    size = len(seq) + int(column["starts"].sum())
+    report_seq = np.full(size, -1, dtype=np.int64)
+    report_seq[place[is_report]] = seq[is_report]
+    queries = ~is_report
+    limit, start = value[queries], place[queries] + 1
+
+    def search(reach: np.ndarray) -> np.ndarray:
+        line = np.full(size, _ALWAYS, dtype=np.int32)
+        line[place] = np.where(is_report, reach, _NEVER)
+        return first_above(line, start, limit)
+
     found = np.where(
         limit > WRAP_SLOT,
-        first_above(wrapped, start, limit),
-        first_above(times, start, limit),
+        search(np.where(value < WRAP_REPORT, _ALWAYS, value)),
+        search(value),
     )
-    hit = found < len(report_seq)
-    flush = np.full(len(slots), -1, dtype=np.int64)
-    flush[hit] = report_seq[found[hit]]
-    return slots.drop(columns=["is_report"]).assign(flush=flush)
+    slots = table.filter(pa.array(queries)).drop_columns(["is_report", "starts"])
+    return slots.append_column("flush", pa.array(report_seq[found]))
+
+
+def _search_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cut a stream of sorted rows at chunk starts and search the pieces."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < _PIECE_ROWS or not batch.column("starts").true_count:
+            continue
+        table = pa.Table.from_batches(held)
+        cut = int(np.flatnonzero(table.column("starts").to_numpy())[-1])
+        if cut:
+            yield from _release_rows(table.slice(0, cut)).to_batches()
+        held = table.slice(cut).to_batches()
+        rows = table.num_rows - cut
+    if rows:
+        yield from _release_rows(pa.Table.from_batches(held)).to_batches()
 
 
 def _search(slots: DataFrame, reports: DataFrame, keys: list[str]) -> DataFrame:
     """``slots`` with ``flush``: seq of the first releasing report in the chunk, or -1."""
-    marked = slots.select(
-        *keys, "block", "seq", F.lit(False).alias("is_report"),
-        F.col("slot").alias("value"), "origin", "waiting", "tx",
-    ).unionByName(
-        reports.select(
-            *keys, "block", "seq", F.lit(True).alias("is_report"),
-            F.col("report_time").alias("value"), F.lit(0).cast("bigint").alias("origin"),
-            F.lit(0).alias("waiting"), F.lit(0).alias("tx"),
-        )
-    )
-    key_types = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in slots.select(*keys).schema
+    slots = slots.select(
+        *keys, "block", "seq", F.col("slot").alias("value"), "origin", "waiting", "tx"
     )
-    schema = (
-        f"{key_types}, block bigint, seq bigint, value int, "
-        "origin bigint, waiting int, tx int, flush bigint"
+    reports = reports.select(
+        *keys, "block", "seq", F.col("report_time").alias("value"),
     )
-    return (
-        marked.groupBy(*keys, "block")
-        .applyInPandas(_search_chunk, schema)
-        .withColumnRenamed("value", "slot")
+    in_chunk = Window.partitionBy(*keys, "block").orderBy("seq")
+    marked = (
+        slots.withColumn("is_report", F.lit(False))
+        .unionByName(reports.withColumn("is_report", F.lit(True)), allowMissingColumns=True)
+        .withColumn("starts", F.row_number().over(in_chunk) == 1)
     )
+    schema = T.StructType([*slots.schema.fields, T.StructField("flush", T.LongType())])
+    return marked.mapInArrow(_search_chunks, schema).withColumnRenamed("value", "slot")
 
 
 def _chunk_reach(
@@ -163,7 +189,7 @@ def find_flush(
     reports = reports.select(
         *keys, "seq", "report_time", block_of("seq", chunk_rows).alias("block")
     )
-    local = _search(slots, reports, keys)
+    local = stage(_search(slots, reports, keys), "released")
     reach, outlook = _chunk_reach(slots, reports, keys)
     routed = _route(local.filter(F.col("flush") < 0), reach, outlook, keys).select(
         *keys,

@@ -12,7 +12,7 @@ from ..operators.flush import HARQ_RTT, find_flush, released_groups, tag_retrans
 from ..operators.records import uplink_rows
 from ..operators.scan import CHUNK_ROWS
 from ..operators.sequence import sequence
-from .staging import stage
+from ..staging import stage
 
 
 def latency_from_sequence(
