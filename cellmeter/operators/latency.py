@@ -17,6 +17,14 @@ def latency_sums(packets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def latency_by_batch(packets: DataFrame, numbered: DataFrame) -> DataFrame:
+    """One row per numbered batch, zeros for a batch without packets."""
+    sums = latency_sums(packets, ["batch_id"])
+    return numbered.join(sums, "batch_id", "left").select(
+        "batch_no", *[F.coalesce(p, F.lit(0)).cast("bigint").alias(p) for p in PARTS]
+    )
+
+
 def latency_running(by_batch: DataFrame) -> DataFrame:
     """Totals so far after each batch; input has one row per batch."""
     so_far = Window.partitionBy().orderBy("batch_no").rowsBetween(
