@@ -31,38 +31,22 @@ def _elements(moves: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     start = F.col("arrived") - F.col("delta")
     reach = F.when(start > F.col("drained"), start).otherwise(start + 1)
-    nothing = F.lit(None).cast("struct<seq:bigint,t:int>")
-    packet = F.array(
-        F.struct(
-            F.lit(_ARRIVING).alias("side"),
-            F.lit(_START).alias("role"),
-            reach.alias("byte"),
-            nothing.alias("drain"),
-        ),
-        F.struct(
-            F.lit(_ARRIVING).alias("side"),
-            F.lit(_END).alias("role"),
-            F.col("arrived").alias("byte"),
-            nothing.alias("drain"),
-        ),
-    )
-    drain = F.array(
-        F.struct(
-            F.lit(_DRAINING).alias("side"),
-            F.lit(_DRAIN).alias("role"),
-            F.col("drained").alias("byte"),
-            F.struct(F.col("seq").alias("seq"), F.col("t").alias("t")).alias("drain"),
+
+    def point(side: int, role: int, byte: Column) -> Column:
+        return F.struct(
+            F.lit(side).alias("side"), F.lit(role).alias("role"), byte.alias("byte")
         )
+
+    packet = F.array(
+        point(_ARRIVING, _START, reach), point(_ARRIVING, _END, F.col("arrived"))
     )
-    points = F.when(F.col("delta") > 0, packet).otherwise(drain)
+    drain = F.array(point(_DRAINING, _DRAIN, F.col("drained")))
     return moves.select(
         *keys,
         "block",
-        "seq",
-        F.col("t").alias("t_in"),
-        F.col("delta").alias("size"),
-        F.explode(points).alias("point"),
-    ).select(*keys, "block", "seq", "t_in", "size", "point.*")
+        F.struct("seq", "t", F.col("delta").alias("size")).alias("move"),
+        F.explode(F.when(F.col("delta") > 0, packet).otherwise(drain)).alias("point"),
+    ).select(*keys, "block", "move", "point.*")
 
 
 def _cuts(moves: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -119,45 +103,59 @@ def _cuts(moves: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def match_drains(
-    seq: DataFrame, keys: Sequence[str] = ("trace_id",), chunk_rows: int = CHUNK_ROWS
+    seq: DataFrame,
+    keys: Sequence[str] = ("trace_id",),
+    chunk_rows: int | None = CHUNK_ROWS,
 ) -> DataFrame:
     """First drain at or after each packet's start and end byte.
 
-    One row per packet: ``seq, t_in, size, first, done``; the last two are
-    ``struct<seq, t>`` of a drain, NULL where no drain gets that far.
+    One row per packet that some drain reaches: ``seq, t_in, size, first, done``;
+    the last two are ``struct<seq, t>`` of a drain, ``done`` NULL where no drain
+    gets that far. With
+    ``chunk_rows=None`` the byte axis of a trace is not cut.
     """
     keys = list(keys)
     moves = seq.filter(F.col("delta") != 0).select(
         *keys, "seq", "t", "delta", "arrived", "drained",
         block_of("seq", chunk_rows).alias("block"),
     )
-    elements = _elements(moves, keys)
-    cuts = _cuts(moves, keys).withColumn("role", F.lit(_CUT))
-
-    in_chunk = Window.partitionBy(*keys, "side", "block").orderBy("byte", "role")
-    cut = F.when(F.col("role") == _CUT, F.col("byte"))
-    points = (
-        elements.unionByName(cuts, allowMissingColumns=True)
-        .withColumn(
-            "segment",
-            F.first(cut, ignorenulls=True).over(in_chunk.rowsBetween(0, LAST)),
+    points = _elements(moves, keys)
+    segment = [] if chunk_rows is None else ["segment"]
+    if segment:
+        cuts = _cuts(moves, keys).withColumn("role", F.lit(_CUT))
+        in_chunk = Window.partitionBy(*keys, "side", "block").orderBy("byte", "role")
+        cut = F.when(F.col("role") == _CUT, F.col("byte"))
+        points = (
+            points.unionByName(cuts, allowMissingColumns=True)
+            .withColumn(
+                "segment",
+                F.first(cut, ignorenulls=True).over(in_chunk.rowsBetween(0, LAST)),
+            )
+            .filter(F.col("role") != _CUT)
         )
-        .filter(F.col("role") != _CUT)
-    )
+    drain = F.when(F.col("role") == _DRAIN, F.col("move"))
     matched = next_value(
-        points, keys, ["segment"], ["byte", "role"], F.col("drain"), "hit", F.col("byte")
-    ).filter(F.col("side") == _ARRIVING)
+        points.select(*keys, *segment, "byte", "role", "move"),
+        keys, segment, ["byte", "role"], drain, "hit", F.col("byte"),
+    ).filter(F.col("role") != _DRAIN)
 
     def hit(role: int) -> Column:
-        return F.max(F.when(F.col("role") == role, F.col("hit")))
-
-    return matched.groupBy(*keys, "seq", "t_in", "size").agg(
-        hit(_START).alias("first"), hit(_END).alias("done")
+        return F.max(F.when(F.col("role") == role, F.struct("hit.seq", "hit.t")))
+
+    return matched.filter(F.col("hit").isNotNull()).groupBy(
+        *keys, F.col("move.seq").alias("seq")
+    ).agg(
+        F.first("move.t").alias("t_in"),
+        F.first("move.size").alias("size"),
+        hit(_START).alias("first"),
+        hit(_END).alias("done"),
     )
 
 
 def completed_packets(
-    seq: DataFrame, keys: Sequence[str] = ("trace_id",), chunk_rows: int = CHUNK_ROWS
+    seq: DataFrame,
+    keys: Sequence[str] = ("trace_id",),
+    chunk_rows: int | None = CHUNK_ROWS,
 ) -> DataFrame:
     """Packets fully sent, with waiting and transmit latency.
 

@@ -177,9 +177,12 @@ def find_flush(
     slots: DataFrame,
     reports: DataFrame,
     keys: Sequence[str] = ("trace_id",),
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int | None = CHUNK_ROWS,
 ) -> DataFrame:
-    """Released slots with ``flush``, the seq of the report that releases them."""
+    """Released slots with ``flush``, the seq of the report that releases them.
+
+    With ``chunk_rows=None`` each trace is one chunk.
+    """
     keys = list(keys)
     slots = slots.select(
         *keys, "seq", "slot", "waiting", "tx",
@@ -189,7 +192,11 @@ def find_flush(
     reports = reports.select(
         *keys, "seq", "report_time", block_of("seq", chunk_rows).alias("block")
     )
-    local = stage(_search(slots, reports, keys), "released")
+    columns = [*keys, F.col("origin").alias("seq"), "slot", "waiting", "tx", "flush"]
+    local = _search(slots, reports, keys)
+    if chunk_rows is None:
+        return local.filter(F.col("flush") >= 0).select(*columns)
+    local = stage(local, "searched")
     reach, outlook = _chunk_reach(slots, reports, keys)
     routed = _route(local.filter(F.col("flush") < 0), reach, outlook, keys).select(
         *keys,
@@ -202,7 +209,6 @@ def find_flush(
     )
     chosen = routed.select(*keys, "block").distinct()
     distant = _search(routed, reports.join(chosen, [*keys, "block"], "left_semi"), keys)
-    columns = [*keys, F.col("origin").alias("seq"), "slot", "waiting", "tx", "flush"]
     return (
         local.filter(F.col("flush") >= 0)
         .select(*columns)
@@ -223,7 +229,7 @@ def tag_retransmissions(
     groups: DataFrame,
     reports: DataFrame,
     keys: Sequence[str] = ("trace_id",),
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int | None = CHUNK_ROWS,
     harq_rtt: int = HARQ_RTT,
 ) -> DataFrame:
     """``groups`` with ``retx``: the penalty where a repeat was reported for the slot.
@@ -239,9 +245,10 @@ def tag_retransmissions(
     timeline = marks.unionByName(repeats, allowMissingColumns=True).withColumn(
         "block", block_of("seq", chunk_rows)
     )
+    chunk = [] if chunk_rows is None else ["block"]
     tagged = (
         next_value(
-            timeline, slot_keys, ["block"], ["seq"], F.col("release"), "flush", F.col("seq")
+            timeline, slot_keys, chunk, ["seq"], F.col("release"), "flush", F.col("seq")
         )
         .filter(F.col("release").isNull() & F.col("flush").isNotNull())
         .select(*slot_keys, "flush", F.lit(harq_rtt).alias("retx"))

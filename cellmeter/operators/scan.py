@@ -20,8 +20,10 @@ FIRST, LAST = Window.unboundedPreceding, Window.unboundedFollowing
 CHUNK_ROWS = 1 << 18
 
 
-def block_of(position: str, chunk_rows: int) -> Column:
-    """Chunk number of an integer position."""
+def block_of(position: str, chunk_rows: int | None) -> Column:
+    """Chunk number of an integer position; 0 without a chunk size."""
+    if chunk_rows is None:
+        return F.lit(0).cast("bigint")
     return F.expr(f"`{position}` div {int(chunk_rows)}L")
 
 
@@ -43,6 +45,12 @@ def later(window: WindowSpec) -> WindowSpec:
     return window.rowsBetween(1, LAST)
 
 
+def chunks_needed(seq: DataFrame, chunk_rows: int) -> int | None:
+    """``chunk_rows``, or None when no sequence of a stored table is longer than that."""
+    longest = seq.agg(F.max("seq")).first()[0]
+    return chunk_rows if longest is not None and longest >= chunk_rows else None
+
+
 def running_sum(
     rows: DataFrame,
     keys: Sequence[str],
@@ -83,10 +91,13 @@ def next_value(
     """First non-NULL ``value`` at or after each row of a sequence.
 
     ``rank`` is a sortable column that orders the non-NULL values of a chunk as
-    ``order`` does.
+    ``order`` does. Without ``chunk`` columns each sequence is one chunk.
     """
     following = chunk_window(keys, chunk, order).rowsBetween(0, LAST)
-    local = rows.withColumn("_local", F.first(value, ignorenulls=True).over(following))
+    found = F.first(value, ignorenulls=True).over(following)
+    if not chunk:
+        return rows.withColumn(out, found)
+    local = rows.withColumn("_local", found)
     per_chunk = rows.groupBy(*keys, *chunk).agg(
         F.min_by(value, F.when(value.isNotNull(), rank)).alias("_chunk_first")
     )

@@ -13,13 +13,16 @@ from .scan import CHUNK_ROWS, FIRST, block_of, chunk_window, chunks_window, earl
 ORDER = ["file_name", "msg_seq", "pos"]
 CHUNK = ["file_name", "_block"]
 
+_SAMPLE, _FIRST_TX, _REPEAT = 0, 1, 2
+
 
 def sequence(
     rows: DataFrame, keys: Sequence[str] = ("trace_id",), chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
     """Replay-ordered uplink rows with everything that is a running quantity.
 
-    ``rows`` are as ``records.uplink_rows`` gives them. Added columns:
+    ``rows`` are as ``records.uplink_rows`` gives them; columns other than those
+    are not kept. Added columns:
 
     * ``seq``: row number in the trace, over samples and reports;
     * ``t``: clock. Every sample ticks once, a valid reading overwrites the
@@ -34,100 +37,134 @@ def sequence(
     keys = list(keys)
     here = chunk_window(keys, CHUNK, ORDER)
     so_far, before = here.rowsBetween(FIRST, 0), here.rowsBetween(FIRST, -1)
-    sample = ~F.col("is_report")
-    reading = F.when(
-        sample & is_valid_reading(F.col("sub_fn")),
-        F.struct(
-            F.col("_ticks").alias("ticks"),
-            frame_index(F.col("sys_fn"), F.col("sub_fn")).alias("value"),
-        ),
-    )
-    step = F.col("level") - F.col("_prev_level")
-
-    local = (
-        rows.withColumn("_block", block_of("msg_seq", chunk_rows))
-        .withColumn("_n", F.row_number().over(here))
-        .withColumn("_ticks", F.count_if(sample).over(so_far))
-        .withColumn("_prev_level", F.last("level", ignorenulls=True).over(before))
-        .withColumn("_kept", F.count("level").over(so_far))
-        .withColumn("_reading", F.last(reading, ignorenulls=True).over(so_far))
-        .withColumn("_in", F.sum(F.greatest(step, F.lit(0))).over(so_far))
-        .withColumn("_out", F.sum(F.greatest(-step, F.lit(0))).over(so_far))
-    )
 
-    level_at = F.when(F.col("level").isNotNull(), F.col("_n"))
-    summary = local.groupBy(*keys, *CHUNK).agg(
-        F.max("_n").alias("_c_rows"),
-        F.max("_ticks").alias("_c_ticks"),
-        F.max("_reading").alias("_c_reading"),
-        F.min_by("level", level_at).alias("_c_first"),
-        F.max_by("level", level_at).alias("_c_last"),
-        F.coalesce(F.max("_in"), F.lit(0)).alias("_c_in"),
-        F.coalesce(F.max("_out"), F.lit(0)).alias("_c_out"),
+    # One value column and a kind: the rows and the chunk table below then need
+    # the same columns, so Spark scans and shuffles them once for both.
+    packed = rows.select(
+        *keys,
+        *ORDER,
+        F.when(~F.col("is_report"), _SAMPLE)
+        .when(F.col("first_tx"), _FIRST_TX)
+        .otherwise(_REPEAT)
+        .alias("_kind"),
+        "sub_fn",
+        "sys_fn",
+        F.when(F.col("is_report"), F.col("report_time"))
+        .otherwise(F.col("level"))
+        .cast("bigint")
+        .alias("_value"),
+        block_of("msg_seq", chunk_rows).alias("_block"),
     )
-    past = earlier(chunks_window(keys, CHUNK))
-
-    def carried_sum(column) -> Column:
-        return F.coalesce(F.sum(column).over(past), F.lit(0))
-
-    edge = F.coalesce(F.col("_c_first") - F.col("_prior_level"), F.lit(0))
-    carried = (
-        summary.withColumn("_base_rows", carried_sum("_c_rows"))
-        .withColumn("_base_ticks", carried_sum("_c_ticks"))
-        .withColumn(
-            "_base_reading",
-            F.last(
-                F.when(
-                    F.col("_c_reading").isNotNull(),
-                    F.struct(
-                        (F.col("_base_ticks") + F.col("_c_reading.ticks")).alias("ticks"),
-                        F.col("_c_reading.value").alias("value"),
-                    ),
+    sample = F.col("_kind") == _SAMPLE
+    level = F.when(sample, F.col("_value"))
+    read = sample & is_valid_reading(F.col("sub_fn"))
+    step = level - F.col("_prev_level")
+
+    counted = packed.select(
+        "*",
+        F.row_number().over(here).alias("_n"),
+        F.count_if(sample).over(so_far).alias("_ticks"),
+        F.last(level, ignorenulls=True).over(before).alias("_prev_level"),
+        F.count(level).over(so_far).alias("_kept"),
+    )
+    local = counted.select(
+        "*",
+        F.last(
+            F.when(
+                read,
+                F.struct(
+                    F.col("_ticks").alias("ticks"),
+                    frame_index(F.col("sys_fn"), F.col("sub_fn")).alias("value"),
                 ),
-                ignorenulls=True,
-            ).over(past),
-        )
-        .withColumn(
-            "_prior_level",
-            F.coalesce(F.last("_c_last", ignorenulls=True).over(past), F.lit(0)),
-        )
-        .withColumn("_edge_in", F.greatest(edge, F.lit(0)))
-        .withColumn("_edge_out", F.greatest(-edge, F.lit(0)))
-        .withColumn("_base_in", carried_sum(F.col("_c_in") + F.col("_edge_in")))
-        .withColumn("_base_out", carried_sum(F.col("_c_out") + F.col("_edge_out")))
-        .select(
-            *keys, *CHUNK, "_base_rows", "_base_ticks", "_base_reading", "_prior_level",
-            "_edge_in", "_edge_out", "_base_in", "_base_out",
+            ),
+            ignorenulls=True,
         )
+        .over(so_far)
+        .alias("_reading"),
+        F.sum(F.greatest(step, F.lit(0))).over(so_far).alias("_in"),
+        F.sum(F.greatest(-step, F.lit(0))).over(so_far).alias("_out"),
     )
+    carried = _carried(local, keys)
 
     ticks = F.col("_base_ticks") + F.col("_ticks")
-    last_reading = F.when(
-        F.col("_reading").isNotNull(),
-        F.struct(
-            (F.col("_base_ticks") + F.col("_reading.ticks")).alias("ticks"),
-            F.col("_reading.value").alias("value"),
-        ),
-    ).otherwise(F.col("_base_reading"))
+    reading = F.coalesce(_moved(F.col("_reading"), F.col("_base_ticks")), "_base_reading")
     clock = F.pmod(
-        last_reading.getField("value") + ticks - last_reading.getField("ticks"),
-        F.lit(CLOCK_PERIOD),
+        reading.getField("value") + ticks - reading.getField("ticks"), F.lit(CLOCK_PERIOD)
     )
 
-    def counter(base: str, inside: str, edge_column: str) -> Column:
-        at_edge = F.when(F.col("_kept") > 0, F.col(edge_column)).otherwise(0)
+    def counter(base: str, inside: str, edge: str) -> Column:
+        at_edge = F.when(F.col("_kept") > 0, F.col(edge)).otherwise(0)
         return F.col(base) + F.coalesce(F.col(inside), F.lit(0)) + at_edge
 
     return local.join(carried, [*keys, *CHUNK]).select(
-        *rows.columns,
+        *keys,
+        *ORDER,
+        (~sample).alias("is_report"),
+        level.alias("level"),
+        F.when(~sample, F.col("_value").cast("int")).alias("report_time"),
+        F.when(~sample, F.col("_kind") == _FIRST_TX).alias("first_tx"),
         (F.col("_base_rows") + F.col("_n")).alias("seq"),
         F.coalesce(clock, F.lit(NO_CLOCK)).cast("int").alias("t"),
-        (F.col("level") - F.coalesce("_prev_level", "_prior_level")).alias("delta"),
+        (level - F.coalesce("_prev_level", "_prior_level")).alias("delta"),
         counter("_base_in", "_in", "_edge_in").alias("arrived"),
         counter("_base_out", "_out", "_edge_out").alias("drained"),
     )
 
 
+def _moved(reading: Column, ticks: Column) -> Column:
+    """A chunk's reading with its tick counted from the start of the trace."""
+    return F.when(
+        reading.isNotNull(),
+        F.struct(
+            (ticks + reading.getField("ticks")).alias("ticks"),
+            reading.getField("value").alias("value"),
+        ),
+    )
+
+
+def _carried(local: DataFrame, keys: list[str]) -> DataFrame:
+    """What the earlier chunks of a trace hand to each chunk."""
+    level_at = F.when((F.col("_kind") == _SAMPLE) & F.col("_value").isNotNull(), F.col("_n"))
+    summary = local.groupBy(*keys, *CHUNK).agg(
+        F.max("_n").alias("_rows"),
+        F.max("_ticks").alias("_ticks"),
+        F.max("_reading").alias("_reading"),
+        F.min_by("_value", level_at).alias("_first"),
+        F.max_by("_value", level_at).alias("_last"),
+        F.coalesce(F.max("_in"), F.lit(0)).alias("_in"),
+        F.coalesce(F.max("_out"), F.lit(0)).alias("_out"),
+    )
+    past = earlier(chunks_window(keys, CHUNK))
+
+    def total(column: Column) -> Column:
+        return F.coalesce(F.sum(column).over(past), F.lit(0))
+
+    edge = F.coalesce(F.col("_first") - F.col("_prior_level"), F.lit(0))
+    bases = summary.select(
+        "*",
+        total(F.col("_rows")).alias("_base_rows"),
+        total(F.col("_ticks")).alias("_base_ticks"),
+        F.coalesce(F.last("_last", ignorenulls=True).over(past), F.lit(0)).alias("_prior_level"),
+    ).select(
+        "*",
+        F.greatest(edge, F.lit(0)).alias("_edge_in"),
+        F.greatest(-edge, F.lit(0)).alias("_edge_out"),
+        _moved(F.col("_reading"), F.col("_base_ticks")).alias("_moved"),
+    )
+    return bases.select(
+        *keys,
+        *CHUNK,
+        "_base_rows",
+        "_base_ticks",
+        "_prior_level",
+        "_edge_in",
+        "_edge_out",
+        F.last("_moved", ignorenulls=True).over(past).alias("_base_reading"),
+        total(F.col("_in") + F.col("_edge_in")).alias("_base_in"),
+        total(F.col("_out") + F.col("_edge_out")).alias("_base_out"),
+    )
+
+
 def arrivals(seq: DataFrame, keys: Sequence[str] = ("trace_id",)) -> DataFrame:
     """Packets put into the queue, with the byte range each one covers."""
     return seq.filter(F.col("delta") > 0).select(

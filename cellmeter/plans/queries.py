@@ -12,7 +12,7 @@ from ..functions import radio
 from ..functions.radio import circular_diff, fix_report_time, frame_index
 from ..functions.timefmt import epoch_seconds, span_labels, utc_instant
 from ..operators import batches, fifo, filters, flush, histogram, latency, queues, records, topk
-from ..operators.scan import CHUNK_ROWS, block_of, running_sum
+from ..operators.scan import CHUNK_ROWS, block_of, chunks_needed, running_sum
 from ..operators.sequence import arrivals, departures, sequence
 from ..sources.messages import file_name, scan_directory, scan_files
 from ..staging import stage
@@ -290,7 +290,8 @@ def packet_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _packets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fifo.completed_packets(_staged_sequence(spark, sf_dir))
+    seq = _staged_sequence(spark, sf_dir)
+    return fifo.completed_packets(seq, chunk_rows=chunks_needed(seq, CHUNK_ROWS))
 
 
 def fifo_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,7 +299,8 @@ def fifo_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fifo_first_byte(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matched = fifo.match_drains(_staged_sequence(spark, sf_dir))
+    seq = _staged_sequence(spark, sf_dir)
+    matched = fifo.match_drains(seq, chunk_rows=chunks_needed(seq, CHUNK_ROWS))
     return matched.filter("first is not null").select(
         "trace_id",
         "seq",
@@ -311,19 +313,21 @@ def fifo_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packets(spark, sf_dir).select("trace_id", "seq", "waiting", "tx")
 
 
-def _flushed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = _staged_sequence(spark, sf_dir)
-    slots = stage(fifo.last_per_drain(fifo.completed_packets(seq)), "slots")
+    chunk_rows = chunks_needed(seq, CHUNK_ROWS)
+    packets = fifo.completed_packets(seq, chunk_rows=chunk_rows)
+    slots = stage(fifo.last_per_drain(packets), "slots")
     reports = seq.filter("is_report")
-    return flush.find_flush(slots, reports), reports
+    return flush.find_flush(slots, reports, chunk_rows=chunk_rows)
 
 
 def latency_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flushed(spark, sf_dir)[0].select("trace_id", "slot", "seq", "flush")
+    return _flushed(spark, sf_dir).select("trace_id", "slot", "seq", "flush")
 
 
 def slot_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flush.released_groups(_flushed(spark, sf_dir)[0])
+    return flush.released_groups(_flushed(spark, sf_dir))
 
 
 def retx_tag(spark: SparkSession, sf_dir: str) -> DataFrame:

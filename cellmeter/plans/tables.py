@@ -6,7 +6,7 @@ trace, a day is a file and a batch, and the event number is the message number.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import utc_instant
@@ -70,6 +70,14 @@ def downlink_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _sub_fn() -> Column:
+    return (F.col("msg_seq") % 16).cast("int")
+
+
+def _sys_fn() -> Column:
+    return (F.expr("msg_seq div 3") % 1024).cast("int")
+
+
 def uplink_from(messages: DataFrame) -> DataFrame:
     """Reports and buffer readings out of event messages, as nested messages.
 
@@ -83,11 +91,11 @@ def uplink_from(messages: DataFrame) -> DataFrame:
         "msg_seq",
         F.lit(0).alias("pos"),
         F.col("event_type").isin(REPORT_EVENTS).alias("is_report"),
-        (n % 16).cast("int").alias("sub_fn"),
-        (F.expr("msg_seq div 3") % 1024).cast("int").alias("sys_fn"),
+        _sub_fn().alias("sub_fn"),
+        _sys_fn().alias("sys_fn"),
         F.when(~F.col("event_type").isin(REPORT_EVENTS), F.col("level")).alias("level"),
-        "ts",
-        "event_type",
+        F.lit(0).alias("report_time"),
+        (F.col("event_type") == "click").alias("first_tx"),
     )
     clocked = sequence(rows)
     no_int = F.lit(None).cast("int")
@@ -95,17 +103,16 @@ def uplink_from(messages: DataFrame) -> DataFrame:
     record = F.struct(
         no_int, no_int, no_int,
         (F.col("t") + n % 3).cast("int"),
-        F.when(F.col("event_type") == "click", FIRST_TX).otherwise("Second"),
+        F.when(F.col("first_tx"), FIRST_TX).otherwise("Second"),
     )
     channel = F.struct(F.col("level"), no_long, no_long, no_long)
-    sample = F.struct("sub_fn", "sys_fn", F.array(channel))
+    sample = F.struct(_sub_fn(), _sys_fn(), F.array(channel))
     return clocked.select(
         "trace_id",
         "file_name",
         F.col("file_name").alias("batch_id"),
         "msg_seq",
         F.when(F.col("is_report"), UL_REPORT).otherwise(UL_BUFFER).alias("type_id"),
-        "ts",
         F.when(F.col("is_report"), F.array(record)).cast(RECORDS).alias("Records"),
         F.when(~F.col("is_report"), F.array(F.struct(F.array(sample))))
         .cast(SUBPACKETS)

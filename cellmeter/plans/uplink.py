@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.fifo import completed_packets, last_per_drain
 from ..operators.flush import HARQ_RTT, find_flush, released_groups, tag_retransmissions
 from ..operators.records import uplink_rows
-from ..operators.scan import CHUNK_ROWS
+from ..operators.scan import CHUNK_ROWS, chunks_needed
 from ..operators.sequence import sequence
 from ..staging import stage
 
@@ -21,7 +21,11 @@ def latency_from_sequence(
     chunk_rows: int = CHUNK_ROWS,
     harq_rtt: int = HARQ_RTT,
 ) -> DataFrame:
-    """The steps after the sequence scan; ``seq`` is read several times."""
+    """The steps after the sequence scan; ``seq`` is a stored table, read several times.
+
+    Where no trace is longer than a chunk, the steps that join chunks are left out.
+    """
+    chunk_rows = chunks_needed(seq, chunk_rows)
     reports = seq.filter("is_report")
     slots = stage(
         last_per_drain(completed_packets(seq, keys, chunk_rows), keys), "slots"
