@@ -38,11 +38,14 @@ def sequence(
     here = chunk_window(keys, CHUNK, ORDER)
     so_far, before = here.rowsBetween(FIRST, 0), here.rowsBetween(FIRST, -1)
 
-    # One value column and a kind: the rows and the chunk table below then need
-    # the same columns, so Spark scans and shuffles them once for both.
+    # One value column, a kind, and chunk columns without NULLs: the rows and the
+    # chunk table below then need exactly the same input, and Spark scans and
+    # shuffles it once for both.
     packed = rows.select(
         *keys,
-        *ORDER,
+        F.coalesce("file_name", F.lit("")).alias("file_name"),
+        "msg_seq",
+        "pos",
         F.when(~F.col("is_report"), _SAMPLE)
         .when(F.col("first_tx"), _FIRST_TX)
         .otherwise(_REPEAT)
@@ -53,7 +56,7 @@ def sequence(
         .otherwise(F.col("level"))
         .cast("bigint")
         .alias("_value"),
-        block_of("msg_seq", chunk_rows).alias("_block"),
+        F.coalesce(block_of("msg_seq", chunk_rows), F.lit(0)).alias("_block"),
     )
     sample = F.col("_kind") == _SAMPLE
     level = F.when(sample, F.col("_value"))

@@ -319,6 +319,12 @@ ORACLES: dict[str, str] = {
         "UNION ALL SELECT batch_no, 'tx', tx, waiting FROM bb "
         "UNION ALL SELECT batch_no, 'retx', retx, waiting + tx FROM bb",
     ),
+    "stream_totals": _select(
+        _uplink().replace(MESSAGES, SAMPLES),
+        f"""SELECT * FROM
+        (SELECT CAST(sum(num_rbs) AS BIGINT) AS total_rbs, {SPAN} FROM rb),
+        (SELECT {SUMS} FROM out)""",
+    ),
     "queue_match_unmatched": _select(
         f"""{MESSAGES},
 e AS (

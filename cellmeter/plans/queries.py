@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,9 @@ from ..functions.timefmt import epoch_seconds, span_labels, utc_instant
 from ..operators import batches, fifo, filters, flush, histogram, latency, queues, records, topk
 from ..operators.scan import CHUNK_ROWS, block_of, chunks_needed, running_sum
 from ..operators.sequence import arrivals, departures, sequence
-from ..sources.messages import file_name, scan_directory, scan_files
-from ..staging import stage
+from ..sources.messages import file_name, message_stream, scan_directory, scan_files
+from ..staging import stage, staging_root
+from ..streaming.runner import run_available
 from . import tables
 from .uplink import latency_from_sequence, uplink_latency
 
@@ -378,6 +380,23 @@ def queue_match_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queues.unmatched(entries, ["trace_id"])
 
 
+# --- streaming -------------------------------------------------------------------
+
+
+def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events file as a stream, through to the totals of the run."""
+    base = f"{staging_root(spark)}/stream-{uuid.uuid4().hex}"
+    schema = tables.table(spark, sf_dir, "events").schema
+    events = message_stream(spark, sf_dir, ["events.parquet"], schema=schema)
+    run_available(events, f"{base}/out", f"{base}/state", prepare=tables.radio_messages)
+    one = F.lit(1).alias("one")
+    spans = spark.read.parquet(f"{base}/out/utilization_total")
+    sums = spark.read.parquet(f"{base}/out/latency_total")
+    return spans.select("total_rbs", "min_ts", "max_ts", "minutes", one).join(
+        sums.select("*", one), "one"
+    ).drop("one")
+
+
 QUERIES: dict[str, Query] = {
     "scan_messages": scan_messages,
     "scan_file_set": scan_file_set,
@@ -428,4 +447,5 @@ QUERIES: dict[str, Query] = {
     "latency_total": latency_total,
     "latency_stack": latency_stack,
     "queue_match_unmatched": queue_match_unmatched,
+    "stream_totals": stream_totals,
 }

@@ -40,8 +40,11 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(table(spark, sf_dir, "events"))
 
 
-def downlink_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Up to five records per event; every fifth record lacks its block count."""
+def downlink_from(messages: DataFrame) -> DataFrame:
+    """Downlink messages out of event messages.
+
+    Up to five records per event; every fifth lacks its block count.
+    """
     n = F.col("msg_seq")
 
     def record(i):
@@ -58,7 +61,7 @@ def downlink_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = F.when(n % 6 > 0, F.sequence(F.lit(0).cast("bigint"), n % 6 - 1)).otherwise(
         F.array().cast("array<bigint>")
     )
-    return event_messages(spark, sf_dir).select(
+    return messages.select(
         "trace_id",
         "file_name",
         F.col("file_name").alias("batch_id"),
@@ -70,6 +73,10 @@ def downlink_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def downlink_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return downlink_from(event_messages(spark, sf_dir))
+
+
 def _sub_fn() -> Column:
     return (F.col("msg_seq") % 16).cast("int")
 
@@ -122,3 +129,11 @@ def uplink_from(messages: DataFrame) -> DataFrame:
 
 def uplink_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(uplink_from(event_messages(spark, sf_dir)), "uplink_messages")
+
+
+def radio_messages(events: DataFrame) -> DataFrame:
+    """Both kinds of messages out of a batch of events."""
+    messages = envelope(events)
+    return downlink_from(messages).unionByName(
+        stage(uplink_from(messages), "uplink_messages"), allowMissingColumns=True
+    )
