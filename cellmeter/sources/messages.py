@@ -80,10 +80,8 @@ def read_lines(spark: SparkSession, path: str, suffixes: Iterable[str] = (".txt"
     A file is one value here, so that lines keep their number; log files are
     rotated and stay far below the size limit of a value.
     """
-    files = (
-        spark.read.option("wholetext", "true")
-        .option("pathGlobFilter", "*{" + ",".join(suffixes) + "}")
-        .text(path)
+    files = spark.read.option("pathGlobFilter", "*{" + ",".join(suffixes) + "}").text(
+        path, wholetext=True
     )
     return files.select(
         file_name(), F.posexplode(F.split("value", "\r?\n")).alias("msg_seq", "line")
