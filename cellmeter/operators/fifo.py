@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.radio import circular_diff
-from .scan import CHUNK_ROWS, LAST, block_of, next_value
+from .scan import CHUNK_ROWS, FIRST, backward, block_of, next_value
 
 _START, _END, _DRAIN, _CUT = 0, 1, 2, 3
 _ARRIVING, _DRAINING = 0, 1
@@ -77,15 +77,15 @@ def _cuts(moves: DataFrame, keys: Sequence[str]) -> DataFrame:
         .groupBy(*keys, "byte")
         .agg(F.max("a").alias("a"), F.max("d").alias("d"))
     )
-    axis = Window.partitionBy(*keys).orderBy("byte")
-    onward, beyond = axis.rowsBetween(0, LAST), axis.rowsBetween(1, LAST)
+    axis = backward(keys, ["byte"])
+    onward, beyond = axis.rowsBetween(FIRST, 0), axis.rowsBetween(FIRST, -1)
     placed = cuts.select(
         *keys,
         "byte",
-        F.first("a", ignorenulls=True).over(onward).alias("a_block"),
-        F.first("d", ignorenulls=True).over(onward).alias("d_block"),
+        F.last("a", ignorenulls=True).over(onward).alias("a_block"),
+        F.last("d", ignorenulls=True).over(onward).alias("d_block"),
         # A packet may start exactly on the end of the chunk before its own.
-        F.when(F.col("a").isNotNull(), F.first("a", ignorenulls=True).over(beyond)).alias(
+        F.when(F.col("a").isNotNull(), F.last("a", ignorenulls=True).over(beyond)).alias(
             "a_next"
         ),
     )
@@ -123,13 +123,13 @@ def match_drains(
     segment = [] if chunk_rows is None else ["segment"]
     if segment:
         cuts = _cuts(moves, keys).withColumn("role", F.lit(_CUT))
-        in_chunk = Window.partitionBy(*keys, "side", "block").orderBy("byte", "role")
+        in_chunk = backward([*keys, "side", "block"], ["byte", "role"])
         cut = F.when(F.col("role") == _CUT, F.col("byte"))
         points = (
             points.unionByName(cuts, allowMissingColumns=True)
             .withColumn(
                 "segment",
-                F.first(cut, ignorenulls=True).over(in_chunk.rowsBetween(0, LAST)),
+                F.last(cut, ignorenulls=True).over(in_chunk.rowsBetween(FIRST, 0)),
             )
             .filter(F.col("role") != _CUT)
         )

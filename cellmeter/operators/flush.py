@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..staging import stage
 from .nextabove import first_above
-from .scan import CHUNK_ROWS, LAST, block_of, chunks_window, later, next_value
+from .scan import CHUNK_ROWS, FIRST, block_of, later_chunks, next_value
 
 # Wrap thresholds and the retransmission penalty in subframes.
 WRAP_SLOT = 1000
@@ -124,12 +124,12 @@ def _chunk_reach(
     chunks = reach.unionByName(
         slots.select(*keys, "block").distinct(), allowMissingColumns=True
     ).groupBy(*keys, "block").agg(F.max("low").alias("low"), F.max("high").alias("high"))
-    after = later(chunks_window(keys, ["block"]))
+    after = later_chunks(keys, ["block"])
     offer = F.when(F.col("low").isNotNull(), F.struct("block", "low", "high"))
     outlook = chunks.select(
         *keys,
         "block",
-        F.first(offer, ignorenulls=True).over(after).alias("next"),
+        F.last(offer, ignorenulls=True).over(after).alias("next"),
         F.max("low").over(after).alias("max_low"),
         F.max("high").over(after).alias("max_high"),
     )
@@ -162,11 +162,14 @@ def _route(open_slots: DataFrame, reach: DataFrame, outlook: DataFrame, keys: li
         .filter(_by_slot("low", "high") > F.col("slot"))
         .select(*keys, "slot", "block", F.col("block").alias("offer"))
     )
-    along = Window.partitionBy(*keys, "slot").orderBy("block", F.col("offer").asc_nulls_last())
-    beyond = along.rowsBetween(1, LAST)
+    # Backward, an open slot comes before the offer of its own chunk.
+    back = Window.partitionBy(*keys, "slot").orderBy(
+        F.desc("block"), F.col("offer").desc_nulls_first()
+    )
+    beyond = back.rowsBetween(FIRST, -1)
     routed = (
         far.unionByName(offers, allowMissingColumns=True)
-        .withColumn("target", F.first("offer", ignorenulls=True).over(beyond))
+        .withColumn("target", F.last("offer", ignorenulls=True).over(beyond))
         .filter(F.col("offer").isNull() & F.col("target").isNotNull())
         .select(*columns, "target")
     )

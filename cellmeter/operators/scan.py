@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-FIRST, LAST = Window.unboundedPreceding, Window.unboundedFollowing
+FIRST = Window.unboundedPreceding
 
 # Rows of a sequence that one chunk may hold.
 CHUNK_ROWS = 1 << 18
@@ -32,17 +32,24 @@ def chunk_window(keys: Sequence[str], chunk: Sequence[str], order: Sequence) ->
     return Window.partitionBy(*keys, *chunk).orderBy(*order)
 
 
-def chunks_window(keys: Sequence[str], chunk: Sequence[str]) -> WindowSpec:
-    """Window over the chunk rows of one sequence."""
-    return Window.partitionBy(*keys).orderBy(*chunk)
+def earlier_chunks(keys: Sequence[str], chunk: Sequence[str]) -> WindowSpec:
+    """The chunk rows before each one of its sequence."""
+    return Window.partitionBy(*keys).orderBy(*chunk).rowsBetween(FIRST, -1)
 
 
-def earlier(window: WindowSpec) -> WindowSpec:
-    return window.rowsBetween(FIRST, -1)
+def backward(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
+    """Window in reverse order.
+
+    "Next value" is the last one met on the way back: Spark grows such a frame
+    row by row, while it evaluates a frame that ends at the last row anew for
+    every row.
+    """
+    return Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
 
 
-def later(window: WindowSpec) -> WindowSpec:
-    return window.rowsBetween(1, LAST)
+def later_chunks(keys: Sequence[str], chunk: Sequence[str]) -> WindowSpec:
+    """The chunk rows after each one, nearest last."""
+    return backward(keys, chunk).rowsBetween(FIRST, -1)
 
 
 def chunks_needed(seq: DataFrame, chunk_rows: int) -> int | None:
@@ -69,7 +76,7 @@ def running_sum(
         *keys,
         *chunk,
         F.coalesce(
-            F.sum("_chunk_sum").over(earlier(chunks_window(keys, chunk))), F.lit(0)
+            F.sum("_chunk_sum").over(earlier_chunks(keys, chunk)), F.lit(0)
         ).alias("_before"),
     )
     return (
@@ -93,8 +100,8 @@ def next_value(
     ``rank`` is a sortable column that orders the non-NULL values of a chunk as
     ``order`` does. Without ``chunk`` columns each sequence is one chunk.
     """
-    following = chunk_window(keys, chunk, order).rowsBetween(0, LAST)
-    found = F.first(value, ignorenulls=True).over(following)
+    onward = backward([*keys, *chunk], order).rowsBetween(FIRST, 0)
+    found = F.last(value, ignorenulls=True).over(onward)
     if not chunk:
         return rows.withColumn(out, found)
     local = rows.withColumn("_local", found)
@@ -104,8 +111,8 @@ def next_value(
     after = per_chunk.select(
         *keys,
         *chunk,
-        F.first("_chunk_first", ignorenulls=True)
-        .over(later(chunks_window(keys, chunk)))
+        F.last("_chunk_first", ignorenulls=True)
+        .over(later_chunks(keys, chunk))
         .alias("_after"),
     )
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.radio import CLOCK_PERIOD, NO_CLOCK, frame_index, is_valid_reading
-from .scan import CHUNK_ROWS, FIRST, block_of, chunk_window, chunks_window, earlier
+from .scan import CHUNK_ROWS, FIRST, block_of, chunk_window, earlier_chunks
 
 ORDER = ["file_name", "msg_seq", "pos"]
 CHUNK = ["file_name", "_block"]
@@ -137,7 +137,7 @@ def _carried(local: DataFrame, keys: list[str]) -> DataFrame:
         F.coalesce(F.max("_in"), F.lit(0)).alias("_in"),
         F.coalesce(F.max("_out"), F.lit(0)).alias("_out"),
     )
-    past = earlier(chunks_window(keys, CHUNK))
+    past = earlier_chunks(keys, CHUNK)
 
     def total(column: Column) -> Column:
         return F.coalesce(F.sum(column).over(past), F.lit(0))
