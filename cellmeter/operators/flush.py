@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..staging import stage
 from .nextabove import first_above
-from .scan import CHUNK_ROWS, FIRST, block_of, later_chunks, next_value
+from .scan import CHUNK_ROWS, block_of, later_chunks, next_value
 
 # Wrap thresholds and the retransmission penalty in subframes.
 WRAP_SLOT = 1000
@@ -32,6 +32,9 @@ _ALWAYS, _NEVER = 2**31 - 1, -(2**31)
 # Rows a task searches at once; a larger chunk is searched whole.
 _PIECE_ROWS = 1 << 16
 
+# Slot values searched together when the search goes over chunks.
+_BAND = 64
+
 
 def _reach(time: Column, slot_wraps: bool) -> Column:
     """Every slot below this value is released by a report of that time."""
@@ -46,29 +49,25 @@ def _release_rows(table: pa.Table) -> pa.Table:
     Chunks are laid end to end with one entry after each that is above every
     slot, so a search never runs into the next chunk.
     """
-    column = {
-        name: table.column(name).to_numpy()
-        for name in ("seq", "is_report", "value", "starts")
-    }
-    is_report, seq, value = column["is_report"], column["seq"], column["value"]
-    place = np.arange(len(seq)) + np.cumsum(column["starts"]) - 1
-    size = len(seq) + int(column["starts"].sum())
+    seq, is_report, slot, low, high, starts = (
+        table.column(name).to_numpy()
+        for name in ("seq", "is_report", "slot", "low", "high", "starts")
+    )
+    place = np.arange(len(seq)) + np.cumsum(starts) - 1
+    size = len(seq) + int(starts.sum())
     report_seq = np.full(size, -1, dtype=np.int64)
     report_seq[place[is_report]] = seq[is_report]
-    queries = ~is_report
-    limit, start = value[queries], place[queries] + 1
+    limit, start = slot[~is_report], place[~is_report] + 1
 
     def search(reach: np.ndarray) -> np.ndarray:
         line = np.full(size, _ALWAYS, dtype=np.int32)
-        line[place] = np.where(is_report, reach, _NEVER)
+        line[place] = reach
         return first_above(line, start, limit)
 
-    found = np.where(
-        limit > WRAP_SLOT,
-        search(np.where(value < WRAP_REPORT, _ALWAYS, value)),
-        search(value),
+    found = np.where(limit > WRAP_SLOT, search(high), search(low))
+    slots = table.filter(pa.array(~is_report)).drop_columns(
+        ["is_report", "low", "high", "starts"]
     )
-    slots = table.filter(pa.array(queries)).drop_columns(["is_report", "starts"])
     return slots.append_column("flush", pa.array(report_seq[found]))
 
 
@@ -91,89 +90,86 @@ def _search_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield from _release_rows(pa.Table.from_batches(held)).to_batches()
 
 
-def _search(slots: DataFrame, reports: DataFrame, keys: list[str]) -> DataFrame:
-    """``slots`` with ``flush``: seq of the first releasing report in the chunk, or -1."""
-    slots = slots.select(
-        *keys, "block", "seq", F.col("slot").alias("value"), "origin", "waiting", "tx"
-    )
-    reports = reports.select(
-        *keys, "block", "seq", F.col("report_time").alias("value"),
-    )
-    in_chunk = Window.partitionBy(*keys, "block").orderBy("seq")
+def _search(slots: DataFrame, reports: DataFrame, chunk: list[str]) -> DataFrame:
+    """``slots`` with ``flush``: seq of the first releasing report in the chunk, or -1.
+
+    ``slots`` have ``seq, slot`` and may have more columns, ``reports`` have
+    ``seq, low, high``. Of equal ``seq``, reports do not release the slot.
+    """
+    in_chunk = Window.partitionBy(*chunk).orderBy("seq", F.desc("is_report"))
     marked = (
-        slots.withColumn("is_report", F.lit(False))
-        .unionByName(reports.withColumn("is_report", F.lit(True)), allowMissingColumns=True)
+        slots.withColumns(
+            {"is_report": F.lit(False), "low": F.lit(_NEVER), "high": F.lit(_NEVER)}
+        )
+        .unionByName(
+            reports.select(
+                *chunk, "seq", "low", "high",
+                F.lit(True).alias("is_report"), F.lit(0).alias("slot"),
+            ),
+            allowMissingColumns=True,
+        )
         .withColumn("starts", F.row_number().over(in_chunk) == 1)
     )
     schema = T.StructType([*slots.schema.fields, T.StructField("flush", T.LongType())])
-    return marked.mapInArrow(_search_chunks, schema).withColumnRenamed("value", "slot")
+    return marked.mapInArrow(_search_chunks, schema)
 
 
-def _chunk_reach(
-    slots: DataFrame, reports: DataFrame, keys: list[str]
-) -> tuple[DataFrame, DataFrame]:
-    """Per chunk: how far its reports reach, and what the chunks after it offer."""
-    time = F.col("report_time")
-    reach = (
-        reports.groupBy(*keys, "block")
-        .agg(
-            F.max(_reach(time, False)).alias("low"),
-            F.max(_reach(time, True)).alias("high"),
-        )
+def _outlook(slots: DataFrame, reach: DataFrame, keys: list[str]) -> DataFrame:
+    """Per chunk: the next chunk with reports, and how far all later ones reach."""
+    chunks = (
+        reach.unionByName(slots.select(*keys, "block").distinct(), allowMissingColumns=True)
+        .groupBy(*keys, "block")
+        .agg(F.max("low").alias("low"), F.max("high").alias("high"))
     )
-    chunks = reach.unionByName(
-        slots.select(*keys, "block").distinct(), allowMissingColumns=True
-    ).groupBy(*keys, "block").agg(F.max("low").alias("low"), F.max("high").alias("high"))
     after = later_chunks(keys, ["block"])
     offer = F.when(F.col("low").isNotNull(), F.struct("block", "low", "high"))
-    outlook = chunks.select(
+    return chunks.select(
         *keys,
         "block",
         F.last(offer, ignorenulls=True).over(after).alias("next"),
         F.max("low").over(after).alias("max_low"),
         F.max("high").over(after).alias("max_high"),
     )
-    return reach, outlook
 
 
 def _by_slot(low: str, high: str) -> Column:
     return F.when(F.col("slot") > WRAP_SLOT, F.col(high)).otherwise(F.col(low))
 
 
-def _route(open_slots: DataFrame, reach: DataFrame, outlook: DataFrame, keys: list[str]):
-    """Send each open slot to the first later chunk that releases it.
+def _route(
+    open_slots: DataFrame, reach: DataFrame, outlook: DataFrame, keys: list[str]
+) -> DataFrame:
+    """``open_slots`` with ``target``, the first later chunk that releases each.
 
     Slots that no later chunk reaches are dropped; nothing ever releases them.
+    Where the next chunk with reports does not do it, the search runs over the
+    chunks of the trace, one band of slot values at a time.
     """
     ahead = (
         open_slots.join(outlook, [*keys, "block"])
         .filter(_by_slot("max_low", "max_high") > F.col("slot"))
         .withColumn("near", _by_slot("next.low", "next.high") > F.col("slot"))
     )
-    columns = [*keys, "seq", "slot", "waiting", "tx"]
+    columns = open_slots.columns
     near = ahead.filter("near").select(*columns, F.col("next.block").alias("target"))
-    far = ahead.filter("not near").select(*columns, "block")
-
-    # Open slots of the same value are released together, so chunk reaches are
-    # laid beside the distinct values only, and each value is its own group.
-    values = far.select(*keys, "slot").distinct()
-    offers = (
-        values.join(reach, keys)
-        .filter(_by_slot("low", "high") > F.col("slot"))
-        .select(*keys, "slot", "block", F.col("block").alias("offer"))
+    far = ahead.filter("not near").select(*columns)
+
+    band = [*keys, "band"]
+    wanted = (
+        far.select(*keys, "block", "slot")
+        .distinct()
+        .select(
+            *keys, F.floor(F.col("slot") / _BAND).alias("band"),
+            F.col("block").alias("seq"), "slot",
+        )
     )
-    # Backward, an open slot comes before the offer of its own chunk.
-    back = Window.partitionBy(*keys, "slot").orderBy(
-        F.desc("block"), F.col("offer").desc_nulls_first()
+    offers = wanted.select(*band).distinct().join(
+        reach.withColumnRenamed("block", "seq"), keys
     )
-    beyond = back.rowsBetween(FIRST, -1)
-    routed = (
-        far.unionByName(offers, allowMissingColumns=True)
-        .withColumn("target", F.last("offer", ignorenulls=True).over(beyond))
-        .filter(F.col("offer").isNull() & F.col("target").isNotNull())
-        .select(*columns, "target")
+    targets = _search(wanted, offers, band).select(
+        *keys, F.col("seq").alias("block"), "slot", F.col("flush").alias("target")
     )
-    return near.unionByName(routed)
+    return near.unionByName(far.join(targets, [*keys, "block", "slot"]))
 
 
 def find_flush(
@@ -187,31 +183,31 @@ def find_flush(
     With ``chunk_rows=None`` each trace is one chunk.
     """
     keys = list(keys)
+    chunk = [*keys, "block"]
     slots = slots.select(
         *keys, "seq", "slot", "waiting", "tx",
         block_of("seq", chunk_rows).alias("block"),
         F.col("seq").alias("origin"),
     )
     reports = reports.select(
-        *keys, "seq", "report_time", block_of("seq", chunk_rows).alias("block")
+        *keys, "seq", block_of("seq", chunk_rows).alias("block"),
+        _reach(F.col("report_time"), False).alias("low"),
+        _reach(F.col("report_time"), True).alias("high"),
     )
     columns = [*keys, F.col("origin").alias("seq"), "slot", "waiting", "tx", "flush"]
-    local = _search(slots, reports, keys)
+    local = _search(slots, reports, chunk)
     if chunk_rows is None:
         return local.filter(F.col("flush") >= 0).select(*columns)
+
     local = stage(local, "searched")
-    reach, outlook = _chunk_reach(slots, reports, keys)
-    routed = _route(local.filter(F.col("flush") < 0), reach, outlook, keys).select(
-        *keys,
-        F.col("target").alias("block"),
-        F.lit(-1).cast("bigint").alias("seq"),
-        "slot",
-        F.col("seq").alias("origin"),
-        "waiting",
-        "tx",
-    )
-    chosen = routed.select(*keys, "block").distinct()
-    distant = _search(routed, reports.join(chosen, [*keys, "block"], "left_semi"), keys)
+    reach = reports.groupBy(*chunk).agg(F.max("low").alias("low"), F.max("high").alias("high"))
+    open_slots = local.filter(F.col("flush") < 0).drop("flush")
+    routed = stage(_route(open_slots, reach, _outlook(slots, reach, keys), keys), "routed")
+    moved = routed.withColumns(
+        {"block": F.col("target"), "seq": F.lit(-1).cast("bigint")}
+    ).drop("target")
+    chosen = moved.select(*chunk).distinct()
+    distant = _search(moved, reports.join(chosen, chunk, "left_semi"), chunk)
     return (
         local.filter(F.col("flush") >= 0)
         .select(*columns)
