@@ -44,7 +44,7 @@ def _elements(moves: DataFrame, keys: Sequence[str]) -> DataFrame:
     return moves.select(
         *keys,
         "block",
-        F.struct("seq", "t", F.col("delta").alias("size")).alias("move"),
+        F.struct("seq", "t", "delta", "arrived", "drained", "first").alias("move"),
         F.explode(F.when(F.col("delta") > 0, packet).otherwise(drain)).alias("point"),
     ).select(*keys, "block", "move", "point.*")
 
@@ -106,19 +106,23 @@ def match_drains(
     seq: DataFrame,
     keys: Sequence[str] = ("trace_id",),
     chunk_rows: int | None = CHUNK_ROWS,
+    open_packets: DataFrame | None = None,
 ) -> DataFrame:
     """First drain at or after each packet's start and end byte.
 
-    One row per packet that some drain reaches: ``seq, t_in, size, first, done``;
-    the last two are ``struct<seq, t>`` of a drain, ``done`` NULL where no drain
-    gets that far. With
-    ``chunk_rows=None`` the byte axis of a trace is not cut.
+    One row per packet: ``seq, t, delta, arrived, drained`` of its arrival, and
+    ``first, done``, each ``struct<seq, t>`` of a drain, NULL where no drain gets
+    that far. With ``chunk_rows=None`` the byte axis of a trace is not cut.
+    ``open_packets`` are rows of an earlier result without ``done``.
     """
     keys = list(keys)
-    moves = seq.filter(F.col("delta") != 0).select(
-        *keys, "seq", "t", "delta", "arrived", "drained",
-        block_of("seq", chunk_rows).alias("block"),
-    )
+    columns = [*keys, "seq", "t", "delta", "arrived", "drained", "first"]
+    moves = seq.filter(F.col("delta") != 0).withColumn(
+        "first", F.lit(None).cast("struct<seq:bigint,t:int>")
+    ).select(*columns)
+    if open_packets is not None:
+        moves = moves.unionByName(open_packets.select(*columns))
+    moves = moves.withColumn("block", block_of("seq", chunk_rows))
     points = _elements(moves, keys)
     segment = [] if chunk_rows is None else ["segment"]
     if segment:
@@ -140,15 +144,17 @@ def match_drains(
     ).filter(F.col("role") != _DRAIN)
 
     def hit(role: int) -> Column:
-        return F.max(F.when(F.col("role") == role, F.struct("hit.seq", "hit.t")))
-
-    return matched.filter(F.col("hit").isNotNull()).groupBy(
-        *keys, F.col("move.seq").alias("seq")
-    ).agg(
-        F.first("move.t").alias("t_in"),
-        F.first("move.size").alias("size"),
-        hit(_START).alias("first"),
-        hit(_END).alias("done"),
+        met = (F.col("role") == role) & F.col("hit").isNotNull()
+        return F.max(F.when(met, F.struct("hit.seq", "hit.t")))
+
+    return (
+        matched.groupBy(*keys, "move")
+        .agg(hit(_START).alias("start"), hit(_END).alias("done"))
+        .select(
+            *keys, "move.seq", "move.t", "move.delta", "move.arrived", "move.drained",
+            F.coalesce("move.first", "start").alias("first"),
+            "done",
+        )
     )
 
 
@@ -161,20 +167,21 @@ def completed_packets(
 
     ``tx`` counts from the arrival, so it contains ``waiting``.
     """
-    return (
-        match_drains(seq, keys, chunk_rows)
-        .filter(F.col("done").isNotNull())
-        .select(
-            *keys,
-            "seq",
-            "size",
-            "t_in",
-            F.col("first.t").alias("t_first"),
-            F.col("done.t").alias("t_done"),
-            F.col("done.seq").alias("done_seq"),
-            circular_diff(F.col("t_in"), F.col("first.t")).alias("waiting"),
-            circular_diff(F.col("t_in"), F.col("done.t")).alias("tx"),
-        )
+    return with_latency(match_drains(seq, keys, chunk_rows), keys)
+
+
+def with_latency(matched: DataFrame, keys: Sequence[str] = ("trace_id",)) -> DataFrame:
+    """The packets of ``match_drains`` that are done, with their latencies."""
+    return matched.filter(F.col("done").isNotNull()).select(
+        *keys,
+        "seq",
+        F.col("delta").alias("size"),
+        F.col("t").alias("t_in"),
+        F.col("first.t").alias("t_first"),
+        F.col("done.t").alias("t_done"),
+        F.col("done.seq").alias("done_seq"),
+        circular_diff(F.col("t"), F.col("first.t")).alias("waiting"),
+        circular_diff(F.col("t"), F.col("done.t")).alias("tx"),
     )
 
 

@@ -13,11 +13,17 @@ from .scan import CHUNK_ROWS, FIRST, block_of, chunk_window, earlier_chunks
 ORDER = ["file_name", "msg_seq", "pos"]
 CHUNK = ["file_name", "_block"]
 
+# Columns of a trace's state after its last row.
+STATE = ["seq", "t", "level", "arrived", "drained"]
+
 _SAMPLE, _FIRST_TX, _REPEAT = 0, 1, 2
 
 
 def sequence(
-    rows: DataFrame, keys: Sequence[str] = ("trace_id",), chunk_rows: int = CHUNK_ROWS
+    rows: DataFrame,
+    keys: Sequence[str] = ("trace_id",),
+    chunk_rows: int = CHUNK_ROWS,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Replay-ordered uplink rows with everything that is a running quantity.
 
@@ -32,7 +38,8 @@ def sequence(
       (level 0 at the start); NULL where no level was read;
     * ``arrived``, ``drained``: bytes put in and taken out so far.
 
-    A chunk is ``chunk_rows`` consecutive message numbers of one file.
+    A chunk is ``chunk_rows`` consecutive message numbers of one file. ``start``
+    is the ``end_state`` of earlier rows of the same traces, if there are any.
     """
     keys = list(keys)
     here = chunk_window(keys, CHUNK, ORDER)
@@ -87,7 +94,7 @@ def sequence(
         F.sum(F.greatest(step, F.lit(0))).over(so_far).alias("_in"),
         F.sum(F.greatest(-step, F.lit(0))).over(so_far).alias("_out"),
     )
-    carried = _carried(local, keys)
+    carried = _carried(local, keys, start)
 
     ticks = F.col("_base_ticks") + F.col("_ticks")
     reading = F.coalesce(_moved(F.col("_reading"), F.col("_base_ticks")), "_base_reading")
@@ -125,8 +132,9 @@ def _moved(reading: Column, ticks: Column) -> Column:
     )
 
 
-def _carried(local: DataFrame, keys: list[str]) -> DataFrame:
-    """What the earlier chunks of a trace hand to each chunk."""
+def _carried(local: DataFrame, keys: list[str], start: DataFrame | None) -> DataFrame:
+    """What the start state and the earlier chunks of a trace hand to each chunk."""
+    no_long = F.lit(None).cast("bigint")
     level_at = F.when((F.col("_kind") == _SAMPLE) & F.col("_value").isNotNull(), F.col("_n"))
     summary = local.groupBy(*keys, *CHUNK).agg(
         F.max("_n").alias("_rows"),
@@ -137,17 +145,32 @@ def _carried(local: DataFrame, keys: list[str]) -> DataFrame:
         F.coalesce(F.max("_in"), F.lit(0)).alias("_in"),
         F.coalesce(F.max("_out"), F.lit(0)).alias("_out"),
     )
+    if start is None:
+        summary = summary.withColumns(
+            {"_s_seq": no_long, "_s_t": F.lit(NO_CLOCK), "_s_level": no_long,
+             "_s_arrived": no_long, "_s_drained": no_long}
+        )
+    else:
+        state = start.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in STATE])
+        summary = summary.join(state, keys, "left")
     past = earlier_chunks(keys, CHUNK)
 
-    def total(column: Column) -> Column:
-        return F.coalesce(F.sum(column).over(past), F.lit(0))
+    def total(column: Column, initial: str | None = None) -> Column:
+        before = F.coalesce(F.sum(column).over(past), F.lit(0))
+        return before + F.coalesce(F.col(initial), F.lit(0)) if initial else before
 
+    clock = F.when(
+        F.col("_s_t") != NO_CLOCK,
+        F.struct(F.lit(0).cast("bigint").alias("ticks"), F.col("_s_t").alias("value")),
+    )
     edge = F.coalesce(F.col("_first") - F.col("_prior_level"), F.lit(0))
     bases = summary.select(
         "*",
-        total(F.col("_rows")).alias("_base_rows"),
+        total(F.col("_rows"), "_s_seq").alias("_base_rows"),
         total(F.col("_ticks")).alias("_base_ticks"),
-        F.coalesce(F.last("_last", ignorenulls=True).over(past), F.lit(0)).alias("_prior_level"),
+        F.coalesce(
+            F.last("_last", ignorenulls=True).over(past), F.col("_s_level"), F.lit(0)
+        ).alias("_prior_level"),
     ).select(
         "*",
         F.greatest(edge, F.lit(0)).alias("_edge_in"),
@@ -162,9 +185,26 @@ def _carried(local: DataFrame, keys: list[str]) -> DataFrame:
         "_prior_level",
         "_edge_in",
         "_edge_out",
-        F.last("_moved", ignorenulls=True).over(past).alias("_base_reading"),
-        total(F.col("_in") + F.col("_edge_in")).alias("_base_in"),
-        total(F.col("_out") + F.col("_edge_out")).alias("_base_out"),
+        F.coalesce(F.last("_moved", ignorenulls=True).over(past), clock).alias("_base_reading"),
+        total(F.col("_in") + F.col("_edge_in"), "_s_arrived").alias("_base_in"),
+        total(F.col("_out") + F.col("_edge_out"), "_s_drained").alias("_base_out"),
+    )
+
+
+def end_state(
+    seq: DataFrame, keys: Sequence[str] = ("trace_id",), start: DataFrame | None = None
+) -> DataFrame:
+    """State of every trace after ``seq``; traces without new rows keep theirs."""
+    rows = seq.select(*keys, *STATE)
+    if start is not None:
+        rows = rows.unionByName(start)
+    level_at = F.when(F.col("level").isNotNull(), F.col("seq"))
+    return rows.groupBy(*keys).agg(
+        F.max_by("t", "seq").alias("t"),
+        F.max_by("level", level_at).alias("level"),
+        F.max("arrived").alias("arrived"),
+        F.max("drained").alias("drained"),
+        F.max("seq").alias("seq"),
     )
 
 

@@ -10,7 +10,7 @@ import pytest
 from cellmeter.operators.fifo import completed_packets, last_per_drain
 from cellmeter.operators.nextabove import first_above
 from cellmeter.operators.sequence import sequence
-from cellmeter.plans.uplink import latency_from_sequence, uplink_latency
+from cellmeter.plans.uplink import latency_from_sequence, uplink_carried, uplink_latency
 from cellmeter.staging import stage
 from cellmeter.schemas import MESSAGES, UL_BUFFER, UL_REPORT
 
@@ -99,6 +99,23 @@ def test_random_traces(spark, traces, expected, file_rows, chunk_rows):
     assert len(want) > 300 and sum(p[4] for p in want) > 0
 
 
+@pytest.mark.parametrize("chunk_rows", [1 << 18, 5])
+def test_carried_state_gives_what_one_run_gives(spark, traces, expected, chunk_rows):
+    rows = stage(frame(spark, traces, 9), "rows")
+    files = sorted(r.file_name for r in rows.select("file_name").distinct().collect())
+    state, got = None, []
+    for part in (files[:1], files[1:4], files[4:]):
+        result, after = uplink_carried(
+            rows.filter(rows.file_name.isin(part)), state, chunk_rows=chunk_rows
+        )
+        got += [tuple(r) for r in result.collect()]
+        state = {name: stage(table, f"state-{name}") for name, table in after.items()}
+    want = [(name, *p) for name, tr in expected.items() for p in tr.released]
+    assert sorted(got) == sorted(want)
+    still_queued = sum(len(tr.queue) for tr in expected.values())
+    assert state["packets"].count() == still_queued
+
+
 def run(spark, traces, **kw):
     rows = [r for name, steps in traces.items() for r in rows_of(name, steps)]
     return stage(sequence(spark.createDataFrame(rows, ROW_SCHEMA), **kw), "test")
