@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dicttext import parse_dict_text
 from ..schemas import MESSAGES, TEXT_LINE
+from ..staging import path_exists
 
 
 def file_name() -> Column:
@@ -16,11 +17,6 @@ def file_name() -> Column:
     return F.col("_metadata.file_name").alias("file_name")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def scan_directory(
     spark: SparkSession,
     path: str,
@@ -32,7 +28,7 @@ def scan_directory(
 
     A path that is neither gives an empty table.
     """
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return (
         spark.read.format(fmt)

@@ -7,10 +7,16 @@ lineage, survives the loss of executors and lets each reader prune columns.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_open_paths: ContextVar[list[str] | None] = ContextVar("open_paths", default=None)
+
+
 def staging_root(spark: SparkSession) -> str:
     """This application's folder under ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -23,12 +29,44 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the staging folder and read it back."""
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    opened = _open_paths.get()
+    if opened is not None:
+        opened.append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside the block when it ends.
+
+    Everything that reads them has to be written by then.
+    """
+    paths: list[str] = []
+    token = _open_paths.set(paths)
+    try:
+        yield
+    finally:
+        _open_paths.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete this application's staged tables, once their results are written."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, staging_root(spark))

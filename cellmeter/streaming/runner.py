@@ -18,21 +18,70 @@ from ..operators.batches import number_batches, utilization
 from ..operators.filters import subscribe
 from ..operators.histogram import auto_histogram
 from ..operators.latency import PARTS, latency_running, latency_stack, latency_sums
-from ..operators.records import rb_samples
+from ..operators.records import rb_samples, uplink_rows
 from ..operators.scan import CHUNK_ROWS
-from ..plans.uplink import uplink_latency
+from ..plans.uplink import uplink_carried, uplink_latency
 from ..schemas import REQUIRED_TYPES
 from ..sources.sinks import write_batch, write_table
+from ..staging import delete_path, path_exists, temporary_stages
+
+STATE_DIR = "_state"
+STATE_TABLES = ["traces", "packets", "slots", "repeats"]
 
 Prepare = Callable[[DataFrame], DataFrame]
 
 
+def _carried_packets(uplink: DataFrame, batch_id: int, out: str, chunk_rows: int) -> DataFrame:
+    """Packets of a batch that goes on from the state the batch before it left.
+
+    The state tables of a batch are kept until the next one is written, so that a
+    batch can be run again.
+    """
+    spark = uplink.sparkSession
+    root = f"{out}/{STATE_DIR}"
+    before = None
+    if path_exists(spark, f"{root}/traces"):
+        earlier = spark.read.parquet(f"{root}/traces").filter(F.col("batch_id") < batch_id)
+        before = earlier.agg(F.max("batch_id")).first()[0]
+    state = None
+    if before is not None:
+        state = {
+            name: spark.read.parquet(f"{root}/{name}/batch_id={before}") for name in STATE_TABLES
+        }
+    packets, after = uplink_carried(uplink_rows(uplink, "trace_id"), state, chunk_rows=chunk_rows)
+    for name, table in after.items():
+        write_batch(table, root, name, batch_id)
+    return packets
+
+
+def forget_states(spark: SparkSession, out: str, batch_id: int) -> None:
+    """Drop the states of batches more than one before ``batch_id``."""
+    root = f"{out}/{STATE_DIR}"
+    kept = (
+        spark.read.parquet(f"{root}/traces")
+        .filter(F.col("batch_id") < batch_id)
+        .select("batch_id")
+        .distinct()
+        .orderBy(F.desc("batch_id"))
+        .limit(3)
+        .collect()
+    )
+    for row in kept[1:]:
+        for name in STATE_TABLES:
+            delete_path(spark, f"{root}/{name}/batch_id={row.batch_id}")
+
+
 def process_batch(
-    messages: DataFrame, batch_id: int, out: str, chunk_rows: int = CHUNK_ROWS
+    messages: DataFrame,
+    batch_id: int,
+    out: str,
+    scope: str = "batch",
+    chunk_rows: int = CHUNK_ROWS,
 ) -> None:
     """Write one batch's samples, histogram, packets and summary.
 
-    Uplink state starts anew in each batch and spans the files of the batch.
+    With scope ``batch`` uplink state starts anew in each batch and spans its
+    files; with scope ``trace`` a batch goes on where the one before ended.
     Both analyses read the batch themselves, each only its types and columns.
     """
     if messages.isEmpty():
@@ -48,8 +97,13 @@ def process_batch(
     write_batch(auto_histogram(samples, "num_rbs"), out, "rb_histogram_by_batch", batch_id)
 
     uplink = messages.filter(F.col("type_id").isin(REQUIRED_TYPES["uplink_latency"]))
-    packets = uplink_latency(uplink, chunk_rows=chunk_rows)
+    if scope == "trace":
+        packets = _carried_packets(uplink, batch_id, out, chunk_rows)
+    else:
+        packets = uplink_latency(uplink, chunk_rows=chunk_rows)
     write_batch(packets, out, "uplink_latency", batch_id)
+    if scope == "trace":
+        forget_states(spark, out, batch_id)
 
     # A one-row summary: sums are 0 and spans NULL where a batch has no rows.
     sums = latency_sums(written("uplink_latency"))
@@ -64,11 +118,14 @@ def process_batch(
     write_batch(summary, out, "batches", batch_id)
 
 
-def _each(prepare: Prepare | None, out: str, chunk_rows: int):
+def _writer(
+    stream: DataFrame, out: str, checkpoint: str, prepare: Prepare | None, **settings
+):
     def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(prepare(batch) if prepare else batch, batch_id, out, chunk_rows)
+        with temporary_stages(batch.sparkSession):
+            process_batch(prepare(batch) if prepare else batch, batch_id, out, **settings)
 
-    return handle
+    return stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
 
 
 def start_live(
@@ -77,15 +134,14 @@ def start_live(
     checkpoint: str,
     prepare: Prepare | None = None,
     interval: str = "1 second",
-    chunk_rows: int = CHUNK_ROWS,
+    **settings,
 ) -> StreamingQuery:
-    """Poll for new files until the caller stops the returned query."""
-    return (
-        stream.writeStream.foreachBatch(_each(prepare, out, chunk_rows))
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=interval)
-        .start()
-    )
+    """Poll for new files until the caller stops the returned query.
+
+    ``settings`` go to ``process_batch``.
+    """
+    writer = _writer(stream, out, checkpoint, prepare, **settings)
+    return writer.trigger(processingTime=interval).start()
 
 
 def run_available(
@@ -94,16 +150,11 @@ def run_available(
     checkpoint: str,
     prepare: Prepare | None = None,
     require_dl: bool = False,
-    chunk_rows: int = CHUNK_ROWS,
+    **settings,
 ) -> None:
     """Process every file not used yet, then write the totals."""
-    query = (
-        stream.writeStream.foreachBatch(_each(prepare, out, chunk_rows))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    writer = _writer(stream, out, checkpoint, prepare, **settings)
+    writer.trigger(availableNow=True).start().awaitTermination()
     write_totals(stream.sparkSession, out, require_dl)
 
 
@@ -136,5 +187,4 @@ def write_totals(spark: SparkSession, out: str, require_dl: bool = False) -> Non
 
 def clear_output(spark: SparkSession, out: str) -> None:
     """Empty the output folder before a new run."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(out)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    delete_path(spark, out)

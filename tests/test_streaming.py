@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from cellmeter.operators.records import rb_samples
 from cellmeter.plans.uplink import uplink_latency
 from cellmeter.schemas import DL_STAT, MESSAGES, UL_BUFFER, UL_REPORT
 from cellmeter.sources.messages import message_stream
+from cellmeter.staging import staging_root
 from cellmeter.streaming.runner import clear_output, run_available, write_totals
 
 TS = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -78,3 +80,23 @@ def test_stream_equals_batch(spark, tmp_path):
 
     clear_output(spark, out)
     assert not (tmp_path / "out").exists()
+
+
+def test_trace_scope_keeps_packets_open_over_batches(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    everything = [r for n in (1, 3, 4) for r in file_rows(n)]
+    staged = Path(staging_root(spark))
+    before = set(staged.iterdir()) if staged.exists() else set()
+    # The packet that is left in the queue of file 3 drains in file 4.
+    for n in (1, 3, 4):
+        spark.createDataFrame(file_rows(n), MESSAGES).coalesce(1).write.mode("append").json(inbox)
+        stream = message_stream(spark, inbox, [".json"], "json", max_files=1)
+        run_available(stream, out, state, scope="trace")
+
+    columns = ["trace_id", "slot", "waiting", "tx", "retx"]
+    assert set(staged.iterdir()) == before  # every batch removed its staged tables
+    got = spark.read.parquet(f"{out}/uplink_latency").select(*columns).collect()
+    want = uplink_latency(spark.createDataFrame(everything, MESSAGES)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) == 5
+    kept = {p.name for p in (tmp_path / "out" / "_state" / "traces").iterdir()}
+    assert kept == {"batch_id=1", "batch_id=2"}
