@@ -11,14 +11,16 @@ from ..schemas import FIRST_TX, UL_BUFFER, UL_REPORT
 
 
 def rb_samples(messages: DataFrame, *keep: str) -> DataFrame:
-    """One row per downlink record that carries a resource-block count."""
-    records = messages.select(
+    """One row per downlink record that carries a resource-block count.
+
+    The count is taken out of the records before they are exploded, so a Parquet
+    scan reads no other field of them.
+    """
+    counts = F.col("Records").getField("Num RBs")
+    return messages.select(
         *keep,
         epoch_seconds(F.col("ts")).alias("ts"),
-        F.explode("Records").alias("record"),
-    )
-    return records.select(
-        *keep, "ts", F.col("record").getField("Num RBs").alias("num_rbs")
+        F.explode(counts).alias("num_rbs"),
     ).filter(F.col("num_rbs").isNotNull())
 
 
@@ -112,14 +114,17 @@ def uplink_rows(messages: DataFrame, *keep: str) -> DataFrame:
         )
     )
     reports = F.transform(
-        "Records",
+        F.arrays_zip(
+            F.col("Records").getField("Current SFN SF").alias("time"),
+            F.col("Records").getField("Re-tx Index").alias("index"),
+        ),
         lambda r: F.struct(
             F.lit(True).alias("is_report"),
             F.lit(None).cast("int").alias("sub_fn"),
             F.lit(None).cast("int").alias("sys_fn"),
             F.lit(None).cast("bigint").alias("level"),
-            fix_report_time(r.getField("Current SFN SF")).alias("report_time"),
-            (r.getField("Re-tx Index") == FIRST_TX).alias("first_tx"),
+            fix_report_time(r.getField("time")).alias("report_time"),
+            (r.getField("index") == FIRST_TX).alias("first_tx"),
         ),
     )
     items = F.when(F.col("type_id") == UL_BUFFER, samples).otherwise(reports)

@@ -6,10 +6,12 @@ lineage, survives the loss of executors and lets each reader prune columns.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,10 +21,19 @@ _open_paths: ContextVar[list[str] | None] = ContextVar("open_paths", default=Non
 
 def staging_root(spark: SparkSession) -> str:
     """This application's folder under ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root and context.master.startswith("local"):
+        root = _local_root()
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{root.rstrip('/')}/cellmeter-{spark.sparkContext.applicationId}"
+    return f"{root.rstrip('/')}/cellmeter-{context.applicationId}"
+
+
+@cache
+def _local_root() -> str:
+    """Folder for a session that runs in this one process and names none."""
+    return tempfile.mkdtemp(prefix="cellmeter-")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

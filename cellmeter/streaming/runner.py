@@ -114,7 +114,13 @@ def process_batch(
         F.floor(F.max("ts")).alias("max_ts"),
     )
     one = F.lit(1).alias("one")
-    summary = spans.select("*", one).join(sums.select("*", one), "one").drop("one")
+    counts = downlink.agg(F.count("*").alias("n_messages"))
+    summary = (
+        counts.select("*", one)
+        .join(spans.select("*", one), "one")
+        .join(sums.select("*", one), "one")
+        .drop("one")
+    )
     write_batch(summary, out, "batches", batch_id)
 
 
