@@ -352,9 +352,8 @@ def tx_block_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latency_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State starts anew in each batch, as it does for a stream's batches."""
-    messages = tables.uplink_messages(spark, sf_dir)
-    packets = uplink_latency(messages, BATCH_SCOPE)
-    days = messages.select("batch_id").distinct()
+    packets = uplink_latency(tables.uplink_messages(spark, sf_dir), BATCH_SCOPE)
+    days = _days(spark, sf_dir).withColumnRenamed("file_name", "batch_id")
     return latency.latency_by_batch(packets, batches.number_batches(days, "batch_id"))
 
 

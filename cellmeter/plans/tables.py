@@ -128,7 +128,7 @@ def uplink_from(messages: DataFrame) -> DataFrame:
 
 
 def uplink_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(uplink_from(event_messages(spark, sf_dir)), "uplink_messages")
+    return uplink_from(event_messages(spark, sf_dir))
 
 
 def radio_messages(events: DataFrame) -> DataFrame:
