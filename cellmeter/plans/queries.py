@@ -157,7 +157,8 @@ def rb_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _buffer_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.buffer_samples(tables.uplink_messages(spark, sf_dir), "trace_id", "msg_seq")
+    messages = tables.uplink_from(tables.event_messages(spark, sf_dir))
+    return records.buffer_samples(messages, "trace_id", "msg_seq")
 
 
 def explode_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,7 +347,8 @@ def latency_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tx_block_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = records.report_records(tables.uplink_messages(spark, sf_dir))
+    messages = tables.uplink_from(tables.event_messages(spark, sf_dir))
+    reports = records.report_records(messages)
     return latency.block_counts(reports)
 
 

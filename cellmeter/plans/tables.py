@@ -128,7 +128,8 @@ def uplink_from(messages: DataFrame) -> DataFrame:
 
 
 def uplink_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return uplink_from(event_messages(spark, sf_dir))
+    """Uplink messages as a stored table, as the jobs would find them."""
+    return stage(uplink_from(event_messages(spark, sf_dir)), "uplink_messages")
 
 
 def radio_messages(events: DataFrame) -> DataFrame:
