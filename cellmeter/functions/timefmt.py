@@ -22,8 +22,7 @@ def utc_instant(ts_ntz: str) -> Column:
 
 def utc_text(seconds: Column) -> Column:
     """Whole epoch seconds as ``YYYY-MM-DD HH:MM:SS`` in UTC."""
-    moment = F.timestamp_add("SECOND", seconds, F.expr(_NTZ_EPOCH))
-    return F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
+    return F.timestamp_add("SECOND", seconds, F.expr(_NTZ_EPOCH)).cast("string")
 
 
 def minutes_between(min_ts: Column, max_ts: Column) -> Column:

@@ -83,7 +83,7 @@ def message_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = (
         tables.table(spark, sf_dir, "events")
-        .groupBy(F.date_format("ts", "yyyy-MM-dd HH").alias("batch_id"))
+        .groupBy(F.substring(F.col("ts").cast("string"), 1, 13).alias("batch_id"))
         .agg((F.count_if(F.col("event_type") == "error") > 0).alias("has_data"))
     )
     return batches.number_batches(hours, "batch_id", "has_data").select("batch_id", "batch_no")
