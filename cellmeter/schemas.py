@@ -8,7 +8,6 @@ UL_REPORT = "LTE_PHY_PUSCH_Tx_Report"
 UL_BUFFER = "LTE_MAC_UL_Buffer_Status_Internal"
 CUSTOM = "Custom_Packet"
 FIRST_TX = "First"
-LOG_SUFFIXES = (".mi2log", ".qmdl")
 
 # Types each analysis subscribes to.
 REQUIRED_TYPES = {
