@@ -13,8 +13,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
-from cellmeter.plans.oracles import ORACLES  # noqa: E402
-from cellmeter.plans.queries import QUERIES  # noqa: E402
+import __spark_entry__  # noqa: E402
+
+QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 
 
 def connect(sf_dir):
@@ -58,7 +59,7 @@ def main():
     from cellmeter.session import local_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(QUERIES)
+    names = sys.argv[2:] or list(ORACLES)
     spark = local_session(
         8, **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp")}
     )
