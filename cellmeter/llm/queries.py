@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, mixing, quality, token_counts
+from . import encoding, html_text, jaccard_join, mixing, quality, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mixed_rows(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -28,6 +32,17 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_join.jaccard_join(_table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "class_id", "n_links", "n_shingles")
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encoding_digests(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -42,8 +57,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_main_text": op1_main_text,
     "op2_mix_sources": op2_mix_sources,
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
+    "op5_jaccard_join": op5_jaccard_join,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_quality_rules": op10_quality_rules,
 }
