@@ -260,15 +260,17 @@ def _heads(links: np.ndarray) -> np.ndarray:
 
 
 def similar_items(
+    found: DataFrame,
     items: DataFrame,
     docs: DataFrame,
     similarity: float = SIMILARITY,
-    depth: int = DEPTH,
-    bucket_items: int = BUCKET_ITEMS,
     block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
-    """``item, links, head`` per bucket that gives an item links: documents it is linked to."""
-    found = stage(leaves(items, docs, depth, bucket_items), "leaves")
+    """``item, links, head`` per bucket that gives an item links: documents it is linked to.
+
+    ``found`` has ``bucket, item, n``, stored; ``items`` has ``item, size, copies,
+    holder``, the last a document (id and text key) of ``docs``.
+    """
     numbers = found.groupBy("item").agg(F.collect_set("bucket").alias("numbers"))
     known = numbers.join(items.select("item", "size", "copies", "holder"), "item")
     rows = _blocks(found, block_items).join(known, "item")
@@ -349,9 +351,8 @@ def jaccard_join(
         ),
         "items",
     )
-    similar = stage(
-        similar_items(items, docs, similarity, depth, bucket_items, block_items), "similar"
-    )
+    found = stage(leaves(items, docs, depth, bucket_items), "leaves")
+    similar = stage(similar_items(found, items, docs, similarity, block_items), "similar")
     links = similar.groupBy("item").agg(F.sum("links").alias("links"))
     roots = components(similar.select(F.col("item").alias("a"), F.col("head").alias("b")))
     # A head has rows of its own, so it is a node as well.

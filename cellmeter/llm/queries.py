@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, html_text, jaccard_join, mixing, quality, token_counts, toxicity
+from . import (
+    encoding,
+    html_text,
+    jaccard_join,
+    mixing,
+    quality,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +52,10 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "class_id", "n_links", "n_shingles")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encoding_digests(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -62,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_quality_rules": op10_quality_rules,
 }
