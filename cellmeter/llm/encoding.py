@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 
 from .bpe import word_end_tokenizer
 
-_DIGESTS = pa.struct(
-    [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
+_ENCODED = pa.struct(
+    [
+        ("ids", pa.list_(pa.int32())),
+        ("n_tokens", pa.int64()),
+        ("ids_sha256", pa.string()),
+        ("decoded_sha256", pa.string()),
+    ]
 )
 
 
@@ -45,32 +50,40 @@ def id_bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def encoding_digests(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
+def encoded(
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = True,
 ) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row.
+    """``doc_id, ids, n_tokens, ids_sha256, decoded_sha256`` of every row.
 
-    Encodes each whole text, decodes the ids again, and keeps the digests of
+    Encodes each whole text, decodes the ids again, and gives the digests of
     both. NULL texts count as empty, a NULL id stays NULL, repeated rows stay
-    repeated; other columns are not read.
+    repeated; other columns are not read. Without ``with_ids`` the ids stay in
+    the task.
     """
 
-    @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>")
-    def digests(texts: pa.Array) -> pa.Array:
+    @F.arrow_udf(
+        "struct<ids: array<int>, n_tokens: bigint, ids_sha256: string, decoded_sha256: string>"
+    )
+    def round_trip(texts: pa.Array) -> pa.Array:
         tokenizer = word_end_tokenizer(path)
         out = []
         for x in texts:
             ids = tokenizer.encode(x.as_py())
             out.append(
                 {
+                    "ids": ids if with_ids else None,
                     "n_tokens": len(ids),
                     "ids_sha256": hashlib.sha256(id_bytes(ids)).hexdigest(),
                     "decoded_sha256": hashlib.sha256(tokenizer.decode(ids).encode()).hexdigest(),
                 }
             )
-        return pa.array(out, _DIGESTS)
+        return pa.array(out, _ENCODED)
 
     found = docs.select(
-        F.col(id_col).alias("doc_id"), digests(F.col(text_col).cast("binary")).alias("found")
-    )
-    return found.select("doc_id", "found.*")
+        F.col(id_col).alias("doc_id"), round_trip(F.col(text_col).cast("binary")).alias("found")
+    ).select("doc_id", "found.*")
+    return found if with_ids else found.drop("ids")

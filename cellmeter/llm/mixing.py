@@ -164,6 +164,53 @@ def thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     )
 
 
+def _source_key(source: Column) -> Column:
+    """A prefix keeps NULL apart from a source that is called like its stand-in."""
+    return F.coalesce(F.concat(F.lit("s:"), source), F.lit(_NO_SOURCE))
+
+
+def _plan(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    source_col: str,
+    weights: Sequence[int],
+    total_share: float,
+    most_passes: int,
+    seed: str,
+) -> tuple[DataFrame, DataFrame]:
+    """Narrow rows of the documents, and targets and thresholds per source; both stored."""
+    rows = stage(
+        docs.select(
+            F.col(id_col).alias("doc_id"),
+            F.col(source_col).alias("source"),
+            word_count(F.col(text_col)).alias("size"),
+            document_hash(F.col(id_col), F.col(text_col), seed).alias("_hash"),
+            _source_key(F.col(source_col)).alias("_key"),
+        ),
+        "mix_rows",
+    )
+    sizes = rows.groupBy("_key").agg(
+        F.first("source").alias("source"), F.sum("size").alias("source_size")
+    )
+    targets = source_targets(sizes.drop("_key"), weights, total_share, most_passes)
+    targets = stage(
+        targets.select(_source_key(F.col("source")).alias("_key"), "source_size", "target"),
+        "mix_targets",
+    )
+    edges = thresholds(rows.select("_key", "_hash", "size"), targets)
+    # A table on disk has a known size: Spark broadcasts it if it is small and
+    # else shuffles, splitting the partitions of a hot source.
+    return rows, stage(targets.join(edges, "_key"), "mix_thresholds")
+
+
+def _copies(hash_: Column, most_passes: int) -> Column:
+    own = F.substring(hash_, F.lit(1), F.length("_prefix"))
+    once_more = (own < F.col("_prefix")) | ((own == F.col("_prefix")) & F.col("_with_last"))
+    copies = F.col("_passes") + F.when(once_more, 1).otherwise(0)
+    return F.least(copies, F.lit(most_passes)).cast("bigint")
+
+
 def mixed_rows(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -181,46 +228,44 @@ def mixed_rows(
     is an id, a NULL text has no words, a NULL source is a source. No rows in, no
     rows out. Other columns of ``docs`` are not read.
     """
-    narrow = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size"),
-        document_hash(F.col(id_col), F.col(text_col), seed).alias("_hash"),
-    )
-    rows = stage(
-        narrow.select(
-            "*",
-            # A prefix keeps NULL apart from a source that is called like its stand-in.
-            F.coalesce(F.concat(F.lit("s:"), F.col("source")), F.lit(_NO_SOURCE)).alias("_key"),
-        ),
-        "mix_rows",
+    rows, sources = _plan(
+        docs, id_col, text_col, source_col, weights, total_share, most_passes, seed
     )
-    sizes = rows.groupBy("_key").agg(
-        F.first("source").alias("source"), F.sum("size").alias("source_size")
-    )
-    targets = stage(
-        source_targets(sizes.drop("_key"), weights, total_share, most_passes).withColumn(
-            "_key",
-            F.coalesce(F.concat(F.lit("s:"), F.col("source")), F.lit(_NO_SOURCE)),
-        ),
-        "mix_targets",
-    )
-    edges = thresholds(rows.select("_key", "_hash", "size"), targets)
-    per_source = stage(
-        targets.drop("source").join(edges, "_key"), "mix_thresholds"
+    return (
+        rows.join(sources, "_key")
+        .withColumn("copies", _copies(F.col("_hash"), most_passes))
+        .select(
+            "doc_id",
+            "source",
+            "size",
+            "source_size",
+            "target",
+            "copies",
+            (F.col("size") * F.col("copies")).alias("taken"),
+        )
     )
-    # A table on disk has a known size: Spark broadcasts it if it is small and
-    # else shuffles, splitting the partitions of a hot source.
-    depth = F.length("_prefix")
-    own = F.substring(F.col("_hash"), F.lit(1), depth)
-    once_more = (own < F.col("_prefix")) | ((own == F.col("_prefix")) & F.col("_with_last"))
-    copies = (F.col("_passes") + F.when(once_more, 1).otherwise(0)).cast("bigint")
-    return rows.join(per_source, "_key").select(
-        "doc_id",
-        "source",
-        "size",
-        "source_size",
-        "target",
-        F.least(copies, F.lit(most_passes)).alias("copies"),
-        (F.col("size") * F.least(copies, F.lit(most_passes))).alias("taken"),
+
+
+def mixed_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: Sequence[int] = WEIGHTS,
+    total_share: float = TOTAL_SHARE,
+    most_passes: int = MOST_PASSES,
+    seed: str = SEED,
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with all its columns."""
+    _, sources = _plan(docs, id_col, text_col, source_col, weights, total_share, most_passes, seed)
+    key, copies = "_mix_key", "_mix_copies"
+    wanted = sources.select(F.col("_key").alias(key), "_passes", "_prefix", "_with_last")
+    hash_ = document_hash(docs[id_col], docs[text_col], seed)
+    return (
+        docs.withColumn(key, _source_key(F.col(source_col)))
+        .join(wanted, key)
+        .withColumn(copies, _copies(hash_, most_passes))
+        .filter(F.col(copies) > 0)
+        .withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+        .select(*[docs[c] for c in docs.columns])
     )

@@ -57,8 +57,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encoding.encoding_digests(
-        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    return encoding.encoded(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        with_ids=False,
     )
 
 
