@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 
 from . import (
     encoding,
+    hilbert_ann,
     html_text,
     jaccard_join,
     mixing,
     quality,
     substring_dedup,
     token_counts,
+    token_shards,
     toxicity,
 )
 
@@ -56,6 +58,20 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.materialised(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_ann.nearest(
+        _table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0
+    )
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encoded(
         _table(spark, sf_dir, "documents"),
@@ -78,6 +94,8 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_token_shards": op7_token_shards,
+    "op8_nearest_vectors": op8_nearest_vectors,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_quality_rules": op10_quality_rules,
 }
