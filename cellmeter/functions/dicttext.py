@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 CORRUPT = "_corrupt"
 
+# A quoted string of either kind with its escapes, or what lies between two.
+_PIECE = (
+    r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++|['"]"""
+)
 
-def json_words(line: Column) -> Column:
-    """Spell the bare words True, False and None as JSON does.
 
-    The line is cut at single quotes, so every second piece is the inside of
-    a string and stays as it is. A line that also holds double-quoted strings
-    gets the replacement everywhere.
-    """
+def json_words(line: Column) -> Column:
+    """Spell the bare words True, False and None as JSON does; strings stay as they are."""
 
     def spell(text: Column) -> Column:
         text = F.regexp_replace(text, r"\bTrue\b", "true")
@@ -22,10 +22,10 @@ def json_words(line: Column) -> Column:
         return F.regexp_replace(text, r"\bNone\b", "null")
 
     pieces = F.transform(
-        F.split(line, "'"),
-        lambda piece, i: F.when(i % 2 == 0, spell(piece)).otherwise(piece),
+        F.regexp_extract_all(line, F.lit(_PIECE), F.lit(0)),
+        lambda piece: F.when(piece.rlike("^['\"]"), piece).otherwise(spell(piece)),
     )
-    return F.when(line.contains('"'), spell(line)).otherwise(F.array_join(pieces, "'"))
+    return F.array_join(pieces, "")
 
 
 def parse_dict_text(line: Column, schema: str) -> Column:

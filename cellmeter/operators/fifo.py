@@ -105,15 +105,14 @@ def _cuts(moves: DataFrame, keys: Sequence[str]) -> DataFrame:
 def match_drains(
     seq: DataFrame,
     keys: Sequence[str] = ("trace_id",),
-    chunk_rows: int | None = CHUNK_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
     open_packets: DataFrame | None = None,
 ) -> DataFrame:
     """First drain at or after each packet's start and end byte.
 
     One row per packet: ``seq, t, delta, arrived, drained`` of its arrival, and
     ``first, done``, each ``struct<seq, t>`` of a drain, NULL where no drain gets
-    that far. With ``chunk_rows=None`` the byte axis of a trace is not cut.
-    ``open_packets`` are rows of an earlier result without ``done``.
+    that far. ``open_packets`` are rows of an earlier result without ``done``.
     """
     keys = list(keys)
     columns = [*keys, "seq", "t", "delta", "arrived", "drained", "first"]
@@ -124,23 +123,21 @@ def match_drains(
         moves = moves.unionByName(open_packets.select(*columns))
     moves = moves.withColumn("block", block_of("seq", chunk_rows))
     points = _elements(moves, keys)
-    segment = [] if chunk_rows is None else ["segment"]
-    if segment:
-        cuts = _cuts(moves, keys).withColumn("role", F.lit(_CUT))
-        in_chunk = backward([*keys, "side", "block"], ["byte", "role"])
-        cut = F.when(F.col("role") == _CUT, F.col("byte"))
-        points = (
-            points.unionByName(cuts, allowMissingColumns=True)
-            .withColumn(
-                "segment",
-                F.last(cut, ignorenulls=True).over(in_chunk.rowsBetween(FIRST, 0)),
-            )
-            .filter(F.col("role") != _CUT)
+    cuts = _cuts(moves, keys).withColumn("role", F.lit(_CUT))
+    in_chunk = backward([*keys, "side", "block"], ["byte", "role"])
+    cut = F.when(F.col("role") == _CUT, F.col("byte"))
+    points = (
+        points.unionByName(cuts, allowMissingColumns=True)
+        .withColumn(
+            "segment",
+            F.last(cut, ignorenulls=True).over(in_chunk.rowsBetween(FIRST, 0)),
         )
+        .filter(F.col("role") != _CUT)
+    )
     drain = F.when(F.col("role") == _DRAIN, F.col("move"))
     matched = next_value(
-        points.select(*keys, *segment, "byte", "role", "move"),
-        keys, segment, ["byte", "role"], drain, "hit", F.col("byte"),
+        points.select(*keys, "segment", "byte", "role", "move"),
+        keys, ["segment"], ["byte", "role"], drain, "hit", F.col("byte"),
     ).filter(F.col("role") != _DRAIN)
 
     def hit(role: int) -> Column:
@@ -161,7 +158,7 @@ def match_drains(
 def completed_packets(
     seq: DataFrame,
     keys: Sequence[str] = ("trace_id",),
-    chunk_rows: int | None = CHUNK_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Packets fully sent, with waiting and transmit latency.
 

@@ -176,12 +176,9 @@ def find_flush(
     slots: DataFrame,
     reports: DataFrame,
     keys: Sequence[str] = ("trace_id",),
-    chunk_rows: int | None = CHUNK_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Released slots with ``flush``, the seq of the report that releases them.
-
-    With ``chunk_rows=None`` each trace is one chunk.
-    """
+    """Released slots with ``flush``, the seq of the report that releases them."""
     keys = list(keys)
     chunk = [*keys, "block"]
     slots = slots.select(
@@ -189,17 +186,14 @@ def find_flush(
         block_of("seq", chunk_rows).alias("block"),
         F.col("seq").alias("origin"),
     )
-    reports = reports.select(
+    # A report without a time releases nothing.
+    reports = reports.filter(F.col("report_time").isNotNull()).select(
         *keys, "seq", block_of("seq", chunk_rows).alias("block"),
         _reach(F.col("report_time"), False).alias("low"),
         _reach(F.col("report_time"), True).alias("high"),
     )
     columns = [*keys, F.col("origin").alias("seq"), "slot", "waiting", "tx", "flush"]
-    local = _search(slots, reports, chunk)
-    if chunk_rows is None:
-        return local.filter(F.col("flush") >= 0).select(*columns)
-
-    local = stage(local, "searched")
+    local = stage(_search(slots, reports, chunk), "searched")
     reach = reports.groupBy(*chunk).agg(F.max("low").alias("low"), F.max("high").alias("high"))
     open_slots = local.filter(F.col("flush") < 0).drop("flush")
     routed = stage(_route(open_slots, reach, _outlook(slots, reach, keys), keys), "routed")
@@ -228,7 +222,7 @@ def tag_retransmissions(
     groups: DataFrame,
     reports: DataFrame,
     keys: Sequence[str] = ("trace_id",),
-    chunk_rows: int | None = CHUNK_ROWS,
+    chunk_rows: int = CHUNK_ROWS,
     harq_rtt: int = HARQ_RTT,
 ) -> DataFrame:
     """``groups`` with ``retx``: the penalty where a repeat was reported for the slot.
@@ -244,10 +238,9 @@ def tag_retransmissions(
     timeline = marks.unionByName(repeats, allowMissingColumns=True).withColumn(
         "block", block_of("seq", chunk_rows)
     )
-    chunk = [] if chunk_rows is None else ["block"]
     tagged = (
         next_value(
-            timeline, slot_keys, chunk, ["seq"], F.col("release"), "flush", F.col("seq")
+            timeline, slot_keys, ["block"], ["seq"], F.col("release"), "flush", F.col("seq")
         )
         .filter(F.col("release").isNull() & F.col("flush").isNotNull())
         .select(*slot_keys, "flush", F.lit(harq_rtt).alias("retx"))

@@ -28,6 +28,11 @@ def auto_histogram(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataF
         .groupBy(*by, F.col(value).cast("double").alias("x"))
         .agg(F.count("*").alias("c"))
     )
+    # The grouping columns, or one value that the optimizer doesn't know to be one, so
+    # that the joins below have a key. The joined tables hold distinct values and bins.
+    keys = by or ["_all"]
+    if not by:
+        counts = counts.withColumn("_all", F.signum(F.abs(x) + 1.0))
     n, spread = F.col("total"), F.col("max") - F.col("min")
     iqr = F.col("quartiles")[1] - F.col("quartiles")[0]
     fd = 2.0 * iqr * F.pow(n, F.lit(-1.0 / 3.0))
@@ -39,7 +44,7 @@ def auto_histogram(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataF
         width = F.greatest(width, F.lit(1.0))
     flat = spread == 0
     layout = (
-        counts.groupBy(*by)
+        counts.groupBy(*keys)
         .agg(
             F.sum("c").alias("total"),
             F.min("x").alias("min"),
@@ -48,7 +53,7 @@ def auto_histogram(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataF
         )
         .filter(n > 0)
         .select(
-            *by,
+            *keys,
             "total",
             F.when(flat, F.col("min") - 0.5).otherwise(F.col("min")).alias("first"),
             F.when(flat, F.col("max") + 0.5).otherwise(F.col("max")).alias("last"),
@@ -62,12 +67,6 @@ def auto_histogram(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataF
             F.col("first") + i * F.col("step")
         )
 
-    # The grouping columns, or a constant when there is one histogram; either
-    # way the joined tables hold distinct values and bins, not rows.
-    keys = by or ["_all"]
-    if not by:
-        counts = counts.withColumn("_all", F.lit(0))
-        layout = layout.withColumn("_all", F.lit(0))
     guess = F.least(
         F.floor((x - F.col("first")) / (F.col("last") - F.col("first")) * F.col("bins")),
         F.col("bins") - 1,

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .scan import block_of, running_sum
+
 PARTS = ["waiting", "tx", "retx"]
 
+# Batches that are summed up together.
+BATCH_BLOCK = 4_096
+
 
 def latency_sums(packets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Sum of each latency part; zeros where there are no packets."""
@@ -27,12 +32,10 @@ def latency_by_batch(packets: DataFrame, numbered: DataFrame) -> DataFrame:
 
 def latency_running(by_batch: DataFrame) -> DataFrame:
     """Totals so far after each batch; input has one row per batch."""
-    so_far = Window.partitionBy().orderBy("batch_no").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
-    return by_batch.select(
-        "batch_no", *[F.sum(p).over(so_far).alias(f"{p}_total") for p in PARTS]
-    )
+    rows = by_batch.withColumn("_block", block_of("batch_no", BATCH_BLOCK))
+    for part in PARTS:
+        rows = running_sum(rows, [], ["_block"], ["batch_no"], F.col(part), f"{part}_total")
+    return rows.select("batch_no", *[f"{part}_total" for part in PARTS])
 
 
 def latency_stack(by_batch: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def report_records(messages: DataFrame, *keep: str) -> DataFrame:
         *keep,
         "record_pos",
         fix_report_time(F.col("record").getField("Current SFN SF")).alias("report_time"),
-        (F.col("record").getField("Re-tx Index") == FIRST_TX).alias("first_tx"),
+        F.col("record").getField("Re-tx Index").eqNullSafe(FIRST_TX).alias("first_tx"),
     )
 
 
@@ -124,7 +124,7 @@ def uplink_rows(messages: DataFrame, *keep: str) -> DataFrame:
             F.lit(None).cast("int").alias("sys_fn"),
             F.lit(None).cast("bigint").alias("level"),
             fix_report_time(r.getField("time")).alias("report_time"),
-            (r.getField("index") == FIRST_TX).alias("first_tx"),
+            r.getField("index").eqNullSafe(FIRST_TX).alias("first_tx"),
         ),
     )
     items = F.when(F.col("type_id") == UL_BUFFER, samples).otherwise(reports)

@@ -20,10 +20,8 @@ FIRST = Window.unboundedPreceding
 CHUNK_ROWS = 1 << 18
 
 
-def block_of(position: str, chunk_rows: int | None) -> Column:
-    """Chunk number of an integer position; 0 without a chunk size."""
-    if chunk_rows is None:
-        return F.lit(0).cast("bigint")
+def block_of(position: str, chunk_rows: int) -> Column:
+    """Chunk number of an integer position."""
     return F.expr(f"`{position}` div {int(chunk_rows)}L")
 
 
@@ -52,12 +50,6 @@ def later_chunks(keys: Sequence[str], chunk: Sequence[str]) -> WindowSpec:
     return backward(keys, chunk).rowsBetween(FIRST, -1)
 
 
-def chunks_needed(seq: DataFrame, chunk_rows: int) -> int | None:
-    """``chunk_rows``, or None when no sequence of a stored table is longer than that."""
-    longest = seq.agg(F.max("seq")).first()[0]
-    return chunk_rows if longest is not None and longest >= chunk_rows else None
-
-
 def running_sum(
     rows: DataFrame,
     keys: Sequence[str],
@@ -98,13 +90,10 @@ def next_value(
     """First non-NULL ``value`` at or after each row of a sequence.
 
     ``rank`` is a sortable column that orders the non-NULL values of a chunk as
-    ``order`` does. Without ``chunk`` columns each sequence is one chunk.
+    ``order`` does.
     """
     onward = backward([*keys, *chunk], order).rowsBetween(FIRST, 0)
-    found = F.last(value, ignorenulls=True).over(onward)
-    if not chunk:
-        return rows.withColumn(out, found)
-    local = rows.withColumn("_local", found)
+    local = rows.withColumn("_local", F.last(value, ignorenulls=True).over(onward))
     per_chunk = rows.groupBy(*keys, *chunk).agg(
         F.min_by(value, F.when(value.isNotNull(), rank)).alias("_chunk_first")
     )

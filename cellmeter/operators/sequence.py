@@ -67,7 +67,8 @@ def sequence(
     )
     sample = F.col("_kind") == _SAMPLE
     level = F.when(sample, F.col("_value"))
-    read = sample & is_valid_reading(F.col("sub_fn"))
+    # A reading without a frame number doesn't set the clock.
+    read = sample & is_valid_reading(F.col("sub_fn")) & F.col("sys_fn").isNotNull()
     step = level - F.col("_prev_level")
 
     counted = packed.select(

@@ -182,7 +182,8 @@ ORACLES: dict[str, str] = {
     "scan_messages": """SELECT CAST(user_id AS VARCHAR) AS trace_id, 'events.parquet' AS file_name,
         event_id AS msg_seq, event_type AS type_id, epoch_us(ts) / 1e6 AS ts FROM events""",
     "scan_file_set": " UNION ALL ".join(
-        f"SELECT '{t}.parquet' AS file_name, count(*) AS n_messages FROM {t}" for t in TABLE_FILES
+        f"SELECT '{t}.parquet' AS file_name, count(*) AS n_messages, count(#1) AS n_keys FROM {t}"
+        for t in TABLE_FILES
     ),
     "ordered_messages": _select(
         MESSAGES,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +15,12 @@ from ..functions import radio
 from ..functions.radio import circular_diff, fix_report_time, frame_index
 from ..functions.timefmt import epoch_seconds, span_labels, utc_instant
 from ..operators import batches, fifo, filters, flush, histogram, latency, queues, records, topk
-from ..operators.scan import CHUNK_ROWS, block_of, chunks_needed, running_sum
+from ..operators import scan
+from ..operators.scan import block_of, running_sum
 from ..operators.sequence import arrivals, departures, sequence
 from ..sources.messages import file_name, message_stream, scan_directory, scan_files
 from ..staging import stage, staging_root
-from ..streaming.runner import run_available
+from ..streaming.runner import one_row, run_available
 from . import tables
 from .uplink import latency_from_sequence, uplink_latency
 
@@ -29,6 +32,10 @@ TABLE_FILES = [
 ]
 EVENT_FILE = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
 
+# Small chunks, so that the traces of small tables cross several; the benchmark
+# sets the operators' own size.
+CHUNK_ROWS = int(os.environ.get("CELLMETER_CHUNK_ROWS", "16"))
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -47,15 +54,23 @@ def scan_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scan_file_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = [f"{t}.parquet" for t in TABLE_FILES]
-    found = scan_files(spark, sf_dir, names, schema="event_id bigint")
-    return batches.message_counts(found.select(file_name()), "file_name")
+    """Rows of each named file, and how many have its first field."""
+    counts = []
+    for name in (f"{t}.parquet" for t in TABLE_FILES):
+        key = tables.table(spark, sf_dir, name.removesuffix(".parquet")).schema[0]
+        found = scan_files(spark, sf_dir, [name], schema=f"`{key.name}` {key.dataType.simpleString()}")
+        counts.append(
+            found.agg(F.count("*").alias("n_messages"), F.count(key.name).alias("n_keys")).select(
+                F.lit(name).alias("file_name"), "n_messages", "n_keys"
+            )
+        )
+    return reduce(DataFrame.unionByName, counts)
 
 
 def ordered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = tables.event_messages(spark, sf_dir).select("file_name", "msg_seq", "type_id")
     numbered = running_sum(
-        messages.withColumn("block", block_of("msg_seq", CHUNK_ROWS)),
+        messages.withColumn("block", block_of("msg_seq", scan.CHUNK_ROWS)),
         [], ["file_name", "block"], ["msg_seq"], F.lit(1), "position",
     )
     return numbered.drop("block").orderBy("file_name", "msg_seq")
@@ -268,7 +283,8 @@ def topk_with_other(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequence(records.uplink_rows(tables.uplink_messages(spark, sf_dir), "trace_id"))
+    rows = records.uplink_rows(tables.uplink_messages(spark, sf_dir), "trace_id")
+    return sequence(rows, chunk_rows=CHUNK_ROWS)
 
 
 def _staged_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,7 +310,7 @@ def packet_departures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = _staged_sequence(spark, sf_dir)
-    return fifo.completed_packets(seq, chunk_rows=chunks_needed(seq, CHUNK_ROWS))
+    return fifo.completed_packets(seq, chunk_rows=CHUNK_ROWS)
 
 
 def fifo_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,7 +319,7 @@ def fifo_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fifo_first_byte(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = _staged_sequence(spark, sf_dir)
-    matched = fifo.match_drains(seq, chunk_rows=chunks_needed(seq, CHUNK_ROWS))
+    matched = fifo.match_drains(seq, chunk_rows=CHUNK_ROWS)
     return matched.filter("first is not null").select(
         "trace_id",
         "seq",
@@ -318,11 +334,10 @@ def fifo_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = _staged_sequence(spark, sf_dir)
-    chunk_rows = chunks_needed(seq, CHUNK_ROWS)
-    packets = fifo.completed_packets(seq, chunk_rows=chunk_rows)
+    packets = fifo.completed_packets(seq, chunk_rows=CHUNK_ROWS)
     slots = stage(fifo.last_per_drain(packets), "slots")
     reports = seq.filter("is_report")
-    return flush.find_flush(slots, reports, chunk_rows=chunk_rows)
+    return flush.find_flush(slots, reports, chunk_rows=CHUNK_ROWS)
 
 
 def latency_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,11 +350,11 @@ def slot_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retx_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = _staged_sequence(spark, sf_dir)
-    return latency_from_sequence(seq).select("trace_id", "slot", "flush", "retx")
+    return latency_from_sequence(seq, chunk_rows=CHUNK_ROWS).select("trace_id", "slot", "flush", "retx")
 
 
 def uplink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return uplink_latency(tables.uplink_messages(spark, sf_dir))
+    return uplink_latency(tables.uplink_messages(spark, sf_dir), chunk_rows=CHUNK_ROWS)
 
 
 def latency_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,7 +369,7 @@ def tx_block_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latency_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State starts anew in each batch, as it does for a stream's batches."""
-    packets = uplink_latency(tables.uplink_messages(spark, sf_dir), BATCH_SCOPE)
+    packets = uplink_latency(tables.uplink_messages(spark, sf_dir), BATCH_SCOPE, CHUNK_ROWS)
     days = _days(spark, sf_dir).withColumnRenamed("file_name", "batch_id")
     return latency.latency_by_batch(packets, batches.number_batches(days, "batch_id"))
 
@@ -390,12 +405,9 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = tables.table(spark, sf_dir, "events").schema
     events = message_stream(spark, sf_dir, ["events.parquet"], schema=schema)
     run_available(events, f"{base}/out", f"{base}/state", prepare=tables.radio_messages)
-    one = F.lit(1).alias("one")
     spans = spark.read.parquet(f"{base}/out/utilization_total")
     sums = spark.read.parquet(f"{base}/out/latency_total")
-    return spans.select("total_rbs", "min_ts", "max_ts", "minutes", one).join(
-        sums.select("*", one), "one"
-    ).drop("one")
+    return one_row(spans.select("total_rbs", "min_ts", "max_ts", "minutes"), sums)
 
 
 QUERIES: dict[str, Query] = {

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.fifo import completed_packets, last_per_drain, match_drains, with_latency
 from ..operators.flush import HARQ_RTT, find_flush, released_groups, tag_retransmissions
 from ..operators.records import uplink_rows
-from ..operators.scan import CHUNK_ROWS, chunks_needed
+from ..operators.scan import CHUNK_ROWS
 from ..operators.sequence import end_state, sequence
 from ..staging import stage
 
@@ -21,11 +21,7 @@ def latency_from_sequence(
     chunk_rows: int = CHUNK_ROWS,
     harq_rtt: int = HARQ_RTT,
 ) -> DataFrame:
-    """The steps after the sequence scan; ``seq`` is a stored table, read several times.
-
-    Where no trace is longer than a chunk, the steps that join chunks are left out.
-    """
-    chunk_rows = chunks_needed(seq, chunk_rows)
+    """The steps after the sequence scan; ``seq`` is a stored table, read several times."""
     reports = seq.filter("is_report")
     slots = stage(
         last_per_drain(completed_packets(seq, keys, chunk_rows), keys), "slots"
@@ -76,8 +72,6 @@ def uplink_carried(
     state = state or {}
     seq = stage(sequence(rows, keys, chunk_rows, state.get("traces")), "sequence")
     # Row numbers go on from the rows before, so chunks are cut as in one run.
-    chunk_rows = chunks_needed(seq, chunk_rows)
-
     matched = stage(match_drains(seq, keys, chunk_rows, state.get("packets")), "matched")
     slots = last_per_drain(with_latency(matched, keys), keys)
     if "slots" in state:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +18,28 @@ SETTINGS = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, once per application.
+
+    Python functions of the operators are pickled by name, so executors import
+    them; where nothing else installs the package there, this does.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        archive = shutil.make_archive(
+            os.path.join(tempfile.mkdtemp(prefix="cellmeter-ship-"), "cellmeter_package"),
+            "zip",
+            os.path.dirname(package),
+            os.path.basename(package),
+        )
+        spark.sparkContext.addPyFile(archive)  # Spark's own file server hands it out
+        _shipped.add(application)
+
+
 def get_session(app_name: str = "cellmeter", **overrides: str) -> SparkSession:
     """A session with UTC time and adaptive execution.
 
@@ -25,7 +49,9 @@ def get_session(app_name: str = "cellmeter", **overrides: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SETTINGS, **overrides}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
 
 
 def local_session(cores: int | str = 8, **overrides: str) -> SparkSession:

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dicttext import parse_dict_text
+from ..functions.dicttext import CORRUPT, parse_dict_text
 from ..schemas import MESSAGES, TEXT_LINE
 from ..staging import path_exists
 
@@ -24,19 +24,25 @@ def scan_directory(
     fmt: str = "parquet",
     schema: str = MESSAGES,
 ) -> DataFrame:
-    """One file, or a directory's direct children with one of the suffixes.
+    """One table, or a directory's direct children with one of the suffixes.
 
-    A path that is neither gives an empty table.
+    A child may be a file or a folder of part files, as large tables are. A path
+    that isn't there and a directory without such a child give an empty table.
     """
-    if not path_exists(spark, path):
+    suffixes = list(suffixes)
+    found = path if _is_named(path, suffixes) else _children(path, suffixes)
+    if not path_exists(spark, found):
         return spark.createDataFrame([], schema)
-    return (
-        spark.read.format(fmt)
-        .schema(schema)
-        .option("pathGlobFilter", "*{" + ",".join(suffixes) + "}")
-        .option("recursiveFileLookup", "false")
-        .load(path)
-    )
+    return spark.read.format(fmt).schema(schema).load(found)
+
+
+def _is_named(path: str, suffixes: list[str]) -> bool:
+    return any(path.rstrip("/").endswith(s) for s in suffixes)
+
+
+def _children(path: str, suffixes: list[str]) -> str:
+    """Pattern of the direct children with one of the suffixes, files or folders."""
+    return f"{path.rstrip('/')}/*{{{','.join(suffixes)}}}"
 
 
 def scan_files(
@@ -59,15 +65,14 @@ def message_stream(
     schema: str = MESSAGES,
     max_files: int | None = None,
 ) -> DataFrame:
-    """New files of a directory as a stream; the checkpoint remembers the used ones."""
-    reader = (
-        spark.readStream.format(fmt)
-        .schema(schema)
-        .option("pathGlobFilter", "*{" + ",".join(suffixes) + "}")
-    )
+    """New files of a directory as a stream; the checkpoint remembers the used ones.
+
+    The files of a child that is a folder are files of the stream.
+    """
+    reader = spark.readStream.format(fmt).schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    return reader.load(_children(path, list(suffixes)))
 
 
 def read_lines(spark: SparkSession, path: str, suffixes: Iterable[str] = (".txt",)) -> DataFrame:
@@ -84,6 +89,24 @@ def read_lines(spark: SparkSession, path: str, suffixes: Iterable[str] = (".txt"
     ).filter(F.col("line") != "").withColumn("msg_seq", F.col("msg_seq").cast("bigint"))
 
 
+def line_messages(lines: DataFrame, trace: Column | None = None) -> DataFrame:
+    """Dict-text lines to ``MESSAGES``, batch or stream; lines that don't parse are left out.
+
+    ``trace`` names the trace of a line, by default the file it is in.
+    """
+    parsed = parse_lines(lines).filter(F.col(CORRUPT).isNull())
+    micros = F.round(F.col("timestamp") * 1e6).cast("bigint")
+    return parsed.select(
+        (F.col("file_name") if trace is None else trace).alias("trace_id"),
+        "file_name",
+        "msg_seq",
+        "type_id",
+        F.timestamp_micros(micros).alias("ts"),
+        "Records",
+        "Subpackets",
+    )
+
+
 def parse_lines(lines: DataFrame, schema: str = TEXT_LINE) -> DataFrame:
     """Dict-text lines to columns; ``_corrupt`` holds a line that did not parse."""
     others = [c for c in lines.columns if c != "line"]

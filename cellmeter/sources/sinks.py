@@ -7,12 +7,21 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timefmt import epoch_seconds
 from ..operators.filters import subscribe
 
 
 def write_lines(messages: DataFrame, path: str) -> None:
-    """One JSON object per message and line."""
-    messages.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(path)
+    """One JSON object per message and line; ``ts`` becomes ``timestamp`` in epoch seconds.
+
+    The line reader takes JSON as it takes dict-text, so it reads these back.
+    """
+    columns = [
+        epoch_seconds(F.col(c)).alias("timestamp") if c == "ts" else F.col(c)
+        for c in messages.columns
+    ]
+    lines = messages.select(F.to_json(F.struct(*columns)).alias("value"))
+    lines.write.mode("overwrite").text(path)
 
 
 def export_types(messages: DataFrame, types: str | Iterable[str], path: str) -> None:

@@ -6,13 +6,12 @@ lineage, survives the loss of executors and lets each reader prune columns.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
-from functools import cache
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,22 +19,16 @@ _open_paths: ContextVar[list[str] | None] = ContextVar("open_paths", default=Non
 
 
 def staging_root(spark: SparkSession) -> str:
-    """This application's folder under ``spark.checkpoint.dir``."""
+    """This application's folder under ``spark.checkpoint.dir``, else in the warehouse.
+
+    Both are shared by all executors of a cluster.
+    """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root and context.master.startswith("local"):
-        root = _local_root()
-    if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/cellmeter-{context.applicationId}"
 
 
-@cache
-def _local_root() -> str:
-    """Folder for a session that runs in this one process and names none."""
-    return tempfile.mkdtemp(prefix="cellmeter-")
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the staging folder and read it back."""
     spark = df.sparkSession
@@ -53,8 +46,14 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    system, target = _file_system(spark, path)
-    return system.exists(target)
+    """Whether a path is there, or anything that a pattern matches."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -8,6 +8,7 @@ same result. Run totals are aggregations over those tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +64,6 @@ def forget_states(spark: SparkSession, out: str, batch_id: int) -> None:
         .select("batch_id")
         .distinct()
         .orderBy(F.desc("batch_id"))
-        .limit(3)
         .collect()
     )
     for row in kept[1:]:
@@ -113,15 +113,14 @@ def process_batch(
         F.floor(F.min("ts")).alias("min_ts"),
         F.floor(F.max("ts")).alias("max_ts"),
     )
-    one = F.lit(1).alias("one")
     counts = downlink.agg(F.count("*").alias("n_messages"))
-    summary = (
-        counts.select("*", one)
-        .join(spans.select("*", one), "one")
-        .join(sums.select("*", one), "one")
-        .drop("one")
-    )
-    write_batch(summary, out, "batches", batch_id)
+    write_batch(one_row(counts, spans, sums), out, "batches", batch_id)
+
+
+def one_row(*rows: DataFrame) -> DataFrame:
+    """One-row tables side by side."""
+    under = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return under.agg(*[F.max(c).alias(c) for c in under.columns])
 
 
 def _writer(
@@ -150,6 +149,15 @@ def start_live(
     return writer.trigger(processingTime=interval).start()
 
 
+def stop_live(
+    query: StreamingQuery, spark: SparkSession, out: str, require_dl: bool = False
+) -> None:
+    """End a live run after the files it has seen, then write the totals."""
+    query.processAllAvailable()
+    query.stop()
+    write_totals(spark, out, require_dl)
+
+
 def run_available(
     stream: DataFrame,
     out: str,
@@ -167,8 +175,11 @@ def run_available(
 def write_totals(spark: SparkSession, out: str, require_dl: bool = False) -> None:
     """Whole-run tables from the per-batch tables.
 
-    ``require_dl`` leaves out the latency of batches without downlink samples.
+    ``require_dl`` leaves out the latency of batches without downlink samples. A
+    run that has had no message has no totals.
     """
+    if not path_exists(spark, f"{out}/rb_samples"):
+        return
     samples = spark.read.parquet(f"{out}/rb_samples")
     spans = utilization(samples)
     labels = span_labels(F.col("min_ts"), F.col("max_ts"), F.col("total_rbs"))

@@ -76,7 +76,11 @@ def test_scans_read_only_the_record_fields_they_use(spark, sf_dir, tmp_path):
 
 
 @pytest.mark.parametrize(
-    "name", ["rb_total_by_batch", "rb_histogram_by_batch", "topk_with_other", "queue_match_unmatched"]
+    "name",
+    [
+        "rb_total_by_batch", "rb_histogram", "rb_histogram_by_batch", "topk_with_other",
+        "queue_match_unmatched", "latency_running",
+    ],
 )
 def test_no_pairwise_joins(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()

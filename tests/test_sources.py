@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
-from cellmeter.schemas import DL_STAT, UL_REPORT
+from cellmeter.schemas import DL_STAT, MESSAGES, UL_REPORT
 from cellmeter.sources import messages as source
 from cellmeter.sources import sinks
 
@@ -28,6 +31,23 @@ def test_directory_scan_takes_direct_children_with_the_suffix(spark, tmp_path):
     assert sorted(r.msg_seq for r in scan(tmp_path).collect()) == [1, 2, 3]
     assert scan(tmp_path / "b.jsonl").count() == 1
     assert scan(tmp_path / "nowhere").count() == 0
+    (tmp_path / "none").mkdir()
+    assert scan(tmp_path / "none").count() == 0
+
+
+def test_directory_scan_reads_folder_tables(spark, tmp_path):
+    spark.range(10).repartition(3).selectExpr("id as msg_seq").write.parquet(
+        str(tmp_path / "events.parquet")
+    )
+    spark.range(4).selectExpr("id as msg_seq").write.parquet(str(tmp_path / "other.parquet"))
+    scan = lambda p, s: source.scan_directory(spark, str(p), s, schema="msg_seq bigint")
+    assert scan(tmp_path, ["events.parquet"]).count() == 10
+    assert scan(tmp_path, [".parquet"]).count() == 14
+    assert scan(tmp_path / "events.parquet", [".parquet"]).count() == 10
+    stream = source.message_stream(spark, str(tmp_path), ["events.parquet"], schema="msg_seq bigint")
+    query = stream.writeStream.format("memory").queryName("seen").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("seen").count() == 10
 
 
 def test_file_set_scan(spark, tmp_path):
@@ -49,6 +69,34 @@ def test_text_lines_keep_their_number(spark, tmp_path):
     assert [r._corrupt is None for r in got] == [True, True, False]
 
 
+def test_strings_in_lines_keep_their_words(spark):
+    lines = [
+        """{'a': 'None or True', 'b': "it's True", 'ok': True}""",
+        """{'a': 'x\\'s None', 'b': "q", 'ok': False}""",
+        """{'a': None, 'b': 'True', 'ok': None}""",
+        "{'a': 'broken",
+    ]
+    frame = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = source.parse_lines(frame, "a string, b string, ok boolean").collect()
+    assert [tuple(r)[:3] for r in got] == [
+        ("None or True", "it's True", True), ("x's None", "q", False), (None, "True", None),
+        (None, None, None),
+    ]
+    assert [r._corrupt is None for r in got] == [True, True, True, False]
+
+
+def test_messages_survive_the_line_sink(spark, tmp_path):
+    ts = dt.datetime(2024, 1, 2, 3, 4, 5, 250_000)
+    rows = [("m.txt", "m.txt", i, DL_STAT, ts, [(1, 2, i, None, None)], None) for i in range(3)]
+    messages = spark.createDataFrame(rows, MESSAGES)
+    sinks.write_lines(messages.coalesce(1), str(tmp_path / "out"))
+    lines = source.read_lines(spark, str(tmp_path / "out"))
+    back = source.line_messages(lines, F.lit("m.txt")).orderBy("msg_seq").collect()
+    assert [(r.msg_seq, r.type_id, r.ts, r.Records[0]["Num RBs"]) for r in back] == [
+        (i, DL_STAT, ts, i) for i in range(3)
+    ]
+
+
 def test_line_sink_round_trip(spark, some, tmp_path):
     path = str(tmp_path / "lines")
     sinks.write_lines(some, path)

@@ -13,7 +13,13 @@ from cellmeter.plans.uplink import uplink_latency
 from cellmeter.schemas import DL_STAT, MESSAGES, UL_BUFFER, UL_REPORT
 from cellmeter.sources.messages import message_stream
 from cellmeter.staging import staging_root
-from cellmeter.streaming.runner import clear_output, run_available, write_totals
+from cellmeter.streaming.runner import (
+    clear_output,
+    run_available,
+    start_live,
+    stop_live,
+    write_totals,
+)
 
 TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 
@@ -100,3 +106,19 @@ def test_trace_scope_keeps_packets_open_over_batches(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) == 5
     kept = {p.name for p in (tmp_path / "out" / "_state" / "traces").iterdir()}
     assert kept == {"batch_id=1", "batch_id=2"}
+
+
+def test_live_run_writes_totals_when_it_stops(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    (tmp_path / "in").mkdir()
+    query = start_live(message_stream(spark, inbox, [".json"], "json"), out, state)
+    spark.createDataFrame(file_rows(1), MESSAGES).coalesce(1).write.mode("append").json(inbox)
+    stop_live(query, spark, out)
+    assert spark.read.parquet(f"{out}/latency_total").first().retx == 8
+
+
+def test_empty_inbox_has_no_totals(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = message_stream(spark, str(tmp_path / "in"), [".json"], "json")
+    run_available(stream, str(tmp_path / "out"), str(tmp_path / "state"))
+    assert not (tmp_path / "out" / "latency_total").exists()

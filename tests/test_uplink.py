@@ -1,4 +1,4 @@
-"""Uplink operators against the row-at-a-time model, with chunks of a few rows."""
+"""Uplink operators against the rules as definitions, with chunks of a few rows."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import pytest
 
 from cellmeter.operators.fifo import completed_packets, last_per_drain
 from cellmeter.operators.nextabove import first_above
+from cellmeter.operators.records import uplink_rows
 from cellmeter.operators.sequence import sequence
 from cellmeter.plans.uplink import latency_from_sequence, uplink_carried, uplink_latency
 from cellmeter.staging import stage
@@ -112,7 +113,8 @@ def test_carried_state_gives_what_one_run_gives(spark, traces, expected, chunk_r
         state = {name: stage(table, f"state-{name}") for name, table in after.items()}
     want = [(name, *p) for name, tr in expected.items() for p in tr.released]
     assert sorted(got) == sorted(want)
-    still_queued = sum(len(tr.queue) for tr in expected.values())
+    packets = sum((row[1] or 0) > 0 for tr in expected.values() for row in tr.rows)
+    still_queued = packets - sum(len(tr.completed) for tr in expected.values())
     assert state["packets"].count() == still_queued
 
 
@@ -211,3 +213,27 @@ def test_first_above_equals_a_plain_search():
             next((i for i in range(s, n) if values[i] > m), n) for s, m in zip(start, limit)
         ]
         assert first_above(values, start, limit).tolist() == want
+
+
+def test_missing_fields_of_readings_and_reports(spark):
+    steps = [
+        ("s", 3, 5, 0), ("s", 4, None, 40), ("s", 15, 0, 10), ("r", None, True), ("s", 6, 5, 0),
+        ("r", 90, False), ("r", 95, True),
+    ]
+    rows = [
+        (*r[:8], None if r[8] is None else r[8], r[9])
+        for r in rows_of("t", [x for x in steps if x[1] is not None])
+    ]
+    missing = ("t", "f00000", 2, 1, True, None, None, None, None, True)
+    frame = spark.createDataFrame([*rows, missing], ROW_SCHEMA)
+    seq = stage(sequence(frame, chunk_rows=2), "test")
+    samples = seq.filter("not is_report").orderBy("seq").collect()
+    assert [r.t for r in samples] == [53, 54, 55, 56]
+    got = latency_from_sequence(seq, chunk_rows=2).collect()
+    assert [(r.slot, r.retx) for r in got] == [(56, 0)]
+
+
+def test_report_without_an_index_is_a_repeat(spark):
+    report = ("t", "f", 0, UL_REPORT, None, [(None, None, None, 7, None)], None)
+    rows = uplink_rows(spark.createDataFrame([report], MESSAGES), "trace_id").collect()
+    assert [r.first_tx for r in rows] == [False]
