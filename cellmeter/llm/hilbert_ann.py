@@ -71,10 +71,10 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
         return ((x << by) | (x >> (d - by))) & full
 
     def low_ones(x: np.ndarray) -> np.ndarray:
-        """Number of ones at the low end, up to d - 1."""
+        """Number of ones at the low end."""
         count = np.zeros(n, np.int64)
         run = np.ones(n, bool)
-        for i in range(d - 1):
+        for i in range(d):
             run &= (x >> i) & 1 == 1
             count += run
         return count
