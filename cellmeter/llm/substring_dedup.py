@@ -184,7 +184,7 @@ def _line_rows(docs: DataFrame) -> DataFrame:
 
 
 def similar_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, text_key, start, n_words, first, n`` of lines with near copies elsewhere."""
+    """``doc_id, text_key, start, n_words, first, n`` of lines with copies or near copies elsewhere."""
     lines = stage(_line_rows(docs), "lines")
     items = stage(
         lines.groupBy("item").agg(
@@ -208,8 +208,10 @@ def similar_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         similar_items(buckets, items, long_lines, similarity, BLOCK_ITEMS), "line_links"
     )
     roots = components(links.select(F.col("item").alias("a"), F.col("head").alias("b")))
-    members = roots.join(
-        items.select("item", "first", "last", "copies"), roots["node"] == items["item"]
+    members = (
+        items.select("item", "first", "last", "copies")
+        .join(roots.withColumnRenamed("node", "item"), "item", "left")
+        .withColumn("root", F.coalesce("root", "item"))
     )
     classes = (
         members.groupBy("root")
