@@ -1,7 +1,7 @@
 """Ordered scans over sequences of any length.
 
 A window over a whole trace would put the trace into one task. Here a trace is
-cut into chunks of bounded size (consecutive in the order), windows run inside
+cut into chunks of a bounded number of rows (consecutive in the order), windows run inside
 a chunk, and one small row per chunk carries what earlier or later chunks add.
 Only those chunk rows are ever ordered over a whole trace.
 """

@@ -11,7 +11,12 @@ from ..functions.radio import CLOCK_PERIOD, NO_CLOCK, frame_index, is_valid_read
 from .scan import CHUNK_ROWS, FIRST, block_of, chunk_window, earlier_chunks
 
 ORDER = ["file_name", "msg_seq", "pos"]
-CHUNK = ["file_name", "_block"]
+CHUNK = ["_chunk"]
+
+# Rows are numbered inside units of so many consecutive messages of a file, and
+# chunks are cut by row number.
+UNIT = ["file_name", "_unit"]
+UNIT_MESSAGES = 1 << 12
 
 # Columns of a trace's state after its last row.
 STATE = ["seq", "t", "level", "arrived", "drained"]
@@ -38,11 +43,12 @@ def sequence(
       (level 0 at the start); NULL where no level was read;
     * ``arrived``, ``drained``: bytes put in and taken out so far.
 
-    A chunk is ``chunk_rows`` consecutive message numbers of one file. ``start``
-    is the ``end_state`` of earlier rows of the same traces, if there are any.
+    A chunk is ``chunk_rows`` consecutive rows, however many a message has and
+    however short files are. ``start`` is the ``end_state`` of earlier rows of the
+    same traces, if there are any.
     """
     keys = list(keys)
-    here = chunk_window(keys, CHUNK, ORDER)
+    here = chunk_window(keys, CHUNK, ["seq"])
     so_far, before = here.rowsBetween(FIRST, 0), here.rowsBetween(FIRST, -1)
 
     # One value column, a kind, and chunk columns without NULLs: the rows and the
@@ -63,7 +69,9 @@ def sequence(
         .otherwise(F.col("level"))
         .cast("bigint")
         .alias("_value"),
-        F.coalesce(block_of("msg_seq", chunk_rows), F.lit(0)).alias("_block"),
+    )
+    packed = _numbered(packed, keys, start).withColumn(
+        "_chunk", F.expr(f"(seq - 1) div {int(chunk_rows)}L")
     )
     sample = F.col("_kind") == _SAMPLE
     level = F.when(sample, F.col("_value"))
@@ -73,7 +81,6 @@ def sequence(
 
     counted = packed.select(
         "*",
-        F.row_number().over(here).alias("_n"),
         F.count_if(sample).over(so_far).alias("_ticks"),
         F.last(level, ignorenulls=True).over(before).alias("_prev_level"),
         F.count(level).over(so_far).alias("_kept"),
@@ -114,7 +121,7 @@ def sequence(
         level.alias("level"),
         F.when(~sample, F.col("_value").cast("int")).alias("report_time"),
         F.when(~sample, F.col("_kind") == _FIRST_TX).alias("first_tx"),
-        (F.col("_base_rows") + F.col("_n")).alias("seq"),
+        "seq",
         F.coalesce(clock, F.lit(NO_CLOCK)).cast("int").alias("t"),
         (level - F.coalesce("_prev_level", "_prior_level")).alias("delta"),
         counter("_base_in", "_in", "_edge_in").alias("arrived"),
@@ -122,6 +129,24 @@ def sequence(
     )
 
 
+def _numbered(rows: DataFrame, keys: list[str], start: DataFrame | None) -> DataFrame:
+    """``rows`` with ``seq``, their number in the trace."""
+    placed = rows.withColumn("_unit", F.coalesce(block_of("msg_seq", UNIT_MESSAGES), F.lit(-1)))
+    units = placed.groupBy(*keys, *UNIT).agg(F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(earlier_chunks(keys, UNIT)), F.lit(0))
+    if start is not None:
+        units = units.join(start.select(*keys, F.col("seq").alias("_s_seq")), keys, "left")
+        before = before + F.coalesce("_s_seq", F.lit(0))
+    bases = units.select(*keys, *UNIT, before.alias("_base"))
+    inside = F.row_number().over(chunk_window(keys, UNIT, ["msg_seq", "pos"]))
+    return (
+        placed.withColumn("_inside", inside)
+        .join(bases, [*keys, *UNIT])
+        .withColumn("seq", F.col("_base") + F.col("_inside"))
+        .drop("_base", "_inside", "_unit")
+    )
+
+
 def _moved(reading: Column, ticks: Column) -> Column:
     """A chunk's reading with its tick counted from the start of the trace."""
     return F.when(
@@ -136,9 +161,8 @@ def _moved(reading: Column, ticks: Column) -> Column:
 def _carried(local: DataFrame, keys: list[str], start: DataFrame | None) -> DataFrame:
     """What the start state and the earlier chunks of a trace hand to each chunk."""
     no_long = F.lit(None).cast("bigint")
-    level_at = F.when((F.col("_kind") == _SAMPLE) & F.col("_value").isNotNull(), F.col("_n"))
+    level_at = F.when((F.col("_kind") == _SAMPLE) & F.col("_value").isNotNull(), F.col("seq"))
     summary = local.groupBy(*keys, *CHUNK).agg(
-        F.max("_n").alias("_rows"),
         F.max("_ticks").alias("_ticks"),
         F.max("_reading").alias("_reading"),
         F.min_by("_value", level_at).alias("_first"),
@@ -148,11 +172,11 @@ def _carried(local: DataFrame, keys: list[str], start: DataFrame | None) -> Data
     )
     if start is None:
         summary = summary.withColumns(
-            {"_s_seq": no_long, "_s_t": F.lit(NO_CLOCK), "_s_level": no_long,
+            {"_s_t": F.lit(NO_CLOCK), "_s_level": no_long,
              "_s_arrived": no_long, "_s_drained": no_long}
         )
     else:
-        state = start.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in STATE])
+        state = start.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in STATE if c != "seq"])
         summary = summary.join(state, keys, "left")
     past = earlier_chunks(keys, CHUNK)
 
@@ -167,7 +191,6 @@ def _carried(local: DataFrame, keys: list[str], start: DataFrame | None) -> Data
     edge = F.coalesce(F.col("_first") - F.col("_prior_level"), F.lit(0))
     bases = summary.select(
         "*",
-        total(F.col("_rows"), "_s_seq").alias("_base_rows"),
         total(F.col("_ticks")).alias("_base_ticks"),
         F.coalesce(
             F.last("_last", ignorenulls=True).over(past), F.col("_s_level"), F.lit(0)
@@ -181,7 +204,6 @@ def _carried(local: DataFrame, keys: list[str], start: DataFrame | None) -> Data
     return bases.select(
         *keys,
         *CHUNK,
-        "_base_rows",
         "_base_ticks",
         "_prior_level",
         "_edge_in",

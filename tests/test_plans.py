@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cellmeter.operators.fifo import match_drains
 from cellmeter.operators.flush import find_flush
@@ -31,10 +32,29 @@ def messages(spark, sf_dir):
     return tables.uplink_messages(spark, sf_dir)
 
 
-def test_sequence_reads_and_shuffles_its_input_once(spark, messages):
+def test_sequence_reads_its_input_twice_at_most(spark, messages):
+    """Once to count rows and once for the rows, which also give the chunk rows."""
     rows = uplink_rows(messages, "trace_id")
     plan = final_plan(executed(sequence(rows)))
-    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    assert plan.count("FileScan") <= 2 and "ReusedExchange" in plan
+
+
+def test_chunks_are_bounded_in_rows_and_filled(spark):
+    sample = "named_struct('Sub FN', 1, 'Sys FN', 2, 'LCIDs', array(named_struct('Total Bytes', 5L)))"
+    messages = spark.range(600).selectExpr(
+        "'t' as trace_id", "concat('f', id div 3) as file_name", "id as msg_seq",
+        "'LTE_MAC_UL_Buffer_Status_Internal' as type_id",
+        f"array(named_struct('Samples', array_repeat({sample}, 50))) as Subpackets",
+        "cast(null as array<struct<`Current SFN SF`:int,`Re-tx Index`:string>>) as Records",
+    )
+    plan_rows = []
+    for chunk_rows in (4_000, 70):
+        seq = sequence(uplink_rows(messages, "trace_id"), chunk_rows=chunk_rows)
+        sizes = seq.groupBy(((F.col("seq") - 1) / chunk_rows).cast("bigint")).count().collect()
+        plan_rows.append([r["count"] for r in sizes])
+    for chunk_rows, sizes in zip((4_000, 70), plan_rows):
+        assert sum(sizes) == 30_000 and max(sizes) <= chunk_rows
+        assert sum(sizes) / len(sizes) >= chunk_rows / 2
 
 
 def test_lookahead_windows_never_end_at_the_last_row(spark, messages):

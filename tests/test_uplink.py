@@ -216,16 +216,14 @@ def test_first_above_equals_a_plain_search():
 
 
 def test_missing_fields_of_readings_and_reports(spark):
-    steps = [
-        ("s", 3, 5, 0), ("s", 4, None, 40), ("s", 15, 0, 10), ("r", None, True), ("s", 6, 5, 0),
-        ("r", 90, False), ("r", 95, True),
-    ]
+    """A reading without a frame ticks only, a report without a time releases nothing."""
+    sample = lambda n, sub, sys_fn, level: (n, 0, False, sub, sys_fn, level, None, None)
+    report = lambda n, time, first: (n, 0, True, None, None, None, time, first)
     rows = [
-        (*r[:8], None if r[8] is None else r[8], r[9])
-        for r in rows_of("t", [x for x in steps if x[1] is not None])
-    ]
-    missing = ("t", "f00000", 2, 1, True, None, None, None, None, True)
-    frame = spark.createDataFrame([*rows, missing], ROW_SCHEMA)
+        sample(0, 3, 5, 0), sample(1, 4, None, 40), sample(2, 15, 0, 10), report(3, None, True),
+        sample(4, 6, 5, 0), report(5, 90, False),
+    ]
+    frame = spark.createDataFrame([("t", "f", *r) for r in rows], ROW_SCHEMA)
     seq = stage(sequence(frame, chunk_rows=2), "test")
     samples = seq.filter("not is_report").orderBy("seq").collect()
     assert [r.t for r in samples] == [53, 54, 55, 56]
