@@ -4,8 +4,8 @@ A finished packet waits in the time slot of its completion. A report of time
 ``r`` releases slot ``t`` when ``t < r``, or when the clock has wrapped
 (``t > 1000`` and ``r < 20``). Each packet's release is therefore the first
 later report that satisfies this. It is looked up in the packet's own chunk,
-then, for what is left, among the chunk maxima of the trace, and last inside
-the one later chunk those point to.
+then, for what is left, in a tree of the trace's chunk maxima, and last inside
+the one later chunk that points to.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..staging import stage
 from .nextabove import first_above
-from .scan import CHUNK_ROWS, block_of, later_chunks, next_value
+from .scan import CHUNK_ROWS, block_of, next_value
 
 # Wrap thresholds and the retransmission penalty in subframes.
 WRAP_SLOT = 1000
@@ -32,8 +32,9 @@ _ALWAYS, _NEVER = 2**31 - 1, -(2**31)
 # Rows a task searches at once; a larger chunk is searched whole.
 _PIECE_ROWS = 1 << 16
 
-# Slot values searched together when the search goes over chunks.
-_BAND = 64
+# The tree of chunk maxima: nodes per group, and levels (64 ** 4 chunks are 16 million).
+_FAN = 64
+_LEVELS = 4
 
 
 def _reach(time: Column, slot_wraps: bool) -> Column:
@@ -114,62 +115,76 @@ def _search(slots: DataFrame, reports: DataFrame, chunk: list[str]) -> DataFrame
     return marked.mapInArrow(_search_chunks, schema)
 
 
-def _outlook(slots: DataFrame, reach: DataFrame, keys: list[str]) -> DataFrame:
-    """Per chunk: the next chunk with reports, and how far all later ones reach."""
-    chunks = (
-        reach.unionByName(slots.select(*keys, "block").distinct(), allowMissingColumns=True)
-        .groupBy(*keys, "block")
-        .agg(F.max("low").alias("low"), F.max("high").alias("high"))
-    )
-    after = later_chunks(keys, ["block"])
-    offer = F.when(F.col("low").isNotNull(), F.struct("block", "low", "high"))
-    return chunks.select(
-        *keys,
-        "block",
-        F.last(offer, ignorenulls=True).over(after).alias("next"),
-        F.max("low").over(after).alias("max_low"),
-        F.max("high").over(after).alias("max_high"),
-    )
+def _tree(reach: DataFrame, keys: list[str], fan: int) -> list[DataFrame]:
+    """Levels of chunk maxima: per group of ``fan`` nodes the nodes that have reports, in order.
+
+    A node of one level is a group of the level below; the nodes of the lowest
+    level are chunks.
+    """
+    levels, nodes = [], reach.withColumnRenamed("block", "node")
+    for _ in range(_LEVELS):
+        groups = nodes.groupBy(*keys, F.expr(f"node div {fan}L").alias("group")).agg(
+            F.sort_array(F.collect_list(F.struct("node", "low", "high"))).alias("nodes"),
+            F.max("low").alias("low"),
+            F.max("high").alias("high"),
+        )
+        groups = stage(groups, "tree")
+        levels.append(groups.select(*keys, "group", "nodes"))
+        nodes = groups.select(*keys, F.col("group").alias("node"), "low", "high")
+    return levels
+
 
+def _first_node(after: Column | None) -> Column:
+    """First node of a group that reaches above the slot, of those behind ``after``."""
 
-def _by_slot(low: str, high: str) -> Column:
-    return F.when(F.col("slot") > WRAP_SLOT, F.col(high)).otherwise(F.col(low))
+    def releases(node: Column) -> Column:
+        reach = F.when(F.col("slot") > WRAP_SLOT, node["high"]).otherwise(node["low"])
+        return (reach > F.col("slot")) & (F.lit(True) if after is None else node["node"] > after)
+
+    return F.get(F.filter("nodes", releases), F.lit(0)).getField("node")
 
 
 def _route(
-    open_slots: DataFrame, reach: DataFrame, outlook: DataFrame, keys: list[str]
+    open_slots: DataFrame, reach: DataFrame, keys: list[str], fan: int = _FAN
 ) -> DataFrame:
     """``open_slots`` with ``target``, the first later chunk that releases each.
 
     Slots that no later chunk reaches are dropped; nothing ever releases them.
-    Where the next chunk with reports does not do it, the search runs over the
-    chunks of the trace, one band of slot values at a time.
+    The search goes up the tree of chunk maxima until a group has a node behind
+    the slot's own that reaches above it, and down again inside that node: each
+    step is an equi-join with groups of ``fan`` nodes at most.
     """
-    ahead = (
-        open_slots.join(outlook, [*keys, "block"])
-        .filter(_by_slot("max_low", "max_high") > F.col("slot"))
-        .withColumn("near", _by_slot("next.low", "next.high") > F.col("slot"))
-    )
     columns = open_slots.columns
-    near = ahead.filter("near").select(*columns, F.col("next.block").alias("target"))
-    far = ahead.filter("not near").select(*columns)
-
-    band = [*keys, "band"]
-    wanted = (
-        far.select(*keys, "block", "slot")
-        .distinct()
-        .select(
-            *keys, F.floor(F.col("slot") / _BAND).alias("band"),
-            F.col("block").alias("seq"), "slot",
-        )
-    )
-    offers = wanted.select(*band).distinct().join(
-        reach.withColumnRenamed("block", "seq"), keys
+    levels = _tree(reach, keys, fan)
+    here = stage(
+        open_slots.select(*keys, "block", "slot").distinct().withColumn("_at", F.col("block")),
+        "open",
     )
-    targets = _search(wanted, offers, band).select(
-        *keys, F.col("seq").alias("block"), "slot", F.col("flush").alias("target")
-    )
-    return near.unionByName(far.join(targets, [*keys, "block", "slot"]))
+    found = []  # by level: the node of that level to go down into
+    for groups in levels:
+        looked = stage(
+            here.withColumn("group", F.expr(f"_at div {fan}L"))
+            .join(groups, [*keys, "group"], "left")
+            .withColumn("_node", _first_node(F.col("_at")))
+            .drop("nodes"),
+            "looked",
+        )
+        found.append(
+            looked.filter(F.col("_node").isNotNull()).select(
+                *keys, "block", "slot", F.col("_node").alias("group")
+            )
+        )
+        here = looked.filter(F.col("_node").isNull()).select(
+            *keys, "block", "slot", F.col("group").alias("_at")
+        )
+    below = found[-1]
+    for groups, more in zip(reversed(levels[:-1]), reversed(found[:-1])):
+        down = below.join(groups, [*keys, "group"]).select(
+            *keys, "block", "slot", _first_node(None).alias("group")
+        )
+        below = down.unionByName(more)
+    targets = below.withColumnRenamed("group", "target")
+    return open_slots.join(targets, [*keys, "block", "slot"]).select(*columns, "target")
 
 
 def find_flush(
@@ -177,6 +192,7 @@ def find_flush(
     reports: DataFrame,
     keys: Sequence[str] = ("trace_id",),
     chunk_rows: int = CHUNK_ROWS,
+    fan: int = _FAN,
 ) -> DataFrame:
     """Released slots with ``flush``, the seq of the report that releases them."""
     keys = list(keys)
@@ -196,7 +212,7 @@ def find_flush(
     local = stage(_search(slots, reports, chunk), "searched")
     reach = reports.groupBy(*chunk).agg(F.max("low").alias("low"), F.max("high").alias("high"))
     open_slots = local.filter(F.col("flush") < 0).drop("flush")
-    routed = stage(_route(open_slots, reach, _outlook(slots, reach, keys), keys), "routed")
+    routed = stage(_route(open_slots, reach, keys, fan), "routed")
     moved = routed.withColumns(
         {"block": F.col("target"), "seq": F.lit(-1).cast("bigint")}
     ).drop("target")

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from cellmeter.operators.fifo import completed_packets, last_per_drain
+from cellmeter.operators.flush import find_flush
 from cellmeter.operators.nextabove import first_above
 from cellmeter.operators.records import uplink_rows
 from cellmeter.operators.sequence import sequence
@@ -235,3 +236,32 @@ def test_report_without_an_index_is_a_repeat(spark):
     report = ("t", "f", 0, UL_REPORT, None, [(None, None, None, 7, None)], None)
     rows = uplink_rows(spark.createDataFrame([report], MESSAGES), "trace_id").collect()
     assert [r.first_tx for r in rows] == [False]
+
+
+def test_far_releases_are_found_up_and_down_the_tree(spark):
+    """10,000 chunks of one trace; most slots are released only near the end."""
+    slots = spark.range(0, 60_000, 6).selectExpr(
+        "'t' as trace_id", "id + 1 as seq", "cast(100 + id % 700 as int) as slot",
+        "1 as waiting", "1 as tx",
+    )
+    reports = spark.range(3, 60_000, 6).selectExpr(
+        "'t' as trace_id", "id as seq",
+        "cast(case when id > 59900 then 900 when id % 1000 = 3 then 400 else 50 end as int) as report_time",
+        "true as first_tx",
+    )
+    got = find_flush(slots, reports, chunk_rows=6).select("seq", "slot", "flush").collect()
+    times = {r.seq: r.report_time for r in reports.collect()}
+    order = sorted(times)
+    want = {}
+    nearest = {}
+    for seq in sorted((s.seq for s in slots.collect()), reverse=True):
+        while order and order[-1] > seq:
+            report = order.pop()
+            # Nearest later report of each height: a lower one behind a higher never matters.
+            nearest = {t: n for t, n in nearest.items() if t > times[report]}
+            nearest[times[report]] = report
+        slot = 100 + (seq - 1) % 700
+        later = [n for t, n in nearest.items() if t > slot]
+        if later:
+            want[seq] = min(later)
+    assert {r.seq: r.flush for r in got} == want and len(want) > 9_000
