@@ -36,7 +36,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     opened = _open_paths.get()
     if opened is not None:
         opened.append(path)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
