@@ -180,6 +180,7 @@ def write_shards(
         return 0
     permutation = Permutation(count, key)
     shards = -(-count // shard_records)
+    tasks = min(shards, MOST_TASKS)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,12 +198,13 @@ def write_shards(
             slots = permutation.slots(np.array(numbers, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(slots // shard_records, pa.int64()),
+                    # Tasks take ranges of shards, of equal length but for one.
+                    pa.array(slots // shard_records * tasks // shards, pa.int32()),
                     pa.array(slots, pa.int64()),
                     pa.array(at, pa.int32()),
                     pa.array(data, pa.binary()),
                 ],
-                ["shard", "slot", "at", "ids"],
+                ["task", "slot", "at", "ids"],
             )
 
     filler = np.array([end], _ID).tobytes()
@@ -226,10 +228,10 @@ def write_shards(
     placed = tokens.join(bases.select("part", "base"), "part").select(
         (F.col("base") + F.col("start")).alias("begin"), "ids"
     )
-    schema = "shard bigint, slot bigint, at int, ids binary"
+    # Ranges of shards have one size, so their bounds are known without sampling.
     in_order = (
-        placed.mapInArrow(pieces, schema)
-        .repartitionByRange(min(shards, MOST_TASKS), "shard")
+        placed.mapInArrow(pieces, "task int, slot bigint, at int, ids binary")
+        .repartitionById(tasks, "task")
         .sortWithinPartitions("slot", "at")
         .select("slot", "ids")
     )
