@@ -11,6 +11,7 @@ the one later chunk that points to.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -115,23 +116,22 @@ def _search(slots: DataFrame, reports: DataFrame, chunk: list[str]) -> DataFrame
     return marked.mapInArrow(_search_chunks, schema)
 
 
-def _tree(reach: DataFrame, keys: list[str], fan: int) -> list[DataFrame]:
-    """Levels of chunk maxima: per group of ``fan`` nodes the nodes that have reports, in order.
+def _tree(reach: DataFrame, keys: list[str], fan: int) -> DataFrame:
+    """Chunk maxima by level: per group of ``fan`` nodes the nodes that have reports, in order.
 
-    A node of one level is a group of the level below; the nodes of the lowest
-    level are chunks.
+    A node of one level is a group of the level below; the nodes of level 0 are
+    chunks. Stored, so that a small tree is known to be small.
     """
     levels, nodes = [], reach.withColumnRenamed("block", "node")
-    for _ in range(_LEVELS):
+    for level in range(_LEVELS):
         groups = nodes.groupBy(*keys, F.expr(f"node div {fan}L").alias("group")).agg(
             F.sort_array(F.collect_list(F.struct("node", "low", "high"))).alias("nodes"),
             F.max("low").alias("low"),
             F.max("high").alias("high"),
         )
-        groups = stage(groups, "tree")
-        levels.append(groups.select(*keys, "group", "nodes"))
+        levels.append(groups.select(F.lit(level).alias("level"), *keys, "group", "nodes"))
         nodes = groups.select(*keys, F.col("group").alias("node"), "low", "high")
-    return levels
+    return stage(reduce(DataFrame.unionByName, levels), "tree")
 
 
 def _first_node(after: Column | None) -> Column:
@@ -150,41 +150,41 @@ def _route(
     """``open_slots`` with ``target``, the first later chunk that releases each.
 
     Slots that no later chunk reaches are dropped; nothing ever releases them.
-    The search goes up the tree of chunk maxima until a group has a node behind
-    the slot's own that reaches above it, and down again inside that node: each
-    step is an equi-join with groups of ``fan`` nodes at most.
+    The search goes up the tree of chunk maxima to the first group that has a
+    node behind the slot's own that reaches above it, and down again inside that
+    node: each step is an equi-join with groups of ``fan`` nodes at most.
     """
-    columns = open_slots.columns
-    levels = _tree(reach, keys, fan)
-    here = stage(
-        open_slots.select(*keys, "block", "slot").distinct().withColumn("_at", F.col("block")),
-        "open",
-    )
-    found = []  # by level: the node of that level to go down into
-    for groups in levels:
-        looked = stage(
-            here.withColumn("group", F.expr(f"_at div {fan}L"))
-            .join(groups, [*keys, "group"], "left")
-            .withColumn("_node", _first_node(F.col("_at")))
-            .drop("nodes"),
-            "looked",
-        )
-        found.append(
-            looked.filter(F.col("_node").isNotNull()).select(
-                *keys, "block", "slot", F.col("_node").alias("group")
-            )
-        )
-        here = looked.filter(F.col("_node").isNull()).select(
-            *keys, "block", "slot", F.col("group").alias("_at")
+    tree = _tree(reach, keys, fan)
+
+    def look(rows: DataFrame, level: int, group: Column, after: Column | None) -> DataFrame:
+        groups = tree.filter(F.col("level") == level).select(
+            *keys, F.col("group").alias("_group"), "nodes"
         )
-    below = found[-1]
-    for groups, more in zip(reversed(levels[:-1]), reversed(found[:-1])):
-        down = below.join(groups, [*keys, "group"]).select(
-            *keys, "block", "slot", _first_node(None).alias("group")
+        return (
+            rows.withColumn("_group", group)
+            .join(groups, [*keys, "_group"], "left")
+            .withColumn("_node", _first_node(after))
+            .drop("nodes", "_group")
         )
-        below = down.unionByName(more)
-    targets = below.withColumnRenamed("group", "target")
-    return open_slots.join(targets, [*keys, "block", "slot"]).select(*columns, "target")
+
+    rows = open_slots.select(*keys, "block", "slot").distinct()
+    for level in range(_LEVELS):
+        own = F.expr(f"block div {fan**level}L")
+        rows = look(rows, level, F.expr(f"block div {fan ** (level + 1)}L"), own)
+        rows = rows.withColumnRenamed("_node", f"_up{level}")
+    # The lowest level with a node is where the way down begins.
+    rows = rows.withColumn("_at", F.lit(None).cast("bigint"))
+    for level in reversed(range(_LEVELS)):
+        lower = [F.col(f"_up{below}").isNull() for below in range(level)]
+        begins = reduce(lambda x, y: x & y, lower, F.col(f"_up{level}").isNotNull())
+        rows = rows.withColumn("_at", F.when(begins, F.col(f"_up{level}")).otherwise(F.col("_at")))
+        if level:
+            rows = look(rows, level - 1, F.col("_at"), None)
+            rows = rows.withColumn("_at", F.col("_node")).drop("_node")
+    targets = rows.filter(F.col("_at").isNotNull()).select(
+        *keys, "block", "slot", F.col("_at").alias("target")
+    )
+    return open_slots.join(targets, [*keys, "block", "slot"])
 
 
 def find_flush(
