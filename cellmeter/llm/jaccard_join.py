@@ -3,8 +3,8 @@
 Texts with the same set of shingles are one item. In each of several runs an
 item goes to a bucket for each of a few of its shingles, sampled by a hash that
 all items share: similar sets choose the same ones. Buckets that are too large
-are split again by further chosen shingles; small ones are compared pair by
-pair. What a run misses, the next ones find.
+are split again by further chosen shingles, unless they hardly fall apart; small
+ones are compared pair by pair. What a run misses, the next ones find.
 
 A pair that meets in several buckets belongs to the one of least number, and is
 verified there, on the whole texts. Pairs are never rows: a bucket returns the
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ RUNS = 7
 CHOSEN = 2.0
 DEPTH = 3
 BUCKET_ITEMS = 200
-BLOCK_ITEMS = 256
+BLOCK_ITEMS = 512
 
 _KEY = ["doc_id", "text_key"]
 
@@ -135,8 +136,10 @@ def _with_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return wanted.join(texts, ["_doc", "_no_doc", "_key"]).drop("_doc", "_no_doc", "_key", "holder")
 
 
-def _split(rows: DataFrame, items: DataFrame, docs: DataFrame) -> DataFrame:
-    """``item, bucket`` below the buckets of ``rows``."""
+def _split(large: DataFrame, items: DataFrame, docs: DataFrame) -> DataFrame:
+    """``item, parent, bucket``: the buckets below those of ``large``; stored."""
+    schema = "item binary, below array<struct<parent: bigint, bucket: bigint>>"
+    entry = pa.list_(pa.struct([("parent", pa.int64()), ("bucket", pa.int64())]))
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,39 +148,61 @@ def _split(rows: DataFrame, items: DataFrame, docs: DataFrame) -> DataFrame:
                 batch.column(batch.schema.get_field_index(c)) for c in ("item", "paths", "text")
             )
             for item, paths, text in zip(item_at, paths_at, text_at):
+                shingles = text_shingles(text.as_py())
                 ids.append(item.as_py())
-                paths = np.array(paths.as_py(), np.int64).view(np.uint64)
-                below.append(_signed(chosen_paths(text_shingles(text.as_py()), paths)))
+                below.append(
+                    [
+                        {"parent": path, "bucket": bucket}
+                        for path in paths.as_py()
+                        for bucket in _signed(
+                            chosen_paths(shingles, np.array([path], np.int64).view(np.uint64))
+                        )
+                    ]
+                )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.binary()), pa.array(below, pa.list_(pa.int64()))],
-                ["item", "below"],
+                [pa.array(ids, pa.binary()), pa.array(below, entry)], ["item", "below"]
             )
 
     # An item is in a few buckets of each run, whatever their size.
-    paths = rows.groupBy("item").agg(F.collect_set("bucket").alias("paths"))
+    paths = large.groupBy("item").agg(F.collect_set("bucket").alias("paths"))
     wanted = paths.join(items.select("item", "holder"), "item")
-    found = _with_text(wanted, docs).select("item", "paths", "text")
-    return (
-        found.mapInArrow(descend, "item binary, below array<bigint>")
-        .select("item", F.explode("below").alias("bucket"))
-        .distinct()
-    )
+    found = _with_text(wanted, docs).select("item", "paths", "text").mapInArrow(descend, schema)
+    return stage(found.select("item", F.inline("below")).distinct(), "children")
+
+
+def _dense(large: DataFrame, children: DataFrame) -> DataFrame:
+    """``bucket`` of those that are still half there in one bucket below; stored.
+
+    Their items are alike, and splitting would only repeat them.
+    """
+    sizes = children.groupBy("parent", "bucket").agg(F.count("*").alias("below"))
+    most = sizes.groupBy(F.col("parent").alias("bucket")).agg(F.max("below").alias("most"))
+    whole = large.groupBy("bucket").agg(F.first("n").alias("n"))
+    return stage(whole.join(most, "bucket").filter("2 * most > n").select("bucket"), "dense")
 
 
 def leaves(items: DataFrame, docs: DataFrame, depth: int, bucket_items: int) -> DataFrame:
-    """``bucket, item, n``: the buckets to compare, of two items or more."""
+    """``bucket, item, n``: the buckets to compare, of two items or more.
+
+    Large buckets are split up to ``depth`` levels, but for those of near copies.
+    """
     rows = items.select("item", F.explode("buckets").alias("bucket"))
-    found = None
+    found = []
     for level in range(1, depth + 1):
         counts = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
         shared = stage(rows.join(counts, "bucket").select("bucket", "item", "n"), "buckets")
         large = shared.filter(F.col("n") > bucket_items)
         if level == depth or large.isEmpty():
-            return shared if found is None else found.unionByName(shared)
-        small = shared.filter(F.col("n") <= bucket_items)
-        found = small if found is None else found.unionByName(small)
-        rows = _split(large, items, docs)
-    return found
+            found.append(shared)
+            break
+        children = _split(large, items, docs)
+        dense = _dense(large, children)
+        found.append(shared.filter(F.col("n") <= bucket_items))
+        found.append(large.join(dense, "bucket", "left_semi"))
+        rows = children.join(
+            dense.withColumnRenamed("bucket", "parent"), "parent", "left_anti"
+        ).select("item", "bucket")
+    return reduce(DataFrame.unionByName, found)
 
 
 def _blocks(rows: DataFrame, block_items: int) -> DataFrame:
