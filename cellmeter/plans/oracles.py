@@ -18,6 +18,14 @@ m AS (
          CAST(floor(value) AS BIGINT) AS level
   FROM events)"""
 
+NESTED = f"""{MESSAGES},
+p AS (
+  SELECT trace_id, msg_seq, level, CAST(unnest(range(0, msg_seq % 4)) AS INTEGER) AS subpacket_pos
+  FROM m),
+s AS (
+  SELECT *, CAST(unnest(range(0, (msg_seq + subpacket_pos) % 4)) AS INTEGER) AS sample_pos
+  FROM p)"""
+
 SAMPLES = f"""{MESSAGES},
 rec AS (
   SELECT file_name AS batch_id, trace_id, msg_seq, epoch_us(ts) / 1e6 AS ts, level,
@@ -229,13 +237,16 @@ ORACLES: dict[str, str] = {
         "WHERE b.idx - a.idx = 1 AND a.i <= a.size - 3",
     ),
     "explode_samples": _select(
-        _uplink(),
-        "SELECT trace_id, msg_seq, 0 AS subpacket_pos, 0 AS sample_pos, "
-        "CAST(sub AS INTEGER) AS sub_fn, CAST(sys AS INTEGER) AS sys_fn FROM ev WHERE NOT is_report",
+        NESTED,
+        "SELECT trace_id, msg_seq, subpacket_pos, sample_pos, "
+        "CAST((msg_seq + subpacket_pos + sample_pos) % 16 AS INTEGER) AS sub_fn, "
+        "CAST((msg_seq // 3 + sample_pos) % 1024 AS INTEGER) AS sys_fn FROM s",
     ),
     "last_lcid": _select(
-        MESSAGES,
-        "SELECT msg_seq, level * (msg_seq % 4) AS total_bytes FROM m WHERE msg_seq % 4 > 0",
+        NESTED,
+        "SELECT msg_seq, subpacket_pos, sample_pos, "
+        "CASE WHEN (msg_seq + sample_pos) % 4 > 0 "
+        "THEN level * ((msg_seq + sample_pos) % 4) + subpacket_pos END AS total_bytes FROM s",
     ),
     "retx_time_fix": _select(
         MESSAGES,

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dicttext import CORRUPT, parse_dict_text
-from ..functions import radio
 from ..functions.radio import circular_diff, fix_report_time, frame_index
 from ..functions.timefmt import epoch_seconds, span_labels, utc_instant
 from ..operators import batches, fifo, filters, flush, histogram, latency, queues, records, topk
@@ -172,7 +171,7 @@ def rb_sequential(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _buffer_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = tables.uplink_from(tables.event_messages(spark, sf_dir))
+    messages = tables.nested_buffer_messages(spark, sf_dir)
     return records.buffer_samples(messages, "trace_id", "msg_seq")
 
 
@@ -181,16 +180,9 @@ def explode_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def last_lcid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Channel lists of 0 to 3 entries; samples with an empty list are left out."""
-    n = F.col("msg_seq")
-    total = F.sequence(F.lit(1).cast("bigint"), n % 4)
-    channels = F.when(n % 4 == 0, F.array().cast("array<bigint>")).otherwise(
-        F.transform(total, lambda i: F.col("level") * i)
-    )
-    return (
-        tables.event_messages(spark, sf_dir)
-        .select("msg_seq", radio.last_lcid(channels).alias("total_bytes"))
-        .filter(F.col("total_bytes").isNotNull())
+    """Level of the last channel of each sample; NULL for an empty list, which still is a sample."""
+    return _buffer_samples(spark, sf_dir).select(
+        "msg_seq", "subpacket_pos", "sample_pos", F.col("level").alias("total_bytes")
     )
 
 

@@ -127,6 +127,37 @@ def uplink_from(messages: DataFrame) -> DataFrame:
     )
 
 
+def nested_buffer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buffer messages with 0 to 3 subpackets of 0 to 3 samples of 0 to 3 channels each."""
+    n = F.col("msg_seq")
+    no_long = F.lit(None).cast("bigint")
+
+    def some(count: Column) -> Column:
+        return F.slice(F.array(*[F.lit(i) for i in range(3)]), F.lit(1), count.cast("int"))
+
+    def channels(i: Column, j: Column) -> Column:
+        return F.transform(
+            some((n + j) % 4),
+            lambda k: F.struct(F.col("level") * (k + 1) + i, no_long, no_long, no_long),
+        )
+
+    def samples(i: Column) -> Column:
+        return F.transform(
+            some((n + i) % 4),
+            lambda j: F.struct(
+                ((n + i + j) % 16).cast("int"),
+                ((F.expr("msg_seq div 3") + j) % 1024).cast("int"),
+                channels(i, j),
+            ),
+        )
+
+    subpackets = F.transform(some(n % 4), lambda i: F.struct(samples(i)))
+    return event_messages(spark, sf_dir).select(
+        "trace_id", "msg_seq", F.lit(UL_BUFFER).alias("type_id"),
+        subpackets.cast(SUBPACKETS).alias("Subpackets"),
+    )
+
+
 def uplink_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uplink messages as a stored table, as the jobs would find them."""
     return stage(uplink_from(event_messages(spark, sf_dir)), "uplink_messages")
