@@ -12,7 +12,7 @@ tokens of every prefix, and following the back-pointers gives the ids.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from functools import cache
 
 import ahocorasick
@@ -20,7 +20,7 @@ import ahocorasick
 from .words import Remembered
 
 _NEVER = 1 << 60
-_REMEMBERED_PAIRS = 2_000_000
+_REMEMBERED_PAIRS = 1_000_000
 
 
 class PrefixBpe:
@@ -39,12 +39,14 @@ class PrefixBpe:
     ):
         self.rank = tokens
         self._pairs = pairs
-        self._longest_first = ahocorasick.Automaton()
-        for token in tokens:
-            self._longest_first.add_word(token, token)
-        self._longest_first.make_automaton()
+        self._names = list(tokens)
+        self._automaton = ahocorasick.Automaton()
+        for number, token in enumerate(self._names):
+            self._automaton.add_word(token, (number, len(token)))
+        self._automaton.make_automaton()
         self._halves: dict[str, tuple[str, str] | None] = {}
-        self._apart: dict[tuple[str, str], bool] = {}
+        # Which tokens can follow which, by number; -1 is the beginning of a word.
+        self._follows: dict[int, bool] = {}
 
     def merged(self, left: str, right: str) -> str | None:
         if self._pairs is not None:
@@ -76,12 +78,17 @@ class PrefixBpe:
 
     def apart(self, left: str, right: str) -> bool:
         """Whether BPE leaves ``left`` and ``right`` as they are, side by side."""
-        key = (left, right)
-        known = self._apart.get(key)
-        if known is None:
-            if len(self._apart) >= _REMEMBERED_PAIRS:
-                self._apart.clear()
-            known = self._apart[key] = self._stay_apart(left, right)
+        return self.whole(left) and self.whole(right) and self._stay_apart(left, right)
+
+    def _follow(self, before: int, token: int) -> bool:
+        """Whether ``token`` comes after ``before``, the last token of what is before it."""
+        right = self._names[token]
+        known = self.whole(right) and (
+            before < 0 or self._stay_apart(self._names[before], right)
+        )
+        if len(self._follows) >= _REMEMBERED_PAIRS:
+            self._follows.clear()
+        self._follows[before * len(self._names) + token] = known
         return known
 
     def _stay_apart(self, left: str, right: str) -> bool:
@@ -101,30 +108,43 @@ class PrefixBpe:
             else:
                 until, right = there + 1, self.halves(right)[0]
 
-    def prefixes(self, word: str) -> tuple[list[str | None], list[int]]:
-        """Last token and number of tokens of each prefix, by its length.
-
-        Every character has to be a symbol.
-        """
-        last: list[str | None] = [None] * (len(word) + 1)
-        count = [0] * (len(word) + 1)
-        for end, token in self._longest_first.iter(word):
+    def _last_tokens(self, word: str) -> list[int]:
+        """Number of the last token of each prefix, by the prefix's length; -1 of the empty one."""
+        last = [-1] + [-2] * len(word)
+        follows, size = self._follows, len(self._names)
+        for end, (token, length) in self._automaton.iter(word):
             end += 1
-            if last[end] is not None or not self.whole(token):
-                continue
-            before = end - len(token)
-            if before == 0 or self.apart(last[before], token):
-                last[end], count[end] = token, count[before] + 1
-        return last, count
+            if last[end] == -2:
+                before = last[end - length]
+                known = follows.get(before * size + token)
+                if self._follow(before, token) if known is None else known:
+                    last[end] = token
+        return last
+
+    def prefixes(self, word: str) -> list[int]:
+        """Number of tokens of each prefix, by its length; every character has to be a symbol."""
+        counts = [0]
+        for end, token in enumerate(self._last_tokens(word)[1:], 1):
+            counts.append(counts[end - len(self._names[token])] + 1)
+        return counts
 
     def encode(self, word: str) -> list[str]:
-        last, _ = self.prefixes(word)
+        last, names = self._last_tokens(word), self._names
         out, end = [], len(word)
         while end:
-            out.append(last[end])
-            end -= len(last[end])
+            token = names[last[end]]
+            out.append(token)
+            end -= len(token)
         return out[::-1]
 
+    def count(self, word: str) -> int:
+        """Number of tokens of a word."""
+        last, names = self._last_tokens(word), self._names
+        n, end = 0, len(word)
+        while end:
+            n, end = n + 1, end - len(names[last[end]])
+        return n
+
 
 class WordEndTokenizer:
     """Encoder for a ``tokenizers`` file of byte-level BPE with word ends.
@@ -243,9 +263,10 @@ class PieceTokenizer:
             raise ValueError("the model changes spaces")
         self._bpe = PrefixBpe(tokens)
         self._symbols = {t for t in tokens if len(t) == 1}
-        # Counts of a word after a mark: tokens, and whether the mark stays alone.
-        self._marked = Remembered(self._count_marked)
-        self._bare = Remembered(lambda word: self._word_prefixes(word)[-1])
+        # Tokens of a word after a mark and without one, and whether the mark stays alone.
+        self._marked = Remembered(lambda word: self._word_count(self.MARK + word))
+        self._bare = Remembered(self._word_count)
+        self._alone = Remembered(self._mark_alone)
         self._run_counts = [0]
         self._run_parts: list[int] = []
 
@@ -255,7 +276,7 @@ class PieceTokenizer:
         for i, c in enumerate([*word, None]):
             if c is None or c not in self._symbols:
                 if i > start:
-                    counts += [base + n for n in self._bpe.prefixes(word[start:i])[1][1:]]
+                    counts += [base + n for n in self._bpe.prefixes(word[start:i])[1:]]
                     base = counts[-1]
                 if c is not None:
                     base += len(c.encode("utf-8"))
@@ -263,6 +284,11 @@ class PieceTokenizer:
                 start = i + 1
         return counts
 
+    def _word_count(self, word: str) -> int:
+        if self._symbols.issuperset(word):
+            return self._bpe.count(word)
+        return self._word_prefixes(word)[-1]
+
     def _mark_alone(self, word: str) -> bool:
         """Whether the first token of the marked word is the mark alone."""
         if word[:1] not in self._symbols:
@@ -270,9 +296,6 @@ class PieceTokenizer:
         end = next((i for i, c in enumerate(word) if c not in self._symbols), len(word))
         return self._bpe.encode(self.MARK + word[:end])[0] == self.MARK
 
-    def _count_marked(self, word: str) -> tuple[int, bool]:
-        return self._word_prefixes(self.MARK + word)[-1], self._mark_alone(word)
-
     def run_count(self, length: int) -> int:
         """Tokens of a run of marks; pairs merge leftmost first while the sum is a piece."""
         while len(self._run_counts) <= length:
@@ -298,10 +321,11 @@ class PieceTokenizer:
                 if not word:
                     waiting += 1
                     continue
-                tokens, alone = marked[word]
-                total += tokens
+                total += marked[word]
                 if waiting:
-                    total += self.run_count(waiting + 1) - 1 if alone else self.run_count(waiting)
+                    # A mark that stays alone is one more of the run.
+                    own = self._alone[word]
+                    total += self.run_count(waiting + 1) - 1 if own else self.run_count(waiting)
                     waiting = 0
             total += self.run_count(waiting)
         return total + text.count("\n")

@@ -12,7 +12,7 @@ import xxhash
 SHINGLE_WORDS = 5
 
 # Words a worker remembers; it forgets all of them when full, which costs time only.
-_REMEMBERED = 400_000
+_REMEMBERED = 1_000_000
 _LONGEST_REMEMBERED = 64
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
