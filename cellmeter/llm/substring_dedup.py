@@ -20,13 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import stage
 from .components import components
-from .jaccard_join import BLOCK_ITEMS, SIMILARITY, similar_items, text_key, text_shingles
+from .jaccard_join import BLOCK_ITEMS, SIMILARITY, similar_items, text_key
 from .words import SHINGLE_WORDS, mixed, run_hashes, word_hashes
 
 LINE_WORDS = 50
@@ -50,31 +49,71 @@ _SIGNATURE_FACTORS = _odd(BANDS * BAND_ROWS, 3)
 _BAND_FACTORS = _odd(BAND_ROWS, 4)
 
 
-def marked_windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First words of the windows of a text and two hashes of each."""
-    hashes = word_hashes(words)
+def _sliding(values: np.ndarray, length: int, extreme: np.ufunc) -> np.ndarray:
+    """Least or largest of each ``length`` values in a row, by doubling the runs."""
+    run, known = values, 1
+    while 2 * known <= length:
+        run, known = extreme(run[:-known], run[known:]), 2 * known
+    rest = length - known
+    return extreme(run[:-rest], run[rest:]) if rest else run
+
+
+def window_starts(hashes: np.ndarray) -> np.ndarray:
+    """First words of the windows of a text: shingles that are least among some MARK_WORDS in a row."""
     last = len(hashes) - WINDOW_WORDS
     marks = run_hashes(hashes, SHINGLE_WORDS)
     if last < 0 or len(marks) < MARK_WORDS:
-        empty = np.empty(0, np.uint64)
-        return np.empty(0, np.int64), empty, empty
-    least = sliding_window_view(marks, MARK_WORDS).argmin(axis=1)
-    starts = np.unique(least + np.arange(len(least)))
-    starts = starts[starts <= last]
-    inside = hashes[starts[:, None] + np.arange(WINDOW_WORDS)]
+        return np.empty(0, np.int64)
+    least = _sliding(marks, MARK_WORDS, np.minimum)
+    ends = np.zeros(MARK_WORDS - 1, np.uint64)
+    highest = _sliding(np.concatenate([ends, least, ends]), MARK_WORDS, np.maximum)
+    starts = np.flatnonzero(highest == marks)
+    return starts[starts <= last]
+
+
+def window_hashes(hashes: np.ndarray, starts: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """A hash of each window."""
     with np.errstate(over="ignore"):
-        first, second = (mixed((inside * f).sum(axis=1, dtype=np.uint64)) for f in _WINDOW_FACTORS)
+        inside = hashes[starts[:, None] + np.arange(WINDOW_WORDS)]
+        return mixed((inside * factors).sum(axis=1, dtype=np.uint64))
+
+
+def marked_windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words of the windows of a text and two hashes of each."""
+    hashes = word_hashes(words)
+    starts = window_starts(hashes)
+    first, second = (window_hashes(hashes, starts, f) for f in _WINDOW_FACTORS)
     return starts, first, second
 
 
-def band_hashes(shingles: np.ndarray) -> np.ndarray:
-    """One bucket per band out of the MinHash signature of a set."""
+# Products of shingles and factors that are held at once.
+_PRODUCTS = 1 << 20
+
+
+def band_hashes(runs: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """One bucket per band and span, out of the MinHash signatures of spans of ``runs``.
+
+    ``spans`` has begin and end of each; none is empty.
+    """
+    lengths = spans[:, 1] - spans[:, 0]
+    out = np.empty((len(spans), BANDS), np.uint64)
+    width = max(1, _PRODUCTS // len(_SIGNATURE_FACTORS))
+    at = 0
     with np.errstate(over="ignore"):
-        signature = np.empty(len(_SIGNATURE_FACTORS), np.uint64)
-        for i, factor in enumerate(_SIGNATURE_FACTORS):
-            signature[i] = (shingles * factor).min()
-        values = (signature.reshape(BANDS, BAND_ROWS) * _BAND_FACTORS).sum(axis=1, dtype=np.uint64)
-        return mixed(values + np.arange(1, BANDS + 1, dtype=np.uint64))
+        while at < len(spans):
+            more = int(np.searchsorted(np.cumsum(lengths[at:]), width, "right")) or 1
+            some = spans[at : at + more]
+            own = np.concatenate([runs[b:e] for b, e in some])
+            begins = np.concatenate([[0], np.cumsum(lengths[at : at + more])[:-1]])
+            if len(own) <= width:
+                least = np.minimum.reduceat(own * _SIGNATURE_FACTORS[:, None], begins, axis=1)
+            else:  # one long span
+                least = np.array([[(own * f).min()] for f in _SIGNATURE_FACTORS])
+            rows = least.T.reshape(more, BANDS, BAND_ROWS)
+            values = (rows * _BAND_FACTORS).sum(axis=2, dtype=np.uint64)
+            out[at : at + more] = mixed(values + np.arange(1, BANDS + 1, dtype=np.uint64))
+            at += more
+    return out
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -85,32 +124,101 @@ def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _described(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, marks, lines`` of each document; stored.
+
+    ``marks`` are the distinct first hashes of its windows, ``lines`` its lines
+    of enough words with what is needed to compare them.
+    """
+    schema = (
+        "doc_id bigint, text_key binary, marks array<bigint>, lines array<struct<item: binary,"
+        " line_key: binary, start: int, n_words: int, size: int, buckets: array<bigint>>>"
+    )
+    kinds = [
+        ("item", pa.binary()), ("line_key", pa.binary()), ("start", pa.int32()),
+        ("n_words", pa.int32()), ("size", pa.int32()), ("buckets", pa.list_(pa.int64())),
+    ]
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks, mark_ends, line_ends = [np.empty(0, np.uint64)], [0], [0]
+            columns = [[], [], [], [], [], [np.empty((0, BANDS), np.uint64)]]
+            for text in batch.column(2):
+                data = text.as_py() or b""
+                hashes = word_hashes(data.split())
+                starts = window_starts(hashes)
+                marks.append(np.unique(window_hashes(hashes, starts, _WINDOW_FACTORS[0])))
+                mark_ends.append(mark_ends[-1] + len(marks[-1]))
+                found = _long_lines(data, len(hashes))
+                line_ends.append(line_ends[-1] + len(found))
+                if not found:
+                    continue
+                runs = run_hashes(hashes, SHINGLE_WORDS)
+                spans = np.array([(b, b + n - SHINGLE_WORDS + 1) for b, n, _ in found])
+                for (begin, count, line), (at, end) in zip(found, spans):
+                    shingles = np.unique(runs[at:end])
+                    columns[0].append(hashlib.blake2b(shingles, digest_size=16).digest())
+                    columns[1].append(hashlib.md5(line).digest())
+                    columns[2].append(begin)
+                    columns[3].append(count)
+                    columns[4].append(len(shingles))
+                columns[5].append(band_hashes(runs, spans))
+            buckets = pa.array(np.concatenate(columns.pop()).ravel().view(np.int64))
+            offsets = pa.array(np.arange(0, len(buckets) + 1, BANDS), pa.int32())
+            arrays = [pa.array(c, kind) for c, (_, kind) in zip(columns, kinds)]
+            arrays.append(pa.ListArray.from_arrays(offsets, buckets))
+            lines = pa.StructArray.from_arrays(arrays, names=[n for n, _ in kinds])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.ListArray.from_arrays(
+                        pa.array(mark_ends, pa.int32()),
+                        pa.array(np.concatenate(marks).view(np.int64)),
+                    ),
+                    pa.ListArray.from_arrays(pa.array(line_ends, pa.int32()), lines),
+                ],
+                ["doc_id", "text_key", "marks", "lines"],
+            )
+
+    return stage(docs.mapInArrow(describe, schema), "described")
+
+
+def _long_lines(data: bytes, n_words: int) -> list[tuple[int, int, bytes]]:
+    """First word, number of words and text of each line of enough words."""
+    found, start = [], 0
+    if n_words >= LINE_WORDS:
+        for line in data.split(b"\n"):
+            count = len(line.split())
+            if count >= LINE_WORDS:
+                found.append((start, count, line))
+            start += count
+    return found
+
+
 def _windows(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, h1, h2, start``: the windows of each document."""
     schema = (
         "doc_id bigint, text_key binary, windows array<struct<h1: bigint, h2: bigint, start: int>>"
     )
-    entry = pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("start", pa.int32())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lengths, parts = [0], []
+            ends, parts = [0], [(np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, int))]
             for text in batch.column(2):
                 starts, first, second = marked_windows((text.as_py() or b"").split())
-                lengths.append(len(starts))
-                parts.append((first.view(np.int64), second.view(np.int64), starts))
-            first, second, starts = (
-                np.concatenate(x) if parts else np.empty(0, np.int64) for x in zip(*parts)
-            )
+                ends.append(ends[-1] + len(starts))
+                parts.append((first, second, starts))
+            first, second, starts = map(np.concatenate, zip(*parts))
             values = pa.StructArray.from_arrays(
                 [
-                    pa.array(first, pa.int64()),
-                    pa.array(second, pa.int64()),
-                    pa.array(starts.astype(np.int32), pa.int32()),
+                    pa.array(first.view(np.int64)),
+                    pa.array(second.view(np.int64)),
+                    pa.array(starts.astype(np.int32)),
                 ],
-                fields=list(entry),
+                names=["h1", "h2", "start"],
             )
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), values)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), lists], ["doc_id", "text_key", "windows"]
             )
@@ -119,12 +227,13 @@ def _windows(docs: DataFrame) -> DataFrame:
     return found.select(*_DOC, F.explode("windows").alias("w")).select(*_DOC, "w.*")
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
+def repeated_windows(docs: DataFrame, described: DataFrame) -> DataFrame:
     """``doc_id, text_key, start, n_words, first, n`` of windows that several documents have."""
-    windows = _windows(docs)
-    often = windows.groupBy("h1").agg(F.count("*").alias("n")).filter("n > 1").select("h1")
-    shared = stage(windows.join(often, "h1", "left_semi"), "windows")
-    # Those that one document has several times go here.
+    marks = described.select(F.explode("marks").alias("h1"))
+    often = marks.groupBy("h1").agg(F.count("*").alias("n")).filter("n > 1").select("h1")
+    # Stored, so that the joins below may split the partitions of a hot window.
+    often = stage(often, "often")
+    shared = stage(_windows(docs).join(often, "h1", "left_semi"), "windows")
     firsts = (
         shared.groupBy("h1", "h2")
         .agg(
@@ -135,57 +244,16 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         .filter(~F.col("first").eqNullSafe(F.col("_last")))
         .drop("_last")
     )
-    return shared.join(firsts, ["h1", "h2"]).select(
+    return shared.join(stage(firsts, "firsts"), ["h1", "h2"]).select(
         *_DOC, "start", F.lit(WINDOW_WORDS).alias("n_words"), "first", "n"
     )
 
 
-def _line_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, item, line_key, start, size, buckets`` of each line of enough words."""
-    schema = (
-        "doc_id bigint, text_key binary, lines array<struct<item: binary, line_key: binary,"
-        " start: int, n_words: int, size: int, buckets: array<bigint>>>"
-    )
-    entry = pa.struct(
-        [
-            ("item", pa.binary()), ("line_key", pa.binary()), ("start", pa.int32()),
-            ("n_words", pa.int32()), ("size", pa.int32()), ("buckets", pa.list_(pa.int64())),
-        ]
-    )
-
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text in batch.column(2):
-                found, start = [], 0
-                for line in (text.as_py() or b"").split(b"\n"):
-                    count = len(line.split())
-                    if count >= LINE_WORDS:
-                        shingles = text_shingles(line)
-                        found.append(
-                            {
-                                "item": hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(),
-                                "line_key": hashlib.md5(line).digest(),
-                                "start": start,
-                                "n_words": count,
-                                "size": len(shingles),
-                                "buckets": band_hashes(shingles).view(np.int64),
-                            }
-                        )
-                    start += count
-                rows.append(found)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(rows, pa.list_(entry))],
-                ["doc_id", "text_key", "lines"],
-            )
-
-    found = docs.mapInArrow(describe, schema)
-    return found.select(*_DOC, F.explode("lines").alias("l")).select(*_DOC, "l.*")
-
-
-def similar_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def similar_lines(
+    docs: DataFrame, described: DataFrame, similarity: float = SIMILARITY
+) -> DataFrame:
     """``doc_id, text_key, start, n_words, first, n`` of lines with copies or near copies elsewhere."""
-    lines = stage(_line_rows(docs), "lines")
+    lines = described.select(*_DOC, F.explode("lines").alias("l")).select(*_DOC, "l.*")
     items = stage(
         lines.groupBy("item").agg(
             F.min(F.struct("doc_id", F.col("line_key").alias("text_key"))).alias("holder"),
@@ -235,7 +303,8 @@ def repeated_paragraphs(
     whose copy stays, ``n`` the number of copies.
     """
     narrow = _narrow(docs, id_col, text_col)
-    return repeated_windows(narrow).unionByName(similar_lines(narrow))
+    described = _described(narrow)
+    return repeated_windows(narrow, described).unionByName(similar_lines(narrow, described))
 
 
 def _removed() -> Column:
