@@ -29,14 +29,15 @@ def staging_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/cellmeter-{context.applicationId}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the staging folder and read it back."""
+def stage(df: DataFrame, name: str, level: int = 3) -> DataFrame:
+    """Write ``df`` below the staging folder, at a level of zstandard, and read it back."""
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
     opened = _open_paths.get()
     if opened is not None:
         opened.append(path)
-    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    writer = df.write.mode("errorifexists").option("compression", "zstd")
+    writer.option("parquet.compression.codec.zstd.level", level).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
