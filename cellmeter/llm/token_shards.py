@@ -145,7 +145,8 @@ def token_table(docs: DataFrame, path: str, pattern: str, text_col: str = "text"
             )
 
     narrow = docs.select(F.col(text_col))
-    return stage(narrow.mapInArrow(encode, "part int, start bigint, ids binary"), "tokens")
+    found = narrow.mapInArrow(encode, "part int, start bigint, ids binary")
+    return stage(found, "tokens", level=9)
 
 
 def write_shards(
@@ -187,7 +188,7 @@ def write_shards(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Shuffled ids take a fifth less room this way than by Spark's codec alone.
-        compress = zstandard.ZstdCompressor(level=3).compress
+        compress = zstandard.ZstdCompressor(level=9).compress
         for batch in batches:
             numbers, at, data = [], [], []
             for begin, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
