@@ -1,6 +1,7 @@
 """Quality rules with compression bands.
 
-A text is compressed whole and in fixed chunks. Repetitive text compresses too
+A text is compressed whole and in fixed chunks, of which the last ends with the
+text and may overlap the one before. Repetitive text compresses too
 well, noise (random strings, encoded data) not well enough; what is normal
 depends on the length, so the limits do too.
 """
@@ -93,11 +94,10 @@ def measure(data: bytes | None, bands=BANDS, chunk_bytes: int = CHUNK_BYTES) ->
     failed = len(words) < 50 or 100 * repeated > 50 * len(words)
 
     ratio = compressed_share(data)
-    # Chunks have one length; what is left over at the end is too short to compare.
-    shares = [
-        compressed_share(data[i : i + chunk_bytes])
-        for i in range(0, len(data) - chunk_bytes + 1, chunk_bytes)
-    ] or [ratio]
+    # Chunks have one length, so that they compare; the last one ends with the text.
+    last = len(data) - chunk_bytes
+    begins = [*range(0, last, chunk_bytes), last] if last >= 0 else []
+    shares = [compressed_share(data[i : i + chunk_bytes]) for i in begins] or [ratio]
     low, high = limits(len(data), bands)
     normal = low <= ratio <= high
     if len(data) >= chunk_bytes:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import collections
 import hashlib
 import random
@@ -165,6 +166,25 @@ def test_quality_measures(spark, sf_dir):
     assert quality.keep_quality(frame.limit(0)).collect() == []
 
 
+def test_the_end_of_a_text_is_in_a_chunk(spark, sf_dir):
+    rng = random.Random(9)
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    size = quality.CHUNK_BYTES
+    prose = "\n".join(t for t in texts if t and quality.measure(t.encode())["kept"]).encode()
+    head = next(c for i in range(0, len(prose), size) if quality.measure(c := prose[i : i + size])["kept"])
+    assert quality.measure(head)["n_words"] >= 50
+    noise = base64.b64encode(rng.randbytes(3_000))
+    short = [quality.measure(head + noise[:n]) for n in (0, 1, 4_000)]
+    assert [m["kept"] for m in short] == [True, True, False]
+    assert short[2]["largest_chunk_ratio"] == quality.compressed_share((head + noise)[-size:])
+    same = quality.measure(head + b"a" * 4_000)
+    assert not same["kept"] and same["least_chunk_ratio"] < 0.28
+    # A text of a whole number of chunks has no chunk more.
+    parts = [quality.compressed_share(x) for x in (head, noise + b" " * 96)]
+    two = quality.measure(head + noise + b" " * 96)
+    assert [two["least_chunk_ratio"], two["largest_chunk_ratio"]] == sorted(parts)
+
+
 # --- main text -----------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{margin:0}</style>
