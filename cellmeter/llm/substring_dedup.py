@@ -1,8 +1,9 @@
 """Passages that repeat across documents.
 
-Two kinds of paragraphs are compared. Lines of ``LINE_WORDS`` words or more are
-banded by MinHash, colliding lines are joined, their Jaccard similarity is
-verified, and near copies form components. A passage may also lie anywhere
+Two kinds of paragraphs are compared. Lines, runs of shorter lines and whole
+blocks of lines up to an empty one, if they have ``LINE_WORDS`` words or more,
+are banded by MinHash, whatever their line ends; colliding ones are joined, their
+Jaccard similarity is verified, and near copies form components. A passage may also lie anywhere
 inside longer lines, or go over several: so windows of ``WINDOW_WORDS`` words
 are taken where the text itself marks a place (a shingle whose hash is the least
 of ``MARK_WORDS`` in a row), which are the same places in every copy; equal
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..staging import stage
 from .components import components
-from .jaccard_join import BLOCK_ITEMS, SIMILARITY, similar_items, text_key
+from .jaccard_join import BLOCK_ITEMS, SIMILARITY, _with_text, similar_items, text_key
 from .words import SHINGLE_WORDS, mixed, run_hashes, word_hashes
 
 LINE_WORDS = 50
@@ -127,29 +129,32 @@ def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _described(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, marks, lines`` of each document; stored.
 
-    ``marks`` are the distinct first hashes of its windows, ``lines`` its lines
-    of enough words with what is needed to compare them.
+    ``marks`` are the distinct first hashes of its windows, ``lines`` its
+    paragraphs of enough words with what is needed to compare them; ``several``
+    says that one has several lines.
     """
     schema = (
         "doc_id bigint, text_key binary, marks array<bigint>, lines array<struct<item: binary,"
-        " line_key: binary, start: int, n_words: int, size: int, buckets: array<bigint>>>"
+        " line_key: binary, start: int, n_words: int, size: int, several: boolean,"
+        " buckets: array<bigint>>>"
     )
     kinds = [
         ("item", pa.binary()), ("line_key", pa.binary()), ("start", pa.int32()),
-        ("n_words", pa.int32()), ("size", pa.int32()), ("buckets", pa.list_(pa.int64())),
+        ("n_words", pa.int32()), ("size", pa.int32()), ("several", pa.bool_()),
+        ("buckets", pa.list_(pa.int64())),
     ]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks, mark_ends, line_ends = [np.empty(0, np.uint64)], [0], [0]
-            columns = [[], [], [], [], [], [np.empty((0, BANDS), np.uint64)]]
+            columns = [[], [], [], [], [], [], [np.empty((0, BANDS), np.uint64)]]
             for text in batch.column(2):
                 data = text.as_py() or b""
                 hashes = word_hashes(data.split())
                 starts = window_starts(hashes)
                 marks.append(np.unique(window_hashes(hashes, starts, _WINDOW_FACTORS[0])))
                 mark_ends.append(mark_ends[-1] + len(marks[-1]))
-                found = _long_lines(data, len(hashes))
+                found = _paragraphs(data, len(hashes))
                 line_ends.append(line_ends[-1] + len(found))
                 if not found:
                     continue
@@ -162,7 +167,8 @@ def _described(docs: DataFrame) -> DataFrame:
                     columns[2].append(begin)
                     columns[3].append(count)
                     columns[4].append(len(shingles))
-                columns[5].append(band_hashes(runs, spans))
+                    columns[5].append(b"\n" in line)
+                columns[6].append(band_hashes(runs, spans))
             buckets = pa.array(np.concatenate(columns.pop()).ravel().view(np.int64))
             offsets = pa.array(np.arange(0, len(buckets) + 1, BANDS), pa.int32())
             arrays = [pa.array(c, kind) for c, (_, kind) in zip(columns, kinds)]
@@ -184,16 +190,74 @@ def _described(docs: DataFrame) -> DataFrame:
     return stage(docs.mapInArrow(describe, schema), "described")
 
 
-def _long_lines(data: bytes, n_words: int) -> list[tuple[int, int, bytes]]:
-    """First word, number of words and text of each line of enough words."""
-    found, start = [], 0
-    if n_words >= LINE_WORDS:
-        for line in data.split(b"\n"):
-            count = len(line.split())
-            if count >= LINE_WORDS:
-                found.append((start, count, line))
-            start += count
-    return found
+def _paragraphs(data: bytes, n_words: int) -> list[tuple[int, int, bytes]]:
+    """First word, number of words and text of each paragraph of enough words.
+
+    These are the long lines, the runs of shorter lines, and the blocks up to an
+    empty line; the same lines are one paragraph.
+    """
+    found: dict[tuple[int, int], bytes] = {}
+    if n_words < LINE_WORDS:
+        return []
+
+    def add(start: int, lines: list[bytes], count: int) -> None:
+        if count >= LINE_WORDS:
+            found.setdefault((start, count), b"\n".join(lines))
+
+    start = 0
+    block, block_words = [], 0
+    run, run_words = [], 0
+    for line in [*data.split(b"\n"), b""]:
+        count = len(line.split())
+        if run and not 0 < count < LINE_WORDS:
+            add(start - run_words, run, run_words)
+            run, run_words = [], 0
+        if count == 0:
+            add(start - block_words, block, block_words)
+            block, block_words = [], 0
+            continue
+        if count >= LINE_WORDS:
+            add(start, [line], count)
+        else:
+            run.append(line)
+            run_words += count
+        block.append(line)
+        block_words += count
+        start += count
+    return [(start, count, text) for (start, count), text in found.items()]
+
+
+def _paragraph_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` of each paragraph of enough words."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text in zip(batch.column(0), batch.column(1)):
+                data = text.as_py() or b""
+                found = [x for _, _, x in _paragraphs(data, len(data.split()))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([doc.as_py()] * len(found), pa.int64()), pa.array(found, pa.binary())],
+                    ["doc_id", "text"],
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(cut, "doc_id bigint, text binary")
+
+
+def common_lines(data: bytes, start: int, count: int, other: bytes) -> tuple[int, int]:
+    """First word and number of words of a paragraph without outer lines of which ``other`` has nothing."""
+    own = run_hashes(word_hashes(data.split())[start : start + count], SHINGLE_WORDS)
+    there = run_hashes(word_hashes(other.split()), SHINGLE_WORDS)
+    shared = np.zeros(count, bool)
+    places = np.flatnonzero(np.isin(own, there))
+    for i in range(SHINGLE_WORDS):
+        shared[places + i] = True
+    sizes = [len(line.split()) for line in data.split(b"\n")]
+    ends = np.cumsum(sizes) - start
+    spans = [(e - n, e) for e, n in zip(ends.tolist(), sizes) if n and n <= e <= count]
+    kept = [(b, e) for b, e in spans if shared[b:e].any()]
+    if not kept:
+        return start, count
+    return start + kept[0][0], kept[-1][1] - kept[0][0]
 
 
 def _windows(docs: DataFrame) -> DataFrame:
@@ -252,7 +316,11 @@ def repeated_windows(docs: DataFrame, described: DataFrame) -> DataFrame:
 def similar_lines(
     docs: DataFrame, described: DataFrame, similarity: float = SIMILARITY
 ) -> DataFrame:
-    """``doc_id, text_key, start, n_words, first, n`` of lines with copies or near copies elsewhere."""
+    """``doc_id, text_key, start, n_words, first, n`` of paragraphs with copies or near copies elsewhere.
+
+    Outer lines of a paragraph stay out of it if the first document has nothing
+    of them.
+    """
     lines = described.select(*_DOC, F.explode("lines").alias("l")).select(*_DOC, "l.*")
     items = stage(
         lines.groupBy("item").agg(
@@ -268,30 +336,80 @@ def similar_lines(
     rows = items.select("item", F.explode("buckets").alias("bucket"))
     counts = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = stage(rows.join(counts, "bucket").select("bucket", "item", "n"), "line_buckets")
-    texts = docs.select(
-        "doc_id", F.explode(F.split(F.col("text").cast("string"), "\n")).alias("text")
-    )
-    long_lines = texts.filter(F.length("text") >= 2 * LINE_WORDS - 1)
-    links = stage(
-        similar_items(buckets, items, long_lines, similarity, BLOCK_ITEMS), "line_links"
-    )
+    # Only paragraphs that there is something to compare with are brought.
+    held = buckets.select("item").distinct().join(items, "item")
+    holders = stage(held.select("holder.doc_id", "holder.text_key").distinct(), "holders")
+    texts = _paragraph_texts(_only(docs, holders.select("doc_id").distinct()))
+    texts = _only(texts.withColumn("text_key", text_key(F.col("text"))), holders)
+    links = stage(similar_items(buckets, items, texts, similarity, BLOCK_ITEMS), "line_links")
     roots = components(links.select(F.col("item").alias("a"), F.col("head").alias("b")))
     members = (
-        items.select("item", "first", "last", "copies")
+        items.select("item", "first", "last")
         .join(roots.withColumnRenamed("node", "item"), "item", "left")
         .withColumn("root", F.coalesce("root", "item"))
     )
     classes = (
         members.groupBy("root")
-        .agg(
-            F.min("first").alias("first"),
-            F.max("last").alias("_last"),
-            F.sum("copies").alias("n"),
-        )
+        .agg(F.min("first").alias("first"), F.max("last").alias("_last"))
         .filter(~F.col("first").eqNullSafe(F.col("_last")))
+        .drop("_last")
+    )
+    per_item = members.select("item", "root").join(classes, "root")
+    # A line and its block may be in one class; they are one copy.
+    outer_first = Window.partitionBy("root", *_DOC).orderBy("start", F.desc("n_words"))
+    end = F.col("start") + F.col("n_words")
+    reached = F.max(end).over(outer_first.rowsBetween(Window.unboundedPreceding, -1))
+    found = stage(
+        lines.select(*_DOC, "item", "start", "n_words", "several")
+        .join(per_item, "item")
+        .distinct()
+        .withColumn("_outer", F.coalesce(reached < end, F.lit(True)))
+        .filter("_outer")
+        .drop("_outer"),
+        "line_classes",
+    )
+    counts = stage(found.groupBy("root").agg(F.count("*").alias("n")), "line_counts")
+    counted = found.join(counts, "root").drop("root")
+    # Paragraphs with the shingles of the first document's have all lines of it.
+    same = counted.filter(~_removed()).select("item", F.lit(True).alias("_same")).distinct()
+    marked = counted.join(same, "item", "left").withColumn(
+        "_trim", F.col("several") & _removed() & F.col("_same").isNull()
+    )
+    marked = stage(marked.drop("item", "several", "_same"), "similar_lines")
+    whole = marked.filter(~F.col("_trim")).drop("_trim")
+    return whole.unionByName(_trimmed(marked.filter("_trim").drop("_trim"), docs))
+
+
+def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that agree with a row of ``wanted`` in all its columns."""
+    keys = wanted.select(*[F.col(c).alias(f"_wanted_{c}") for c in wanted.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_wanted_{c}")) for c in wanted.columns]
+    return docs.join(keys, reduce(Column.__and__, same), "left_semi")
+
+
+def _trimmed(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` with the part of their paragraphs that ``common_lines`` gives."""
+    wanted = rows.select(*_DOC).union(rows.select("first.*")).distinct()
+    docs = stage(_only(docs, stage(wanted, "wanted")).distinct(), "wanted_texts")
+    own = _with_text(rows.withColumn("holder", F.struct(*_DOC)), docs)
+    both = _with_text(
+        own.withColumnRenamed("text", "own").withColumn("holder", F.col("first")), docs
+    )
+
+    @F.arrow_udf("struct<start: int, n_words: int>")
+    def common(own: pa.Array, start: pa.Array, count: pa.Array, first: pa.Array) -> pa.Array:
+        spans = [
+            common_lines(d.as_py(), s.as_py(), n.as_py(), f.as_py())
+            for d, s, n, f in zip(own, start, count, first)
+        ]
+        return pa.array(
+            [{"start": s, "n_words": n} for s, n in spans],
+            pa.struct([("start", pa.int32()), ("n_words", pa.int32())]),
+        )
+
+    return both.withColumn("_span", common("own", "start", "n_words", "text")).select(
+        *_DOC, "_span.start", "_span.n_words", "first", "n"
     )
-    per_item = members.select("item", "root").join(classes, "root").select("item", "first", "n")
-    return lines.join(per_item, "item").select(*_DOC, "start", "n_words", "first", "n")
 
 
 def repeated_paragraphs(

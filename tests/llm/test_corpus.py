@@ -269,6 +269,51 @@ def test_repeated_passages_are_found_and_cut(spark):
     assert substring_dedup.without_repeats(docs.limit(0)).collect() == []
 
 
+def wrapped(found, *widths):
+    """Words in lines of the given widths, in turn."""
+    lines, at = [], 0
+    for width in itertools.cycle(widths):
+        if at >= len(found):
+            return "\n".join(lines)
+        lines.append(" ".join(found[at : at + width]))
+        at += width
+
+
+def test_near_copies_in_other_lines_are_found(spark):
+    rng = random.Random(12)
+    draw = lambda n: [f"x{rng.randrange(10_000)}" for _ in range(n)]
+    rows, near, edges = [], [], []
+    for widths, others in [((20,), (25,)), ((10,), (100,)), ((60, 40), (34,)), ((60, 40), (60, 40)), ((49,), (7, 12))]:
+        base = draw(100)
+        changed = [("y" if i in (33, 66) else w) for i, w in enumerate(base)]
+        head, tail = " ".join(draw(60)), " ".join(draw(60))
+        near.append((len(rows), len(rows) + 1))
+        rows.append((len(rows), f"{head}\n\n{wrapped(base, *widths)}\n\n{tail}"))
+        edges.append((" ".join(draw(55)), " ".join(draw(56))))
+        rows.append((len(rows), f"{edges[-1][0]}\n\n{wrapped(changed, *others)}\n \n{edges[-1][1]}"))
+    # Without empty lines around, a run of shorter lines between long ones.
+    base = draw(100)
+    changed = [("y" if i in (33, 66) else w) for i, w in enumerate(base)]
+    near.append((len(rows), len(rows) + 1))
+    rows.append((len(rows), f"{' '.join(draw(70))}\n{wrapped(base, 20)}\n{' '.join(draw(70))}"))
+    edges.append((" ".join(draw(70)), " ".join(draw(70))))
+    rows.append((len(rows), f"{edges[-1][0]}\n{wrapped(changed, 25)}\n{edges[-1][1]}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = collections.defaultdict(list)
+    for r in substring_dedup.repeated_passages(docs).collect():
+        found[r.doc_id].append((r.class_id, r.n_copies, r.removed))
+    assert found == {i: [(a, 2, i != a)] for a, b in near for i in (a, b)}
+    texts = {r.doc_id: r.text for r in substring_dedup.without_repeats(docs).collect()}
+    assert all(texts[a] == rows[a][1] for a, _ in near)
+    assert [[x for x in texts[b].split("\n") if x.strip()] for _, b in near] == list(map(list, edges))
+
+
+def test_outer_lines_of_their_own_stay():
+    own = b"own words here now and then\na b c d e f\nnew\ng h i j k\nlast own words of it all"
+    assert substring_dedup.common_lines(own, 0, 24, b"z a b c d e f g h i j k z") == (6, 12)
+    assert substring_dedup.common_lines(own, 0, 24, b"nothing") == (0, 24)
+
+
 def test_any_passage_of_51_words_holds_a_common_window():
     rng = random.Random(7)
     for _ in range(300):
