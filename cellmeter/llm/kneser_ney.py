@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable
 from math import log
+from unicodedata import category
 
 import numpy as np
 
@@ -22,8 +23,35 @@ SHARED_ORDER = 2
 DISCOUNT = 0.75
 EDGE = " "
 
-# Letters of a word that are read; longer ones are encoded data, not expressions.
+# Longer words, in bytes, are texts without spaces or words that something else joins.
 LONGEST_WORD = 64
+# Letters of a text without spaces that count as one word.
+WORD_LETTERS = 5
+
+
+def _joins(letter: str) -> bool:
+    kind = category(letter)
+    return kind[0] in "PSZ" or kind == "Cc"
+
+
+_JOINS = Remembered(_joins)
+
+
+def parts(word: bytes) -> list[bytes]:
+    """A long word in parts, between punctuation, symbols or spaces of any kind."""
+    if len(word) <= LONGEST_WORD:
+        return [word]
+    letters = word.decode("utf-8", "replace")
+    found = "".join(" " if _JOINS[x] else x for x in letters).split()
+    return [x.encode() for x in found] or [word]
+
+
+def read_words(data: bytes | None) -> list[bytes]:
+    """The words of a whole text, long ones in parts."""
+    words = (data or b"").split()
+    if max(map(len, words), default=0) <= LONGEST_WORD:
+        return words
+    return [part for word in words for part in parts(word)]
 
 
 def lettered(word: bytes) -> str:
@@ -33,7 +61,7 @@ def lettered(word: bytes) -> str:
 
 def grams(word: bytes, order: int, least: int = 1) -> Iterable[str]:
     """Letter runs of a word that end at each letter: those of full order, and its beginnings."""
-    letters = lettered(word[:LONGEST_WORD])
+    letters = lettered(word)
     for end in range(2, len(letters) + 1):
         begin = max(0, end - order)
         if end - begin >= least:
@@ -119,6 +147,21 @@ class ClassModels:
     def _ratio_of_word(self, word: bytes) -> float:
         return sum(map(self._gram_ratio.__getitem__, grams(word, self.order)))
 
+    def stretches(self, word: bytes) -> list[float]:
+        """Log-ratios of the stretches of a long word that favour toxic text.
+
+        One begins where the sum over letters is above zero, is as good as that
+        sum gets, and ends where it is back at zero.
+        """
+        found, total, best = [], 0.0, 0.0
+        for gram in grams(word, self.order):
+            total += self._gram_ratio[gram]
+            best = max(best, total)
+            if total <= 0.0:
+                found.append(best)
+                total = best = 0.0
+        return [*found, best]
+
     def log_ratios(self, words: list[bytes]) -> np.ndarray:
         """Log-likelihood of toxic less that of ordinary, of each word."""
         return np.fromiter(map(self.word_ratio.__getitem__, words), np.float64, len(words))

@@ -17,7 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import stage
-from .kneser_ney import ORDER, SHARED_ORDER, ClassModels, grams
+from .kneser_ney import (
+    LONGEST_WORD,
+    ORDER,
+    SHARED_ORDER,
+    WORD_LETTERS,
+    ClassModels,
+    grams,
+    read_words,
+)
 
 MODEL_ROWS = 4_000
 SCALE_ROWS = 6_000
@@ -37,12 +45,21 @@ def evidence(models: ClassModels, data: bytes | None) -> float:
     """Length-normalised log-likelihood ratio over the words that favour toxic text.
 
     Other words count in the length only: ordinary words don't excuse an insult,
-    and how ordinary they are says nothing.
+    and how ordinary they are says nothing. A long word is as many words as its
+    letters make, and its ordinary stretches don't excuse the others either.
     """
-    words = (data or b"").split()
+    words = read_words(data)
     if not words:
         return 0.0
-    return float(np.maximum(models.log_ratios(words) - MARGIN, 0.0).sum()) / len(words)
+    long = [w for w in words if len(w) > LONGEST_WORD]
+    if not long:
+        return float(np.maximum(models.log_ratios(words) - MARGIN, 0.0).sum()) / len(words)
+    short = [w for w in words if len(w) <= LONGEST_WORD]
+    total = float(np.maximum(models.log_ratios(short) - MARGIN, 0.0).sum())
+    for word in long:
+        total += sum(max(x - MARGIN, 0.0) for x in models.stretches(word))
+    letters = (len(w.decode("utf-8", "replace")) for w in long)
+    return total / (len(short) + sum(-(-n // WORD_LETTERS) for n in letters))
 
 
 def gram_counts(texts: DataFrame, order: int) -> DataFrame:
@@ -53,7 +70,7 @@ def gram_counts(texts: DataFrame, order: int) -> DataFrame:
         for batch in batches:
             words: Counter = Counter()
             for kind, text in zip(*map(pa.Array.to_pylist, batch.columns)):
-                words.update((kind, w) for w in (text or b"").split())
+                words.update((kind, w) for w in read_words(text))
             for (kind, word), n in words.items():
                 for gram in grams(word, order):
                     found[kind, gram] += n

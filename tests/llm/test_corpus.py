@@ -18,6 +18,7 @@ import corpus_pipeline
 from cellmeter.llm import (
     hilbert_ann,
     jaccard_join,
+    kneser_ney,
     mixing,
     quality,
     queries,
@@ -141,6 +142,45 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.toxicity(docs.limit(0), labels).collect() == []
 
 
+@pytest.mark.parametrize(
+    "between,words,insults",
+    [
+        (" ", "the cat sat on a mat with some other cats", ["idiot", "moron"]),
+        ("", "今日 天気 公園 散歩 友達 電車 本屋 料理", ["馬鹿野郎"]),
+    ],
+)
+def test_toxicity_reads_long_words_to_their_end(spark, between, words, insults):
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        text = [rng.choice(words.split()) for _ in range(40)]
+        if i % 5 == 0:
+            text[rng.randrange(25, 40)] = rng.choice(insults)
+        rows.append((i, between.join(text)))
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id bigint, toxic int")
+    plain = [rng.choice(words.split()) for _ in range(30)]
+    joined = [(1_000 + i, c.join([*plain, *insults])) for i, c in enumerate("_/,\u00a0")]
+    joined += [(2_000 + i, c.join(plain)) for i, c in enumerate("_/,\u00a0")]
+    docs = spark.createDataFrame(rows + joined, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    if between:
+        assert [got[i].predicted for i, _ in joined] == [1] * 4 + [0] * 4
+    held = [i for i, _ in rows if got[i].held_out]
+    caught = sum(got[i].predicted for i in held if i % 5 == 0)
+    wrong = sum(got[i].predicted for i in held if i % 5)
+    assert caught >= 0.8 * sum(i % 5 == 0 for i in held) and wrong <= 0.05 * len(held)
+
+
+def test_no_letter_of_a_word_is_left_out():
+    for word in ("日" * 100 + "x", "a-" * 60 + "idiot", "กำลังเดิน" * 30, "_" * 90):
+        found = kneser_ney.parts(word.encode())
+        read = "".join(g[-1] for x in found for g in kneser_ney.grams(x, 4)).replace(" ", "")
+        assert read == (word.replace("-", "") if "a" in word else word)
+    assert kneser_ney.parts(("กำลังเดิน" * 30).encode()) == [("กำลังเดิน" * 30).encode()]
+    assert kneser_ney.read_words(b"a,b " + b"c,,\xc2\xa0" * 20) == [b"a,b", *[b"c"] * 20]
+    assert kneser_ney.read_words(None) == []
+
+
 # --- near copies -----------------------------------------------------------------------
 
 
