@@ -5,7 +5,8 @@ over sliding windows of lines; where the sum surges the main text begins, where
 it dives to nothing it ends, and the lines between are kept. Lines of menus,
 adverts and the like, known by their elements and names, have no weight, nor
 have lines that are mostly links; if the page marks an article, nothing outside
-it has.
+it has. A name alone drops no article and no element that holds most of the
+text: such lines have less weight, and the sums decide.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ WINDOW_LINES = 3
 # A surge has to reach this many characters, or half of the page's largest window.
 SURGE_CHARS = 80
 
+# Part of their characters that lines weigh whose element is named like something else.
+NAMED_WEIGHT = 0.5
+
 # Fixed values of HTML.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _RAW = frozenset(
@@ -63,36 +67,83 @@ _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>?", re.IGNORECASE) for name in _
 
 
 class Line:
-    """Text of a block, its characters inside links, and what it is part of."""
+    """Text of a block, its characters inside links, and what it is part of.
+
+    ``named`` are the numbers of the elements around it that only a name tells
+    from the article.
+    """
 
-    __slots__ = ("text", "link_chars", "boilerplate", "inside")
+    __slots__ = ("text", "link_chars", "boilerplate", "inside", "named")
 
-    def __init__(self, text: str, link_chars: int, boilerplate: bool, inside: bool):
+    def __init__(
+        self,
+        text: str,
+        link_chars: int,
+        boilerplate: bool,
+        inside: bool,
+        named: tuple[int, ...] = (),
+    ):
         self.text, self.link_chars = text, link_chars
-        self.boilerplate, self.inside = boilerplate, inside
+        self.boilerplate, self.inside, self.named = boilerplate, inside, named
 
 
-def _is_boilerplate(name: str, attributes: str, inside: bool) -> bool:
+def _is_boilerplate(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is none of the article for certain, and whether its names say so."""
     if name in _NOT_TEXT or (name == "header" and not inside):
-        return True
+        return True, False
     if not attributes or name in ("html", "body", "a"):
-        return False
+        return False, False
     found = {}
     for key, *values in _ATTRIBUTE.findall(attributes):
         found.setdefault(key.lower(), next(filter(None, values), ""))
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
-        return True
+        return True, False
     if found.get("role", "").lower() in _NOT_TEXT_ROLES:
-        return True
+        return True, False
     if "display:none" in found.get("style", "").replace(" ", "").lower():
-        return True
+        return True, False
     parts = {
         x.lower()
         for x in _NAME_PARTS.findall(found.get("class", "") + " " + found.get("id", ""))
     }
     if "header" in parts and not inside and not parts & _ARTICLE_NAMES:
-        return True
-    return bool(parts & _NOT_TEXT_NAMES)
+        return False, True
+    return False, bool(parts & _NOT_TEXT_NAMES)
+
+
+def _drop_named(lines: list[Line]) -> None:
+    """Makes boilerplate of the lines in named elements, but for those that hold most of the text.
+
+    The largest element comes first. It stays if it has more text than all lines
+    that are in no named element or in one that stays; or no less text of
+    marked articles than those.
+    """
+    members: dict[int, list[Line]] = {}
+    own: dict[int, list[int]] = {}
+    rest = [0, 0]  # characters of all lines, and of those in marked articles
+    for line in lines:
+        if line.boilerplate or 2 * line.link_chars > len(line.text):
+            continue
+        sizes = len(line.text), len(line.text) * line.inside
+        for number in line.named:
+            members.setdefault(number, []).append(line)
+            have = own.setdefault(number, [0, 0])
+            have[0] += sizes[0]
+            have[1] += sizes[1]
+        if not line.named:
+            rest[0] += sizes[0]
+            rest[1] += sizes[1]
+    stay: set[int] = set()
+    for number in sorted(own, key=lambda x: (-own[x][0], x)):
+        total, marked = own[number]
+        if total > rest[0] or (marked and marked >= rest[1]):
+            stay.add(number)
+            for line in members[number]:
+                if stay.issuperset(line.named):
+                    rest[0] += len(line.text)
+                    rest[1] += len(line.text) * line.inside
+    for line in lines:
+        line.boilerplate = line.boilerplate or not stay.issuperset(line.named)
 
 
 def page_lines(html: str) -> list[Line]:
@@ -100,14 +151,17 @@ def page_lines(html: str) -> list[Line]:
     lines: list[Line] = []
     pieces: list[str] = []
     link_chars = 0
-    open_: list[tuple[str, bool, bool]] = []  # name, begins boilerplate, is an article
+    # Name, begins boilerplate, is an article, is known by a name only.
+    open_: list[tuple[str, bool, bool, bool]] = []
+    named: list[int] = []
+    numbers = 0
     boilerplate = inside = links = 0
 
     def end_line() -> None:
         nonlocal link_chars
         text = " ".join("".join(pieces).split())
         if text:
-            lines.append(Line(text, link_chars, boilerplate > 0, inside > 0))
+            lines.append(Line(text, link_chars, boilerplate > 0, inside > 0, tuple(named)))
         pieces.clear()
         link_chars = 0
 
@@ -121,7 +175,9 @@ def page_lines(html: str) -> list[Line]:
     def close_down_to(depth: int) -> None:
         nonlocal boilerplate, inside, links
         while len(open_) > depth:
-            name, bad, article = open_.pop()
+            name, bad, article, by_name = open_.pop()
+            if by_name:
+                named.pop()
             boilerplate -= bad
             inside -= article
             links -= name == "a"
@@ -172,13 +228,21 @@ def page_lines(html: str) -> list[Line]:
             if depth is not None:
                 close_down_to(depth)
         elif not tag[2].endswith("/"):
-            bad = _is_boilerplate(name, tag[2], inside > 0)
+            bad, by_name = _is_boilerplate(name, tag[2], inside > 0)
             article = name in ("article", "main") and not bad
-            open_.append((name, bad, article))
+            # A name says something of an article only within another, as of a comment.
+            by_name = by_name and (
+                not article or bool(named) or any(x[0] == "article" for x in open_)
+            )
+            open_.append((name, bad, article, by_name))
+            if by_name:
+                numbers += 1
+                named.append(numbers)
             boilerplate += bad
             inside += article
             links += name == "a"
     end_line()
+    _drop_named(lines)
     return lines
 
 
@@ -191,7 +255,7 @@ def main_lines(lines: list[Line], window: int = WINDOW_LINES, surge: int = SURGE
             return 0
         if not marked and 2 * line.link_chars > len(line.text):
             return 0
-        return len(line.text)
+        return max(1, int(NAMED_WEIGHT * len(line.text))) if line.named else len(line.text)
 
     weights = [weight(x) for x in lines]
     sums = [sum(weights[i : i + window]) for i in range(len(lines))]

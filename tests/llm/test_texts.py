@@ -205,6 +205,29 @@ def test_main_text(around):
     assert html_text.main_text(PAGE % (around % BODY)) == TEXT
 
 
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<article class='post has-comments'>%s</article>",
+        "<main class='no-sidebar'>%s</main>",
+        "<main><article id=search-post>%s</article></main>",
+        "<div class='layout with-sidebar'><article>%s</article></div>",
+        "<div class='layout with-sidebar'><div>%s</div></div>",
+        "<div class='social'><section class=widget><article class=promo>%s</article></section></div>",
+        "<article>%s<div class=share>Share this page with all of your friends.</div></article>",
+        "<article>%s<article class=comment><p>I think this is a comment.</p></article></article>",
+        "<article>%s</article><div class=comments><article><p>I think this is a comment.</p></article></div>",
+    ],
+)
+def test_names_alone_drop_no_article(around):
+    assert html_text.main_text(PAGE % (around % BODY)) == TEXT
+
+
+def test_hidden_elements_are_dropped_however_large():
+    hidden = "<div hidden><p>" + "Some text that nobody sees. " * 40 + "</p></div>"
+    assert html_text.main_text(PAGE % (f"<article>{BODY}</article>" + hidden)) == TEXT
+
+
 def test_dive_points_end_the_text():
     links = "".join(f"<li><a href={i}>A link with a fairly long name {i}</a></li>" for i in range(9))
     article = "<p>One paragraph of text, long enough for a surge of its own, we hope.</p>" * 3
