@@ -235,6 +235,16 @@ def test_dive_points_end_the_text():
     assert found.count("\n") == 2 and "link" not in found
 
 
+def test_surge_points_begin_the_text():
+    short = "<p>Few words.</p>"
+    link = "<p><a href=x>A link alone</a></p>"
+    article = "<p>One paragraph of text, long enough for a surge of its own, we hope.</p>" * 3
+    page = f"<body><div>{short}{link * 3}</div><div>%s</div><div>{link * 3}{short}</div></body>"
+    assert html_text.main_text(page % article) == "\n".join(re.findall(r"<p>(.*?)</p>", article))
+    marked = html_text.main_text(page % f"<article>{short}{link * 3}{article}{link * 3}{short}</article>")
+    assert marked.count("Few words.") == 2
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/!-ap \"'=&;b\nstyle", max_size=200))
 def test_any_markup_is_read(page):
