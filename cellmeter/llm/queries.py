@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    decontamination,
     encoding,
     hilbert_ann,
     html_text,
     jaccard_join,
     mixing,
+    periodic_runs,
     quality,
     substring_dedup,
     token_counts,
     token_shards,
     toxicity,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +90,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select("doc_id", "found.*")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(
+        _table(spark, sf_dir, "documents"),
+        prepare=periodic_runs.with_repeated_tail,
+        key=F.crc32(F.col("doc_id").cast("string").cast("binary")),
+        with_texts=False,
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
     "op2_mix_sources": op2_mix_sources,
@@ -98,6 +120,9 @@ QUERIES: dict[str, Query] = {
     "op8_nearest_vectors": op8_nearest_vectors,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_whitening": op12_whitening,
+    "op13_decontamination": op13_decontamination,
 }
 
 # The rows taken are those whose running total in hash order stays within the
@@ -148,4 +173,38 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES: dict[str, str] = {"op2_mix_sources": _MIX_SQL}
+# Every window of every document against the windows of all items.
+_LEAK_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL
+), item_places AS (
+  SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+  FROM items WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM item_places
+), doc_places AS (
+  SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i
+  FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k
+), met AS (
+  SELECT r, i, k, s FROM (SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM doc_places)
+  WHERE (k, s) IN (SELECT k, s FROM windows)
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM met) GROUP BY r
+), found AS (
+  SELECT r, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM met JOIN windows USING (k, s) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit,
+  coalesce(len(ids), 0)::BIGINT AS n_items,
+  sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, n IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN found USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op2_mix_sources": _MIX_SQL, "op13_decontamination": _LEAK_SQL}
