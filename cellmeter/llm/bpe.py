@@ -12,15 +12,27 @@ tokens of every prefix, and following the back-pointers gives the ids.
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Iterable
 from functools import cache
 
 import ahocorasick
+import numpy as np
 
 from .words import Remembered
 
 _NEVER = 1 << 60
-_REMEMBERED_PAIRS = 1_000_000
+
+# What a worker remembers; each is forgotten when full, which costs time only. An entry
+# takes 100 to 200 bytes, so all of them together stay below 150 MB.
+_REMEMBERED_PAIRS = 1 << 18
+_REMEMBERED_PIECES = 1 << 19
+_REMEMBERED_WORDS = 1 << 17
+
+
+def id_bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class PrefixBpe:
@@ -193,8 +205,8 @@ class WordEndTokenizer:
         self._id_of = {t: self.ids[self._unpacked(t)] for t in tokens}
         library = Tokenizer.from_file(path)
         self._normalizer, self._words = library.normalizer, library.pre_tokenizer
-        self._piece_ids = Remembered(self._encode_piece)
-        self._word_ids = Remembered(self._encode_word)
+        self._piece_ids = Remembered(self._encode_piece, _REMEMBERED_PIECES)
+        self._word_ids = Remembered(self._encode_word, _REMEMBERED_WORDS)
 
     def _packed(self, string: str) -> str:
         if string.endswith(self._end):
@@ -205,26 +217,29 @@ class WordEndTokenizer:
     def _unpacked(self, token: str) -> str:
         return token[:-1] + self._plain[token[-1]] + self._end if token[-1] in self._plain else token
 
-    def _encode_word(self, word: str) -> tuple[int, ...]:
-        return tuple(self._id_of[t] for t in self._bpe.encode(self._packed(word + self._end)))
+    def _encode_word(self, word: str) -> bytes:
+        return id_bytes([self._id_of[t] for t in self._bpe.encode(self._packed(word + self._end))])
 
-    def _encode_piece(self, piece: bytes) -> tuple[int, ...]:
+    def _encode_piece(self, piece: bytes) -> bytes:
         text = self._normalizer.normalize_str(piece.decode("utf-8"))
-        return tuple(
-            i for word, _ in self._words.pre_tokenize_str(text) for i in self._word_ids[word]
+        ids_of = self._word_ids
+        return b"".join([ids_of[word] for word, _ in self._words.pre_tokenize_str(text)])
+
+    def encode_bytes(self, data: bytes | None) -> bytes:
+        """Ids of a text given as UTF-8, as ``id_bytes``; none for NULL or an empty text."""
+        ids_of, parts = self._piece_ids, self._cut.split(data or b"")
+        if len(parts) == 1:
+            return b"".join([ids_of[piece] for piece in parts[0].split()])
+        return b"".join(
+            id_bytes([self.ids[part.decode()]])
+            if part in self._added
+            else b"".join([ids_of[piece] for piece in part.split()])
+            for part in parts
         )
 
     def encode(self, data: bytes | None) -> list[int]:
         """Ids of a text given as UTF-8; none for NULL or an empty text."""
-        out: list[int] = []
-        extend, ids_of = out.extend, self._piece_ids
-        for part in self._cut.split(data or b""):
-            if part in self._added:
-                out.append(self.ids[part.decode()])
-            else:
-                for piece in part.split():
-                    extend(ids_of[piece])
-        return out
+        return np.frombuffer(self.encode_bytes(data), "<u4").tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens with a space between them, as a file without a decoder has it."""

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-import struct
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,11 +45,6 @@ def decoded_text(ids: Column, path: str) -> Column:
     return decoded(ids)
 
 
-def id_bytes(ids: list[int]) -> bytes:
-    """Ids as little-endian unsigned 32-bit integers."""
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
 def encoded(
     docs: DataFrame,
     path: str,
@@ -70,18 +65,26 @@ def encoded(
     )
     def round_trip(texts: pa.Array) -> pa.Array:
         tokenizer = word_end_tokenizer(path)
-        out = []
+        # The ids of all texts, end to end, as they lie in the Arrow list.
+        flat, sizes, digests, decoded = bytearray(), [], [], []
         for x in texts:
-            ids = tokenizer.encode(x.as_py())
-            out.append(
-                {
-                    "ids": ids if with_ids else None,
-                    "n_tokens": len(ids),
-                    "ids_sha256": hashlib.sha256(id_bytes(ids)).hexdigest(),
-                    "decoded_sha256": hashlib.sha256(tokenizer.decode(ids).encode()).hexdigest(),
-                }
-            )
-        return pa.array(out, _ENCODED)
+            ids = tokenizer.encode_bytes(x.as_py())
+            sizes.append(len(ids) // 4)
+            digests.append(hashlib.sha256(ids).hexdigest())
+            string = tokenizer.decode(np.frombuffer(ids, "<u4").tolist())
+            decoded.append(hashlib.sha256(string.encode()).hexdigest())
+            if with_ids:
+                flat += ids
+        if with_ids:
+            ends = np.cumsum([0, *sizes]).astype(np.int32)
+            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(flat)])
+            lists = pa.ListArray.from_arrays(pa.array(ends), values)
+        else:
+            lists = pa.nulls(len(sizes), pa.list_(pa.int32()))
+        return pa.StructArray.from_arrays(
+            [lists, pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
+            fields=list(_ENCODED),
+        )
 
     found = docs.select(
         F.col(id_col).alias("doc_id"), round_trip(F.col(text_col).cast("binary")).alias("found")
