@@ -33,9 +33,8 @@ _ALWAYS, _NEVER = 2**31 - 1, -(2**31)
 # Rows a task searches at once; a larger chunk is searched whole.
 _PIECE_ROWS = 1 << 16
 
-# The tree of chunk maxima: nodes per group, and levels (64 ** 4 chunks are 16 million).
+# Nodes per group of the tree of chunk maxima.
 _FAN = 64
-_LEVELS = 4
 
 
 def _reach(time: Column, slot_wraps: bool) -> Column:
@@ -116,14 +115,23 @@ def _search(slots: DataFrame, reports: DataFrame, chunk: list[str]) -> DataFrame
     return marked.mapInArrow(_search_chunks, schema)
 
 
-def _tree(reach: DataFrame, keys: list[str], fan: int) -> DataFrame:
+def _height(reach: DataFrame, fan: int) -> int:
+    """Levels after which every trace has one group, from the largest chunk number."""
+    last = reach.agg(F.max("block")).first()[0] or 0
+    height = 1
+    while last >= fan**height:
+        height += 1
+    return height
+
+
+def _tree(reach: DataFrame, keys: list[str], fan: int, height: int) -> DataFrame:
     """Chunk maxima by level: per group of ``fan`` nodes the nodes that have reports, in order.
 
     A node of one level is a group of the level below; the nodes of level 0 are
     chunks. Stored, so that a small tree is known to be small.
     """
     levels, nodes = [], reach.withColumnRenamed("block", "node")
-    for level in range(_LEVELS):
+    for level in range(height):
         groups = nodes.groupBy(*keys, F.expr(f"node div {fan}L").alias("group")).agg(
             F.sort_array(F.collect_list(F.struct("node", "low", "high"))).alias("nodes"),
             F.max("low").alias("low"),
@@ -152,9 +160,11 @@ def _route(
     Slots that no later chunk reaches are dropped; nothing ever releases them.
     The search goes up the tree of chunk maxima to the first group that has a
     node behind the slot's own that reaches above it, and down again inside that
-    node: each step is an equi-join with groups of ``fan`` nodes at most.
+    node: each step is an equi-join with groups of ``fan`` nodes at most. The tree
+    has as many levels as the longest trace needs, so no chunk is out of reach.
     """
-    tree = _tree(reach, keys, fan)
+    height = _height(reach, fan)
+    tree = _tree(reach, keys, fan, height)
 
     def look(rows: DataFrame, level: int, group: Column, after: Column | None) -> DataFrame:
         groups = tree.filter(F.col("level") == level).select(
@@ -168,13 +178,13 @@ def _route(
         )
 
     rows = open_slots.select(*keys, "block", "slot").distinct()
-    for level in range(_LEVELS):
+    for level in range(height):
         own = F.expr(f"block div {fan**level}L")
         rows = look(rows, level, F.expr(f"block div {fan ** (level + 1)}L"), own)
         rows = rows.withColumnRenamed("_node", f"_up{level}")
     # The lowest level with a node is where the way down begins.
     rows = rows.withColumn("_at", F.lit(None).cast("bigint"))
-    for level in reversed(range(_LEVELS)):
+    for level in reversed(range(height)):
         lower = [F.col(f"_up{below}").isNull() for below in range(level)]
         begins = reduce(lambda x, y: x & y, lower, F.col(f"_up{level}").isNotNull())
         rows = rows.withColumn("_at", F.when(begins, F.col(f"_up{level}")).otherwise(F.col("_at")))
@@ -210,7 +220,9 @@ def find_flush(
     )
     columns = [*keys, F.col("origin").alias("seq"), "slot", "waiting", "tx", "flush"]
     local = stage(_search(slots, reports, chunk), "searched")
-    reach = reports.groupBy(*chunk).agg(F.max("low").alias("low"), F.max("high").alias("high"))
+    reach = stage(
+        reports.groupBy(*chunk).agg(F.max("low").alias("low"), F.max("high").alias("high")), "reach"
+    )
     open_slots = local.filter(F.col("flush") < 0).drop("flush")
     routed = stage(_route(open_slots, reach, keys, fan), "routed")
     moved = routed.withColumns(

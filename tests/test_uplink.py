@@ -265,3 +265,40 @@ def test_far_releases_are_found_up_and_down_the_tree(spark):
         if later:
             want[seq] = min(later)
     assert {r.seq: r.flush for r in got} == want and len(want) > 9_000
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+def test_the_tree_of_releases_grows_with_the_trace(spark, fan):
+    """A release any number of chunks on is found, with chunks of one row and small groups."""
+    gaps = [1, 2, 14, 30, 39, 64, 200]
+    slots = spark.createDataFrame([(f"t{g}", 1, 50, 1, 1) for g in gaps], "trace_id string, seq bigint, slot int, waiting int, tx int")
+    reports = spark.createDataFrame(
+        [(f"t{g}", n, 60 if n == 1 + g else 40, True) for g in gaps for n in range(2, 210)],
+        "trace_id string, seq bigint, report_time int, first_tx boolean",
+    )
+    got = find_flush(slots, reports, chunk_rows=1, fan=fan).collect()
+    assert sorted((int(r.trace_id[1:]), r.flush) for r in got) == [(g, 1 + g) for g in gaps]
+
+
+def test_random_releases_over_many_levels_equal_the_definition(spark):
+    rng = random.Random(8)
+    rows, want = [], []
+    for trace in range(40):
+        size = rng.choice([3, 40, 150])
+        top = rng.choice([20, 1500])
+        for seq in range(1, size + 1):
+            rows.append((f"t{trace}", seq, rng.random() < 0.5, rng.randrange(top)))
+    by_trace = {}
+    for row in rows:
+        by_trace.setdefault(row[0], []).append(row)
+    for trace, steps in by_trace.items():
+        for _, seq, is_report, slot in steps:
+            later = [n for _, n, r, t in steps if r and n > seq and (slot < t or (slot > 1000 and t < 20))]
+            if not is_report and later:
+                want.append((trace, seq, min(later)))
+    frame = spark.createDataFrame(rows, "trace_id string, seq bigint, is_report boolean, value int")
+    slots = frame.filter("not is_report").selectExpr("trace_id", "seq", "value as slot", "1 as waiting", "1 as tx")
+    reports = frame.filter("is_report").selectExpr("trace_id", "seq", "value as report_time", "true as first_tx")
+    got = find_flush(slots, reports, chunk_rows=1, fan=2)
+    assert sorted(map(tuple, got.select("trace_id", "seq", "flush").collect())) == sorted(want)
+    assert len(want) > 500
