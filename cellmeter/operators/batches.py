@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import minutes_between
+from .scan import ordered_sums
 
 
 def utilization(samples: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -31,16 +32,11 @@ def utilization(samples: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def number_batches(batches: DataFrame, by: str, has_data: str | None = None) -> DataFrame:
-    """Dense numbers from 1, in batch order, for batches with data.
-
-    ``batches`` has one row per batch, so the single ordered window is over
-    batches and not over their rows.
-    """
+    """Dense numbers from 1, in batch order, for batches with data; one row per batch."""
     if has_data is not None:
         batches = batches.filter(F.col(has_data))
-    return batches.withColumn(
-        "batch_no", F.row_number().over(Window.partitionBy().orderBy(by)).cast("int")
-    )
+    numbered = ordered_sums(batches, [by], {"batch_no": F.lit(1)})
+    return numbered.withColumn("batch_no", F.col("batch_no").cast("int"))
 
 
 def message_counts(messages: DataFrame, *by: str) -> DataFrame:

@@ -7,13 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scan import block_of, running_sum
+from .scan import ordered_sums
 
 PARTS = ["waiting", "tx", "retx"]
 
-# Batches that are summed up together.
-BATCH_BLOCK = 4_096
-
 
 def latency_sums(packets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Sum of each latency part; zeros where there are no packets."""
@@ -32,9 +29,7 @@ def latency_by_batch(packets: DataFrame, numbered: DataFrame) -> DataFrame:
 
 def latency_running(by_batch: DataFrame) -> DataFrame:
     """Totals so far after each batch; input has one row per batch."""
-    rows = by_batch.withColumn("_block", block_of("batch_no", BATCH_BLOCK))
-    for part in PARTS:
-        rows = running_sum(rows, [], ["_block"], ["batch_no"], F.col(part), f"{part}_total")
+    rows = ordered_sums(by_batch, ["batch_no"], {f"{p}_total": F.col(p) for p in PARTS})
     return rows.select("batch_no", *[f"{part}_total" for part in PARTS])
 
 

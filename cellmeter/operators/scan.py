@@ -12,8 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
+from ..staging import stage
+
 FIRST = Window.unboundedPreceding
 
 # Rows of a sequence that one chunk may hold.
@@ -50,34 +53,6 @@ def later_chunks(keys: Sequence[str], chunk: Sequence[str]) -> WindowSpec:
     return backward(keys, chunk).rowsBetween(FIRST, -1)
 
 
-def running_sum(
-    rows: DataFrame,
-    keys: Sequence[str],
-    chunk: Sequence[str],
-    order: Sequence,
-    value: Column,
-    out: str,
-) -> DataFrame:
-    """Inclusive running sum of an integer ``value`` along each sequence."""
-    inside = chunk_window(keys, chunk, order).rowsBetween(FIRST, 0)
-    local = rows.withColumn("_value", value).withColumn(
-        "_sum", F.coalesce(F.sum("_value").over(inside), F.lit(0))
-    )
-    per_chunk = rows.groupBy(*keys, *chunk).agg(F.sum(value).alias("_chunk_sum"))
-    before = per_chunk.select(
-        *keys,
-        *chunk,
-        F.coalesce(
-            F.sum("_chunk_sum").over(earlier_chunks(keys, chunk)), F.lit(0)
-        ).alias("_before"),
-    )
-    return (
-        local.join(before, [*keys, *chunk])
-        .withColumn(out, F.col("_sum") + F.col("_before"))
-        .drop("_value", "_sum", "_before")
-    )
-
-
 def next_value(
     rows: DataFrame,
     keys: Sequence[str],
@@ -109,3 +84,56 @@ def next_value(
         .withColumn(out, F.coalesce("_local", "_after"))
         .drop("_local", "_after")
     )
+
+
+def ordered_sums(
+    rows: DataFrame,
+    order: Sequence[str],
+    values: dict[str, Column],
+    by: Sequence[str] = (),
+    totals: bool = False,
+) -> DataFrame:
+    """Inclusive running sums of integer ``values`` over all rows of each group, in order.
+
+    Without groups that is one sequence over the whole table. Rows are sorted by
+    ranges, so each task has a stretch of the order; what the stretches before
+    add is known from one row per stretch (and group). Rows with the same order
+    are in one task. With ``totals`` also ``<name>_all``, the sum over the group.
+    """
+    by, order, names = list(by), list(order), list(values)
+    dealt = rows.withColumns({f"_v_{n}": v.cast("bigint") for n, v in values.items()})
+    dealt = dealt.repartitionByRange(*by, *order)
+    dealt = stage(dealt.withColumn("_part", F.spark_partition_id()), "ordered")
+    here = Window.partitionBy(*by, "_part").orderBy(*order).rowsBetween(FIRST, 0)
+    local = dealt.withColumns({n: F.coalesce(F.sum(f"_v_{n}").over(here), F.lit(0)) for n in names})
+    stretches = dealt.groupBy(*by, "_part").agg(
+        *[F.coalesce(F.sum(f"_v_{n}"), F.lit(0)).alias(n) for n in names]
+    )
+    if by:
+        before = Window.partitionBy(*by).orderBy("_part").rowsBetween(FIRST, -1)
+        offsets = stretches.select(
+            *by, "_part",
+            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in names],
+            *[F.sum(n).over(Window.partitionBy(*by)).alias(f"{n}_all") for n in names],
+        )
+    else:
+        offsets = _offsets(stretches, names)
+    joined = local.join(offsets, [*by, "_part"]).withColumns(
+        {n: F.col(n) + F.col(f"_before_{n}") for n in names}
+    )
+    ends = [f"{n}_all" for n in names] if totals else []
+    return joined.select(*rows.columns, *names, *ends)
+
+
+def _offsets(stretches: DataFrame, names: list[str]) -> DataFrame:
+    """Sums before each stretch and over all; there are as many as partitions of a shuffle."""
+    found = sorted(stretches.select("_part", *names).collect())
+    alls = [sum(row[n] for row in found) for n in names]
+    so_far, rows = [0] * len(names), []
+    for row in found:
+        rows.append((row["_part"], *so_far, *alls))
+        so_far = [s + row[n] for s, n in zip(so_far, names)]
+    fields = [T.StructField("_part", T.IntegerType())]
+    fields += [T.StructField(f"_before_{n}", T.LongType()) for n in names]
+    fields += [T.StructField(f"{n}_all", T.LongType()) for n in names]
+    return stretches.sparkSession.createDataFrame(rows, T.StructType(fields))

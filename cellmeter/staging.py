@@ -7,7 +7,7 @@ lineage, survives the loss of executors and lets each reader prune columns.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -21,15 +21,25 @@ _open_paths: ContextVar[list[str] | None] = ContextVar("open_paths", default=Non
 def staging_root(spark: SparkSession) -> str:
     """This application's folder under ``spark.checkpoint.dir``, else in the warehouse.
 
-    Both are shared by all executors of a cluster.
+    ``spark.checkpoint.dir`` is the folder all executors share; naming it is the
+    cluster's say, and a path without a scheme or a ``file:`` path there may well
+    be a shared mount. Where it is unset, the warehouse has to be in a store:
+    a local folder of the driver is refused unless everything runs in one process.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    root = root or spark.conf.get("spark.sql.warehouse.dir")
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        if root.startswith(("file:", "/")) and not context.master.startswith("local"):
+            raise ValueError(
+                f"set spark.checkpoint.dir to a folder all executors share: {root} is the driver's own"
+            )
     return f"{root.rstrip('/')}/cellmeter-{context.applicationId}"
 
 
-def stage(df: DataFrame, name: str, level: int = 3) -> DataFrame:
+def stage(
+    df: DataFrame, name: str, level: int = 3, partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Write ``df`` below the staging folder, at a level of zstandard, and read it back."""
     spark = df.sparkSession
     path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
@@ -37,7 +47,8 @@ def stage(df: DataFrame, name: str, level: int = 3) -> DataFrame:
     if opened is not None:
         opened.append(path)
     writer = df.write.mode("errorifexists").option("compression", "zstd")
-    writer.option("parquet.compression.codec.zstd.level", level).parquet(path)
+    writer = writer.option("parquet.compression.codec.zstd.level", level)
+    writer.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -57,21 +68,42 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no folder."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(target))
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     system, target = _file_system(spark, path)
     system.delete(target, True)
 
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
 @contextmanager
-def temporary_stages(spark: SparkSession) -> Iterator[None]:
+def temporary_stages(spark: SparkSession) -> Iterator[Keep]:
     """Delete the tables staged inside the block when it ends.
 
-    Everything that reads them has to be written by then.
+    Everything that reads them has to be written by then. The block is given a
+    function that stages a table for longer: as if it were outside.
     """
     paths: list[str] = []
+    outer = _open_paths.get()
     token = _open_paths.set(paths)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        inner = _open_paths.set(outer)
+        try:
+            return stage(df, name)
+        finally:
+            _open_paths.reset(inner)
+
     try:
-        yield
+        yield keep
     finally:
         _open_paths.reset(token)
         for path in paths:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cellmeter.functions.dicttext import CORRUPT
 from cellmeter.functions.radio import circular_diff, fix_report_time, last_lcid
 from cellmeter.operators import batches, filters, histogram, latency, queues, records, topk
-from cellmeter.operators.scan import next_value, running_sum
+from cellmeter.operators.scan import next_value, ordered_sums
 from cellmeter.schemas import CUSTOM, DL_STAT, MESSAGES, UL_REPORT
 from cellmeter.sources.messages import parse_lines
 
@@ -147,6 +147,43 @@ def test_histogram_is_numpys(spark, integral):
         assert np.allclose([r.density for r in bins], density)
 
 
+def test_histogram_of_a_million_doubles_equals_numpy(spark):
+    rows = spark.range(1_000_000).selectExpr("cast(log(1 + (id * 7919) % 1000003) * 3 as double) as v")
+    x = np.array([r.v for r in rows.collect()])
+    assert len(np.unique(x)) == 1_000_000
+    counts, edges = np.histogram(x, bins="auto")
+    got = histogram.auto_histogram(rows.repartition(20), "v").orderBy("bin").collect()
+    assert [r.n for r in got] == counts.tolist()
+    assert np.allclose([r.lo for r in got], edges[:-1], rtol=1e-12)
+
+
+def test_histograms_of_counts_and_of_nothing(spark):
+    rows = spark.createDataFrame([(1, 5), (1, 5), (2, 6), (3, None)], "b int, v int")
+    counts = histogram.value_counts(rows, "v", ["b"])
+    assert sorted(map(tuple, counts.collect())) == [(1, 5, 2), (2, 6, 1)]
+    plain = sorted(map(tuple, histogram.auto_histogram(rows, "v").collect()))
+    assert sorted(map(tuple, histogram.auto_histogram(counts, "v", weight="n").collect())) == plain
+    assert sum(r[3] for r in plain) == 3
+    for nothing in (rows.limit(0), rows.filter("b = 3")):
+        assert histogram.auto_histogram(nothing, "v").count() == 0
+        assert histogram.auto_histogram(nothing, "v", ["b"]).count() == 0
+
+
+def test_sums_over_ranges_of_the_order(spark):
+    rng = random.Random(6)
+    data = [(rng.choice("ab"), rng.randrange(400), rng.choice([None, -3, 7])) for _ in range(900)]
+    data = list({(k, i): (k, i, v) for k, i, v in data}.values())
+    rows = spark.createDataFrame(data, "k string, i int, v int").repartition(7)
+    for by in ([], ["k"]):
+        got = ordered_sums(rows, ["i", "k"], {"n": F.lit(1), "s": F.col("v")}, by, totals=True)
+        for r in got.collect():
+            mine = [(i, k, v or 0) for k, i, v in data if not by or k == r.k]
+            upto = [v for i, k, v in mine if (i, k) <= (r.i, r.k)]
+            assert (r.n, r.s) == (len(upto), sum(upto))
+            assert (r.n_all, r.s_all) == (len(mine), sum(v for *_, v in mine))
+    assert ordered_sums(rows.limit(0), ["i"], {"n": F.lit(1)}).count() == 0
+
+
 def test_queues_meet_in_order(spark):
     rng = random.Random(2)
     rows, queues_left = [], {}
@@ -171,7 +208,7 @@ def test_chunked_scans_equal_plain_ones(spark):
     rows = spark.createDataFrame(data, "k string, i long, v long").withColumn(
         "c", F.expr("i div 6")
     )
-    summed = running_sum(rows, ["k"], ["c"], ["i"], F.coalesce("v", F.lit(0)), "s")
+    summed = ordered_sums(rows, ["i"], {"s": F.col("v")}, by=["k"])
     filled = next_value(rows, ["k"], ["c"], ["i"], F.col("v"), "nxt", F.col("i"))
     sums = {(r.k, r.i): r.s for r in summed.collect()}
     fills = {(r.k, r.i): r.nxt for r in filled.collect()}

@@ -105,3 +105,29 @@ def test_scans_read_only_the_record_fields_they_use(spark, sf_dir, tmp_path):
 def test_no_pairwise_joins(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def lone_tasks(plan):
+    """Operators above an exchange to a single partition that are no aggregates."""
+    lines = [re.sub(r"^[\s:+|-]*(\*\(\d+\) )?", "", line) for line in plan.splitlines()]
+    nodes = [line for line in lines if line]
+    above = []
+    for i, node in enumerate(nodes):
+        if "SinglePartition" in node:
+            # Sorts and readers of the shuffle do no work of their own.
+            passed = (n for n in reversed(nodes[:i]) if not n.startswith(("Sort ", "AQEShuffleRead", "ShuffleQueryStage")))
+            above.append(next(passed, ""))
+    return [n for n in above if "Aggregate" not in n]
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "ordered_messages", "batch_numbering", "latency_by_batch", "latency_running",
+        "latency_total", "latency_stack", "rb_histogram", "rb_histogram_by_batch",
+    ],
+)
+def test_no_table_is_put_into_one_task(spark, sf_dir, name):
+    plan = final_plan(executed(QUERIES[name](spark, sf_dir)))
+    assert not lone_tasks(plan), lone_tasks(plan)
+    assert "percentile" not in plan
