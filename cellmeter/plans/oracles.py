@@ -7,6 +7,7 @@ joins with ``min``, as-of joins and whole-trace windows.
 from __future__ import annotations
 
 from .queries import CUT_DAY, TABLE_FILES
+from .tables import PART_DAYS
 
 MESSAGES = """
 m AS (
@@ -37,6 +38,8 @@ rec2 AS (
   FROM rec),
 rb AS (SELECT batch_id, trace_id, ts, num_rbs FROM rec2 WHERE num_rbs IS NOT NULL)"""
 
+PART = f"((CAST(substr(file_name, 9, 2) AS INTEGER) - 1) // {PART_DAYS})"
+
 SPAN = """CAST(floor(min(ts)) AS BIGINT) AS min_ts, CAST(floor(max(ts)) AS BIGINT) AS max_ts,
   round((floor(max(ts)) - floor(min(ts))) / 60, 3) AS minutes"""
 
@@ -80,20 +83,20 @@ def _clock(name: str, source: str, keys: str) -> str:
     on = " AND ".join(f"a.{k} = b.{k}" for k in keys.split(", "))
     return f"""
 {name}_n AS (
-  SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY msg_seq) AS seq,
+  SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY msg_seq, pos) AS seq,
          count(*) FILTER (WHERE NOT is_report)
-           OVER (PARTITION BY {keys} ORDER BY msg_seq) AS tick
+           OVER (PARTITION BY {keys} ORDER BY msg_seq, pos) AS tick
   FROM {source}),
 {name} AS (
   SELECT a.*, CAST(CASE WHEN b.tick IS NULL THEN -11
                    ELSE (b.sys * 10 + b.sub + a.tick - b.tick) % 10240 END AS INTEGER) AS t
   FROM {name}_n a ASOF LEFT JOIN
        (SELECT * FROM {name}_n WHERE NOT is_report AND sub < 10) b
-    ON {on} AND a.msg_seq >= b.msg_seq)"""
+    ON {on} AND a.seq >= b.seq)"""
 
 
-def _uplink(keys: str = "trace_id") -> str:
-    """CTEs from the events to ``out``, one per step."""
+def _uplink(keys: str = "trace_id", batch: str = "file_name") -> str:
+    """CTEs from the events to ``out``, one per step; ``batch`` says which batch an event is in."""
 
     def on(left: str, right: str) -> str:
         return " AND ".join(f"{left}.{k} = {right}.{k}" for k in keys.split(", "))
@@ -104,18 +107,26 @@ def _uplink(keys: str = "trace_id") -> str:
     gap = "CASE WHEN {0} > {1} THEN {1} + 10240 - {0} ELSE {1} - {0} + 1 END"
     return f"""{MESSAGES},
 ev AS (
-  SELECT *, file_name AS batch_id, event_type IN ('click', 'error') AS is_report,
-         msg_seq % 16 AS sub, (msg_seq // 3) % 1024 AS sys
+  SELECT *, {batch} AS batch_id, event_type IN ('click', 'error') AS is_report,
+         ((day(ts) - 1) // 3 * 3 % 7) * 170 AS frame
   FROM m),
-{_clock("dev", "ev", "trace_id")},
+sp AS (SELECT *, unnest(range(0, msg_seq % 4)) AS i FROM ev WHERE NOT is_report),
+sj AS (SELECT *, unnest(range(0, (msg_seq + i) % 4)) AS j FROM sp),
+rj AS (SELECT *, unnest(range(0, msg_seq * 7 % 4)) AS j FROM ev WHERE is_report),
 dec AS (
-  SELECT trace_id, batch_id, msg_seq, is_report, sub, sys, level, event_type = 'click' AS first_tx,
-         CAST(t + msg_seq % 3 AS INTEGER) AS raw_time
-  FROM dev),
+  SELECT trace_id, batch_id, msg_seq, i * 3 + j AS pos, false AS is_report,
+         (msg_seq + i + j) % 16 AS sub, (frame + j) % 1024 AS sys,
+         CASE WHEN (msg_seq + j) % 4 > 0 THEN level * ((msg_seq + j) % 4) + i END AS level,
+         NULL::BOOLEAN AS first_tx, NULL::INTEGER AS raw_time
+  FROM sj
+  UNION ALL
+  SELECT trace_id, batch_id, msg_seq, j, true, NULL, NULL, NULL, (msg_seq + j) % 2 = 0,
+         CAST(frame * 10 + (msg_seq + j * 5) % 31 - CASE WHEN msg_seq % 5 = 0 THEN 20 ELSE 0 END AS INTEGER)
+  FROM rj),
 {_clock("st", "dec", keys)},
 buf AS (
   SELECT *, level - lag(level, 1, 0) OVER (PARTITION BY {keys} ORDER BY seq) AS delta
-  FROM st WHERE NOT is_report),
+  FROM st WHERE NOT is_report AND level IS NOT NULL),
 rep AS (
   SELECT *, raw_time + CASE WHEN raw_time < 0 THEN 1024 ELSE 0 END AS report_time
   FROM st WHERE is_report),
@@ -337,6 +348,36 @@ ORACLES: dict[str, str] = {
         (SELECT CAST(sum(num_rbs) AS BIGINT) AS total_rbs, {SPAN} FROM rb),
         (SELECT {SUMS} FROM out)""",
     ),
+    "stream_by_batch": _select(
+        f"""{_uplink('batch_id, trace_id', PART).replace(MESSAGES, SAMPLES)},
+parts AS (SELECT batch_id, count(*) AS n_messages FROM ev GROUP BY batch_id),
+dl AS (
+  SELECT {PART.replace('file_name', 'batch_id')} AS batch_id, count(*) AS n_samples,
+         CAST(sum(num_rbs) AS BIGINT) AS total_rbs, {SPAN}
+  FROM rb GROUP BY 1),
+ul AS (SELECT batch_id, {SUMS} FROM out GROUP BY batch_id)""",
+        "SELECT CAST(batch_id AS BIGINT) AS batch_id, n_messages, "
+        "CAST(coalesce(n_samples, 0) AS BIGINT) AS n_samples, total_rbs, min_ts, max_ts, "
+        "coalesce(waiting, 0) AS waiting, coalesce(tx, 0) AS tx, coalesce(retx, 0) AS retx "
+        "FROM parts LEFT JOIN dl USING (batch_id) LEFT JOIN ul USING (batch_id)",
+    ),
+    "stream_trace_scope": _select(_uplink(), "SELECT trace_id, slot, waiting, tx, retx FROM out"),
+    "dict_text_messages": _select(
+        SAMPLES,
+        """SELECT 'LTE_PHY_PDSCH_Stat_Indication' AS type_id, epoch_us(m.ts) / 1e6 AS ts,
+        lag(epoch_us(m.ts) / 1e6) OVER (PARTITION BY m.file_name ORDER BY m.msg_seq) AS ts_before,
+        CAST(m.msg_seq % 6 AS BIGINT) AS n_records, CAST(coalesce(total_rbs, 0) AS BIGINT) AS total_rbs
+        FROM m LEFT JOIN (SELECT msg_seq, sum(num_rbs) AS total_rbs FROM rec2 GROUP BY msg_seq) USING (msg_seq)""",
+    ),
+    "line_round_trip": _select(
+        _uplink(),
+        """SELECT trace_id, count(*) FILTER (WHERE is_report) AS n_reports,
+        count(*) FILTER (WHERE NOT is_report) AS n_samples,
+        count(*) FILTER (WHERE first_tx) AS n_first,
+        CAST(sum(raw_time + CASE WHEN raw_time < 0 THEN 1024 ELSE 0 END) AS BIGINT) AS report_times,
+        CAST(sum(level) AS BIGINT) AS levels, CAST(sum(sub + 16 * sys) AS BIGINT) AS frames
+        FROM dec GROUP BY trace_id""",
+    ),
     "queue_match_unmatched": _select(
         f"""{MESSAGES},
 e AS (

@@ -7,23 +7,31 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dicttext import CORRUPT, parse_dict_text
 from ..functions.radio import circular_diff, fix_report_time, frame_index
 from ..functions.timefmt import epoch_seconds, span_labels, utc_instant
 from ..operators import batches, fifo, filters, flush, histogram, latency, queues, records, topk
-from ..operators import scan
-from ..operators.scan import block_of, running_sum
+from ..operators.scan import ordered_sums
 from ..operators.sequence import arrivals, departures, sequence
-from ..sources.messages import file_name, message_stream, scan_directory, scan_files
+from ..sources.messages import (
+    file_name,
+    line_messages,
+    message_stream,
+    read_lines,
+    scan_directory,
+    scan_files,
+)
+from ..sources.sinks import write_lines
 from ..staging import stage, staging_root
 from ..streaming.runner import one_row, run_available
 from . import tables
 from .uplink import latency_from_sequence, uplink_latency
 
 CUT_DAY = "2024-01-16"
+EVENT_TYPES = ["click", "view", "error", "purchase", "signup"]
 BATCH_SCOPE = ["batch_id", "trace_id"]
 TABLE_FILES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -68,11 +76,9 @@ def scan_file_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ordered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = tables.event_messages(spark, sf_dir).select("file_name", "msg_seq", "type_id")
-    numbered = running_sum(
-        messages.withColumn("block", block_of("msg_seq", scan.CHUNK_ROWS)),
-        [], ["file_name", "block"], ["msg_seq"], F.lit(1), "position",
+    return ordered_sums(messages, ["file_name", "msg_seq"], {"position": F.lit(1)}).orderBy(
+        "file_name", "msg_seq"
     )
-    return numbered.drop("block").orderBy("file_name", "msg_seq")
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,12 +114,12 @@ def batch_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def type_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = tables.event_messages(spark, sf_dir).select("msg_seq", "type_id")
-    return filters.subscribe(messages, ["click", "error", "click"])
+    return filters.subscribe(messages, ["click", "error", "click"], known=EVENT_TYPES)
 
 
 def type_filter_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = tables.event_messages(spark, sf_dir).select("msg_seq", "type_id")
-    return filters.subscribe_all(messages, ["click", "view", "error", "purchase"])
+    return filters.subscribe_all(messages, EVENT_TYPES[:4])
 
 
 def unknown_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -402,6 +408,85 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_row(spans.select("total_rbs", "min_ts", "max_ts", "minutes"), sums)
 
 
+def _replayed(spark: SparkSession, sf_dir: str, **settings) -> str:
+    """Messages of the month as a stream, a few days at a time; where the results are.
+
+    Each part's files are written after the run before has ended, so every batch
+    but the first is a restart from the checkpoint. The parts are as in
+    ``tables.PART_DAYS``.
+    """
+    base = f"{staging_root(spark)}/replay-{uuid.uuid4().hex}"
+    messages = stage(tables.radio_messages(tables.table(spark, sf_dir, "events")), "messages")
+    part = tables.part_of("file_name")
+    for number in sorted(row[0] for row in messages.select(part).distinct().collect()):
+        messages.filter(part == number).write.mode("append").parquet(f"{base}/in")
+        stream = message_stream(spark, f"{base}/in", [".parquet"])
+        run_available(stream, f"{base}/out", f"{base}/state", totals=False, **settings)
+    return f"{base}/out"
+
+
+def stream_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of each batch of a stream whose uplink state starts anew in each."""
+    out = _replayed(spark, sf_dir, chunk_rows=CHUNK_ROWS)
+    batch = F.col("batch_id").cast("bigint").alias("batch_id")
+    return spark.read.parquet(f"{out}/batches").select(
+        batch, "n_messages", "n_samples", "total_rbs", "min_ts", "max_ts", *latency.PARTS
+    )
+
+
+def stream_trace_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packets of a stream whose traces go on from batch to batch: those of one run."""
+    out = _replayed(spark, sf_dir, scope="trace", chunk_rows=CHUNK_ROWS, compact_every=3)
+    return spark.read.parquet(f"{out}/uplink_latency").select(
+        "trace_id", "slot", "waiting", "tx", "retx"
+    )
+
+
+# --- text ------------------------------------------------------------------------
+
+
+def dict_text_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages as lines of dict-text, written to files and read back in line order.
+
+    Per downlink message its number of records and blocks, and the message
+    before it in its file.
+    """
+    path = f"{staging_root(spark)}/text-{uuid.uuid4().hex}"
+    messages = tables.downlink_messages(spark, sf_dir)
+    days = messages.repartition("file_name").sortWithinPartitions("file_name", "msg_seq")
+    lines = days.select(F.col("file_name").alias("day"), tables.dict_text())
+    lines.write.partitionBy("day").text(path)
+    found = line_messages(read_lines(spark, f"{path}/*", name=F.col("_metadata.file_path")))
+    before = F.lag("ts").over(Window.partitionBy("file_name").orderBy("msg_seq"))
+    return found.select(
+        "type_id",
+        epoch_seconds(F.col("ts")).alias("ts"),
+        epoch_seconds(before).alias("ts_before"),
+        F.size("Records").cast("bigint").alias("n_records"),
+        F.aggregate(
+            F.col("Records").getField("Num RBs"), F.lit(0).cast("bigint"),
+            lambda total, blocks: total + F.coalesce(blocks, F.lit(0)),
+        ).alias("total_rbs"),
+    )
+
+
+def line_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uplink messages written as lines of JSON and read back, through to their rows."""
+    path = f"{staging_root(spark)}/lines-{uuid.uuid4().hex}"
+    messages = tables.uplink_messages(spark, sf_dir)
+    write_lines(messages.drop("batch_id"), path)
+    read = line_messages(read_lines(spark, path))
+    rows = records.uplink_rows(read, "trace_id")
+    return rows.groupBy("trace_id").agg(
+        F.count_if("is_report").alias("n_reports"),
+        F.count_if(~F.col("is_report")).alias("n_samples"),
+        F.count_if("first_tx").alias("n_first"),
+        F.sum("report_time").alias("report_times"),
+        F.sum("level").alias("levels"),
+        F.sum(F.col("sub_fn") + 16 * F.col("sys_fn")).alias("frames"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "scan_messages": scan_messages,
     "scan_file_set": scan_file_set,
@@ -453,4 +538,8 @@ QUERIES: dict[str, Query] = {
     "latency_stack": latency_stack,
     "queue_match_unmatched": queue_match_unmatched,
     "stream_totals": stream_totals,
+    "stream_by_batch": stream_by_batch,
+    "stream_trace_scope": stream_trace_scope,
+    "dict_text_messages": dict_text_messages,
+    "line_round_trip": line_round_trip,
 }

@@ -35,4 +35,4 @@ SUBPACKETS = f"array<struct<Samples:array<{SAMPLE}>>>"
 MESSAGES = f"{ENVELOPE}, Records {RECORDS}, Subpackets {SUBPACKETS}"
 
 # One dict-text line: the timestamp is already epoch seconds.
-TEXT_LINE = f"timestamp double, type_id string, Records {RECORDS}, Subpackets {SUBPACKETS}"
+TEXT_LINE = f"timestamp double, trace_id string, type_id string, Records {RECORDS}, Subpackets {SUBPACKETS}"

@@ -10,65 +10,61 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.timefmt import span_labels
-from ..operators.batches import number_batches, utilization
-from ..operators.filters import subscribe
-from ..operators.histogram import auto_histogram
+from ..functions.timefmt import minutes_between, span_labels
+from ..operators.batches import number_batches
+from ..operators.histogram import auto_histogram, value_counts
 from ..operators.latency import PARTS, latency_running, latency_stack, latency_sums
 from ..operators.records import rb_samples, uplink_rows
 from ..operators.scan import CHUNK_ROWS
 from ..plans.uplink import uplink_carried, uplink_latency
-from ..schemas import REQUIRED_TYPES
+from ..schemas import CUSTOM, REQUIRED_TYPES
 from ..sources.sinks import write_batch, write_table
-from ..staging import delete_path, path_exists, temporary_stages
+from ..staging import delete_path, path_exists, stage, temporary_stages
+from .state import COMPACT_EVERY, TraceState
 
 STATE_DIR = "_state"
-STATE_TABLES = ["traces", "packets", "slots", "repeats"]
 
 Prepare = Callable[[DataFrame], DataFrame]
 
+# A batch's summary, and those of its columns that are 0 where there is nothing.
+_SUMMARY = ["n_messages", "n_samples", "total_rbs", "min_ts", "max_ts", *PARTS]
+_COUNTS = ["n_messages", "n_samples", *PARTS]
 
-def _carried_packets(uplink: DataFrame, batch_id: int, out: str, chunk_rows: int) -> DataFrame:
-    """Packets of a batch that goes on from the state the batch before it left.
+# What the analyses need of a message.
+_COLUMNS = ["trace_id", "file_name", "msg_seq", "type_id", "ts", "Records", "Subpackets"]
 
-    The state tables of a batch are kept until the next one is written, so that a
-    batch can be run again.
-    """
-    spark = uplink.sparkSession
-    root = f"{out}/{STATE_DIR}"
-    before = None
-    if path_exists(spark, f"{root}/traces"):
-        earlier = spark.read.parquet(f"{root}/traces").filter(F.col("batch_id") < batch_id)
-        before = earlier.agg(F.max("batch_id")).first()[0]
-    state = None
-    if before is not None:
-        state = {
-            name: spark.read.parquet(f"{root}/{name}/batch_id={before}") for name in STATE_TABLES
-        }
+
+def _carried_packets(
+    uplink: DataFrame, batch_id: int, out: str, chunk_rows: int, compact_every: int
+) -> DataFrame:
+    """Packets of a batch that goes on from the state that earlier batches left."""
+    log = TraceState(uplink.sparkSession, f"{out}/{STATE_DIR}", compact_every=compact_every)
+    log.compact(batch_id)
+    touched = stage(uplink.select("trace_id").distinct(), "touched")
+    state = log.read(batch_id, touched)
     packets, after = uplink_carried(uplink_rows(uplink, "trace_id"), state, chunk_rows=chunk_rows)
-    for name, table in after.items():
-        write_batch(table, root, name, batch_id)
+    log.write(batch_id, after)
     return packets
 
 
-def forget_states(spark: SparkSession, out: str, batch_id: int) -> None:
-    """Drop the states of batches more than one before ``batch_id``."""
-    root = f"{out}/{STATE_DIR}"
-    kept = (
-        spark.read.parquet(f"{root}/traces")
-        .filter(F.col("batch_id") < batch_id)
-        .select("batch_id")
-        .distinct()
-        .orderBy(F.desc("batch_id"))
-        .collect()
+def _typed(messages: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """The messages that either analysis reads, stored by analysis in one pass, and counts.
+
+    Custom packets go with the downlink, as a subscription to it has them.
+    """
+    kind = (
+        F.when(F.col("type_id").isin([*REQUIRED_TYPES["utilization"], CUSTOM]), "dl")
+        .when(F.col("type_id").isin(REQUIRED_TYPES["uplink_latency"]), "ul")
+        .alias("kind")
     )
-    for row in kept[1:]:
-        for name in STATE_TABLES:
-            delete_path(spark, f"{root}/{name}/batch_id={row.batch_id}")
+    seen = Observation()
+    typed = messages.select(*_COLUMNS, kind).observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col("kind") == "dl").alias("dl"))
+    stored = stage(typed.filter(F.col("kind").isNotNull()), "typed", partition_by=["kind"])
+    return stored, seen.get
 
 
 def process_batch(
@@ -77,44 +73,49 @@ def process_batch(
     out: str,
     scope: str = "batch",
     chunk_rows: int = CHUNK_ROWS,
+    compact_every: int = COMPACT_EVERY,
 ) -> None:
-    """Write one batch's samples, histogram, packets and summary.
+    """Write one batch's samples, value counts, histogram, packets and summary.
 
     With scope ``batch`` uplink state starts anew in each batch and spans its
     files; with scope ``trace`` a batch goes on where the one before ended.
-    Both analyses read the batch themselves, each only its types and columns.
+    The batch is read once, and its counts and sums are taken as tables are written.
     """
-    if messages.isEmpty():
-        return
     spark = messages.sparkSession
+    typed, seen = _typed(messages)
+    if not seen.get("n"):
+        return
 
     def written(name: str) -> DataFrame:
         return spark.read.parquet(f"{out}/{name}/batch_id={batch_id}")
 
-    downlink = subscribe(messages, REQUIRED_TYPES["utilization"])
-    write_batch(rb_samples(downlink, "trace_id"), out, "rb_samples", batch_id)
-    samples = written("rb_samples")
-    write_batch(auto_histogram(samples, "num_rbs"), out, "rb_histogram_by_batch", batch_id)
+    spans = Observation()
+    samples = rb_samples(typed.filter("kind = 'dl'"), "trace_id").observe(
+        spans,
+        F.count(F.lit(1)).alias("n_samples"),
+        F.sum("num_rbs").alias("total_rbs"),
+        F.floor(F.min("ts")).alias("min_ts"),
+        F.floor(F.max("ts")).alias("max_ts"),
+    )
+    write_batch(samples, out, "rb_samples", batch_id)
+    write_batch(value_counts(written("rb_samples"), "num_rbs"), out, "rb_values", batch_id)
+    histogram = auto_histogram(written("rb_values"), "num_rbs", weight="n")
+    write_batch(histogram, out, "rb_histogram_by_batch", batch_id)
 
-    uplink = messages.filter(F.col("type_id").isin(REQUIRED_TYPES["uplink_latency"]))
+    uplink = typed.filter("kind = 'ul'")
     if scope == "trace":
-        packets = _carried_packets(uplink, batch_id, out, chunk_rows)
+        packets = _carried_packets(uplink, batch_id, out, chunk_rows, compact_every)
     else:
         packets = uplink_latency(uplink, chunk_rows=chunk_rows)
+    sums = Observation()
+    packets = packets.observe(sums, *[F.coalesce(F.sum(p), F.lit(0)).alias(p) for p in PARTS])
     write_batch(packets, out, "uplink_latency", batch_id)
-    if scope == "trace":
-        forget_states(spark, out, batch_id)
 
     # A one-row summary: sums are 0 and spans NULL where a batch has no rows.
-    sums = latency_sums(written("uplink_latency"))
-    spans = samples.agg(
-        F.count("*").alias("n_samples"),
-        F.sum("num_rbs").alias("total_rbs"),
-        F.floor(F.min("ts")).alias("min_ts"),
-        F.floor(F.max("ts")).alias("max_ts"),
-    )
-    counts = downlink.agg(F.count("*").alias("n_messages"))
-    write_batch(one_row(counts, spans, sums), out, "batches", batch_id)
+    found = {"n_messages": seen["dl"], **spans.get, **sums.get}
+    row = [found.get(name, 0 if name in _COUNTS else None) for name in _SUMMARY]
+    schema = ", ".join(f"{name} bigint" for name in _SUMMARY)
+    write_batch(spark.createDataFrame([row], schema), out, "batches", batch_id)
 
 
 def one_row(*rows: DataFrame) -> DataFrame:
@@ -164,32 +165,46 @@ def run_available(
     checkpoint: str,
     prepare: Prepare | None = None,
     require_dl: bool = False,
+    totals: bool = True,
     **settings,
 ) -> None:
-    """Process every file not used yet, then write the totals."""
+    """Process every file not used yet, then write the totals, if they are wanted."""
     writer = _writer(stream, out, checkpoint, prepare, **settings)
     writer.trigger(availableNow=True).start().awaitTermination()
-    write_totals(stream.sparkSession, out, require_dl)
+    if totals:
+        write_totals(stream.sparkSession, out, require_dl)
 
 
 def write_totals(spark: SparkSession, out: str, require_dl: bool = False) -> None:
-    """Whole-run tables from the per-batch tables.
+    """Whole-run tables from what each batch has added up; no samples are read again.
 
     ``require_dl`` leaves out the latency of batches without downlink samples. A
     run that has had no message has no totals.
     """
-    if not path_exists(spark, f"{out}/rb_samples"):
-        return
-    samples = spark.read.parquet(f"{out}/rb_samples")
-    spans = utilization(samples)
+    if path_exists(spark, f"{out}/batches"):
+        with temporary_stages(spark):
+            _write_totals(spark, out, require_dl)
+
+
+def _write_totals(spark: SparkSession, out: str, require_dl: bool) -> None:
+    batches = spark.read.parquet(f"{out}/batches")
+    spans = batches.agg(
+        F.sum("n_samples").alias("n_samples"),
+        F.sum("total_rbs").alias("total_rbs"),
+        F.min("min_ts").alias("min_ts"),
+        F.max("max_ts").alias("max_ts"),
+    ).filter(F.col("n_samples") > 0)
+    minutes = minutes_between(F.col("min_ts"), F.col("max_ts")).alias("minutes")
+    spans = spans.select("total_rbs", "min_ts", "max_ts", minutes)
     labels = span_labels(F.col("min_ts"), F.col("max_ts"), F.col("total_rbs"))
     write_table(
         spans.select("*", *[c.alias(name) for name, c in labels.items()]),
         out, "utilization_total",
     )
-    write_table(auto_histogram(samples, "num_rbs"), out, "rb_histogram_total")
+    values = spark.read.parquet(f"{out}/rb_values")
+    write_table(auto_histogram(values, "num_rbs", weight="n"), out, "rb_histogram_total")
 
-    batches = spark.read.parquet(f"{out}/batches").withColumn(
+    batches = batches.withColumn(
         "has_data", (F.col("n_samples") > 0) if require_dl else F.lit(True)
     )
     write_table(

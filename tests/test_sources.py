@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from cellmeter.operators import filters
 from cellmeter.schemas import DL_STAT, MESSAGES, UL_REPORT
 from cellmeter.sources import messages as source
 from cellmeter.sources import sinks
@@ -119,3 +121,47 @@ def test_tables_replace_what_was_there(spark, some, tmp_path):
         sinks.write_table(some, out, "all")
     assert spark.read.parquet(f"{out}/rows").filter("batch_id = 4").count() == 9
     assert spark.read.parquet(f"{out}/all").count() == 9
+
+
+def test_lines_of_files_in_many_blocks_keep_their_order(spark, tmp_path):
+    """Files cut into blocks inside lines; the numbers follow the lines."""
+    rng = random.Random(3)
+    texts = {}
+    for name, count in (("big", 4000), ("small", 3), ("other", 900), ("one", 1)):
+        lines = ["%s %d %s" % (name, i, "x" * rng.choice([0, 3, 200])) for i in range(count)]
+        end = "\r\n" if name == "other" else "\n"
+        texts[f"{name}.txt"] = lines
+        blanks = end * 40 if name == "big" else ""
+        (tmp_path / f"{name}.txt").write_bytes((blanks + end.join(lines)).encode())
+    (tmp_path / "left.log").write_text("no")
+    settings = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "10"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        read = source.read_lines(spark, str(tmp_path))
+        assert read.rdd.getNumPartitions() > 50
+        rows = read.collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    got = {}
+    for row in sorted(rows, key=lambda r: (r.file_name, r.msg_seq)):
+        got.setdefault(row.file_name, []).append(row.line)
+    assert got == texts
+    assert len({(r.file_name, r.msg_seq) for r in rows}) == len(rows)
+
+
+def test_a_block_of_blank_lines_shares_no_number(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("\n" * 100 + "x\ny\n" + "\n" * 50 + "z")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20")
+    try:
+        rows = source.read_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.line for r in sorted(rows, key=lambda r: r.msg_seq)] == ["x", "y", "z"]
+
+
+def test_unknown_types_are_warned_of(some):
+    with pytest.warns(UserWarning, match="unsupported message type: nothing"):
+        assert filters.subscribe(some, ["nothing", UL_REPORT]).count() == 3

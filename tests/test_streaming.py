@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -11,15 +12,17 @@ from cellmeter.operators.batches import utilization
 from cellmeter.operators.records import rb_samples
 from cellmeter.plans.uplink import uplink_latency
 from cellmeter.schemas import DL_STAT, MESSAGES, UL_BUFFER, UL_REPORT
-from cellmeter.sources.messages import message_stream
+from cellmeter.sources.messages import line_messages, line_stream, message_stream
 from cellmeter.staging import staging_root
 from cellmeter.streaming.runner import (
     clear_output,
+    process_batch,
     run_available,
     start_live,
     stop_live,
     write_totals,
 )
+from cellmeter.streaming.state import STATE_SCHEMAS, TraceState
 
 TS = dt.datetime(2024, 1, 1, 0, 0, 0)
 
@@ -105,7 +108,7 @@ def test_trace_scope_keeps_packets_open_over_batches(spark, tmp_path):
     want = uplink_latency(spark.createDataFrame(everything, MESSAGES)).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(want) == 5
     kept = {p.name for p in (tmp_path / "out" / "_state" / "traces").iterdir()}
-    assert kept == {"batch_id=1", "batch_id=2"}
+    assert kept == {"run=delta-0", "run=delta-1", "run=delta-2"}
 
 
 def test_live_run_writes_totals_when_it_stops(spark, tmp_path):
@@ -122,3 +125,106 @@ def test_empty_inbox_has_no_totals(spark, tmp_path):
     stream = message_stream(spark, str(tmp_path / "in"), [".json"], "json")
     run_available(stream, str(tmp_path / "out"), str(tmp_path / "state"))
     assert not (tmp_path / "out" / "latency_total").exists()
+
+
+def test_a_batch_is_read_once(spark, tmp_path):
+    """Every row of a batch passes a counter between the source and the job once."""
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    rows = file_rows(1) + file_rows(3)
+    spark.createDataFrame(rows, MESSAGES).coalesce(1).write.json(inbox)
+    passed = spark.sparkContext.accumulator(0)
+
+    def counted(batch):
+        def count(parts):
+            for part in parts:
+                passed.add(part.num_rows)
+                yield part
+
+        return batch.mapInArrow(count, batch.schema)
+
+    stream = message_stream(spark, inbox, [".json"], "json")
+    run_available(stream, out, state, prepare=counted)
+    assert passed.value == len(rows)
+    summary = spark.read.parquet(f"{out}/batches").first()
+    assert (summary.n_messages, summary.n_samples, summary.total_rbs) == (2, 2, 40)
+
+
+def test_totals_read_no_samples(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for n in (1, 2, 3):
+        process_batch(spark.createDataFrame(file_rows(n), MESSAGES), n, out)
+    write_totals(spark, out)
+    tables = ["utilization_total", "rb_histogram_total", "latency_total", "latency_running"]
+    want = {t: sorted(map(tuple, spark.read.parquet(f"{out}/{t}").collect())) for t in tables}
+    clear_output(spark, f"{out}/rb_samples")
+    clear_output(spark, f"{out}/uplink_latency")
+    write_totals(spark, out)
+    got = {t: sorted(map(tuple, spark.read.parquet(f"{out}/{t}").collect())) for t in tables}
+    assert got == want and want["utilization_total"][0][0] == 40
+
+
+def state_tables(spark, traces, level):
+    """One packet, slot and repeat per trace."""
+    rows = spark.createDataFrame([(t,) for t in traces], "trace_id string")
+    values = {
+        "packets": "1L as seq, 2 as t, 3L as delta, 4L as arrived, 5L as drained, cast(null as struct<seq:bigint,t:int>) as first",
+        "slots": f"{level} as slot, 1L as seq, 2 as waiting, 3 as tx",
+        "repeats": "1 as slot, 1L as seq",
+        "traces": f"1 as t, {level}L as level, 0L as arrived, 0L as drained, 9L as seq",
+    }
+    return {name: rows.selectExpr("trace_id", *re.split(r", (?![^(<]*[)>])", v)) for name, v in values.items()}
+
+
+def test_state_of_one_of_many_traces_costs_one(spark, tmp_path):
+    log = TraceState(spark, str(tmp_path / "s"))
+    many = [f"t{i}" for i in range(10_000)]
+    log.write(0, state_tables(spark, many, 1))
+    one = spark.createDataFrame([("t77",)], "trace_id string")
+    before = log.read(1, one)
+    assert {name: table.count() for name, table in before.items()} == dict.fromkeys(STATE_SCHEMAS, 1)
+    after = state_tables(spark, ["t77"], 2)
+    after["packets"] = after["packets"].limit(0)
+    log.write(1, after)
+    for name in STATE_SCHEMAS:
+        written = spark.read.schema("trace_id string").parquet(f"{tmp_path}/s/{name}/run=delta-1")
+        assert written.count() == (0 if name == "packets" else 1)
+    # The trace's packet is gone with its newest entry, the others keep theirs.
+    two = spark.createDataFrame([("t77",), ("t78",), ("new",)], "trace_id string")
+    found = log.read(2, two)
+    assert [r.trace_id for r in found["packets"].collect()] == ["t78"]
+    assert sorted((r.trace_id, r.level) for r in found["traces"].collect()) == [("t77", 2), ("t78", 1)]
+    assert sorted((r.trace_id, r.slot) for r in found["slots"].collect()) == [("t77", 2), ("t78", 1)]
+    # A batch that runs again reads what it read before.
+    assert log.read(1, one)["traces"].first().level == 1
+
+
+def test_state_log_becomes_one_base(spark, tmp_path):
+    log = TraceState(spark, str(tmp_path / "s"), compact_every=2)
+    names = lambda: sorted(p.name for p in (tmp_path / "s" / "traces").iterdir())
+    touched = spark.createDataFrame([(t,) for t in "abc"], "trace_id string")
+    for batch, traces in enumerate(["abc", "b", "a", "c", "b"]):
+        log.compact(batch)
+        if log.read(batch, touched):
+            log.read(batch, touched)["traces"].count()
+        log.write(batch, state_tables(spark, traces, 10 + batch))
+    assert names() == ["run=base-3", "run=delta-4"]
+    found = {r.trace_id: r.level for r in log.read(5, touched)["traces"].collect()}
+    assert found == {"a": 12, "b": 14, "c": 13}
+    found = {r.trace_id: r.level for r in log.read(4, touched)["traces"].collect()}
+    assert found == {"a": 12, "b": 11, "c": 13}
+
+
+def test_dict_text_files_as_a_stream(spark, tmp_path):
+    """Lines of text files, numbered in the stream, through to the results."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    line = "{'timestamp': %d.5, 'type_id': '%s', 'Records': [{'Num RBs': %d, 'ok': True}, {'Num RBs': None}]}"
+    for n in (1, 2):
+        text = "\n".join(line % (100 * n + i, DL_STAT, i) for i in range(50))
+        (inbox / f"log{n}.txt").write_text(text + "\n\nnot a message\n")
+        stream = line_stream(spark, str(inbox))
+        run_available(stream, str(tmp_path / "out"), str(tmp_path / "state"), prepare=line_messages)
+    got = spark.read.parquet(str(tmp_path / "out" / "batches")).orderBy("batch_id").collect()
+    assert [(r.n_messages, r.n_samples, r.total_rbs, r.min_ts) for r in got] == [
+        (50, 50, 1225, 100), (50, 50, 1225, 200)
+    ]
