@@ -28,6 +28,7 @@ _NEVER = 1 << 60
 _REMEMBERED_PAIRS = 1 << 18
 _REMEMBERED_PIECES = 1 << 19
 _REMEMBERED_WORDS = 1 << 17
+_REMEMBERED_PREFIXES = 1 << 19
 
 
 def id_bytes(ids: list[int]) -> bytes:
@@ -278,10 +279,11 @@ class PieceTokenizer:
             raise ValueError("the model changes spaces")
         self._bpe = PrefixBpe(tokens)
         self._symbols = {t for t in tokens if len(t) == 1}
-        # Tokens of a word after a mark and without one, and whether the mark stays alone.
-        self._marked = Remembered(lambda word: self._word_count(self.MARK + word))
-        self._bare = Remembered(self._word_count)
-        self._alone = Remembered(self._mark_alone)
+        # Tokens of every prefix of a word, after a mark and without one, and whether the
+        # mark stays alone.
+        self._marked = Remembered(lambda word: self._stored(self.MARK + word), _REMEMBERED_PREFIXES)
+        self._bare = Remembered(self._stored, _REMEMBERED_PREFIXES)
+        self._alone = Remembered(self._mark_alone, _REMEMBERED_PREFIXES)
         self._run_counts = [0]
         self._run_parts: list[int] = []
 
@@ -299,10 +301,13 @@ class PieceTokenizer:
                 start = i + 1
         return counts
 
-    def _word_count(self, word: str) -> int:
+    def _stored(self, word: str) -> bytes | list[int]:
+        """``_word_prefixes``, packed where the counts fit bytes."""
         if self._symbols.issuperset(word):
-            return self._bpe.count(word)
-        return self._word_prefixes(word)[-1]
+            counts = self._bpe.prefixes(word)
+        else:
+            counts = self._word_prefixes(word)
+        return bytes(counts) if len(word) < 64 and counts[-1] < 256 and max(counts) < 256 else counts
 
     def _mark_alone(self, word: str) -> bool:
         """Whether the first token of the marked word is the mark alone."""
@@ -321,29 +326,79 @@ class PieceTokenizer:
             self._run_counts.append(len(parts))
         return self._run_counts[length]
 
-    def count(self, data: bytes | None) -> int:
-        """Tokens of a text given as UTF-8; 0 for NULL or an empty text."""
+    def measure(self, data: bytes | None, budget: int) -> tuple[int, int]:
+        """Tokens of a text given as UTF-8, and characters of its longest prefix of ``budget`` tokens.
+
+        Both come from the stored counts of the prefixes of its words: the total
+        from their last entries, and the cut from those of the word in which the
+        total goes over the budget. An empty text and NULL have 0 of both.
+        """
         if not data:
-            return 0
-        text = self.MARK + data.decode("utf-8").replace(" ", self.MARK)
-        total, marked, bare = 0, self._marked, self._bare
-        for line in text.split("\n"):
+            return 0, 0
+        plain = data.decode("utf-8")
+        text = self.MARK + plain.replace(" ", self.MARK)
+        total, at, marked, bare = 0, 0, self._marked, self._bare
+        # Where the first unit begins that goes over the budget, and the tokens before.
+        over: tuple[int, int, int] | None = None
+        for number, line in enumerate(text.split("\n")):
+            if number:
+                if over is None and total + 1 > budget:
+                    over = at, at + 1, total
+                total += 1
+                at += 1
             first, *words = line.split(self.MARK)
             if first:
-                total += bare[first]
+                own = bare[first][-1]
+                if over is None and total + own > budget:
+                    over = at, at + len(first), total
+                total += own
+                at += len(first)
             waiting = 0  # marks before the next word, without its own
             for word in words:
                 if not word:
                     waiting += 1
                     continue
-                total += marked[word]
+                own = marked[word][-1]
                 if waiting:
                     # A mark that stays alone is one more of the run.
-                    own = self._alone[word]
-                    total += self.run_count(waiting + 1) - 1 if own else self.run_count(waiting)
-                    waiting = 0
-            total += self.run_count(waiting)
-        return total + text.count("\n")
+                    own += self.run_count(waiting + 1) - 1 if self._alone[word] else self.run_count(waiting)
+                end = at + waiting + 1 + len(word)
+                if over is None and total + own > budget:
+                    over = at, end, total
+                total += own
+                at, waiting = end, 0
+            own = self.run_count(waiting)
+            if over is None and total + own > budget:
+                over = at, at + waiting, total
+            total += own
+            at += waiting
+        if over is None:
+            return total, len(plain)
+        # The text has a mark before its first character.
+        begin, end, before = over
+        inside = [before + n for n in self._unit_prefixes(text[begin:end])]
+        return total, max(max((i for i, n in enumerate(inside) if n <= max(budget, 0)), default=0) + begin - 1, 0)
+
+    def _unit_prefixes(self, unit: str) -> list[int]:
+        """Tokens of each prefix of a line end, or of marks and a word."""
+        word = unit.lstrip(self.MARK)
+        marks = len(unit) - len(word)
+        counts = [self.run_count(i) for i in range(marks + 1)]
+        if unit == "\n":
+            return [0, 1]
+        stored = self._marked[word] if marks else self._bare[word]
+        for k in range(1, len(word) + 1):
+            if not marks:
+                counts.append(stored[k])
+            elif self._mark_alone(word[:k]):
+                counts.append(stored[k + 1] + self.run_count(marks) - 1)
+            else:
+                counts.append(stored[k + 1] + self.run_count(marks - 1))
+        return counts
+
+    def count(self, data: bytes | None) -> int:
+        """Tokens of a text given as UTF-8; 0 for NULL or an empty text."""
+        return self.measure(data, len(data or b"") + 1)[0]
 
     def prefix_counts(self, text: str) -> list[int]:
         """Tokens of every prefix of ``text``, by its length in characters."""
@@ -379,8 +434,7 @@ class PieceTokenizer:
 
     def truncated(self, text: str, budget: int) -> str:
         """The longest prefix of at most ``budget`` tokens."""
-        counts = self.prefix_counts(text)
-        return text[: max(i for i, n in enumerate(counts) if n <= max(budget, 0))]
+        return text[: self.measure(text.encode("utf-8"), budget)[1]]
 
 
 @cache

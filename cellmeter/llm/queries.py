@@ -42,7 +42,9 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(
-        _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+        with_cut=True,
     )
 
 

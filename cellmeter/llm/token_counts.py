@@ -11,15 +11,21 @@ from .bpe import piece_tokenizer
 CONTEXT_TOKENS = 4_096
 
 
-def token_count(text: Column, model_path: str) -> Column:
-    """Tokens of each whole text; 0 for NULL and empty texts."""
+def token_measures(text: Column, model_path: str, limit: int = CONTEXT_TOKENS) -> Column:
+    """``n_tokens`` of each whole text and ``n_chars_within``, the characters of the longest
+    prefix that has ``limit`` tokens at most; 0 for NULL and empty texts.
 
-    @F.arrow_udf("bigint")
-    def counted(texts: pa.Array) -> pa.Array:
-        count = piece_tokenizer(model_path).count
-        return pa.array([count(x.as_py()) for x in texts], pa.int64())
+    Both are read off the token counts of the prefixes of the text's words.
+    """
+
+    @F.arrow_udf("struct<n_tokens: bigint, n_chars_within: bigint>")
+    def measured(texts: pa.Array) -> pa.Array:
+        measure = piece_tokenizer(model_path).measure
+        found = [measure(x.as_py(), limit) for x in texts]
+        columns = [pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], []))]
+        return pa.StructArray.from_arrays(columns, names=["n_tokens", "n_chars_within"])
 
-    return counted(text.cast("binary"))
+    return measured(text.cast("binary"))
 
 
 def prefix_token_counts(text: Column, model_path: str) -> Column:
@@ -55,13 +61,23 @@ def token_counts(
     id_col: str = "doc_id",
     text_col: str = "text",
     limit: int = CONTEXT_TOKENS,
+    with_cut: bool = False,
 ) -> DataFrame:
-    """``doc_id, n_bytes, n_tokens, over_limit`` of every row; repeated rows stay repeated.
+    """``doc_id, n_bytes, n_tokens, over_limit`` of every row.
 
-    A NULL text counts as empty, a NULL id stays NULL; other columns are not read.
+    ``with_cut`` adds ``n_chars_within``, how many characters of the text fit
+    ``limit`` tokens: all of them where it isn't over. Repeated rows stay repeated. A NULL text counts
+    as empty, a NULL id stays NULL; other columns are not read.
     """
-    return docs.select(
+    found = docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("bigint").alias("n_bytes"),
-        token_count(F.col(text_col), model_path).alias("n_tokens"),
-    ).withColumn("over_limit", F.col("n_tokens") > limit)
+        token_measures(F.col(text_col), model_path, limit).alias("found"),
+    )
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "found.n_tokens",
+        (F.col("found.n_tokens") > limit).alias("over_limit"),
+        *(["found.n_chars_within"] if with_cut else []),
+    )

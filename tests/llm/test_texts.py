@@ -262,3 +262,21 @@ def test_pages_table(spark, sf_dir):
     real = html_text.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet")).collect()
     assert all(r.n_chars == len(r.text) > 0 and "{" not in r.text for r in real)
     assert html_text.extract_pages(pages.limit(0)).collect() == []
+
+
+def test_cuts_come_from_the_stored_prefix_counts(spark, pieces):
+    """The longest prefix within a budget, found by encoding every prefix."""
+    mine, library = pieces
+    rng = random.Random(4)
+    parts = ["the", "a", "  ", "   ", " ", "\n", "é", "日本", "x1", "hello", "ing", "\n\n", "▁", "😀", "Wor", "ld"]
+    rows = []
+    for i in range(300):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 10)))
+        sizes = [len(library.encode(text[:k])) for k in range(len(text) + 1)]
+        for budget in (0, 1, 3, 8):
+            within = max(k for k, n in enumerate(sizes) if n <= budget)
+            assert mine.measure(text.encode(), budget) == (sizes[-1], within)
+        rows.append((i, text, sizes[-1] > 4, max(k for k, n in enumerate(sizes) if n <= 4)))
+    docs = spark.createDataFrame([*rows, (-1, None, False, 0)], "doc_id int, text string, over boolean, cut long")
+    found = token_counts.token_counts(docs, PIECES, limit=4, with_cut=True).collect()
+    assert {r.doc_id: (r.over_limit, r.n_chars_within) for r in found} == {r.doc_id: (r.over, r.cut) for r in docs.collect()}
