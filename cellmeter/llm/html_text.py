@@ -12,6 +12,7 @@ text: such lines have less weight, and the sums decide.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -28,7 +29,7 @@ NAMED_WEIGHT = 0.5
 # Fixed values of HTML.
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _RAW = frozenset(
-    "script style noscript template textarea iframe svg math head title object canvas audio video"
+    "script style noscript template textarea iframe svg head title object canvas audio video"
     " select".split()
 )
 _BLOCKS = frozenset(
@@ -56,6 +57,16 @@ _NOT_TEXT_NAMES = frozenset(
     " share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser"
     " toolbar widget widgets".split()
 )
+# Names of what readers write; it is never taken for the article while there is other text.
+_COMMENT_NAMES = frozenset("comment comments commentlist disqus replies reply respond".split())
+# Words that such a name may be put together with and still say the same.
+_STRUCTURE_NAMES = frozenset(
+    "area article articles bar block blocks body bottom box button buttons card cards col column"
+    " container content count div entry feed footer form global group head header heading icon"
+    " icons inner item items js label left link links list lists main middle module more nav new"
+    " outer page pane panel post posts primary region right row secondary section sections site"
+    " slot small stories story text thread title top unit user view wrap wrapper zone".split()
+)
 _ARTICLE_NAMES = frozenset("article body content entry main post story text".split())
 
 _TAG = re.compile(
@@ -69,8 +80,8 @@ _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>?", re.IGNORECASE) for name in _
 class Line:
     """Text of a block, its characters inside links, and what it is part of.
 
-    ``named`` are the numbers of the elements around it that only a name tells
-    from the article.
+    ``named`` is the number of the innermost element around it that only a name
+    tells from the article, 0 if there is none.
     """
 
     __slots__ = ("text", "link_chars", "boilerplate", "inside", "named")
@@ -81,69 +92,78 @@ class Line:
         link_chars: int,
         boilerplate: bool,
         inside: bool,
-        named: tuple[int, ...] = (),
+        named: int = 0,
     ):
         self.text, self.link_chars = text, link_chars
         self.boilerplate, self.inside, self.named = boilerplate, inside, named
 
 
-def _is_boilerplate(name: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element is none of the article for certain, and whether its names say so."""
+# What the names of an element say of it.
+_SILENT, _NAMED, _COMMENTS = 0, 1, 2
+
+
+def _is_boilerplate(name: str, attributes: str, inside: bool) -> tuple[bool, int]:
+    """Whether an element is none of the article for certain, and what its names say."""
     if name in _NOT_TEXT or (name == "header" and not inside):
-        return True, False
+        return True, _SILENT
     if not attributes or name in ("html", "body", "a"):
-        return False, False
+        return False, _SILENT
     found = {}
     for key, *values in _ATTRIBUTE.findall(attributes):
         found.setdefault(key.lower(), next(filter(None, values), ""))
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
-        return True, False
+        return True, _SILENT
     if found.get("role", "").lower() in _NOT_TEXT_ROLES:
-        return True, False
+        return True, _SILENT
     if "display:none" in found.get("style", "").replace(" ", "").lower():
-        return True, False
-    parts = {
-        x.lower()
-        for x in _NAME_PARTS.findall(found.get("class", "") + " " + found.get("id", ""))
-    }
-    if "header" in parts and not inside and not parts & _ARTICLE_NAMES:
-        return False, True
-    return False, bool(parts & _NOT_TEXT_NAMES)
-
-
-def _drop_named(lines: list[Line]) -> None:
+        return True, _SILENT
+    said = _SILENT
+    names = (found.get("class", "") + " " + found.get("id", "")).split()
+    parts_of = [{x.lower() for x in _NAME_PARTS.findall(n) if not x.isdigit()} for n in names]
+    for parts in parts_of:
+        # "share-buttons" and "comments" say what they are, "share-price" and "has-comments" don't.
+        if parts & _NOT_TEXT_NAMES and parts <= _NOT_TEXT_NAMES | _STRUCTURE_NAMES:
+            said = max(said, _COMMENTS if parts & _COMMENT_NAMES else _NAMED)
+    every = set().union(*parts_of)
+    if "header" in every and not inside and not every & _ARTICLE_NAMES:
+        said = max(said, _NAMED)
+    return False, said
+
+
+def _drop_named(lines: list[Line], above: list[int], said: list[int]) -> None:
     """Makes boilerplate of the lines in named elements, but for those that hold most of the text.
 
-    The largest element comes first. It stays if it has more text than all lines
-    that are in no named element or in one that stays; or no less text of
-    marked articles than those.
+    The largest element comes first, an outer one before those in it. It stays if
+    it has more text than all lines that are in no named element or in one that
+    stays; or no less text of marked articles than those. Readers' comments stay
+    only where the rest is less than a surge. ``above`` has the named element
+    around each, by number, ``said`` what its names say.
     """
-    members: dict[int, list[Line]] = {}
-    own: dict[int, list[int]] = {}
-    rest = [0, 0]  # characters of all lines, and of those in marked articles
+    count = len(above)
+    direct = [[0, 0] for _ in range(count)]  # characters of lines, and of those in marked articles
     for line in lines:
-        if line.boilerplate or 2 * line.link_chars > len(line.text):
-            continue
-        sizes = len(line.text), len(line.text) * line.inside
-        for number in line.named:
-            members.setdefault(number, []).append(line)
-            have = own.setdefault(number, [0, 0])
-            have[0] += sizes[0]
-            have[1] += sizes[1]
-        if not line.named:
-            rest[0] += sizes[0]
-            rest[1] += sizes[1]
-    stay: set[int] = set()
-    for number in sorted(own, key=lambda x: (-own[x][0], x)):
-        total, marked = own[number]
-        if total > rest[0] or (marked and marked >= rest[1]):
-            stay.add(number)
-            for line in members[number]:
-                if stay.issuperset(line.named):
-                    rest[0] += len(line.text)
-                    rest[1] += len(line.text) * line.inside
+        if not line.boilerplate and 2 * line.link_chars <= len(line.text):
+            direct[line.named][0] += len(line.text)
+            direct[line.named][1] += len(line.text) * line.inside
+    whole = [list(d) for d in direct]
+    for number in range(count - 1, 0, -1):
+        if above[number]:
+            whole[above[number]][0] += whole[number][0]
+            whole[above[number]][1] += whole[number][1]
+    rest = list(direct[0])
+    stays = [True] + [False] * (count - 1)
+    for number in sorted(range(1, count), key=lambda x: (-whole[x][0], x)):
+        total, marked = whole[number]
+        if said[number] == _COMMENTS:
+            enough = total > rest[0] and rest[0] < SURGE_CHARS
+        else:
+            enough = total > rest[0] or (marked and marked >= rest[1])
+        if enough and total and stays[above[number]]:
+            stays[number] = True
+            rest[0] += direct[number][0]
+            rest[1] += direct[number][1]
     for line in lines:
-        line.boilerplate = line.boilerplate or not stay.issuperset(line.named)
+        line.boilerplate = line.boilerplate or not stays[line.named]
 
 
 def page_lines(html: str) -> list[Line]:
@@ -153,15 +173,16 @@ def page_lines(html: str) -> list[Line]:
     link_chars = 0
     # Name, begins boilerplate, is an article, is known by a name only.
     open_: list[tuple[str, bool, bool, bool]] = []
-    named: list[int] = []
-    numbers = 0
+    # Numbers of the named elements that are open, and for each number the one around it.
+    named, above, said = [0], [0], [_SILENT]
+    open_names: Counter[str] = Counter()
     boilerplate = inside = links = 0
 
     def end_line() -> None:
         nonlocal link_chars
         text = " ".join("".join(pieces).split())
         if text:
-            lines.append(Line(text, link_chars, boilerplate > 0, inside > 0, tuple(named)))
+            lines.append(Line(text, link_chars, boilerplate > 0, inside > 0, named[-1]))
         pieces.clear()
         link_chars = 0
 
@@ -176,6 +197,7 @@ def page_lines(html: str) -> list[Line]:
         nonlocal boilerplate, inside, links
         while len(open_) > depth:
             name, bad, article, by_name = open_.pop()
+            open_names[name] -= 1
             if by_name:
                 named.pop()
             boilerplate -= bad
@@ -224,25 +246,30 @@ def page_lines(html: str) -> list[Line]:
         if name not in _FOLLOWED or name in _VOID:
             continue
         if closing:
-            depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
-            if depth is not None:
+            if open_names[name]:
+                # What is passed on the way is closed, so the search costs no more than that.
+                depth = len(open_) - 1
+                while open_[depth][0] != name:
+                    depth -= 1
                 close_down_to(depth)
         elif not tag[2].endswith("/"):
-            bad, by_name = _is_boilerplate(name, tag[2], inside > 0)
+            bad, names_say = _is_boilerplate(name, tag[2], inside > 0)
             article = name in ("article", "main") and not bad
             # A name says something of an article only within another, as of a comment.
-            by_name = by_name and (
-                not article or bool(named) or any(x[0] == "article" for x in open_)
+            by_name = bool(names_say) and (
+                not article or len(named) > 1 or open_names["article"] > 0
             )
             open_.append((name, bad, article, by_name))
+            open_names[name] += 1
             if by_name:
-                numbers += 1
-                named.append(numbers)
+                above.append(named[-1])
+                said.append(names_say)
+                named.append(len(above) - 1)
             boilerplate += bad
             inside += article
             links += name == "a"
     end_line()
-    _drop_named(lines)
+    _drop_named(lines, above, said)
     return lines
 
 

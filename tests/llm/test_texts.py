@@ -8,6 +8,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 
 import public_tokenizers
 import pytest
@@ -280,3 +281,57 @@ def test_cuts_come_from_the_stored_prefix_counts(spark, pieces):
     docs = spark.createDataFrame([*rows, (-1, None, False, 0)], "doc_id int, text string, over boolean, cut long")
     found = token_counts.token_counts(docs, PIECES, limit=4, with_cut=True).collect()
     assert {r.doc_id: (r.over_limit, r.n_chars_within) for r in found} == {r.doc_id: (r.over, r.cut) for r in docs.collect()}
+
+
+SENTENCES = ["Sentence number %d of the article, with enough words in it." % i for i in range(12)]
+
+
+def test_names_of_other_things_drop_no_text():
+    article = "".join(
+        f"<{tag}>{x}</{tag.split()[0]}>"
+        for x, tag in zip(SENTENCES, ["p", "p class='share-price'", "section id='search-for-life'", "p class='no-comment-today'"] * 3)
+    )
+    page = f"<body><nav>menu</nav><article>{article}<div class='share-buttons'>Share this</div></article></body>"
+    assert html_text.main_text(page) == "\n".join(SENTENCES)
+    assert html_text.main_text("<article><p>Let <math><mi>x</mi></math> be one.</p></article>") == "Let x be one."
+
+
+def test_comments_are_no_article_however_many():
+    text = "".join(f"<p>{x}</p>" for x in SENTENCES[:4])
+    comments = "".join(f"<p>Reader {i} says a sentence of about this length here.</p>" for i in range(60))
+    for name in ("comments", "comment-list", "replies"):
+        page = f"<body><div class='page'>{text}<div class='{name}'>{comments}</div></div></body>"
+        assert html_text.main_text(page) == "\n".join(SENTENCES[:4])
+
+
+def test_deep_and_unbalanced_markup_takes_linear_time():
+    deep = "<div class='widget'>" * 10_000 + f"<p>{SENTENCES[0]}</p>" + "</div>" * 10_000
+    open_ends = "<div>" * 10_000 + "</span>" * 50_000 + f"<article><p>{SENTENCES[0]}</p></article>"
+    articles = "<article class='comment'>" * 10_000 + SENTENCES[0]
+    for page in (deep, open_ends, articles):
+        start = time.process_time()
+        assert html_text.main_text(page) == SENTENCES[0]
+        assert time.process_time() - start < 2
+
+
+def test_surges_and_dives_of_pages_without_article_tags(spark, sf_dir):
+    """The table's pages with article and main as plain elements: lines by the sums alone."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    for page in pages[:100]:
+        plain = re.sub(r"<(/?)(article|main)\b[^>]*>", r"<\1div>", page.html or "")
+        lines = html_text.page_lines(plain)
+        weights = [
+            0 if x.boilerplate or 2 * x.link_chars > len(x.text)
+            else max(1, len(x.text) // 2) if x.named else len(x.text)
+            for x in lines
+        ]
+        sums = [sum(weights[i : i + 3]) for i in range(len(lines))]
+        enough = min(80, max(sums, default=0) / 2)
+        begins = [i for i, total in enumerate(sums) if weights[i] and total >= enough]
+        # A line stays if a surge is before it, or at it, and no dive between.
+        kept = [
+            x.text
+            for i, x in enumerate(lines)
+            if not x.boilerplate and any(b <= i and all(sums[b : i + 1]) for b in begins)
+        ]
+        assert html_text.main_text(plain) == "\n".join(kept)
