@@ -24,14 +24,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import stage
+from .bit_filter import filter_bits, passed
 from .words import mixed, run_hashes
 
 WINDOW_WORDS = 10
 SHINGLE_WORDS = 5
 
-# The filter has so many bits: 16 MB in each worker, whatever the benchmark's size.
-FILTER_BITS = 1 << 27
-
 # Bytes of text that are hashed at once; a longer text is hashed alone.
 _PIECE_BYTES = 1 << 20
 
@@ -185,28 +183,6 @@ def _shingle_rows(rows: DataFrame, size_col: str, context: bool) -> DataFrame:
     return rows.mapInArrow(cut, ", ".join(fields))
 
 
-def _filter_bits(window_shingles: DataFrame) -> np.ndarray:
-    """The bit filter. At most ``FILTER_BITS / 64`` numbers come to the driver."""
-    place = F.col("shingle").bitwiseAND(FILTER_BITS - 1)
-    cells = (
-        window_shingles.select(
-            F.shiftright(place, 6).alias("cell"), F.expr("shiftleft(1L, cast(shingle & 63 as int))").alias("bit")
-        )
-        .groupBy("cell")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
-    )
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    bits[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
-    return bits
-
-
-def _passed(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(FILTER_BITS - 1)
-    cell = bits[(place >> np.uint64(6)).astype(np.int64)].view(np.uint64)
-    return (cell >> (place & np.uint64(63))) & np.uint64(1) != 0
-
-
 def _stretches(docs: DataFrame, sizes: list[int], bits, id_type: str) -> DataFrame:
     """Every document with its words' number and the stretches that pass the filter."""
 
@@ -221,7 +197,7 @@ def _stretches(docs: DataFrame, sizes: list[int], bits, id_type: str) -> DataFra
                     if len(hashes) < size:
                         continue
                     inside = words.text[size - 1 :] == words.text[: len(hashes) - size + 1]
-                    hits = np.flatnonzero(inside & _passed(bits.value, shingles(hashes, size)))
+                    hits = np.flatnonzero(inside & passed(bits.value, shingles(hashes, size)))
                     if not len(hits):
                         continue
                     cut = np.diff(words.text[hits]) != 0
@@ -272,7 +248,7 @@ def contamination(
     keyed = windows.select("window", "size", shingle_size, "words")
     window_shingles = stage(_shingle_rows(keyed, "shingle_size", False), "window_shingles")
     sizes = sorted(r[0] for r in keyed.select("shingle_size").distinct().collect())
-    bits = spark.sparkContext.broadcast(_filter_bits(window_shingles))
+    bits = spark.sparkContext.broadcast(filter_bits(window_shingles.select("shingle")))
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..staging import stage
+from ..staging import stage, temporary_stages
+from .bit_filter import only_passed
 from .components import components
 from .groups import by_group
 from .words import SHINGLE_WORDS, mixed, shingle_set, word_hashes
@@ -74,26 +75,70 @@ def text_shingles(data: bytes | None) -> np.ndarray:
     return shingle_set(word_hashes((data or b"").split()), SHINGLE_WORDS)
 
 
+def set_print(shingles: np.ndarray) -> bytes:
+    """Bits of a set, two or more for each member; sets of about one size have as many or twice as many."""
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length()) if len(shingles) else 64
+    marks = np.zeros(bits, bool)
+    marks[shingles & np.uint64(bits - 1)] = True
+    return np.packbits(marks).tobytes()
+
+
+# Marks of prints that are held at once.
+_MARKS = 1 << 22
+
+
+def similar_prints(prints: list[bytes], size: np.ndarray, similarity: float) -> np.ndarray:
+    """Pairs that may have the similarity by their prints, and at most twice the size; none that has is left out.
+
+    The union of two sets is at least as large as the union of their prints.
+    """
+    n = len(prints)
+    out = np.zeros((n, n), bool)
+    length = np.array([len(p) for p in prints])
+    for width in np.unique(length).tolist():
+        own, wider = np.flatnonzero(length == width), np.flatnonzero(length == 2 * width)
+        both = np.concatenate([own, wider])
+        # A print folds into one of half the bits: its two halves laid over each other.
+        narrow = [np.frombuffer(prints[i], np.uint8) for i in own]
+        narrow += [np.bitwise_or(*np.frombuffer(prints[i], np.uint8).reshape(2, width)) for i in wider]
+        grid = np.stack(narrow)
+        shared = np.zeros((len(own), len(both)))
+        count = np.zeros(len(both))
+        step = max(1, _MARKS // (8 * len(both)))
+        for begin in range(0, width, step):
+            marks = np.unpackbits(grid[:, begin : begin + step], axis=1).astype(np.float32)
+            shared += marks[: len(own)] @ marks.T
+            count += marks.sum(axis=1)
+        union = count[: len(own), None] + count[None, :] - shared
+        fits = size[own][:, None] + size[both][None, :] >= (1 + similarity) * union - 1e-6
+        out[np.ix_(own, both)] |= fits
+        out[np.ix_(both, own)] |= fits.T
+    return out
+
+
 def _signed(values: np.ndarray) -> list[int]:
     return values.view(np.int64).tolist()
 
 
 def described(docs: DataFrame, runs: int = RUNS) -> DataFrame:
-    """``doc_id, text_key, item, size, buckets`` of every row with ``doc_id, text``.
+    """``doc_id, text_key, item, size, print, buckets`` of every row with ``doc_id, text``.
 
     ``item`` is a digest of the set of shingles; NULL where there are no words.
     """
-    schema = "doc_id bigint, text_key binary, item binary, size int, buckets array<bigint>"
+    schema = (
+        "doc_id bigint, text_key binary, item binary, size int, print binary, buckets array<bigint>"
+    )
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         roots = _roots(runs)
         for batch in batches:
-            items, sizes, buckets = [], [], []
+            items, sizes, prints, buckets = [], [], [], []
             for text in batch.column(2):
                 shingles = text_shingles(text.as_py())
                 sizes.append(len(shingles))
+                prints.append(set_print(shingles))
                 items.append(
                     hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
                     if len(shingles)
@@ -106,9 +151,10 @@ def described(docs: DataFrame, runs: int = RUNS) -> DataFrame:
                     batch.column(1),
                     pa.array(items, pa.binary()),
                     pa.array(sizes, pa.int32()),
+                    pa.array(prints, pa.binary()),
                     pa.array(buckets, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_key", "item", "size", "buckets"],
+                ["doc_id", "text_key", "item", "size", "print", "buckets"],
             )
 
     return docs.select(
@@ -119,8 +165,14 @@ def described(docs: DataFrame, runs: int = RUNS) -> DataFrame:
 
 
 def _with_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """Adds the text of each row's holder, a document of the item."""
-    texts = docs.select(
+    """Adds the text of each row's holder, a document of the item; ``rows`` are stored.
+
+    Only documents that may be holders are shuffled.
+    """
+    key_hash = F.xxhash64(F.coalesce(F.col("holder.text_key"), F.lit(b"")))
+    wanted_keys = rows.select(key_hash.alias("h"))
+    own_hash = F.xxhash64(F.coalesce(text_key(F.col("text")), F.lit(b"")))
+    texts = only_passed(docs.select("doc_id", "text"), own_hash, wanted_keys).select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("_doc"),
         F.col("doc_id").isNull().alias("_no_doc"),
         text_key(F.col("text")).alias("_key"),
@@ -165,7 +217,7 @@ def _split(large: DataFrame, items: DataFrame, docs: DataFrame) -> DataFrame:
 
     # An item is in a few buckets of each run, whatever their size.
     paths = large.groupBy("item").agg(F.collect_set("bucket").alias("paths"))
-    wanted = paths.join(items.select("item", "holder"), "item")
+    wanted = stage(paths.join(items.select("item", "holder"), "item"), "split")
     found = _with_text(wanted, docs).select("item", "paths", "text").mapInArrow(descend, schema)
     return stage(found.select("item", F.inline("below")).distinct(), "children")
 
@@ -293,11 +345,13 @@ def similar_items(
 ) -> DataFrame:
     """``item, links, head`` per bucket that gives an item links: documents it is linked to.
 
-    ``found`` has ``bucket, item, n``, stored; ``items`` has ``item, size, copies,
+    ``found`` has ``bucket, item, n``, stored; ``items`` has ``item, size, print, copies,
     holder``, the last a document (id and text key) of ``docs``.
     """
     numbers = found.groupBy("item").agg(F.collect_set("bucket").alias("numbers"))
-    known = numbers.join(items.select("item", "size", "copies", "holder"), "item")
+    known = stage(
+        numbers.join(items.select("item", "size", "print", "copies", "holder"), "item"), "known_items"
+    )
     rows = _blocks(found, block_items).join(known, "item")
     keys = ["bucket", "first", "second"]
     entry = "bucket bigint, first int, second int, block int, item binary"
@@ -305,13 +359,19 @@ def similar_items(
     def promising(group: pa.Table) -> Iterator[pa.RecordBatch]:
         pairs = candidates(group, similarity)
         some = np.flatnonzero(pairs.any(0) | pairs.any(1))
+        if len(some):
+            size = group.column("size").to_numpy().astype(np.float64)
+            prints = group.column("print").to_pylist()
+            near = similar_prints([prints[i] for i in some], size[some], similarity)
+            pairs = pairs[np.ix_(some, some)] & near
+            some = some[pairs.any(0) | pairs.any(1)]
         if len(some):
             yield from group.select([*keys, "block", "item"]).take(some).combine_chunks().to_batches()
 
-    # Numbers first: only items with a pair to verify bring their text.
-    narrow = rows.select(*keys, "block", "item", "size", "numbers")
+    # Numbers and prints first: only items with a pair to verify bring their text.
+    narrow = rows.select(*keys, "block", "item", "size", "print", "numbers")
     chosen = stage(by_group(narrow, keys, promising, entry), "candidates")
-    full = _with_text(chosen.join(known, "item"), docs).select(
+    full = _with_text(stage(chosen.join(known.drop("print"), "item"), "promising"), docs).select(
         *keys, "block", "item", "size", "copies", "numbers", "text"
     )
 
@@ -364,36 +424,48 @@ def jaccard_join(
     ids of the class are. Other columns are not read.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    base = stage(described(docs, runs), "described")
-    worded = base.filter("item is not null")
-    items = stage(
-        worded.groupBy("item").agg(
-            F.min(F.struct(*_KEY)).alias("holder"),
-            F.min("doc_id").alias("least_id"),
-            F.count("*").alias("copies"),
-            F.first("size").alias("size"),
-            F.first("buckets").alias("buckets"),
-        ),
-        "items",
-    )
-    found = stage(leaves(items, docs, depth, bucket_items), "leaves")
-    similar = stage(similar_items(found, items, docs, similarity, block_items), "similar")
-    links = similar.groupBy("item").agg(F.sum("links").alias("links"))
-    roots = components(similar.select(F.col("item").alias("a"), F.col("head").alias("b")))
-    # A head has rows of its own, so it is a node as well.
-    known = (
-        items.select("item", "least_id", "copies")
-        .join(roots.withColumnRenamed("node", "item"), "item", "left")
-        .join(links, "item", "left")
-        .withColumn("root", F.coalesce("root", "item"))
-    )
-    known = stage(known, "known")
-    classes = known.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    per_item = known.join(classes, "root").select(
-        "item",
-        "class_id",
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-    )
+    spark = docs.sparkSession
+    with temporary_stages(spark) as keep:
+        base = keep(described(docs, runs), "described")
+        items = stage(
+            base.filter("item is not null")
+            .groupBy("item")
+            .agg(
+                F.min(F.struct(*_KEY)).alias("holder"),
+                F.min("doc_id").alias("least_id"),
+                F.count("*").alias("copies"),
+                F.first("size").alias("size"),
+                F.first("print").alias("print"),
+                F.first("buckets").alias("buckets"),
+            ),
+            "items",
+        )
+        with temporary_stages(spark) as keep_links:
+            found = stage(leaves(items, docs, depth, bucket_items), "leaves")
+            similar = keep_links(
+                similar_items(found, items, docs, similarity, block_items), "similar"
+            )
+        with temporary_stages(spark) as keep_roots:
+            edges = similar.select(F.col("item").alias("a"), F.col("head").alias("b"))
+            roots = keep_roots(components(edges), "roots")
+        links = similar.groupBy("item").agg(F.sum("links").alias("links"))
+        # A head has rows of its own, so it is a node as well.
+        known = (
+            items.select("item", "least_id", "copies")
+            .join(roots.withColumnRenamed("node", "item"), "item", "left")
+            .join(links, "item", "left")
+            .withColumn("root", F.coalesce("root", "item"))
+        )
+        known = stage(known, "known")
+        classes = known.groupBy("root").agg(F.min("least_id").alias("class_id"))
+        per_item = keep(
+            known.join(classes, "root").select(
+                "item",
+                "class_id",
+                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            ),
+            "classes",
+        )
     return base.join(per_item, "item", "left").select(
         "doc_id",
         "text_key",
