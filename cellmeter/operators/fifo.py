@@ -6,6 +6,11 @@ total reaches ``hi``. The match is a sort-merge "next drain at or after" on that
 axis. To keep tasks bounded the axis is cut at every byte count where a chunk
 of the sequence ends, on the arriving and on the draining side; between two
 neighbouring cuts lie at most one chunk of arrivals and one chunk of drains.
+
+A packet begins where the one before it ends, so its first byte needs no search:
+it is stamped by the drain that finished the packet before or, if the queue was
+empty, by the drain after that one. Each packet is one point of the axis, and
+carries the next two drains from there.
 """
 
 from __future__ import annotations
@@ -16,37 +21,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.radio import circular_diff
-from .scan import CHUNK_ROWS, FIRST, backward, block_of, next_value
+from .scan import CHUNK_ROWS, FIRST, backward, block_of, chunk_window, earlier_chunks, later_chunks
 
-_START, _END, _DRAIN, _CUT = 0, 1, 2, 3
+_PACKET, _DRAIN, _CUT = 0, 1, 2
 _ARRIVING, _DRAINING = 0, 1
 
+_STAMP = "struct<seq:bigint,t:int>"
 
-def _elements(moves: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Points on the byte axis: start and end of each packet, total of each drain.
-
-    With older bytes still queued, the first drain that reaches a packet's
-    start byte also stamps it. Into an empty queue the start byte is already
-    drained, so only a drain that goes beyond it counts.
-    """
-    start = F.col("arrived") - F.col("delta")
-    reach = F.when(start > F.col("drained"), start).otherwise(start + 1)
 
-    def point(side: int, role: int, byte: Column) -> Column:
-        return F.struct(
-            F.lit(side).alias("side"), F.lit(role).alias("role"), byte.alias("byte")
-        )
-
-    packet = F.array(
-        point(_ARRIVING, _START, reach), point(_ARRIVING, _END, F.col("arrived"))
-    )
-    drain = F.array(point(_DRAINING, _DRAIN, F.col("drained")))
+def _points(moves: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Points on the byte axis: end of each packet, total of each drain."""
+    arrives = F.col("delta") > 0
     return moves.select(
         *keys,
         "block",
         F.struct("seq", "t", "delta", "arrived", "drained", "first").alias("move"),
-        F.explode(F.when(F.col("delta") > 0, packet).otherwise(drain)).alias("point"),
-    ).select(*keys, "block", "move", "point.*")
+        F.when(arrives, _ARRIVING).otherwise(_DRAINING).alias("side"),
+        F.when(arrives, _PACKET).otherwise(_DRAIN).alias("role"),
+        F.when(arrives, F.col("arrived")).otherwise(F.col("drained")).alias("byte"),
+    )
 
 
 def _cuts(moves: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,17 +70,12 @@ def _cuts(moves: DataFrame, keys: Sequence[str]) -> DataFrame:
         .groupBy(*keys, "byte")
         .agg(F.max("a").alias("a"), F.max("d").alias("d"))
     )
-    axis = backward(keys, ["byte"])
-    onward, beyond = axis.rowsBetween(FIRST, 0), axis.rowsBetween(FIRST, -1)
+    onward = backward(keys, ["byte"]).rowsBetween(FIRST, 0)
     placed = cuts.select(
         *keys,
         "byte",
         F.last("a", ignorenulls=True).over(onward).alias("a_block"),
         F.last("d", ignorenulls=True).over(onward).alias("d_block"),
-        # A packet may start exactly on the end of the chunk before its own.
-        F.when(F.col("a").isNotNull(), F.last("a", ignorenulls=True).over(beyond)).alias(
-            "a_next"
-        ),
     )
     return placed.select(
         *keys,
@@ -95,13 +83,54 @@ def _cuts(moves: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.inline(
             F.array(
                 F.struct(F.lit(_ARRIVING).alias("side"), F.col("a_block").alias("block")),
-                F.struct(F.lit(_ARRIVING).alias("side"), F.col("a_next").alias("block")),
                 F.struct(F.lit(_DRAINING).alias("side"), F.col("d_block").alias("block")),
             )
         ),
     ).filter(F.col("block").isNotNull())
 
 
+def _pair(one: Column, two: Column) -> Column:
+    return F.struct(one.alias("one"), two.alias("two"))
+
+
+def _completed(local: Column, after: Column) -> Column:
+    """The next two drains, of which those of a segment may be fewer, then those after it."""
+    one, two = local.getField("one"), local.getField("two")
+    later_one, later_two = after.getField("one"), after.getField("two")
+    return _pair(
+        F.coalesce(one, later_one),
+        F.when(one.isNull(), later_two).otherwise(F.coalesce(two, later_one)),
+    )
+
+
+def _carried(local: DataFrame, keys: list[str]) -> DataFrame:
+    """Per segment the next two drains ``after`` it, and those from the end of the packet ``prior`` to it."""
+    is_drain, is_packet = F.col("role") == _DRAIN, F.col("role") == _PACKET
+    none = F.lit(None).cast(_STAMP)
+    segments = local.groupBy(*keys, "segment").agg(
+        F.min_by("_next", F.when(is_drain, F.col("byte"))).alias("_begin"),
+        F.max_by("_next", F.when(is_packet, F.col("byte"))).alias("_last"),
+        F.max(is_packet).alias("_has_packet"),
+    )
+    later = later_chunks(keys, ["segment"])
+    begin = F.col("_begin.one")
+    drains = segments.withColumn(
+        "_from",
+        F.when(
+            begin.isNotNull(),
+            _pair(begin, F.coalesce("_begin.two", F.last(begin, ignorenulls=True).over(later))),
+        ),
+    ).withColumn("_after", F.coalesce(F.last("_from", ignorenulls=True).over(later), _pair(none, none)))
+    # Before the first packet of all there is no drain, so the next one is the first.
+    so_far = chunk_window(keys, [], ["segment"]).rowsBetween(FIRST, 0)
+    first = F.coalesce(F.first(begin, ignorenulls=True).over(so_far), F.col("_after.one"))
+    ended = F.when(F.col("_has_packet"), _completed(F.col("_last"), F.col("_after")))
+    prior = F.last(ended, ignorenulls=True).over(earlier_chunks(keys, ["segment"]))
+    return drains.select(
+        *keys, "segment", "_after", F.coalesce(prior, _pair(none, first)).alias("_prior")
+    )
+
+
 def match_drains(
     seq: DataFrame,
     keys: Sequence[str] = ("trace_id",),
@@ -113,45 +142,59 @@ def match_drains(
     One row per packet: ``seq, t, delta, arrived, drained`` of its arrival, and
     ``first, done``, each ``struct<seq, t>`` of a drain, NULL where no drain gets
     that far. ``open_packets`` are rows of an earlier result without ``done``.
+
+    With older bytes still queued, the drain that takes the last of them stamps
+    the packet's first byte, though it need not take any of it. Into an empty
+    queue only a drain that goes beyond the start counts.
     """
     keys = list(keys)
     columns = [*keys, "seq", "t", "delta", "arrived", "drained", "first"]
-    moves = seq.filter(F.col("delta") != 0).withColumn(
-        "first", F.lit(None).cast("struct<seq:bigint,t:int>")
-    ).select(*columns)
+    moves = seq.filter(F.col("delta") != 0).withColumn("first", F.lit(None).cast(_STAMP))
+    moves = moves.select(*columns)
     if open_packets is not None:
         moves = moves.unionByName(open_packets.select(*columns))
     moves = moves.withColumn("block", block_of("seq", chunk_rows))
-    points = _elements(moves, keys)
     cuts = _cuts(moves, keys).withColumn("role", F.lit(_CUT))
     in_chunk = backward([*keys, "side", "block"], ["byte", "role"])
     cut = F.when(F.col("role") == _CUT, F.col("byte"))
     points = (
-        points.unionByName(cuts, allowMissingColumns=True)
+        _points(moves, keys)
+        .unionByName(cuts, allowMissingColumns=True)
         .withColumn(
             "segment",
             F.last(cut, ignorenulls=True).over(in_chunk.rowsBetween(FIRST, 0)),
         )
         .filter(F.col("role") != _CUT)
+        .select(*keys, "segment", "byte", "role", "move")
     )
-    drain = F.when(F.col("role") == _DRAIN, F.col("move"))
-    matched = next_value(
-        points.select(*keys, "segment", "byte", "role", "move"),
-        keys, ["segment"], ["byte", "role"], drain, "hit", F.col("byte"),
-    ).filter(F.col("role") != _DRAIN)
-
-    def hit(role: int) -> Column:
-        met = (F.col("role") == role) & F.col("hit").isNotNull()
-        return F.max(F.when(met, F.struct("hit.seq", "hit.t")))
-
-    return (
-        matched.groupBy(*keys, "move")
-        .agg(hit(_START).alias("start"), hit(_END).alias("done"))
-        .select(
-            *keys, "move.seq", "move.t", "move.delta", "move.arrived", "move.drained",
-            F.coalesce("move.first", "start").alias("first"),
-            "done",
+    onward = backward([*keys, "segment"], ["byte", "role"])
+    drain = F.when(F.col("role") == _DRAIN, F.struct("move.seq", "move.t"))
+    beyond = F.last(drain, ignorenulls=True).over(onward.rowsBetween(FIRST, -1))
+    local = (
+        points.withColumn("_drain", drain)
+        .withColumn("_beyond", beyond)
+        .withColumn(
+            "_next",
+            F.last(
+                F.when(F.col("_drain").isNotNull(), _pair(F.col("_drain"), F.col("_beyond"))),
+                ignorenulls=True,
+            ).over(onward.rowsBetween(FIRST, 0)),
         )
+        .drop("_drain", "_beyond")
+    )
+    packets = (
+        local.filter(F.col("role") == _PACKET)
+        .join(_carried(local, keys), [*keys, "segment"])
+        .withColumn("_next", _completed(F.col("_next"), F.col("_after")))
+    )
+    before = F.lag("_next").over(chunk_window(keys, ["segment"], ["byte"]))
+    backlog = F.col("move.arrived") - F.col("move.delta") > F.col("move.drained")
+    return packets.withColumn("_prior", F.coalesce(before, "_prior")).select(
+        *keys, "move.seq", "move.t", "move.delta", "move.arrived", "move.drained",
+        F.coalesce(
+            "move.first", F.when(backlog, F.col("_prior.one")).otherwise(F.col("_prior.two"))
+        ).alias("first"),
+        F.col("_next.one").alias("done"),
     )
 
 
