@@ -16,7 +16,7 @@ import hashlib
 import re
 import struct
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -60,7 +60,8 @@ class ByteTokenizer:
         self._encode = tiktoken.Encoding(
             "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
-        self._piece = Remembered(self._packed, bound=300_000, longest=32)
+        self._piece = Remembered(self._packed, bound=100_000, longest=32)
+        self._spaced = Remembered(lambda x: self._packed(" " + x), bound=600_000, longest=32)
 
     def _packed(self, text: str) -> bytes:
         ids = self._encode(text)
@@ -74,8 +75,7 @@ class ByteTokenizer:
         if "  " in text or text[0] == " ":
             return self._packed(text) + end
         first, *others = text.split(" ")
-        spaced = [" " + x for x in others]
-        return b"".join([self._piece[first], *map(self._piece.__getitem__, spaced), end])
+        return b"".join([self._piece[first], *map(self._spaced.__getitem__, others), end])
 
 
 @cache
@@ -187,8 +187,9 @@ def write_shards(
     tasks = min(shards, MOST_TASKS)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Shuffled ids take a fifth less room this way than by Spark's codec alone.
-        compress = zstandard.ZstdCompressor(level=9).compress
+        # Shuffled ids take a fifth less room this way than by Spark's codec alone;
+        # higher levels take hardly less for pieces of this size.
+        compress = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             numbers, at, data = [], [], []
             for begin, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -284,30 +285,50 @@ def read_slots(
 
     Only the shards in that range are opened.
     """
+
+    def packed(slots: list[int], records: list[bytes]) -> list[pa.Array]:
+        return [pa.array(slots, pa.int64()), pa.array(records, pa.binary())]
+
+    return _records(
+        spark, folder, packed, "slot bigint, ids binary", begin, end, sequence_tokens, shard_records
+    )
+
+
+def _records(
+    spark: SparkSession,
+    folder: str,
+    columns: Callable[[list[int], list[bytes]], list[pa.Array]],
+    schema: str,
+    begin: int = 0,
+    end: int | None = None,
+    sequence_tokens: int = SEQUENCE_TOKENS,
+    shard_records: int = SHARD_RECORDS,
+) -> DataFrame:
+    """``shard`` and what ``columns`` makes of the records of some slots, in one pass over the files."""
     stride = sequence_tokens * _ID.itemsize + len(_END)
     last = None if end is None else -(-end // shard_records)
     chosen = shard_files(spark, folder)[begin // shard_records : last]
-    schema = "shard bigint, slot bigint, ids binary"
+    schema = f"shard bigint, {schema}"
     if not chosen:
         return spark.createDataFrame([], schema)
     number_of = {p.rpartition("/")[2]: begin // shard_records + i for i, p in enumerate(chosen)}
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 shard, data = number_of[path.rpartition("/")[2]], content.as_py()
-                slots = [shard * shard_records + i for i in range(len(data) // stride)]
-                records = [data[i : i + stride - len(_END)] for i in range(0, len(data), stride)]
-                wanted = [
-                    i for i, s in enumerate(slots) if s >= begin and (end is None or s < end)
-                ]
+                first = shard * shard_records
+                least = max(begin - first, 0)
+                most = len(data) // stride if end is None else min(len(data) // stride, end - first)
+                places = range(least, most)
+                records = [data[i * stride : (i + 1) * stride - len(_END)] for i in places]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([shard] * len(wanted), pa.int64()),
-                        pa.array([slots[i] for i in wanted], pa.int64()),
-                        pa.array([records[i] for i in wanted], pa.binary()),
+                        pa.array([shard] * len(records), pa.int64()),
+                        *columns([first + i for i in places], records),
                     ],
-                    ["shard", "slot", "ids"],
+                    names,
                 )
 
     files = spark.read.format("binaryFile").load(chosen).select("path", "content")
@@ -323,21 +344,14 @@ def materialised(
     count = write_shards(docs, path, pattern, folder)
     permutation = Permutation(max(count, 1))
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slots = batch.column(1).to_numpy()
-            records = batch.column(2).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(permutation.numbers(slots), pa.int64()),
-                    pa.array([len(r) // _ID.itemsize for r in records], pa.int64()),
-                    pa.array([hashlib.sha256(r).hexdigest() for r in records], pa.string()),
-                ],
-                ["shard", "slot", "sequence", "n_tokens", "ids_sha256"],
-            )
-
-    return read_slots(spark, folder).mapInArrow(
-        digest, "shard bigint, slot bigint, sequence bigint, n_tokens bigint, ids_sha256 string"
-    )
+    def digest(slots: list[int], records: list[bytes]) -> list[pa.Array]:
+        numbers = permutation.numbers(np.array(slots, np.int64))
+        return [
+            pa.array(slots, pa.int64()),
+            pa.array(numbers, pa.int64()),
+            pa.array([len(r) // _ID.itemsize for r in records], pa.int64()),
+            pa.array([hashlib.sha256(r).hexdigest() for r in records], pa.string()),
+        ]
+
+    schema = "slot bigint, sequence bigint, n_tokens bigint, ids_sha256 string"
+    return _records(spark, folder, digest, schema)
