@@ -25,9 +25,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..staging import stage
+from ..staging import stage, temporary_stages
+from .bit_filter import filter_bits, only_passed, passed
 from .components import components
-from .jaccard_join import BLOCK_ITEMS, SIMILARITY, _with_text, similar_items, text_key
+from .jaccard_join import (
+    BLOCK_ITEMS,
+    SIMILARITY,
+    _with_text,
+    set_print,
+    similar_items,
+    text_key,
+)
 from .words import SHINGLE_WORDS, mixed, run_hashes, word_hashes
 
 LINE_WORDS = 50
@@ -80,12 +88,26 @@ def window_hashes(hashes: np.ndarray, starts: np.ndarray, factors: np.ndarray) -
         return mixed((inside * factors).sum(axis=1, dtype=np.uint64))
 
 
+_NO_WINDOWS = (np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32))
+
+
 def marked_windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First words of the windows of a text and two hashes of each."""
-    hashes = word_hashes(words)
+    first, second, starts = _windows_of(word_hashes(words))
+    return starts, first, second
+
+
+def _windows_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two hashes, of 64 and 32 bits, and the first word of each window."""
     starts = window_starts(hashes)
     first, second = (window_hashes(hashes, starts, f) for f in _WINDOW_FACTORS)
-    return starts, first, second
+    return first.view(np.int64), second.astype(np.uint32).view(np.int32), starts.astype(np.int32)
+
+
+def _lists(ends: list[int], columns: list[np.ndarray]) -> list[pa.Array]:
+    """Columns of lists that end at the same places."""
+    offsets = pa.array(ends, pa.int32())
+    return [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in columns]
 
 
 # Products of shingles and factors that are held at once.
@@ -126,35 +148,45 @@ def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _described(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, marks, lines`` of each document; stored.
+# Documents that a worker describes at once.
+_DESCRIBED_ROWS = 2_000
+
+
+def _smaller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for begin in range(0, max(batch.num_rows, 1), _DESCRIBED_ROWS):
+            yield batch.slice(begin, _DESCRIBED_ROWS)
+
 
-    ``marks`` are the distinct first hashes of its windows, ``lines`` its
-    paragraphs of enough words with what is needed to compare them; ``several``
-    says that one has several lines.
+def _described(docs: DataFrame, line_words: int) -> DataFrame:
+    """``doc_id, text_key, h1, h2, starts, lines`` of each document; stored.
+
+    ``h1, h2, starts`` are arrays of the hashes and first words of its windows,
+    ``lines`` its paragraphs of enough words with what is needed to compare
+    them; ``several`` says that one has several lines.
     """
     schema = (
-        "doc_id bigint, text_key binary, marks array<bigint>, lines array<struct<item: binary,"
-        " line_key: binary, start: int, n_words: int, size: int, several: boolean,"
+        "doc_id bigint, text_key binary, h1 array<bigint>, h2 array<int>, starts array<int>,"
+        " lines array<struct<item: binary,"
+        " line_key: binary, start: int, n_words: int, size: int, print: binary, several: boolean,"
         " buckets: array<bigint>>>"
     )
     kinds = [
         ("item", pa.binary()), ("line_key", pa.binary()), ("start", pa.int32()),
-        ("n_words", pa.int32()), ("size", pa.int32()), ("several", pa.bool_()),
+        ("n_words", pa.int32()), ("size", pa.int32()), ("print", pa.binary()), ("several", pa.bool_()),
         ("buckets", pa.list_(pa.int64())),
     ]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            marks, mark_ends, line_ends = [np.empty(0, np.uint64)], [0], [0]
-            columns = [[], [], [], [], [], [], [np.empty((0, BANDS), np.uint64)]]
+        for batch in _smaller(batches):
+            windows, window_ends, line_ends = [_NO_WINDOWS], [0], [0]
+            columns = [[], [], [], [], [], [], [], [np.empty((0, BANDS), np.uint64)]]
             for text in batch.column(2):
                 data = text.as_py() or b""
                 hashes = word_hashes(data.split())
-                starts = window_starts(hashes)
-                marks.append(np.unique(window_hashes(hashes, starts, _WINDOW_FACTORS[0])))
-                mark_ends.append(mark_ends[-1] + len(marks[-1]))
-                found = _paragraphs(data, len(hashes))
+                windows.append(_windows_of(hashes))
+                window_ends.append(window_ends[-1] + len(windows[-1][0]))
+                found = _paragraphs(data, len(hashes), line_words)
                 line_ends.append(line_ends[-1] + len(found))
                 if not found:
                     continue
@@ -167,8 +199,9 @@ def _described(docs: DataFrame) -> DataFrame:
                     columns[2].append(begin)
                     columns[3].append(count)
                     columns[4].append(len(shingles))
-                    columns[5].append(b"\n" in line)
-                columns[6].append(band_hashes(runs, spans))
+                    columns[5].append(set_print(shingles))
+                    columns[6].append(b"\n" in line)
+                columns[7].append(band_hashes(runs, spans))
             buckets = pa.array(np.concatenate(columns.pop()).ravel().view(np.int64))
             offsets = pa.array(np.arange(0, len(buckets) + 1, BANDS), pa.int32())
             arrays = [pa.array(c, kind) for c, (_, kind) in zip(columns, kinds)]
@@ -178,30 +211,27 @@ def _described(docs: DataFrame) -> DataFrame:
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.ListArray.from_arrays(
-                        pa.array(mark_ends, pa.int32()),
-                        pa.array(np.concatenate(marks).view(np.int64)),
-                    ),
+                    *_lists(window_ends, [np.concatenate(c) for c in zip(*windows)]),
                     pa.ListArray.from_arrays(pa.array(line_ends, pa.int32()), lines),
                 ],
-                ["doc_id", "text_key", "marks", "lines"],
+                ["doc_id", "text_key", "h1", "h2", "starts", "lines"],
             )
 
     return stage(docs.mapInArrow(describe, schema), "described")
 
 
-def _paragraphs(data: bytes, n_words: int) -> list[tuple[int, int, bytes]]:
+def _paragraphs(data: bytes, n_words: int, line_words: int) -> list[tuple[int, int, bytes]]:
     """First word, number of words and text of each paragraph of enough words.
 
     These are the long lines, the runs of shorter lines, and the blocks up to an
     empty line; the same lines are one paragraph.
     """
     found: dict[tuple[int, int], bytes] = {}
-    if n_words < LINE_WORDS:
+    if n_words < line_words:
         return []
 
     def add(start: int, lines: list[bytes], count: int) -> None:
-        if count >= LINE_WORDS:
+        if count >= line_words:
             found.setdefault((start, count), b"\n".join(lines))
 
     start = 0
@@ -209,14 +239,14 @@ def _paragraphs(data: bytes, n_words: int) -> list[tuple[int, int, bytes]]:
     run, run_words = [], 0
     for line in [*data.split(b"\n"), b""]:
         count = len(line.split())
-        if run and not 0 < count < LINE_WORDS:
+        if run and not 0 < count < line_words:
             add(start - run_words, run, run_words)
             run, run_words = [], 0
         if count == 0:
             add(start - block_words, block, block_words)
             block, block_words = [], 0
             continue
-        if count >= LINE_WORDS:
+        if count >= line_words:
             add(start, [line], count)
         else:
             run.append(line)
@@ -227,14 +257,14 @@ def _paragraphs(data: bytes, n_words: int) -> list[tuple[int, int, bytes]]:
     return [(start, count, text) for (start, count), text in found.items()]
 
 
-def _paragraph_texts(docs: DataFrame) -> DataFrame:
+def _paragraph_texts(docs: DataFrame, line_words: int) -> DataFrame:
     """``doc_id, text`` of each paragraph of enough words."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, text in zip(batch.column(0), batch.column(1)):
                 data = text.as_py() or b""
-                found = [x for _, _, x in _paragraphs(data, len(data.split()))]
+                found = [x for _, _, x in _paragraphs(data, len(data.split()), line_words)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([doc.as_py()] * len(found), pa.int64()), pa.array(found, pa.binary())],
                     ["doc_id", "text"],
@@ -260,44 +290,38 @@ def common_lines(data: bytes, start: int, count: int, other: bytes) -> tuple[int
     return start + kept[0][0], kept[-1][1] - kept[0][0]
 
 
-def _windows(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, h1, h2, start``: the windows of each document."""
-    schema = (
-        "doc_id bigint, text_key binary, windows array<struct<h1: bigint, h2: bigint, start: int>>"
-    )
+def _windows(described: DataFrame, often: DataFrame) -> DataFrame:
+    """``doc_id, text_key, h1, h2, start``: the windows whose ``h1`` may be in ``often``."""
+    bits = described.sparkSession.sparkContext.broadcast(filter_bits(often))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends, parts = [0], [(np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, int))]
-            for text in batch.column(2):
-                starts, first, second = marked_windows((text.as_py() or b"").split())
-                ends.append(ends[-1] + len(starts))
-                parts.append((first, second, starts))
-            first, second, starts = map(np.concatenate, zip(*parts))
-            values = pa.StructArray.from_arrays(
-                [
-                    pa.array(first.view(np.int64)),
-                    pa.array(second.view(np.int64)),
-                    pa.array(starts.astype(np.int32)),
-                ],
-                names=["h1", "h2", "start"],
-            )
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            h1, h2, start = (batch.column(i).flatten().to_numpy() for i in (2, 3, 4))
+            kept = np.flatnonzero(passed(bits.value, h1.view(np.uint64)))
+            if not len(kept):
+                continue
+            doc = np.repeat(np.arange(batch.num_rows), batch.column(2).value_lengths().to_numpy())
+            which = pa.array(doc[kept])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), lists], ["doc_id", "text_key", "windows"]
+                [batch.column(0).take(which), batch.column(1).take(which)]
+                + [pa.array(c[kept]) for c in (h1, h2, start)],
+                [*_DOC, "h1", "h2", "start"],
             )
 
-    found = docs.mapInArrow(cut, schema)
-    return found.select(*_DOC, F.explode("windows").alias("w")).select(*_DOC, "w.*")
+    schema = "doc_id bigint, text_key binary, h1 bigint, h2 int, start int"
+    return described.select(*_DOC, "h1", "h2", "starts").mapInArrow(cut, schema)
+
 
+def repeated_windows(described: DataFrame) -> DataFrame:
+    """``doc_id, text_key, start, n_words, first, n`` of windows that several documents have.
 
-def repeated_windows(docs: DataFrame, described: DataFrame) -> DataFrame:
-    """``doc_id, text_key, start, n_words, first, n`` of windows that several documents have."""
-    marks = described.select(F.explode("marks").alias("h1"))
+    Windows whose first hash one document alone has are left out before anything
+    but these hashes is shuffled.
+    """
+    marks = described.select(F.explode(F.array_distinct("h1")).alias("h1"))
     often = marks.groupBy("h1").agg(F.count("*").alias("n")).filter("n > 1").select("h1")
-    # Stored, so that the joins below may split the partitions of a hot window.
-    often = stage(often, "often")
-    shared = stage(_windows(docs).join(often, "h1", "left_semi"), "windows")
+    # Stored, so that the join below may split the partitions of a hot window.
+    shared = stage(_windows(described, stage(often, "often")), "windows")
     firsts = (
         shared.groupBy("h1", "h2")
         .agg(
@@ -314,7 +338,10 @@ def repeated_windows(docs: DataFrame, described: DataFrame) -> DataFrame:
 
 
 def similar_lines(
-    docs: DataFrame, described: DataFrame, similarity: float = SIMILARITY
+    docs: DataFrame,
+    described: DataFrame,
+    similarity: float = SIMILARITY,
+    line_words: int = LINE_WORDS,
 ) -> DataFrame:
     """``doc_id, text_key, start, n_words, first, n`` of paragraphs with copies or near copies elsewhere.
 
@@ -329,6 +356,7 @@ def similar_lines(
             F.max(F.struct(*_DOC)).alias("last"),
             F.count("*").alias("copies"),
             F.first("size").alias("size"),
+            F.first("print").alias("print"),
             F.first("buckets").alias("buckets"),
         ),
         "line_items",
@@ -339,7 +367,7 @@ def similar_lines(
     # Only paragraphs that there is something to compare with are brought.
     held = buckets.select("item").distinct().join(items, "item")
     holders = stage(held.select("holder.doc_id", "holder.text_key").distinct(), "holders")
-    texts = _paragraph_texts(_only(docs, holders.select("doc_id").distinct()))
+    texts = _paragraph_texts(_only(docs, holders.select("doc_id").distinct()), line_words)
     texts = _only(texts.withColumn("text_key", text_key(F.col("text"))), holders)
     links = stage(similar_items(buckets, items, texts, similarity, BLOCK_ITEMS), "line_links")
     roots = components(links.select(F.col("item").alias("a"), F.col("head").alias("b")))
@@ -381,7 +409,9 @@ def similar_lines(
 
 
 def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that agree with a row of ``wanted`` in all its columns."""
+    """Rows of ``docs`` that agree with a row of ``wanted``, a stored table, in all its columns."""
+    key = F.xxhash64(*wanted.columns)
+    docs = only_passed(docs, key, wanted.select(key.alias("h")))
     keys = wanted.select(*[F.col(c).alias(f"_wanted_{c}") for c in wanted.columns])
     same = [F.col(c).eqNullSafe(F.col(f"_wanted_{c}")) for c in wanted.columns]
     return docs.join(keys, reduce(Column.__and__, same), "left_semi")
@@ -413,16 +443,24 @@ def _trimmed(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def repeated_paragraphs(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    line_words: int = LINE_WORDS,
 ) -> DataFrame:
-    """``doc_id, text_key, start, n_words, first, n``: paragraphs that several documents have.
+    """``doc_id, text_key, start, n_words, first, n``: paragraphs that several documents have; stored.
 
     ``start`` is the number of the first word in the text, ``first`` the document
     whose copy stays, ``n`` the number of copies.
     """
+    spark = docs.sparkSession
     narrow = _narrow(docs, id_col, text_col)
-    described = _described(narrow)
-    return repeated_windows(narrow, described).unionByName(similar_lines(narrow, described))
+    with temporary_stages(spark) as keep:
+        described = _described(narrow, line_words)
+        with temporary_stages(spark) as keep_windows:
+            windows = keep_windows(repeated_windows(described), "repeated_windows")
+        lines = similar_lines(narrow, described, line_words=line_words)
+        return keep(windows.unionByName(lines).distinct(), "repeated")
 
 
 def _removed() -> Column:
@@ -430,7 +468,10 @@ def _removed() -> Column:
 
 
 def repeated_passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    line_words: int = LINE_WORDS,
 ) -> DataFrame:
     """``doc_id, begin_word, n_words, class_id, n_copies, removed`` of each repeated passage.
 
@@ -440,8 +481,9 @@ def repeated_passages(
     a part of it goes. Rows that are equal in id and text are one document; a
     NULL id is one like others, and first of all. NULL and empty texts have no
     passages, nor have texts that no other document shares 40 words with.
+    ``line_words`` is the least length of a paragraph that is compared as one.
     """
-    paragraphs = stage(repeated_paragraphs(docs, id_col, text_col).distinct(), "paragraphs")
+    paragraphs = repeated_paragraphs(docs, id_col, text_col, line_words)
     # One document's paragraphs are no more than its words.
     in_order = Window.partitionBy(*_DOC).orderBy("start", "n_words", "n")
     end = F.col("start") + F.col("n_words")

@@ -35,7 +35,8 @@ class Remembered(dict):
         return value
 
 
-_hash_of = Remembered(xxhash.xxh64_intdigest)
+# A hash costs little more than to look it up, so only frequent words are remembered.
+_hash_of = Remembered(xxhash.xxh64_intdigest, bound=1 << 18)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:

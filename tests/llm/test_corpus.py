@@ -348,6 +348,51 @@ def test_near_copies_in_other_lines_are_found(spark):
     assert [[x for x in texts[b].split("\n") if x.strip()] for _, b in near] == list(map(list, edges))
 
 
+def test_paragraphs_of_10_to_200_words_are_found_as_by_brute_force(spark):
+    """With a least length of 10 words: all pairs of similarity 0.8, whatever their length."""
+    rng = random.Random(12)
+    fresh = lambda n: ["w%x" % rng.getrandbits(40) for _ in range(n)]
+    rows, similar = [], []
+    for length in range(10, 201, 5):
+        for changes in range(4):
+            one = fresh(length)
+            two = list(one)
+            for place in rng.sample(range(length), changes):
+                two[place] = "changed%x" % rng.getrandbits(30)
+            a, b = shingles(" ".join(one)), shingles(" ".join(two))
+            if len(a & b) >= 0.8 * len(a | b):
+                similar.append((len(rows), len(rows) + 1))
+            for words in (one, two):
+                rows.append((len(rows), "\n\n".join(" ".join(x) for x in (fresh(4), words, fresh(4)))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.class_id for r in substring_dedup.repeated_passages(docs, line_words=10).collect()}
+    met = [found.get(a) == a and found.get(b) == a for a, b in similar]
+    assert len(similar) > 80 and sum(met) >= 0.98 * len(met)
+    # Without the parameter the shorter ones are no paragraphs; windows need 40 words.
+    fewer = {r.doc_id for r in substring_dedup.repeated_passages(docs).collect()}
+    assert fewer < set(found)
+
+
+def test_prints_leave_out_no_similar_pair():
+    rng = np.random.default_rng(3)
+    number = lambda n: substring_dedup.mixed(rng.integers(0, 2**62, n).astype(np.uint64))
+    sets = []
+    for _ in range(60):
+        base = number(int(rng.integers(1, 700)))
+        sets.append(np.unique(base))
+        for _ in range(2):
+            share = rng.random() * 0.4
+            kept = base[rng.random(len(base)) > share]
+            changed = np.unique(np.concatenate([kept, number(int(len(base) * share * rng.random()))]))
+            sets += [changed] if len(changed) else []
+    size = np.array([len(x) for x in sets], float)
+    near = jaccard_join.similar_prints([jaccard_join.set_print(x) for x in sets], size, 0.8)
+    common = jaccard_join.common_counts(sets)
+    similar = common >= 0.8 * (size[:, None] + size[None, :] - common) - 1e-9
+    assert not (similar & ~near).any() and similar.sum() > len(sets)
+    assert near.sum() < 0.1 * len(sets) ** 2
+
+
 def test_outer_lines_of_their_own_stay():
     own = b"own words here now and then\na b c d e f\nnew\ng h i j k\nlast own words of it all"
     assert substring_dedup.common_lines(own, 0, 24, b"z a b c d e f g h i j k z") == (6, 12)
@@ -533,3 +578,30 @@ def test_pipeline_equals_plain_stages(spark, tmp_path):
     )
     whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(map(str, whole)) == sorted(map(str, encoded))
+
+
+def test_stages_take_odd_rows_extra_columns_and_empty_tables(spark):
+    rng = random.Random(2)
+    prose = lambda n: " ".join("w%d" % rng.randrange(4_000) for _ in range(n))
+    long = prose(60_000)
+    rows = [
+        (1, prose(120), "en", "s", 700), (None, prose(90), None, None, None), (2, None, "en", "s", None),
+        (3, "", "en", None, 0), (4, long, "en", "s", len(long)), (1, prose(80), "de", "t", 1),
+        (5, " \n ", None, "t", 3),
+    ]
+    rows.append(rows[0])
+    odd = spark.createDataFrame(rows, DOCS)
+    names = ["item", "spans", "found", "bucket", "start", "size", "taken"]
+    odd = odd.select("*", *[F.lit(i).alias(name) for i, name in enumerate(names)])
+    for name, step in corpus_pipeline.STAGES:
+        kept = step(spark, odd, "")
+        found = kept.collect()
+        if "ids" not in kept.columns:
+            assert set(kept.columns) == set(odd.columns), name
+            assert all([r[c] for c in names] == list(range(len(names))) for r in found)
+            assert {r.doc_id for r in found} >= {1, 4, None}, name
+            assert max(len(r.text or "") for r in found) > 100_000, name
+        else:
+            assert len(found) == len(rows)
+            assert sorted(r.n_tokens for r in found)[:3] == [0, 0, 0]
+        assert step(spark, odd.limit(0), "").count() == 0, name
