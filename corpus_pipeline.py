@@ -1,7 +1,13 @@
 """A corpus pipeline out of the llm operators: ``documents`` to training tokens.
 
 Each stage takes the session, the documents that the stage before has left, and
-the folder of the tables; all but the last return the columns of ``documents``.
+the folder of the tables; all but the last return the columns of ``documents``, any
+further ones too.
+
+NULL texts and those without words are rejected by the first stage; a stage that
+gets some all the same keeps them as documents of no size. NULL ids, languages
+and sources are values like others; rows that are equal in id and text are copies,
+of which the second stage leaves one. An empty table stays empty.
 """
 
 from __future__ import annotations
