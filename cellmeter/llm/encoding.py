@@ -3,22 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import word_end_tokenizer
+from .bpe import WordEndTokenizer, word_end_tokenizer
 
-_ENCODED = pa.struct(
-    [
-        ("ids", pa.list_(pa.int32())),
-        ("n_tokens", pa.int64()),
-        ("ids_sha256", pa.string()),
-        ("decoded_sha256", pa.string()),
-    ]
-)
+# Texts whose ids a worker holds at once.
+_ROWS = 500
 
 
 def token_ids(text: Column, path: str) -> Column:
@@ -60,33 +55,39 @@ def encoded(
     the task.
     """
 
-    @F.arrow_udf(
-        "struct<ids: array<int>, n_tokens: bigint, ids_sha256: string, decoded_sha256: string>"
-    )
-    def round_trip(texts: pa.Array) -> pa.Array:
+    def round_trips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What earlier tasks of this worker have freed goes back before the tables are built.
+        pa.default_memory_pool().release_unused()
         tokenizer = word_end_tokenizer(path)
-        # The ids of all texts, end to end, as they lie in the Arrow list.
-        flat, sizes, digests, decoded = bytearray(), [], [], []
-        for x in texts:
-            ids = tokenizer.encode_bytes(x.as_py())
-            sizes.append(len(ids) // 4)
-            digests.append(hashlib.sha256(ids).hexdigest())
-            string = tokenizer.decode(np.frombuffer(ids, "<u4").tolist())
-            decoded.append(hashlib.sha256(string.encode()).hexdigest())
-            if with_ids:
-                flat += ids
+        for batch in batches:
+            for begin in range(0, batch.num_rows, _ROWS):
+                some = batch.slice(begin, _ROWS)
+                columns = _round_trip(tokenizer, some.column(1), with_ids)
+                yield pa.RecordBatch.from_arrays([some.column(0), *columns], names)
+
+    names = ["doc_id", *(["ids"] if with_ids else []), "n_tokens", "ids_sha256", "decoded_sha256"]
+    id_type = docs.schema[id_col].dataType.simpleString()
+    types = ["n_tokens bigint", "ids_sha256 string", "decoded_sha256 string"]
+    fields = [f"doc_id {id_type}", *(["ids array<int>"] if with_ids else []), *types]
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    return narrow.mapInArrow(round_trips, ", ".join(fields))
+
+
+def _round_trip(tokenizer: WordEndTokenizer, texts: pa.Array, with_ids: bool) -> list[pa.Array]:
+    """Ids (if wanted), their number, and the digests of ids and decoded text."""
+    # The ids of all texts, end to end, as they lie in the Arrow list.
+    flat, sizes, digests, decoded = bytearray(), [], [], []
+    for x in texts:
+        ids = tokenizer.encode_bytes(x.as_py())
+        sizes.append(len(ids) // 4)
+        digests.append(hashlib.sha256(ids).hexdigest())
+        string = tokenizer.decode(np.frombuffer(ids, "<u4").tolist())
+        decoded.append(hashlib.sha256(string.encode()).hexdigest())
         if with_ids:
-            ends = np.cumsum([0, *sizes]).astype(np.int32)
-            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(flat)])
-            lists = pa.ListArray.from_arrays(pa.array(ends), values)
-        else:
-            lists = pa.nulls(len(sizes), pa.list_(pa.int32()))
-        return pa.StructArray.from_arrays(
-            [lists, pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())],
-            fields=list(_ENCODED),
-        )
-
-    found = docs.select(
-        F.col(id_col).alias("doc_id"), round_trip(F.col(text_col).cast("binary")).alias("found")
-    ).select("doc_id", "found.*")
-    return found if with_ids else found.drop("ids")
+            flat += ids
+    columns = [pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(decoded, pa.string())]
+    if with_ids:
+        ends = np.cumsum([0, *sizes]).astype(np.int32)
+        values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(flat)])
+        columns.insert(0, pa.ListArray.from_arrays(pa.array(ends), values))
+    return columns
