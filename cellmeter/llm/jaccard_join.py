@@ -167,12 +167,14 @@ def described(docs: DataFrame, runs: int = RUNS) -> DataFrame:
 def _with_text(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """Adds the text of each row's holder, a document of the item; ``rows`` are stored.
 
-    Only documents that may be holders are shuffled.
+    Only documents that may be holders are shuffled. They are stored first, so that
+    no task has the filter's Python worker and that of the next step at once.
     """
     key_hash = F.xxhash64(F.coalesce(F.col("holder.text_key"), F.lit(b"")))
     wanted_keys = rows.select(key_hash.alias("h"))
     own_hash = F.xxhash64(F.coalesce(text_key(F.col("text")), F.lit(b"")))
-    texts = only_passed(docs.select("doc_id", "text"), own_hash, wanted_keys).select(
+    held = stage(only_passed(docs.select("doc_id", "text"), own_hash, wanted_keys), "held_texts")
+    texts = held.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("_doc"),
         F.col("doc_id").isNull().alias("_no_doc"),
         text_key(F.col("text")).alias("_key"),

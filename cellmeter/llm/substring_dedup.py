@@ -368,7 +368,8 @@ def similar_lines(
     held = buckets.select("item").distinct().join(items, "item")
     holders = stage(held.select("holder.doc_id", "holder.text_key").distinct(), "holders")
     texts = _paragraph_texts(_only(docs, holders.select("doc_id").distinct()), line_words)
-    texts = _only(texts.withColumn("text_key", text_key(F.col("text"))), holders)
+    texts = _agreeing(texts.withColumn("text_key", text_key(F.col("text"))), holders)
+    texts = stage(texts, "line_texts")
     links = stage(similar_items(buckets, items, texts, similarity, BLOCK_ITEMS), "line_links")
     roots = components(links.select(F.col("item").alias("a"), F.col("head").alias("b")))
     members = (
@@ -409,12 +410,18 @@ def similar_lines(
 
 
 def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that agree with a row of ``wanted``, a stored table, in all its columns."""
+    """Rows of ``docs`` that agree with a row of ``wanted``, a stored table, in all its columns.
+
+    Those that may do are stored first, so that no task has two Python workers.
+    """
     key = F.xxhash64(*wanted.columns)
-    docs = only_passed(docs, key, wanted.select(key.alias("h")))
+    return _agreeing(stage(only_passed(docs, key, wanted.select(key.alias("h"))), "passed"), wanted)
+
+
+def _agreeing(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     keys = wanted.select(*[F.col(c).alias(f"_wanted_{c}") for c in wanted.columns])
     same = [F.col(c).eqNullSafe(F.col(f"_wanted_{c}")) for c in wanted.columns]
-    return docs.join(keys, reduce(Column.__and__, same), "left_semi")
+    return rows.join(keys, reduce(Column.__and__, same), "left_semi")
 
 
 def _trimmed(rows: DataFrame, docs: DataFrame) -> DataFrame:
