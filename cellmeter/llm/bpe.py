@@ -12,6 +12,7 @@ tokens of every prefix, and following the back-pointers gives the ids.
 from __future__ import annotations
 
 import json
+import re
 import struct
 from collections.abc import Iterable
 from functools import cache
@@ -31,6 +32,31 @@ _REMEMBERED_WORDS = 1 << 17
 _REMEMBERED_PREFIXES = 1 << 19
 
 
+# Settings under which letters of Latin-1, lower-cased, are one word, and ASCII marks behind them another.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_LETTERS_THEN_MARKS = re.compile(rf"([{_LETTERS}]+)([!-/:-@\[-`{{-~]*)")
+_KNOWN_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_KNOWN_WORDS = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
 def id_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -122,11 +148,10 @@ class PrefixBpe:
                 until, right = there + 1, self.halves(right)[0]
 
     def _last_tokens(self, word: str) -> list[int]:
-        """Number of the last token of each prefix, by the prefix's length; -1 of the empty one."""
-        last = [-1] + [-2] * len(word)
+        """Number of the last token of each prefix, by its last character; -1 behind all, of the empty one."""
+        last = [-2] * len(word) + [-1]
         follows, size = self._follows, len(self._names)
         for end, (token, length) in self._automaton.iter(word):
-            end += 1
             if last[end] == -2:
                 before = last[end - length]
                 known = follows.get(before * size + token)
@@ -137,7 +162,7 @@ class PrefixBpe:
     def prefixes(self, word: str) -> list[int]:
         """Number of tokens of each prefix, by its length; every character has to be a symbol."""
         counts = [0]
-        for end, token in enumerate(self._last_tokens(word)[1:], 1):
+        for end, token in enumerate(self._last_tokens(word)[:-1], 1):
             counts.append(counts[end - len(self._names[token])] + 1)
         return counts
 
@@ -145,7 +170,7 @@ class PrefixBpe:
         last, names = self._last_tokens(word), self._names
         out, end = [], len(word)
         while end:
-            token = names[last[end]]
+            token = names[last[end - 1]]
             out.append(token)
             end -= len(token)
         return out[::-1]
@@ -155,7 +180,7 @@ class PrefixBpe:
         last, names = self._last_tokens(word), self._names
         n, end = 0, len(word)
         while end:
-            n, end = n + 1, end - len(names[last[end]])
+            n, end = n + 1, end - len(names[last[end - 1]])
         return n
 
 
@@ -165,6 +190,8 @@ class WordEndTokenizer:
     Normalising and cutting into words is left to the file's own settings; the
     words are encoded here. White space between ASCII words never matters to
     either, so a text is cut there first and each distinct piece handled once.
+    Under the settings known above, pieces of Latin letters and marks behind them
+    need no call of the library: it says once what each letter becomes.
     Strings of added tokens inside a text become these tokens, as the library
     has it.
     """
@@ -206,6 +233,10 @@ class WordEndTokenizer:
         self._id_of = {t: self.ids[self._unpacked(t)] for t in tokens}
         library = Tokenizer.from_file(path)
         self._normalizer, self._words = library.normalizer, library.pre_tokenizer
+        self._letters: dict[int, str] | None = None
+        if settings["normalizer"] == _KNOWN_NORMALIZER and settings["pre_tokenizer"] == _KNOWN_WORDS:
+            letters = filter(re.compile(f"[{_LETTERS}]").match, map(chr, range(256)))
+            self._letters = {ord(c): "".join(self._cut_words(c)) for c in letters}
         self._piece_ids = Remembered(self._encode_piece, _REMEMBERED_PIECES)
         self._word_ids = Remembered(self._encode_word, _REMEMBERED_WORDS)
 
@@ -221,10 +252,18 @@ class WordEndTokenizer:
     def _encode_word(self, word: str) -> bytes:
         return id_bytes([self._id_of[t] for t in self._bpe.encode(self._packed(word + self._end))])
 
+    def _cut_words(self, piece: str) -> list[str]:
+        """The words of a piece, as the file's settings give them."""
+        text = self._normalizer.normalize_str(piece)
+        return [word for word, _ in self._words.pre_tokenize_str(text)]
+
     def _encode_piece(self, piece: bytes) -> bytes:
-        text = self._normalizer.normalize_str(piece.decode("utf-8"))
-        ids_of = self._word_ids
-        return b"".join([ids_of[word] for word, _ in self._words.pre_tokenize_str(text)])
+        text, ids_of = piece.decode("utf-8"), self._word_ids
+        if self._letters is not None and (found := _LETTERS_THEN_MARKS.fullmatch(text)):
+            word, marks = found.groups()
+            ids = ids_of[word.translate(self._letters)]
+            return ids + ids_of[marks] if marks else ids
+        return b"".join([ids_of[word] for word in self._cut_words(text)])
 
     def encode_bytes(self, data: bytes | None) -> bytes:
         """Ids of a text given as UTF-8, as ``id_bytes``; none for NULL or an empty text."""

@@ -74,6 +74,18 @@ def test_random_texts_are_encoded_as_the_libraries_do(pieces, words, text):
     check_words(words, text)
 
 
+def test_latin_words_are_encoded_without_the_library(words, monkeypatch):
+    """Their letters and marks are known, so new words of a large table cost no call each."""
+    mine, library = words
+    letters = [chr(c) for c in range(256) if chr(c).isalpha() and chr(c) not in "ªµº"]
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+    texts = ["".join(letters), *[f"q{c}Z{m}{m}' {c}" for c in letters for m in marks]]
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    fresh = WordEndTokenizer(WORDS)
+    monkeypatch.setattr(fresh, "_cut_words", lambda piece: pytest.fail(piece))
+    assert [fresh.encode(text.encode()) for text in texts] == want
+
+
 def test_encoders_over_a_table(spark, sf_dir, pieces, words):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     odd = [(None, None), (None, ""), (-1, "a  b " * 30_000), (-1, "a  b " * 30_000)]
