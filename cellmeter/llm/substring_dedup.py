@@ -104,6 +104,14 @@ def _windows_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return first.view(np.int64), second.astype(np.uint32).view(np.int32), starts.astype(np.int32)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values of a short array, without what ``np.unique`` costs per call."""
+    ordered = np.sort(values)
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return ordered[first]
+
+
 def _lists(ends: list[int], columns: list[np.ndarray]) -> list[pa.Array]:
     """Columns of lists that end at the same places."""
     offsets = pa.array(ends, pa.int32())
@@ -193,7 +201,7 @@ def _described(docs: DataFrame, line_words: int) -> DataFrame:
                 runs = run_hashes(hashes, SHINGLE_WORDS)
                 spans = np.array([(b, b + n - SHINGLE_WORDS + 1) for b, n, _ in found])
                 for (begin, count, line), (at, end) in zip(found, spans):
-                    shingles = np.unique(runs[at:end])
+                    shingles = _distinct(runs[at:end])
                     columns[0].append(hashlib.blake2b(shingles, digest_size=16).digest())
                     columns[1].append(hashlib.md5(line).digest())
                     columns[2].append(begin)
@@ -575,6 +583,8 @@ def without_repeats(
             pa.string(),
         )
 
+    # Otherwise the filter on the new text below would have texts cut twice, by two workers of a task.
+    cut = cut.asNondeterministic()
     doc, no_doc, key, removals = (f"_cut_{c}" for c in ("doc", "no_doc", "key", "spans"))
     marked = docs.withColumns(
         {

@@ -35,12 +35,9 @@ class Remembered(dict):
         return value
 
 
-# A hash costs little more than to look it up, so only frequent words are remembered.
-_hash_of = Remembered(xxhash.xxh64_intdigest, bound=1 << 18)
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hash_of.__getitem__, words), np.uint64, len(words))
+    # A hash costs less than to look it up, so no word is remembered.
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

@@ -6,6 +6,7 @@ import collections
 import itertools
 import math
 import random
+import re
 import zlib
 
 import duckdb
@@ -393,6 +394,15 @@ def test_prints_leave_out_no_similar_pair():
     assert near.sum() < 0.1 * len(sets) ** 2
 
 
+def test_texts_are_cut_once_by_one_worker_of_a_task(spark):
+    rows = [(1, "w " * 60), (2, "w " * 60 + "end")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_chars", F.length("text"))
+    cut = substring_dedup.without_repeats(docs, length_col="n_chars")
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("ArrowEvalPython .*cut", plan)) == 1
+    assert all(len(r.text) == r.n_chars for r in cut.collect())
+
+
 def test_outer_lines_of_their_own_stay():
     own = b"own words here now and then\na b c d e f\nnew\ng h i j k\nlast own words of it all"
     assert substring_dedup.common_lines(own, 0, 24, b"z a b c d e f g h i j k z") == (6, 12)
