@@ -295,9 +295,38 @@ def candidates(group: pa.Table, similarity: float) -> np.ndarray:
     return np.triu(pairs, 1)
 
 
+def promising_pair(group: pa.Table, similarity: float) -> bool:
+    """Whether the two rows of a group are a pair for ``candidates`` and for ``similar_prints``.
+
+    Most buckets hold two items; this is the same without matrices.
+    """
+    if group.column("first")[0].as_py() != group.column("second")[0].as_py():
+        one, two = group.column("block").to_pylist()
+        if one == two:
+            return False
+    one, two = group.column("size").to_pylist()
+    if not min(one, two) >= similarity * max(one, two):
+        return False
+    total = one + two
+    one, two = group.column("numbers").to_pylist()
+    bucket = group.column("bucket")[0].as_py()
+    if any(b < bucket for b in set(one).intersection(two)):
+        return False
+    one, two = sorted(group.column("print").to_pylist(), key=len)
+    if len(two) not in (len(one), 2 * len(one)):
+        return False
+    narrow = int.from_bytes(one)
+    # A print folds into one of half the bits, as in ``similar_prints``.
+    for begin in range(0, len(two), len(one)):
+        narrow |= int.from_bytes(two[begin : begin + len(one)])
+    return total >= (1 + similarity) * narrow.bit_count() - 1e-6
+
+
 def common_counts(sets: list[np.ndarray], columns: int = 4_096) -> np.ndarray:
     """Size of the intersection of each two sets of distinct numbers."""
     n = len(sets)
+    if n == 2:  # as most are
+        return np.full((2, 2), float(len(np.intersect1d(*sets, assume_unique=True))))
     values = np.concatenate(sets)
     rows = np.repeat(np.arange(n), [len(s) for s in sets])
     _, which, times = np.unique(values, return_inverse=True, return_counts=True)
@@ -359,6 +388,10 @@ def similar_items(
     entry = "bucket bigint, first int, second int, block int, item binary"
 
     def promising(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        if group.num_rows == 2:
+            if promising_pair(group, similarity):
+                yield from group.select([*keys, "block", "item"]).combine_chunks().to_batches()
+            return
         pairs = candidates(group, similarity)
         some = np.flatnonzero(pairs.any(0) | pairs.any(1))
         if len(some):

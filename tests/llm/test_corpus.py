@@ -12,6 +12,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -394,6 +395,32 @@ def test_prints_leave_out_no_similar_pair():
     assert near.sum() < 0.1 * len(sets) ** 2
 
 
+def test_buckets_of_two_are_compared_as_larger_ones():
+    rng = np.random.default_rng(8)
+    number = lambda n: substring_dedup.mixed(rng.integers(0, 2**62, n).astype(np.uint64))
+    seen = collections.Counter()
+    for _ in range(600):
+        base = number(int(rng.integers(1, 300)))
+        other = np.unique(np.concatenate([base[rng.random(len(base)) > rng.random() * 0.3], number(int(rng.integers(1, 40)))]))
+        base = np.unique(base)
+        sets, first = [base, other], int(rng.integers(2))
+        group = pa.table(
+            {
+                "bucket": [5, 5], "first": [first] * 2, "second": [1] * 2, "block": rng.integers(0, 2, 2),
+                "size": [len(x) for x in sets], "print": [jaccard_join.set_print(x) for x in sets],
+                "numbers": [[5, *rng.integers(3, 9, 2).tolist()] for _ in sets],
+            }
+        )
+        prints, size = group.column("print").to_pylist(), group.column("size").to_numpy().astype(float)
+        near = jaccard_join.similar_prints(prints, size, 0.8)
+        expected = bool((jaccard_join.candidates(group, 0.8) & near).any())
+        assert jaccard_join.promising_pair(group, 0.8) == expected
+        seen[expected] += 1
+        common = jaccard_join.common_counts(sets)
+        assert common[0, 1] == common[1, 0] == len(set(base.tolist()) & set(other.tolist()))
+    assert min(seen[True], seen[False]) > 50
+
+
 def test_texts_are_cut_once_by_one_worker_of_a_task(spark):
     rows = [(1, "w " * 60), (2, "w " * 60 + "end")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_chars", F.length("text"))
