@@ -59,13 +59,14 @@ def _release_rows(table: pa.Table) -> pa.Table:
     report_seq = np.full(size, -1, dtype=np.int64)
     report_seq[place[is_report]] = seq[is_report]
     limit, start = slot[~is_report], place[~is_report] + 1
+    longest = int(np.diff(np.append(np.flatnonzero(starts), len(seq))).max()) + 1
 
-    def search(reach: np.ndarray) -> np.ndarray:
+    found = np.empty(len(limit), dtype=np.int64)
+    wraps = limit > WRAP_SLOT
+    for chosen, reach in ((wraps, high), (~wraps, low)):
         line = np.full(size, _ALWAYS, dtype=np.int32)
         line[place] = reach
-        return first_above(line, start, limit)
-
-    found = np.where(limit > WRAP_SLOT, search(high), search(low))
+        found[chosen] = first_above(line, start[chosen], limit[chosen], longest)
     slots = table.filter(pa.array(~is_report)).drop_columns(
         ["is_report", "low", "high", "starts"]
     )

@@ -96,42 +96,42 @@ def uplink_rows(messages: DataFrame, *keep: str) -> DataFrame:
     for reports and for samples without a channel list; ``report_time`` and
     ``first_tx`` are NULL for samples.
     """
-    channel = lambda sample: last_lcid(sample.getField("LCIDs"))
-    samples = F.flatten(
-        F.transform(
-            F.filter("Subpackets", lambda s: s.getField("Samples").isNotNull()),
-            lambda s: F.transform(
-                s.getField("Samples"),
-                lambda x: F.struct(
-                    F.lit(False).alias("is_report"),
-                    x.getField("Sub FN").alias("sub_fn"),
-                    x.getField("Sys FN").alias("sys_fn"),
-                    channel(x).getField("Total Bytes").alias("level"),
-                    F.lit(None).cast("int").alias("report_time"),
-                    F.lit(None).cast("boolean").alias("first_tx"),
-                ),
-            ),
-        )
+    # Samples and records side by side, one of them empty: fields are taken after the
+    # explode, not by functions over nested arrays, which Spark doesn't compile.
+    report = F.col("type_id") == UL_REPORT
+
+    def only(chosen: Column, items: Column) -> Column:
+        return F.coalesce(F.when(chosen, items), F.array())
+
+    samples = F.flatten(F.filter(F.col("Subpackets").getField("Samples"), F.isnotnull))
+    items = F.arrays_zip(
+        only(~report, samples).alias("sample"),
+        only(report, F.col("Records").getField("Current SFN SF")).alias("time"),
+        only(report, F.col("Records").getField("Re-tx Index")).alias("index"),
     )
-    reports = F.transform(
-        F.arrays_zip(
-            F.col("Records").getField("Current SFN SF").alias("time"),
-            F.col("Records").getField("Re-tx Index").alias("index"),
-        ),
-        lambda r: F.struct(
-            F.lit(True).alias("is_report"),
-            F.lit(None).cast("int").alias("sub_fn"),
-            F.lit(None).cast("int").alias("sys_fn"),
-            F.lit(None).cast("bigint").alias("level"),
-            fix_report_time(r.getField("time")).alias("report_time"),
-            r.getField("index").eqNullSafe(FIRST_TX).alias("first_tx"),
-        ),
-    )
-    items = F.when(F.col("type_id") == UL_BUFFER, samples).otherwise(reports)
+    sample = F.col("item").getField("sample")
     return (
         messages.filter(F.col("type_id").isin(UL_BUFFER, UL_REPORT))
-        .select(*keep, "file_name", "msg_seq", F.posexplode(items).alias("pos", "item"))
-        .select(*keep, "file_name", "msg_seq", "pos", "item.*")
+        .select(
+            *keep, "file_name", "msg_seq", report.alias("is_report"),
+            F.posexplode(items).alias("pos", "item"),
+        )
+        .select(
+            *keep,
+            "file_name",
+            "msg_seq",
+            "pos",
+            "is_report",
+            sample.getField("Sub FN").alias("sub_fn"),
+            sample.getField("Sys FN").alias("sys_fn"),
+            last_lcid(sample.getField("LCIDs")).getField("Total Bytes").alias("level"),
+            F.when(F.col("is_report"), fix_report_time(F.col("item").getField("time"))).alias(
+                "report_time"
+            ),
+            F.when(
+                F.col("is_report"), F.col("item").getField("index").eqNullSafe(FIRST_TX)
+            ).alias("first_tx"),
+        )
     )
 
 

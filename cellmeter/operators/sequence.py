@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.radio import CLOCK_PERIOD, NO_CLOCK, frame_index, is_valid_reading
+from ..staging import stage
 from .scan import CHUNK_ROWS, FIRST, block_of, chunk_window, earlier_chunks
 
 ORDER = ["file_name", "msg_seq", "pos"]
@@ -52,8 +53,9 @@ def sequence(
     so_far, before = here.rowsBetween(FIRST, 0), here.rowsBetween(FIRST, -1)
 
     # One value column, a kind, and chunk columns without NULLs: the rows and the
-    # chunk table below then need exactly the same input, and Spark scans and
-    # shuffles it once for both.
+    # chunk table below then need exactly the same input, and Spark shuffles it
+    # once for both. Stored, as the counts of units need other columns: making the
+    # rows out of messages costs more than reading them back.
     packed = rows.select(
         *keys,
         F.coalesce("file_name", F.lit("")).alias("file_name"),
@@ -70,7 +72,7 @@ def sequence(
         .cast("bigint")
         .alias("_value"),
     )
-    packed = _numbered(packed, keys, start).withColumn(
+    packed = _numbered(stage(packed, "rows", level=1), keys, start).withColumn(
         "_chunk", F.expr(f"(seq - 1) div {int(chunk_rows)}L")
     )
     sample = F.col("_kind") == _SAMPLE
