@@ -418,9 +418,13 @@ def _replayed(spark: SparkSession, sf_dir: str, **settings) -> str:
     ``tables.PART_DAYS``.
     """
     base = f"{staging_root(spark)}/replay-{uuid.uuid4().hex}"
-    messages = stage(tables.radio_messages(tables.table(spark, sf_dir, "events")), "messages")
+    # A part's events are picked and dealt anew before messages are made of them: in a
+    # table in order of time few tasks would have them all.
+    events = tables.table(spark, sf_dir, "events")
+    messages = tables.radio_messages(events.repartition("event_id", "ts"))
     part = tables.part_of("file_name")
-    for number in sorted(row[0] for row in messages.select(part).distinct().collect()):
+    days = tables.envelope(events).select(part.alias("part"))
+    for number in sorted(row.part for row in days.distinct().collect()):
         messages.filter(part == number).write.mode("append").parquet(f"{base}/in")
         stream = message_stream(spark, f"{base}/in", [".parquet"])
         run_available(stream, f"{base}/out", f"{base}/state", totals=False, **settings)

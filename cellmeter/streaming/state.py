@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..staging import children, delete_path
+from ..staging import children, delete_path, stage
 
 # Written last, so a table set with it is whole.
 _MAIN = "traces"
@@ -75,19 +75,23 @@ class TraceState:
         return reader.parquet(*[f"{folder}/run={run}" for run in runs]).drop("run")
 
     def _newest(self, runs: list[str], limit) -> dict[str, DataFrame]:
-        """The newest entry of each trace that ``limit`` lets through, with its shard."""
+        """The newest entry of each trace that ``limit`` lets through, with its shard.
+
+        The main table's are stored: every other table is joined to them.
+        """
         main = limit(self._table(_MAIN, runs))
         columns = [c for c in main.columns if c not in (*self._keys, "version", "shard")]
         newest = main.groupBy(*self._keys, "shard").agg(
             F.max_by(F.struct(*columns), "version").alias("last"), F.max("version").alias("version")
         )
+        newest = stage(newest.select(*self._keys, "shard", "last.*", "version"), "newest")
         marks = newest.select(*self._keys, "shard", "version")
         state = {
-            name: limit(self._table(name, runs)).join(marks, [*self._keys, "shard", "version"])
+            name: self._table(name, runs).join(marks, [*self._keys, "shard", "version"])
             for name in STATE_SCHEMAS
             if name != _MAIN
         }
-        return {**state, _MAIN: newest.select(*self._keys, "shard", "last.*", "version")}
+        return {**state, _MAIN: newest}
 
     def read(self, batch_id: int, touched: DataFrame) -> dict[str, DataFrame] | None:
         """State before a batch, of the traces in ``touched`` (their keys, each once)."""

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import numpy as np
 
 from cellmeter.operators.nextabove import first_above
 from cellmeter.operators.records import uplink_rows
 from cellmeter.operators.sequence import sequence
+from cellmeter.plans import queries
 from cellmeter.schemas import MESSAGES, UL_BUFFER, UL_REPORT
+from cellmeter.streaming.state import TraceState
 
 CHANNEL = [(5, None, None, None)]
 
@@ -66,3 +70,41 @@ def test_a_search_of_short_chunks_makes_no_long_runs(monkeypatch):
     assert first_above(values, start, limit, 8).tolist() == want
     assert len(made) == 3
     assert first_above(values, start, limit).tolist() == want
+
+
+def test_newest_state_is_found_once(spark, tmp_path):
+    log = TraceState(spark, str(tmp_path / "s"))
+    values = {
+        "packets": "1L as seq, 2 as t, 3L as delta, 4L as arrived, 5L as drained, "
+        "cast(null as struct<seq:bigint,t:int>) as first",
+        "slots": "1 as slot, 1L as seq, 2 as waiting, 3 as tx",
+        "repeats": "1 as slot, 1L as seq",
+        "traces": "1 as t, 2L as level, 0L as arrived, 0L as drained, 9L as seq",
+    }
+    for batch in (0, 1):
+        log.write(
+            batch, {n: spark.sql(f"select 'a' as trace_id, {v}") for n, v in values.items()}
+        )
+    state = log.read(2, spark.sql("select 'a' as trace_id"))
+    for name, table in state.items():
+        assert table.count() == 1
+        assert "Aggregate" not in table._jdf.queryExecution().optimizedPlan().toString(), name
+
+
+def test_messages_of_a_replay_are_made_part_by_part(spark, tmp_path, monkeypatch):
+    """The messages of the whole table are not stored before the first part is read."""
+    days = [dt.datetime(2024, 1, day, 12) for day in (1, 6, 7, 20, 30)]
+    rows = [(n, day, n % 2, "click", 5.5, None) for n, day in enumerate(days)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(queries, "stage", None)
+    monkeypatch.setattr(queries, "message_stream", lambda *args: None)
+    seen = []
+
+    def run(stream, out, state, **settings):
+        files = spark.read.parquet(out.removesuffix("/out") + "/in")
+        seen.append(sorted(r.msg_seq for r in files.select("msg_seq").distinct().collect()))
+
+    monkeypatch.setattr(queries, "run_available", run)
+    queries._replayed(spark, str(tmp_path))
+    assert seen == [[0, 1], [0, 1, 2], [0, 1, 2, 3], [0, 1, 2, 3, 4]]
