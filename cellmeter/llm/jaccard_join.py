@@ -28,7 +28,7 @@ from ..staging import stage, temporary_stages
 from .bit_filter import only_passed
 from .components import components
 from .groups import by_group
-from .words import SHINGLE_WORDS, mixed, shingle_set, word_hashes
+from .words import SHINGLE_WORDS, mixed, shingle_set, shingle_sets, word_hashes
 
 SIMILARITY = 0.8
 # A set chooses CHOSEN of its shingles in a run, on average. Two sets of similarity
@@ -295,24 +295,38 @@ def candidates(group: pa.Table, similarity: float) -> np.ndarray:
     return np.triu(pairs, 1)
 
 
-def promising_pair(group: pa.Table, similarity: float) -> bool:
-    """Whether the two rows of a group are a pair for ``candidates`` and for ``similar_prints``.
+def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
+
+def candidate_pairs(batch: pa.RecordBatch, at: np.ndarray, similarity: float) -> np.ndarray:
+    """First rows of those groups of two rows that are a pair for ``candidates``.
 
     Most buckets hold two items; this is the same without matrices.
     """
-    if group.column("first")[0].as_py() != group.column("second")[0].as_py():
-        one, two = group.column("block").to_pylist()
-        if one == two:
-            return False
-    one, two = group.column("size").to_pylist()
-    if not min(one, two) >= similarity * max(one, two):
-        return False
-    total = one + two
-    one, two = group.column("numbers").to_pylist()
-    bucket = group.column("bucket")[0].as_py()
-    if any(b < bucket for b in set(one).intersection(two)):
-        return False
-    one, two = sorted(group.column("print").to_pylist(), key=len)
+    size, block, first, second = (
+        _column(batch, c).to_numpy() for c in ("size", "block", "first", "second")
+    )
+    size = size.astype(np.float64)
+    one, two = size[at], size[at + 1]
+    fits = np.minimum(one, two) >= similarity * np.maximum(one, two)
+    fits &= (first[at] == second[at]) | (block[at] != block[at + 1])
+    lists = _column(batch, "numbers")
+    ends, numbers = lists.offsets.to_numpy().tolist(), lists.values.to_numpy()
+    bucket = _column(batch, "bucket").to_numpy()
+    out = []
+    for i in at[fits].tolist():
+        one, two = numbers[ends[i] : ends[i + 1]], numbers[ends[i + 1] : ends[i + 2]]
+        if len(one) == 1 or len(two) == 1:  # the bucket itself
+            out.append(i)
+        elif not any(b < bucket[i] for b in set(one.tolist()).intersection(two.tolist())):
+            out.append(i)
+    return np.array(out, np.int64)
+
+
+def _prints_agree(one: bytes, two: bytes, total: int, similarity: float) -> bool:
+    """What ``similar_prints`` says of two sets of ``total`` members."""
+    one, two = sorted((one, two), key=len)
     if len(two) not in (len(one), 2 * len(one)):
         return False
     narrow = int.from_bytes(one)
@@ -322,11 +336,33 @@ def promising_pair(group: pa.Table, similarity: float) -> bool:
     return total >= (1 + similarity) * narrow.bit_count() - 1e-6
 
 
+def promising_pairs(batch: pa.RecordBatch, at: np.ndarray, similarity: float) -> np.ndarray:
+    """First rows of those groups of two rows that are a pair for ``candidates`` and ``similar_prints``."""
+    at = candidate_pairs(batch, at, similarity)
+    size, prints = _column(batch, "size").to_numpy(), _column(batch, "print")
+    totals = (size[at].astype(np.int64) + size[at + 1]).tolist()
+    sides = (prints.take(pa.array(x)).to_pylist() for x in (at, at + 1))
+    kept = [_prints_agree(a, b, n, similarity) for a, b, n in zip(*sides, totals)]
+    return at[np.array(kept, bool)]
+
+
+def promising_pair(group: pa.Table, similarity: float) -> bool:
+    """Whether the two rows of a group are a pair, as ``promising_pairs`` has it."""
+    batch = group.combine_chunks().to_batches()[0]
+    return len(promising_pairs(batch, np.array([0]), similarity)) > 0
+
+
+def _common_of_two(one: np.ndarray, two: np.ndarray) -> int:
+    both = np.concatenate([one, two])
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 def common_counts(sets: list[np.ndarray], columns: int = 4_096) -> np.ndarray:
     """Size of the intersection of each two sets of distinct numbers."""
     n = len(sets)
     if n == 2:  # as most are
-        return np.full((2, 2), float(len(np.intersect1d(*sets, assume_unique=True))))
+        return np.full((2, 2), float(_common_of_two(*sets)))
     values = np.concatenate(sets)
     rows = np.repeat(np.arange(n), [len(s) for s in sets])
     _, which, times = np.unique(values, return_inverse=True, return_counts=True)
@@ -403,9 +439,15 @@ def similar_items(
         if len(some):
             yield from group.select([*keys, "block", "item"]).take(some).combine_chunks().to_batches()
 
+    def promising_two(batch: pa.RecordBatch, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = promising_pairs(batch, at, similarity)
+        if len(at):
+            both = pa.array(np.stack([at, at + 1], axis=1).ravel())
+            yield batch.select([*keys, "block", "item"]).take(both)
+
     # Numbers and prints first: only items with a pair to verify bring their text.
     narrow = rows.select(*keys, "block", "item", "size", "print", "numbers")
-    chosen = stage(by_group(narrow, keys, promising, entry), "candidates")
+    chosen = stage(by_group(narrow, keys, promising, entry, promising_two), "candidates")
     full = _with_text(stage(chosen.join(known.drop("print"), "item"), "promising"), docs).select(
         *keys, "block", "item", "size", "copies", "numbers", "text"
     )
@@ -420,7 +462,7 @@ def similar_items(
         pairs = candidates(group, similarity)
         if not pairs.any():
             return
-        sets = [text_shingles(t.as_py()) for t in group.column("text")]
+        sets = list(shingle_sets(t.as_py() or b"" for t in group.column("text")))
         links = linked(sets, pairs, similarity)
         copies = group.column("copies").to_numpy()
         counts = (links | links.T) @ copies
@@ -435,7 +477,33 @@ def similar_items(
             ["item", "links", "head"],
         )
 
-    return by_group(full, keys, verify, "item binary, links bigint, head binary")
+    def verify_two(batch: pa.RecordBatch, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+        item, text = _column(batch, "item"), _column(batch, "text")
+        at = candidate_pairs(batch, at, similarity)
+        # A holder's row may be there repeatedly.
+        at = [i for i in at.tolist() if item[i] != item[i + 1]]
+        sets = shingle_sets(text[j].as_py() or b"" for i in at for j in (i, i + 1))
+        found = []
+        for i in at:
+            one, two = next(sets), next(sets)
+            common = _common_of_two(one, two)
+            if common >= similarity * (len(one) + len(two) - common) - 1e-9:
+                found.append(i)
+        if found:
+            found = np.array(found)
+            both = np.stack([found, found + 1], axis=1)
+            copies = _column(batch, "copies").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    item.take(pa.array(both.ravel())),
+                    pa.array(copies[both[:, ::-1]].ravel(), pa.int64()),
+                    item.take(pa.array(np.repeat(found, 2))),
+                ],
+                ["item", "links", "head"],
+            )
+
+    schema = "item binary, links bigint, head binary"
+    return by_group(full, keys, verify, schema, verify_two)
 
 
 def jaccard_join(

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -36,7 +36,7 @@ from .jaccard_join import (
     similar_items,
     text_key,
 )
-from .words import SHINGLE_WORDS, mixed, run_hashes, word_hashes
+from .words import SHINGLE_WORDS, distinct, hashed_texts, mixed, run_hashes, word_hashes
 
 LINE_WORDS = 50
 WINDOW_WORDS = 40
@@ -54,7 +54,6 @@ def _odd(count: int, salt: int) -> np.ndarray:
     return mixed(np.arange(1, count + 1, dtype=np.uint64) + np.uint64(salt << 32)) | np.uint64(1)
 
 
-_WINDOW_FACTORS = (_odd(WINDOW_WORDS, 1), _odd(WINDOW_WORDS, 2))
 _SIGNATURE_FACTORS = _odd(BANDS * BAND_ROWS, 3)
 _BAND_FACTORS = _odd(BAND_ROWS, 4)
 
@@ -68,84 +67,93 @@ def _sliding(values: np.ndarray, length: int, extreme: np.ufunc) -> np.ndarray:
     return extreme(run[:-rest], run[rest:]) if rest else run
 
 
-def window_starts(hashes: np.ndarray) -> np.ndarray:
-    """First words of the windows of a text: shingles that are least among some MARK_WORDS in a row."""
-    last = len(hashes) - WINDOW_WORDS
-    marks = run_hashes(hashes, SHINGLE_WORDS)
-    if last < 0 or len(marks) < MARK_WORDS:
-        return np.empty(0, np.int64)
+def window_starts(marks: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the windows of texts, and which text each is in.
+
+    The texts' words are one after another, and end at ``ends``; ``marks`` are
+    the shingles of all these words. A window begins at a shingle that is least
+    among some MARK_WORDS in a row of its text.
+    """
+    if len(marks) < MARK_WORDS:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     least = _sliding(marks, MARK_WORDS, np.minimum)
-    ends = np.zeros(MARK_WORDS - 1, np.uint64)
-    highest = _sliding(np.concatenate([ends, least, ends]), MARK_WORDS, np.maximum)
+    # Shingles in a row that go over the end of a text have no least one.
+    over = (ends[:, None] - np.arange(1, MARK_WORDS + SHINGLE_WORDS - 1)).ravel()
+    least[over[(over >= 0) & (over < len(least))]] = 0
+    outside = np.zeros(MARK_WORDS - 1, np.uint64)
+    highest = _sliding(np.concatenate([outside, least, outside]), MARK_WORDS, np.maximum)
     starts = np.flatnonzero(highest == marks)
-    return starts[starts <= last]
-
-
-def window_hashes(hashes: np.ndarray, starts: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """A hash of each window."""
-    with np.errstate(over="ignore"):
-        inside = hashes[starts[:, None] + np.arange(WINDOW_WORDS)]
-        return mixed((inside * factors).sum(axis=1, dtype=np.uint64))
-
-
-_NO_WINDOWS = (np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32))
+    which = np.searchsorted(ends, starts, "right")
+    inside = starts + WINDOW_WORDS <= ends[which]
+    return starts[inside], which[inside]
 
 
 def marked_windows(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First words of the windows of a text and two hashes of each."""
-    first, second, starts = _windows_of(word_hashes(words))
+    marks = run_hashes(word_hashes(words), SHINGLE_WORDS)
+    first, second, starts, _ = _windows_of(marks, np.array([len(words)]))
     return starts, first, second
 
 
-def _windows_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two hashes, of 64 and 32 bits, and the first word of each window."""
-    starts = window_starts(hashes)
-    first, second = (window_hashes(hashes, starts, f) for f in _WINDOW_FACTORS)
-    return first.view(np.int64), second.astype(np.uint32).view(np.int32), starts.astype(np.int32)
+_PARTS = np.arange(0, WINDOW_WORDS, SHINGLE_WORDS)
+_WINDOW_FACTORS = (_odd(len(_PARTS), 1), _odd(len(_PARTS), 2))
+
 
+_NO_WINDOWS = (np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32))
 
-def _distinct(values: np.ndarray) -> np.ndarray:
-    """Sorted distinct values of a short array, without what ``np.unique`` costs per call."""
-    ordered = np.sort(values)
-    first = np.ones(len(ordered), bool)
-    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
-    return ordered[first]
 
+def _windows_of(marks: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Two hashes, of 64 and 32 bits, first word and number of windows of texts, as ``window_starts`` has them.
 
-def _lists(ends: list[int], columns: list[np.ndarray]) -> list[pa.Array]:
+    A window is hashed as a row of shingles, which are its words.
+    """
+    starts, which = window_starts(marks, ends)
+    inside = marks[starts[:, None] + _PARTS]
+    with np.errstate(over="ignore"):
+        first, second = (mixed((inside * f).sum(axis=1, dtype=np.uint64)) for f in _WINDOW_FACTORS)
+    begins = np.concatenate([[0], ends[:-1]])
+    return (
+        first.view(np.int64),
+        second.astype(np.uint32).view(np.int32),
+        (starts - begins[which]).astype(np.int32),
+        np.bincount(which, minlength=len(ends)),
+    )
+
+
+def _lists(ends: np.ndarray, columns: list[np.ndarray]) -> list[pa.Array]:
     """Columns of lists that end at the same places."""
     offsets = pa.array(ends, pa.int32())
     return [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in columns]
 
 
-# Products of shingles and factors that are held at once.
-_PRODUCTS = 1 << 20
+# Shingles that are multiplied by all factors at once.
+_MULTIPLIED = 1 << 10
 
 
 def band_hashes(runs: np.ndarray, spans: np.ndarray) -> np.ndarray:
     """One bucket per band and span, out of the MinHash signatures of spans of ``runs``.
 
-    ``spans`` has begin and end of each; none is empty.
+    ``spans`` has begin and end of each; none is empty. They may overlap: each
+    run counts once to the least of its part, between two ends of spans, and
+    parts to spans.
     """
-    lengths = spans[:, 1] - spans[:, 0]
-    out = np.empty((len(spans), BANDS), np.uint64)
-    width = max(1, _PRODUCTS // len(_SIGNATURE_FACTORS))
-    at = 0
+    if not len(spans):
+        return np.empty((0, BANDS), np.uint64)
+    begin, end = int(spans.min()), int(spans.max())
+    blocks = np.arange(begin, end, _MULTIPLIED)
+    parts = np.unique(np.concatenate([spans.ravel(), blocks, [end]]))
+    edges = np.searchsorted(parts, [*blocks, end])
     with np.errstate(over="ignore"):
-        while at < len(spans):
-            more = int(np.searchsorted(np.cumsum(lengths[at:]), width, "right")) or 1
-            some = spans[at : at + more]
-            own = np.concatenate([runs[b:e] for b, e in some])
-            begins = np.concatenate([[0], np.cumsum(lengths[at : at + more])[:-1]])
-            if len(own) <= width:
-                least = np.minimum.reduceat(own * _SIGNATURE_FACTORS[:, None], begins, axis=1)
-            else:  # one long span
-                least = np.array([[(own * f).min()] for f in _SIGNATURE_FACTORS])
-            rows = least.T.reshape(more, BANDS, BAND_ROWS)
-            values = (rows * _BAND_FACTORS).sum(axis=2, dtype=np.uint64)
-            out[at : at + more] = mixed(values + np.arange(1, BANDS + 1, dtype=np.uint64))
-            at += more
-    return out
+        # A last part of nothing, so that spans may end where the runs do.
+        least = np.zeros((len(_SIGNATURE_FACTORS), len(parts)), np.uint64)
+        for at, lo, hi in zip(blocks.tolist(), edges, edges[1:]):
+            products = runs[at : min(at + _MULTIPLIED, end)] * _SIGNATURE_FACTORS[:, None]
+            least[:, lo:hi] = np.minimum.reduceat(products, parts[lo:hi] - at, axis=1)
+        sides = np.searchsorted(parts, spans).ravel()
+        rows = np.minimum.reduceat(least, sides, axis=1)[:, ::2].T
+        rows = rows.reshape(len(spans), BANDS, BAND_ROWS)
+        values = (rows * _BAND_FACTORS).sum(axis=2, dtype=np.uint64)
+        return mixed(values + np.arange(1, BANDS + 1, dtype=np.uint64))
 
 
 def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -187,29 +195,32 @@ def _described(docs: DataFrame, line_words: int) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _smaller(batches):
-            windows, window_ends, line_ends = [_NO_WINDOWS], [0], [0]
+            windows, n_windows, line_ends = [_NO_WINDOWS], [[0]], [0]
             columns = [[], [], [], [], [], [], [], [np.empty((0, BANDS), np.uint64)]]
-            for text in batch.column(2):
-                data = text.as_py() or b""
-                hashes = word_hashes(data.split())
-                windows.append(_windows_of(hashes))
-                window_ends.append(window_ends[-1] + len(windows[-1][0]))
-                found = _paragraphs(data, len(hashes), line_words)
-                line_ends.append(line_ends[-1] + len(found))
-                if not found:
-                    continue
+            for texts, hashes, ends in hashed_texts(t.as_py() or b"" for t in batch.column(2)):
                 runs = run_hashes(hashes, SHINGLE_WORDS)
-                spans = np.array([(b, b + n - SHINGLE_WORDS + 1) for b, n, _ in found])
-                for (begin, count, line), (at, end) in zip(found, spans):
-                    shingles = _distinct(runs[at:end])
-                    columns[0].append(hashlib.blake2b(shingles, digest_size=16).digest())
-                    columns[1].append(hashlib.md5(line).digest())
-                    columns[2].append(begin)
-                    columns[3].append(count)
-                    columns[4].append(len(shingles))
-                    columns[5].append(set_print(shingles))
-                    columns[6].append(b"\n" in line)
-                columns[7].append(band_hashes(runs, spans))
+                *found_windows, counts = _windows_of(runs, ends)
+                windows.append(found_windows)
+                n_windows.append(counts)
+                spans = []
+                begin = 0
+                for data, end in zip(texts, ends.tolist()):
+                    found = _paragraphs(data, end - begin, line_words)
+                    line_ends.append(line_ends[-1] + len(found))
+                    for start, count, line in found:
+                        at = begin + start
+                        spans.append((at, at + count - SHINGLE_WORDS + 1))
+                        shingles = distinct(runs[slice(*spans[-1])])
+                        columns[0].append(hashlib.blake2b(shingles, digest_size=16).digest())
+                        columns[1].append(hashlib.md5(line).digest())
+                        columns[2].append(start)
+                        columns[3].append(count)
+                        columns[4].append(len(shingles))
+                        columns[5].append(set_print(shingles))
+                        columns[6].append(b"\n" in line)
+                    begin = end
+                columns[7].append(band_hashes(runs, np.array(spans, np.int64).reshape(-1, 2)))
+            window_ends = np.cumsum(np.concatenate(n_windows))
             buckets = pa.array(np.concatenate(columns.pop()).ravel().view(np.int64))
             offsets = pa.array(np.arange(0, len(buckets) + 1, BANDS), pa.int32())
             arrays = [pa.array(c, kind) for c, (_, kind) in zip(columns, kinds)]
@@ -320,6 +331,23 @@ def _windows(described: DataFrame, often: DataFrame) -> DataFrame:
     return described.select(*_DOC, "h1", "h2", "starts").mapInArrow(cut, schema)
 
 
+def _bucket_rows(items: DataFrame, often: DataFrame) -> DataFrame:
+    """``item, bucket``: the items' buckets that may be in ``often``; others are left out before the shuffle."""
+    bits = items.sparkSession.sparkContext.broadcast(filter_bits(often.select("bucket")))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket = batch.column(1).flatten().to_numpy()
+            kept = np.flatnonzero(passed(bits.value, bucket.view(np.uint64)))
+            item = np.repeat(np.arange(batch.num_rows), batch.column(1).value_lengths().to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(item[kept])), pa.array(bucket[kept])],
+                ["item", "bucket"],
+            )
+
+    return items.select("item", "buckets").mapInArrow(cut, "item binary, bucket bigint")
+
+
 def repeated_windows(described: DataFrame) -> DataFrame:
     """``doc_id, text_key, start, n_words, first, n`` of windows that several documents have.
 
@@ -369,9 +397,11 @@ def similar_lines(
         ),
         "line_items",
     )
-    rows = items.select("item", F.explode("buckets").alias("bucket"))
-    counts = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    buckets = stage(rows.join(counts, "bucket").select("bucket", "item", "n"), "line_buckets")
+    rows = items.select(F.explode("buckets").alias("bucket"))
+    often = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    often = stage(often, "often_buckets")
+    shared = _bucket_rows(items, often).join(often, "bucket")
+    buckets = stage(shared.select("bucket", "item", "n"), "line_buckets")
     # Only paragraphs that there is something to compare with are brought.
     held = buckets.select("item").distinct().join(items, "item")
     holders = stage(held.select("holder.doc_id", "holder.text_key").distinct(), "holders")
@@ -457,6 +487,25 @@ def _trimmed(rows: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
+def _of_paragraphs(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    line_words: int,
+    result: Callable[[DataFrame], DataFrame],
+    name: str,
+) -> DataFrame:
+    """What ``result`` makes of the repeated paragraphs, some of which may come repeatedly; stored."""
+    spark = docs.sparkSession
+    narrow = _narrow(docs, id_col, text_col)
+    with temporary_stages(spark) as keep:
+        described = _described(narrow, line_words)
+        with temporary_stages(spark) as keep_lines:
+            lines = similar_lines(narrow, described, line_words=line_words)
+            lines = keep_lines(lines, "repeated_lines")
+        return keep(result(repeated_windows(described).unionByName(lines)), name)
+
+
 def repeated_paragraphs(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -468,14 +517,7 @@ def repeated_paragraphs(
     ``start`` is the number of the first word in the text, ``first`` the document
     whose copy stays, ``n`` the number of copies.
     """
-    spark = docs.sparkSession
-    narrow = _narrow(docs, id_col, text_col)
-    with temporary_stages(spark) as keep:
-        described = _described(narrow, line_words)
-        with temporary_stages(spark) as keep_windows:
-            windows = keep_windows(repeated_windows(described), "repeated_windows")
-        lines = similar_lines(narrow, described, line_words=line_words)
-        return keep(windows.unionByName(lines).distinct(), "repeated")
+    return _of_paragraphs(docs, id_col, text_col, line_words, DataFrame.distinct, "repeated")
 
 
 def _removed() -> Column:
@@ -498,11 +540,23 @@ def repeated_passages(
     passages, nor have texts that no other document shares 40 words with.
     ``line_words`` is the least length of a paragraph that is compared as one.
     """
-    paragraphs = repeated_paragraphs(docs, id_col, text_col, line_words)
+    return _of_paragraphs(docs, id_col, text_col, line_words, _passages, "passages")
+
+
+def _passages(paragraphs: DataFrame) -> DataFrame:
+    """The passages of ``repeated_passages``, out of paragraphs that may be there repeatedly."""
+    # Only what is needed of them is shuffled.
+    paragraphs = paragraphs.select(
+        *_DOC,
+        "start",
+        (F.col("start") + F.col("n_words")).alias("end"),
+        F.col("first.doc_id").alias("class_id"),
+        "n",
+        _removed().alias("removed"),
+    )
     # One document's paragraphs are no more than its words.
-    in_order = Window.partitionBy(*_DOC).orderBy("start", "n_words", "n")
-    end = F.col("start") + F.col("n_words")
-    reached = F.max(end).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    in_order = Window.partitionBy(*_DOC).orderBy("start")
+    reached = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
     begun = paragraphs.withColumn(
         "_new", F.when(F.col("start") > F.coalesce(reached, F.lit(-1)), 1).otherwise(0)
     ).withColumn("_passage", F.sum("_new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
@@ -510,15 +564,21 @@ def repeated_passages(
         begun.groupBy(*_DOC, "_passage")
         .agg(
             F.min("start").cast("bigint").alias("begin_word"),
-            (F.max(end) - F.min("start")).cast("bigint").alias("n_words"),
-            F.min("first.doc_id").alias("class_id"),
+            (F.max("end") - F.min("start")).cast("bigint").alias("n_words"),
+            F.min("class_id").alias("class_id"),
             F.max("n").cast("bigint").alias("n_copies"),
-            F.max(_removed()).alias("removed"),
+            F.max("removed").alias("removed"),
         )
         .drop("text_key", "_passage")
     )
 
 
+def _removals(paragraphs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, spans``: first words of removed paragraphs, and those behind them."""
+    span = F.struct(F.col("start").alias("begin"), (F.col("start") + F.col("n_words")).alias("end"))
+    return paragraphs.filter(_removed()).groupBy(*_DOC).agg(F.collect_set(span).alias("spans"))
+
+
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -557,19 +617,7 @@ def without_repeats(
     Documents that lose nothing stay as they are; those that have no word left
     go. ``length_col``, if there is one, gets the new length in characters.
     """
-    spans = (
-        repeated_paragraphs(docs, id_col, text_col)
-        .filter(_removed())
-        .groupBy(*_DOC)
-        .agg(
-            F.collect_set(
-                F.struct(
-                    F.col("start").alias("begin"), (F.col("start") + F.col("n_words")).alias("end")
-                )
-            ).alias("spans")
-        )
-    )
-    spans = stage(spans, "removals")
+    spans = _of_paragraphs(docs, id_col, text_col, LINE_WORDS, _removals, "removals")
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, removals: pa.Array) -> pa.Array:

@@ -6,6 +6,8 @@ A word is a run of ``[^\\x20\\x09-\\x0D]``. On UTF-8 bytes that is what
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import xxhash
 
@@ -60,8 +62,48 @@ def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     return mixed(total)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values of a short array, without what ``np.unique`` costs per call."""
+    ordered = values.copy()
+    ordered.sort()
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return ordered[first]
+
+
 def shingle_set(hashes: np.ndarray, length: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted distinct shingles; a text shorter than one shingle is one itself."""
     if 0 < len(hashes) < length:
         return run_hashes(hashes, len(hashes))
-    return np.unique(run_hashes(hashes, length))
+    return distinct(run_hashes(hashes, length))
+
+
+# Words that are hashed together; more of a longer text.
+_HASHED_WORDS = 1 << 14
+
+
+def hashed_texts(texts: Iterable[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """Some texts at a time, the hashes of their words, one after another, and where each one's end."""
+    some, words, ends = [], [], []
+    for data in texts:
+        some.append(data)
+        words += data.split()
+        ends.append(len(words))
+        if len(words) >= _HASHED_WORDS:
+            yield some, word_hashes(words), np.array(ends)
+            some, words, ends = [], [], []
+    if some:
+        yield some, word_hashes(words), np.array(ends)
+
+
+def shingle_sets(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """What ``shingle_set`` gives of the words of each text, for less than one call each."""
+    for _, hashes, ends in hashed_texts(texts):
+        runs = run_hashes(hashes, SHINGLE_WORDS)
+        begin = 0
+        for end in ends.tolist():
+            if end - begin < SHINGLE_WORDS:
+                yield shingle_set(hashes[begin:end])
+            else:
+                yield distinct(runs[begin : end - SHINGLE_WORDS + 1])
+            begin = end

@@ -30,6 +30,8 @@ from cellmeter.llm import (
 )
 from cellmeter.llm.bpe import WordEndTokenizer
 from cellmeter.llm.components import components
+from cellmeter.llm.groups import by_group
+from cellmeter.llm.words import run_hashes, shingle_set, shingle_sets, word_hashes
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars int"
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -421,6 +423,109 @@ def test_buckets_of_two_are_compared_as_larger_ones():
     assert min(seen[True], seen[False]) > 50
 
 
+def test_groups_of_two_are_worked_on_together(spark):
+    rows = [(k, v) for k in range(3_000) for v in range(2)] + [(-1, 0), (5_000, 0), (5_000, 1), (5_000, 2)]
+
+    def work(group):
+        yield pa.RecordBatch.from_pydict({"k": group.column("k")[:1].combine_chunks(), "n": [group.num_rows]})
+
+    def pairs(batch, at):
+        assert len(at)
+        found = batch.column(0).take(pa.array(at))
+        yield pa.RecordBatch.from_arrays([found, pa.array([-2] * len(at))], ["k", "n"])
+
+    one = spark.createDataFrame(rows, "k bigint, v int").coalesce(1)
+    found = by_group(one, ["k"], work, "k bigint, n bigint", pairs).collect()
+    sizes = {r.k: r.n for r in found}
+    assert len(found) == len(sizes) == 3_002 and sizes[-1] == 1 and sizes[5_000] == 3
+    # Only groups at the ends of batches go to ``work``.
+    assert {abs(sizes[k]) for k in range(3_000)} == {2}
+    assert sum(sizes[k] == 2 for k in range(3_000)) < 50
+
+
+def test_pairs_of_a_batch_are_those_of_each_group():
+    rng = np.random.default_rng(5)
+    number = lambda n: substring_dedup.mixed(rng.integers(0, 2**62, n).astype(np.uint64))
+    rows = []
+    for bucket in range(400):
+        base = number(int(rng.integers(1, 200)))
+        other = np.concatenate([base[rng.random(len(base)) > rng.random() * 0.3], number(int(rng.integers(1, 9)))])
+        first = int(rng.integers(2))
+        for x in (base, other):
+            numbers = [bucket, *rng.integers(max(bucket - 3, 0), bucket + 3, int(rng.integers(0, 3))).tolist()]
+            rows.append((bucket, first, 1, int(rng.integers(2)), len(x), jaccard_join.set_print(x), numbers))
+    names = ["bucket", "first", "second", "block", "size", "print", "numbers"]
+    table = pa.table(dict(zip(names, map(list, zip(*rows)))))
+    at = np.arange(0, len(rows), 2)
+    # As part of a larger batch, so that its lists don't begin at the first value.
+    batch = pa.concat_tables([table.slice(0, 7), table]).combine_chunks().to_batches()[0].slice(7)
+    groups = [table.slice(i, 2).combine_chunks() for i in at]
+    own = [i for i, g in zip(at, groups) if jaccard_join.candidates(g, 0.8).any()]
+    assert jaccard_join.candidate_pairs(batch, at, 0.8).tolist() == own
+    near = [i for i, g in zip(at, groups) if jaccard_join.promising_pair(g, 0.8)]
+    assert jaccard_join.promising_pairs(batch, at, 0.8).tolist() == near
+    assert 50 < len(near) < len(own) < len(at)
+
+
+def test_windows_of_texts_together_are_those_of_each():
+    rng = random.Random(9)
+    texts = [[f"{rng.randrange(60)}".encode() for _ in range(n)] for n in [0, 3, 15, 16, 40, 39, 300, 44, 0, 700, 1]]
+    marks = run_hashes(word_hashes([w for t in texts for w in t]), 5)
+    ends = np.cumsum([len(t) for t in texts])
+    first, second, starts, counts = substring_dedup._windows_of(marks, ends)
+    alone = [substring_dedup.marked_windows(t) for t in texts]
+    assert counts.tolist() == [len(a[0]) for a in alone] and sum(counts) > 100
+    for together, i in ((starts, 0), (first, 1), (second, 2)):
+        assert together.tolist() == np.concatenate([a[i] for a in alone]).tolist()
+    sets = list(shingle_sets(b" ".join(t) for t in texts))
+    assert all(x.tolist() == shingle_set(word_hashes(t)).tolist() for x, t in zip(sets, texts, strict=True))
+    # A window begins where a shingle is least of 12 in a row.
+    for text, (begins, _, _) in zip(texts, alone):
+        own = run_hashes(word_hashes(text), 5)
+        least = {i + int(np.argmin(own[i : i + 12])) for i in range(len(own) - 11)}
+        assert {i for i in least if i + 40 <= len(text)} <= set(begins.tolist())
+        assert all(own[i] in {own[j] for j in least} for i in begins)
+
+
+def test_bands_of_spans_that_overlap():
+    runs = substring_dedup.mixed(np.arange(1, 5_001, dtype=np.uint64))
+    spans = np.array([(0, 1), (0, 5_000), (7, 3_000), (7, 46), (46, 1_024), (2_048, 4_096), (4_999, 5_000), (10, 12)])
+    found = substring_dedup.band_hashes(runs, spans)
+    for (begin, end), own in zip(spans, found):
+        least = np.array([(runs[begin:end] * f).min() for f in substring_dedup._SIGNATURE_FACTORS])
+        values = (least.reshape(substring_dedup.BANDS, -1) * substring_dedup._BAND_FACTORS).sum(axis=1, dtype=np.uint64)
+        assert (substring_dedup.mixed(values + np.arange(1, len(values) + 1, dtype=np.uint64)) == own).all()
+    assert substring_dedup.band_hashes(runs, spans[:0]).shape == (0, substring_dedup.BANDS)
+
+
+def test_buckets_of_one_item_are_not_shuffled(spark):
+    items = spark.createDataFrame(
+        [(bytes([i]), [i, 1_000 + i // 2, -5 if i % 50 else 7_000_000 + i]) for i in range(200)],
+        "item binary, buckets array<bigint>",
+    )
+    often = spark.createDataFrame([(1_000 + i, 2) for i in range(100)] + [(-5, 196)], "bucket bigint, n bigint")
+    rows = [(r.item[0], r.bucket) for r in substring_dedup._bucket_rows(items, often).collect()]
+    wanted = {(i, 1_000 + i // 2) for i in range(200)} | {(i, -5) for i in range(200) if i % 50}
+    assert wanted <= set(rows) and len(rows) == len(set(rows)) < len(wanted) + 10
+
+
+def test_paragraphs_are_shuffled_once_for_their_passages(spark):
+    rows = [(None, b"k", 0, 40, (1, b"a"), 3), (None, b"k", 0, 40, (1, b"a"), 3), (None, b"k", 40, 40, (None, b"k"), 2)]
+    rows += [(2, b"k", 90, 50, (1, b"a"), 2), (2, b"k", 0, 60, (2, b"k"), 5), (2, b"k", 30, 59, (1, b"a"), 2)]
+    found = substring_dedup._passages(
+        spark.createDataFrame(
+            rows,
+            "doc_id bigint, text_key binary, start int, n_words int,"
+            " first struct<doc_id: bigint, text_key: binary>, n bigint",
+        )
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, found.collect()), key=str) == [
+        (2, 0, 89, 1, 5, True), (2, 90, 50, 1, 2, True), (None, 0, 80, 1, 3, True)
+    ]
+
+
 def test_texts_are_cut_once_by_one_worker_of_a_task(spark):
     rows = [(1, "w " * 60), (2, "w " * 60 + "end")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_chars", F.length("text"))
